@@ -1,0 +1,119 @@
+"""Driver queries: hostnames, routing table, upstreams, proxy site text."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from opsframe.plans import routing
+from opsframe.plans.projectcfg import site_media_entries
+from opsframe.registry import query
+from opsframe.sources.roles import Roles, with_roles
+
+# The site media map every project is given in these queries: the reference's
+# proxy test fixture, rendered as the text a build config carries (fixed values).
+MEDIA_MAP_TEXT = "\n".join([
+    "/static/ /path/to/static",
+    "/otherstatic/ /somewhere/else",
+    "/media/somepackage {SITE_PACKAGES}/somepackage/media",
+    "/media/srcpackage {SRC_PACKAGES}/something",
+])
+
+HOSTNAMES_SQL = """
+SELECT id AS project_id, 0 AS branch, CAST(0 AS BIGINT) AS pos, printf('p%08d', id) || '.djangozoom.net' AS hostname FROM project
+UNION ALL
+SELECT id, 1, CAST(0 AS BIGINT), hostname_slug || '.djangozoom.net' FROM project WHERE coalesce(hostname_slug, '') <> ''
+UNION ALL
+SELECT project_id, 2, id * 2, '*.' || hostname FROM vhost WHERE is_wildcard
+UNION ALL
+SELECT project_id, 2, id * 2 + 1, hostname FROM vhost"""
+
+SERVED_CTES = """
+active AS (SELECT * FROM deployment WHERE deactivation_date IS NULL),
+pairs AS (SELECT project_id, bundle_id, count(*) AS cnt FROM active GROUP BY project_id, bundle_id),
+served AS (SELECT project_id, max(bundle_id) AS bundle_id, count(*) AS n_bundles,
+                  CAST(sum(cnt) AS BIGINT) AS n_active, arg_max(cnt, bundle_id) AS n_upstreams
+           FROM pairs GROUP BY project_id)"""
+
+ROUTING_CTES = SERVED_CTES + f""",
+hn AS ({HOSTNAMES_SQL}),
+nh AS (SELECT project_id, count(*) AS n_hostnames FROM hn GROUP BY project_id),
+rt AS (
+SELECT p.id AS project_id,
+       CASE WHEN s.n_active IS NULL THEN 'not_deployed' ELSE 'routed' END AS status,
+       s.bundle_id, b.bundle_name, coalesce(s.n_bundles > 1, false) AS multi,
+       coalesce(s.n_active, 0) AS n_active, coalesce(s.n_upstreams, 0) AS n_upstreams,
+       coalesce(nh.n_hostnames, 0) AS n_hostnames,
+       printf('p%08d', p.id) || '.djangozoom.net' AS canonical_host
+FROM project p LEFT JOIN served s ON s.project_id = p.id
+LEFT JOIN bundle b ON b.id = s.bundle_id
+LEFT JOIN nh ON nh.project_id = p.id)"""
+
+UPSTREAMS_CTE = """
+ups AS (SELECT a.project_id, a.bundle_id, a.id AS deployment_id, a.server_instance_id AS instance_id,
+               a.server_ip AS host_ip, a.server_port AS host_port
+        FROM active a JOIN served s ON a.project_id = s.project_id AND a.bundle_id = s.bundle_id)"""
+
+ROUTING_ROLES = ("deployment", "bundle", "project", "vhost")
+
+
+@query("hostnames", oracle=with_roles(HOSTNAMES_SQL, "project", "vhost"))
+def q_hostnames(spark, sf):
+    r = Roles(spark, sf)
+    return routing.hostnames(r.project, r.vhost)
+
+
+@query("routing_table", oracle=with_roles("SELECT * FROM rt", *ROUTING_ROLES, extra=ROUTING_CTES))
+def q_routing_table(spark, sf):
+    r = Roles(spark, sf)
+    return routing.routing_table(r.deployment, r.bundle, r.project, r.vhost)
+
+
+@query("routing_upstreams", oracle=with_roles("SELECT * FROM ups", "deployment",
+                                              extra=SERVED_CTES + "," + UPSTREAMS_CTE))
+def q_routing_upstreams(spark, sf):
+    return routing.routing_upstreams(Roles(spark, sf).deployment)
+
+
+def _dk_alias(bdir: str, fp: str) -> str:
+    """DuckDB twin of ``routing.media_alias_dest``."""
+    s = f"regexp_replace({fp}, '^/+|/+$', '', 'g')"
+    return (f"CASE WHEN starts_with({s}, '{{SITE_PACKAGES}}') THEN {bdir} || '/lib/python2.6/site-packages/' || "
+            f"regexp_replace(substr({s}, 16), '^/+', '') "
+            f"WHEN starts_with({s}, '{{SRC_PACKAGES}}') THEN {bdir} || '/src/' || regexp_replace(substr({s}, 15), '^/+', '') "
+            f"ELSE {bdir} || '/user-repo/' || {s} END")
+
+
+SITE_SQL = ROUTING_CTES + "," + UPSTREAMS_CTE + f""",
+r AS (SELECT project_id, printf('p%08d', project_id) AS app_id, bundle_name, n_upstreams,
+             '/cust/' || printf('p%08d', project_id) || '/' || bundle_name AS bdir
+      FROM rt WHERE status = 'routed'),
+media(url_path, file_path, pos) AS (VALUES ('/static/', '/path/to/static', 0), ('/otherstatic/', '/somewhere/else', 1),
+      ('/media/somepackage/', '{{SITE_PACKAGES}}/somepackage/media', 2), ('/media/srcpackage/', '{{SRC_PACKAGES}}/something', 3)),
+lines AS (
+SELECT project_id, app_id, 0 AS section, CAST(0 AS BIGINT) AS ord, 'upstream app_server_' || app_id || ' {{' AS line FROM r
+UNION ALL SELECT u.project_id, app_id, 1, u.deployment_id, '    server ' || host_ip || ':' || CAST(host_port AS VARCHAR) || ' max_fails=2  fail_timeout=10s;'
+          FROM ups u JOIN r ON u.project_id = r.project_id
+UNION ALL SELECT project_id, app_id, 2, 0, '}}' FROM r
+UNION ALL SELECT project_id, app_id, 3, 0, 'server {{' FROM r
+UNION ALL SELECT h.project_id, app_id, 4, CAST(h.branch AS BIGINT) * 1099511627776 + h.pos, '    server_name ' || h.hostname || ' ;'
+          FROM hn h JOIN r ON h.project_id = r.project_id
+UNION ALL SELECT project_id, app_id, 5, 0, '    access_log /tmp/' || app_id || '.access.log combined;' FROM r
+UNION ALL SELECT project_id, app_id, 6, m.pos, '    location ' || m.url_path || ' {{ alias ' || {_dk_alias('bdir', 'm.file_path')} || '/; }}'
+          FROM r, media m
+UNION ALL SELECT project_id, app_id, 6, 1099511627776, '    location /_dz/admin_media/ {{ alias ' || bdir
+          || '/lib/python2.6/site-packages/django/contrib/admin/media/; }}' FROM r
+UNION ALL SELECT project_id, app_id, 7, 0, '    location / {{ proxy_pass http://app_server_' || app_id || '; }}' FROM r
+UNION ALL SELECT project_id, app_id, 8, 0, '}}' FROM r
+UNION ALL SELECT project_id, app_id, -1, 0, 'error: no appserver upstreams' FROM r WHERE n_upstreams = 0)"""
+
+
+@query("site_config_text", oracle=with_roles("SELECT * FROM lines", *ROUTING_ROLES, extra=SITE_SQL))
+def q_site_config_text(spark, sf):
+    r = Roles(spark, sf)
+    dep, project, vhost = r.deployment, r.project, r.vhost
+    rt = routing.routing_table(dep, r.bundle, project, vhost)
+    routed = rt.filter(F.col("status") == "routed").select("project_id")
+    # every routed project carries the same media map text; X-11 parses it per project
+    media = site_media_entries(routed.withColumn("site_media", F.lit(MEDIA_MAP_TEXT)), "site_media")
+    return routing.site_config_lines(rt, routing.routing_upstreams(dep), routing.hostnames(project, vhost),
+                                     media.filter(F.col("status") == "ok").select("project_id", "url_path", "file_path", "pos"))

@@ -1,0 +1,60 @@
+"""Spark session and lineage helpers.
+
+The library never creates its own engine: every operator takes and returns
+DataFrames of the caller's session. ``get_spark`` exists for tests, the bench
+and the command line; on a cluster the caller's session (and its
+``spark.checkpoint.dir``) is used as it is.
+"""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Session settings the operators rely on: UTC wall clock (every timestamp in
+# the control tables is UTC), AQE for runtime coalescing and skew-join
+# splitting, and Arrow for the few pandas-backed operators.
+DEFAULT_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
+
+def get_spark(app: str = "opsframe", cpus: str | int = "*",
+              shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+    builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
+               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+               .config("spark.driver.memory", os.environ.get("OPSFRAME_DRIVER_MEMORY", "8g")))
+    for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the session's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    unchanged. Only when it is unset (local tests) is a scratch folder made.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        current = tempfile.mkdtemp(prefix="opsframe-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", current)
+    spark.sparkContext.setCheckpointDir(current)
+    return current
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (survives lost executors)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
