@@ -169,3 +169,16 @@ def file_url_path(url) -> Column:
     rest = F.regexp_replace(rest, r"^/*([a-zA-Z])\|", "$1:")
     decoded = F.url_decode(F.regexp_replace(rest, r"\+", "%2B"))
     return F.when(u.startswith("file:"), F.regexp_replace(decoded, "^/+", "/"))
+
+
+# X-21: gunicorn process title (fixed pattern)
+GUNICORN_TITLE_RE = r"^gunicorn: (master|worker) \['(\S+) on :(\d+)'\]\s*$"
+
+
+def gunicorn_title(command) -> Column:
+    """X-21: struct(kind, bundle_name, port) of a gunicorn process title, else null."""
+    c = _c(command)
+    return F.when(c.rlike(GUNICORN_TITLE_RE), F.struct(
+        F.regexp_extract(c, GUNICORN_TITLE_RE, 1).alias("kind"),
+        F.regexp_extract(c, GUNICORN_TITLE_RE, 2).alias("bundle_name"),
+        F.regexp_extract(c, GUNICORN_TITLE_RE, 3).cast("int").alias("port")))
