@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 from opsframe.operators.windows import dense_index
 
 
+def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row DataFrame (a global aggregate) to every
+    row: broadcast hash join on a constant key — the broadcast side is one row
+    by construction, and no nested-loop / cartesian join is planned."""
+    return (df.withColumn("__one", F.lit(1))
+            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one", "left").drop("__one"))
+
+
 def worker_bundle(deployment: DataFrame, bundle: DataFrame) -> DataFrame:
     """J-2: deployment → its bundle (N:1 inner equi-join)."""
     b = bundle.select(F.col("id").alias("bundle_id"), "bundle_name", F.col("project_id").alias("bundle_project_id"))
@@ -66,8 +74,7 @@ def placement(project: DataFrame, hosts: DataFrame, workers: str = "num_workers"
     """
     app_hosts = dense_index(hosts.filter(F.col("role") == "appserver"), ["instance_id"], "slot")
     # one row (a proven size bound), attached by a broadcast equi-join on a constant
-    n = app_hosts.agg(F.count(F.lit(1)).alias("n_hosts")).withColumn("__one", F.lit(1))
-    p = project.withColumn("__one", F.lit(1)).join(F.broadcast(n), "__one", "left").drop("__one")
+    p = attach_scalars(project, app_hosts.agg(F.count(F.lit(1)).alias("n_hosts")))
     k = F.least(F.col(workers), F.col("n_hosts"))
     slots = p.select(F.col("id").alias("project_id"), "n_hosts",
                      F.explode(F.when(k > 0, F.sequence(F.lit(0), k - 1))

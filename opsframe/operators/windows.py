@@ -41,29 +41,50 @@ def running_count_before(df: DataFrame, keys: list[str], order: list[str], flag:
             .drop("__b", "__f", "__local", "__off"))
 
 
-def dense_index(df: DataFrame, order: list[str], out: str = "idx", partitions: int | None = None,
+def order_proxy(c: Column, dtype: str) -> Column:
+    """A numeric value that never decreases when ``c`` increases (for range
+    bucketing): numbers as they are, timestamps/dates as epoch seconds, strings
+    by their first 7 bytes (longer ties share a bucket, which is still correct)."""
+    if dtype in ("string",):
+        head = F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7))  # first 7 bytes, zero-padded
+        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
+    if dtype.startswith("timestamp") or dtype == "date":
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return c.cast("double")
+
+
+def dense_index(df: DataFrame, order: list[str], out: str = "idx", buckets: int | None = None,
                 start: Column | int = 0) -> DataFrame:
-    """W-8: consecutive 0-based (plus ``start``) index in ``order`` without a global window.
-
-    Pass 1 range-partitions on the order key and numbers rows inside each
-    partition (``monotonically_increasing_id`` keeps the low 33 bits as the
-    row number after the in-partition sort). Pass 2 turns per-partition row
-    counts — one row per partition, a proven size bound — into offsets,
-    joined back by broadcast. The result is checkpointed by callers that
-    need ids stable across executor loss.
+    """W-8: consecutive 0-based (plus ``start``) index in ``order`` without a
+    global (single-task) window.
+
+    Pass 1: ``buckets - 1`` quantile edges of the first order column (a
+    bounded list of numbers, fixed once as literals so every branch of the
+    plan and every recomputation after a lost executor sees the same
+    buckets). Rows are numbered inside their bucket by a window partitioned
+    on the bucket. Pass 2: per-bucket counts — one row per bucket, a proven
+    size bound — become offsets, joined back by broadcast.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, *_cols(order)).sortWithinPartitions(*_cols(order))
-               .withColumn("__mid", F.monotonically_increasing_id())
-               .withColumn("__pid", F.shiftright("__mid", 33))
-               .withColumn("__row", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))))
-    counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = order[0]
+    dtype = dict(df.dtypes)[first]
+    proxy = order_proxy(F.col(first), dtype)
+    edges = []
+    if n > 1:
+        got = df.select(F.percentile_approx(proxy, [i / n for i in range(1, n)], 10000).alias("e")).first()
+        edges = sorted(set(x for x in (got["e"] or []) if x is not None))
+    bucket = F.lit(0)
+    for e in edges:
+        bucket = bucket + F.when(proxy >= F.lit(e), 1).otherwise(0)
+    d = df.withColumn("__bk", bucket)
+    numbered = d.withColumn("__row", F.row_number().over(Window.partitionBy("__bk").orderBy(*_cols(order))) - 1)
+    counts = d.groupBy("__bk").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
     start_c = start if isinstance(start, Column) else F.lit(start)
-    return (ordered.join(F.broadcast(offsets), "__pid")
+    return (numbered.join(F.broadcast(offsets), "__bk")
             .withColumn(out, (F.col("__off") + F.col("__row") + start_c).cast("bigint"))
-            .drop("__mid", "__pid", "__row", "__off"))
+            .drop("__bk", "__row", "__off"))
 
 
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank_col: str = "rn") -> DataFrame:
