@@ -98,11 +98,11 @@ UNION ALL SELECT project_id, app_id, 3, 0, 'server {{' FROM r
 UNION ALL SELECT h.project_id, app_id, 4, CAST(h.branch AS BIGINT) * 1099511627776 + h.pos, '    server_name ' || h.hostname || ' ;'
           FROM hn h JOIN r ON h.project_id = r.project_id
 UNION ALL SELECT project_id, app_id, 5, 0, '    access_log /tmp/' || app_id || '.access.log combined;' FROM r
-UNION ALL SELECT project_id, app_id, 6, m.pos, '    location ' || m.url_path || ' {{ alias ' || {_dk_alias('bdir', 'm.file_path')} || '/; }}'
+UNION ALL SELECT project_id, app_id, 6, m.pos, '    location ' || m.url_path || ' {{' || chr(10) || '        alias ' || {_dk_alias('bdir', 'm.file_path')} || '/;' || chr(10) || '    }}'
           FROM r, media m
-UNION ALL SELECT project_id, app_id, 6, 1099511627776, '    location /_dz/admin_media/ {{ alias ' || bdir
-          || '/lib/python2.6/site-packages/django/contrib/admin/media/; }}' FROM r
-UNION ALL SELECT project_id, app_id, 7, 0, '    location / {{ proxy_pass http://app_server_' || app_id || '; }}' FROM r
+UNION ALL SELECT project_id, app_id, 6, 1099511627776, '    location /_dz/admin_media/ {{' || chr(10) || '        alias ' || bdir
+          || '/lib/python2.6/site-packages/django/contrib/admin/media/;' || chr(10) || '    }}' FROM r
+UNION ALL SELECT project_id, app_id, 7, 0, '    location / {{' || chr(10) || '        proxy_pass http://app_server_' || app_id || ';' || chr(10) || '    }}' FROM r
 UNION ALL SELECT project_id, app_id, 8, 0, '}}' FROM r
 UNION ALL SELECT project_id, app_id, -1, 0, 'error: no appserver upstreams' FROM r WHERE n_upstreams = 0)"""
 

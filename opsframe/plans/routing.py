@@ -131,6 +131,7 @@ def site_config_lines(routing: DataFrame, upstreams: DataFrame, hosts: DataFrame
     upstreams gets an ``error`` row instead (the reference raises).
     ``media`` is (project_id, url_path, file_path, pos) — the site media map.
     Rows: (app_id, section, ord, line); sort by (section, ord) for file order.
+    A ``location`` block is one row holding its three lines.
     """
     r = (routing.filter(F.col("status") == "routed")
          .select("project_id", naming.sysid("project_id").alias("app_id"), "bundle_name", "n_upstreams"))
@@ -156,18 +157,18 @@ def site_config_lines(routing: DataFrame, upstreams: DataFrame, hosts: DataFrame
     parts = [head, ups, mid, srv, names, access]
     bdir = _bundle_dir(F.col("app_id"), F.col("bundle_name"))
     admin = r.select("project_id", "app_id", F.lit(6).alias("section"), F.lit(1 << 40).cast("bigint").alias("ord"),
-                     F.concat(F.lit("    location " + ADMIN_MEDIA_URL_PATH + " { alias "), bdir,
-                              F.lit("/" + ADMIN_MEDIA_BUNDLE_PATH + "/; }")).alias("line"))
+                     F.concat(F.lit("    location " + ADMIN_MEDIA_URL_PATH + " {\n        alias "), bdir,
+                              F.lit("/" + ADMIN_MEDIA_BUNDLE_PATH + "/;\n    }")).alias("line"))
     if media is not None:
         m = (media.join(r.select("project_id", "app_id", "bundle_name"), "project_id")
              .select("project_id", "app_id", F.lit(6).alias("section"), F.col("pos").cast("bigint").alias("ord"),
-                     F.concat(F.lit("    location "), F.col("url_path"), F.lit(" { alias "),
-                              media_alias_dest(bdir, F.col("file_path")), F.lit("/; }")).alias("line")))
+                     F.concat(F.lit("    location "), F.col("url_path"), F.lit(" {\n        alias "),
+                              media_alias_dest(bdir, F.col("file_path")), F.lit("/;\n    }")).alias("line")))
         parts.append(m)
     parts.append(admin)
     tail = r.select("project_id", "app_id", F.lit(7).alias("section"), F.lit(0).cast("bigint").alias("ord"),
-                    F.concat(F.lit("    location / { proxy_pass http://app_server_"), F.col("app_id"),
-                             F.lit("; }")).alias("line"))
+                    F.concat(F.lit("    location / {\n        proxy_pass http://app_server_"), F.col("app_id"),
+                             F.lit(";\n    }")).alias("line"))
     close = r.select("project_id", "app_id", F.lit(8).alias("section"), F.lit(0).cast("bigint").alias("ord"),
                      F.lit("}").alias("line"))
     parts += [tail, close]
