@@ -69,7 +69,7 @@ def checkout_decision(current_url, wanted_url) -> Column:
 
 
 GIT_FETCH_RE = r"(?m)^  Fetch URL: (.*)$"
-SVN_URL_RE = r"(?m)^<url>(.*)</url>$"
+SVN_URL_RE = r"(?m)^[ \t]*<url>(.+)</url>[ \t]*$"
 
 
 def git_fetch_url(report) -> Column:
@@ -79,7 +79,7 @@ def git_fetch_url(report) -> Column:
 
 
 def svn_url(report) -> Column:
-    """X-16: text of the first ``<url>…</url>`` line; none → null."""
+    """X-16: text of the first ``<url>…</url>`` line (blanks around allowed); none → null."""
     v = F.regexp_extract(_c(report), SVN_URL_RE, 1)
     return F.when(_c(report).rlike(SVN_URL_RE), v)
 
@@ -167,7 +167,8 @@ def file_url_path(url) -> Column:
     u = _c(url)
     rest = F.regexp_replace(F.regexp_replace(u, r"^file:", ""), r"\\", "/")
     rest = F.regexp_replace(rest, r"^/*([a-zA-Z])\|", "$1:")
-    decoded = F.url_decode(F.regexp_replace(rest, r"\+", "%2B"))
+    protected = F.regexp_replace(rest, r"\+", "%2B")
+    decoded = F.coalesce(F.try_url_decode(protected), rest)  # malformed escapes stay as they are
     return F.when(u.startswith("file:"), F.regexp_replace(decoded, "^/+", "/"))
 
 

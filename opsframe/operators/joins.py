@@ -103,12 +103,13 @@ def suffix_join(left: DataFrame, right: DataFrame, group: str, suffix_col: str,
     """
     l2 = left.withColumn("__last", F.when(F.col(suffix_col).contains("/"),
                                           F.element_at(F.split(suffix_col, "/"), -1)))
-    r2 = right.withColumn("__rlast", F.element_at(F.split(path_col, "/"), -1))
+    r2 = (right.withColumnRenamed(group, "__rg")
+          .withColumn("__rlast", F.element_at(F.split(path_col, "/"), -1)))
+    ends = F.col(path_col).endswith(F.col(suffix_col))
     with_slash = l2.filter(F.col("__last").isNotNull()).join(
-        r2, (l2[group] == r2[group]) & (l2["__last"] == r2["__rlast"]) & r2[path_col].endswith(l2[suffix_col]))
-    no_slash = l2.filter(F.col("__last").isNull()).join(
-        r2, (l2[group] == r2[group]) & r2[path_col].endswith(l2[suffix_col]))
-    return with_slash.unionByName(no_slash).drop("__last", "__rlast")
+        r2, (F.col(group) == F.col("__rg")) & (F.col("__last") == F.col("__rlast")) & ends)
+    no_slash = l2.filter(F.col("__last").isNull()).join(r2, (F.col(group) == F.col("__rg")) & ends)
+    return with_slash.unionByName(no_slash).drop("__last", "__rlast", "__rg")
 
 
 def dangling_links(links: DataFrame, paths: DataFrame, target: str = "target", path: str = "path",

@@ -32,3 +32,164 @@ def site_media_entries(df: DataFrame, text_col: str, key: str = "project_id") ->
         key, F.lit(None).cast("string").alias("url_path"), F.col("line").alias("file_path"), "pos",
         F.lit("error").alias("status"))
     return ok.unionByName(bad)
+
+
+# ---- X-26: top-level string setting of a Python source ----------------------
+
+def setting_value(content: str, name: str):
+    """X-26 (regex mode): value of the first top-level ``NAME = 'str'`` /
+    ``NAME = "str"`` / ``NAME = bare_name`` assignment; null when none.
+    Other assignment forms are skipped, as the reference's AST walk does."""
+    pat = (r"(?m)^" + name + r"[ \t]*=[ \t]*(?:'([^'\n]*)'|\"([^\"\n]*)\"|([A-Za-z_][A-Za-z0-9_]*))[ \t]*(?:#.*)?$")
+    c = F.col(content)
+    v = F.concat(F.regexp_extract(c, pat, 1), F.regexp_extract(c, pat, 2), F.regexp_extract(c, pat, 3))
+    return F.when(c.rlike(pat), v)
+
+
+def _pjoin(a, b):
+    """``os.path.join(a, b)`` for a relative ``b``."""
+    return F.when(a == "", b).when(a.endswith("/"), F.concat(a, b)).otherwise(F.concat(a, F.lit("/"), b))
+
+
+def config_guesses(files: DataFrame, src_url: DataFrame) -> DataFrame:
+    """C-5: configuration guesses for every repository at once.
+
+    ``files``: (repo_id, path, content) — every file of every checkout;
+    ``src_url``: (repo_id, url). Walk order is path ascending. Output rows:
+    (repo_id, field, value, is_primary, basis).
+
+    1. settings files (F-11), their ROOT_URLCONF (X-26);
+    2. strategy 1 (J-9): first python file ending with the urlconf as a path;
+    3. strategy 2 (X-18): smallest divide point whose rest is a python file;
+    4. base case: settings module = file name; base package from files at
+       the repository root (exact-path equi-joins);
+    5. a requirements guess per settings file with guesses, ``is_primary``
+       by W-1, one title guess per repository with any guess (X-17).
+    """
+    from opsframe.operators.filters import base_name, file_class
+    from opsframe.operators.joins import suffix_join
+    from opsframe.operators.windows import primary_until_first_hit
+
+    f = files.withColumn("cls", file_class("path")).withColumn("base", base_name("path"))
+    py = f.filter(F.col("path").endswith(".py")).select("repo_id", F.col("path").alias("py_path"))
+    st = f.filter(F.col("cls") == "settings").select("repo_id", "path", setting_value("content", "ROOT_URLCONF").alias("urlconf"))
+    stp = (st.filter(F.coalesce(F.col("urlconf"), F.lit("")) != "")
+           .withColumn("parts", F.split("urlconf", r"\."))
+           .withColumn("n", F.size("parts"))
+           .withColumn("suffix", F.concat(F.regexp_replace("urlconf", r"\.", "/"), F.lit(".py"))))
+    keys = ["repo_id", "path"]
+
+    # strategy 1: suffix (theta) join, first match in walk order
+    m1 = (suffix_join(stp.select(*keys, "suffix"), py, "repo_id", "suffix", "py_path")
+          .groupBy(*keys).agg(F.min("py_path").alias("found")))
+    s1 = (stp.join(m1, keys)
+          .withColumn("pydir", F.regexp_replace(F.expr("substring(found, 1, length(found) - length(suffix))"), "/+$", "")))
+    pydir, path = F.col("pydir"), F.col("path")
+    addl = F.when(F.col("n") > 1, F.concat(pydir, F.lit("\n"), _pjoin(pydir, F.array_join(F.slice("parts", 1, F.col("n") - 1), "/")))
+                  ).otherwise(pydir)
+    short = F.regexp_replace(F.expr("substring(path, length(pydir) + 1, length(path) - length(pydir) - 3)"), "^/+", "")
+    dsm1 = F.when(path.startswith(pydir), F.regexp_replace(short, "/", ".")).otherwise(_pjoin(pydir, F.lit("settings.py")))
+    g1 = s1.select(*keys, F.explode(F.array(
+        F.struct(F.lit("base_python_package").alias("field"), F.lit("").alias("value")),
+        F.struct(F.lit("additional_python_path_dirs").alias("field"), addl.alias("value")),
+        F.struct(F.lit("django_settings_module").alias("field"), dsm1.alias("value")))).alias("g"))
+
+    # strategy 2: divide points (bounded by the module's part count), exact-path equi-join
+    rest = stp.join(m1.select(*keys), keys, "left_anti")
+    cand = rest.select(*keys, "parts", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("d"))
+    cand = cand.withColumn("repo_path", F.concat(F.array_join(F.slice("parts", F.col("d") + 1, F.col("n")), "/"), F.lit(".py")))
+    m2 = (cand.join(py.withColumnRenamed("py_path", "repo_path"), ["repo_id", "repo_path"])
+          .groupBy(*keys, "parts").agg(F.min("d").alias("d")))
+    base2 = F.array_join(F.slice("parts", 1, F.col("d")), ".")
+    dsm2 = F.concat(base2, F.lit("."), F.expr("substring(replace(path, '/', '.'), 1, length(path) - 3)"))
+    g2 = m2.select(*keys, F.explode(F.array(
+        F.struct(F.lit("base_python_package").alias("field"), base2.alias("value")),
+        F.struct(F.lit("django_settings_module").alias("field"), dsm2.alias("value")))).alias("g"))
+
+    # base case
+    b = rest.join(m2.select(*keys), keys, "left_anti")
+    as_path = F.regexp_replace("urlconf", r"\.", "/")
+    last = F.regexp_extract("urlconf", r"[^.]*$", 0)
+    head = F.when(F.col("urlconf").contains("."), F.regexp_extract("urlconf", r"^(.*)\.[^.]*$", 1)).otherwise(F.col("urlconf"))
+    allp = f.select("repo_id", F.col("path").alias("p"))
+    e1 = (b.select(*keys, F.explode(F.array(F.concat(as_path, F.lit(".py")), F.concat(as_path, F.lit("/__init__.py")))).alias("p"))
+          .join(allp, ["repo_id", "p"], "left_semi").select(*keys).distinct().withColumn("e1", F.lit(True)))
+    e2 = (b.select(*keys, F.concat(last, F.lit(".py")).alias("p"))
+          .join(allp, ["repo_id", "p"], "left_semi").select(*keys).distinct().withColumn("e2", F.lit(True)))
+    bx = b.join(e1, keys, "left").join(e2, keys, "left")
+    base_name_mod = F.expr("substring(element_at(split(path, '/'), -1), 1, length(element_at(split(path, '/'), -1)) - 3)")
+    g3a = bx.select(*keys, F.struct(F.lit("django_settings_module").alias("field"), base_name_mod.alias("value")).alias("g"))
+    g3b = (bx.filter(F.col("e1").isNotNull() | F.col("e2").isNotNull())
+           .select(*keys, F.struct(F.lit("base_python_package").alias("field"),
+                                   F.when(F.col("e1").isNotNull(), F.lit("")).otherwise(head).alias("value")).alias("g")))
+    g = g1.unionByName(g2).unionByName(g3a).unionByName(g3b).select(*keys, "g.field", "g.value")
+
+    # requirements guess per settings file with guesses
+    reqs = (f.filter(F.col("cls") == "requirements").groupBy("repo_id")
+            .agg(F.array_join(F.sort_array(F.collect_list("path")), "\n").alias("names")))
+    hits = g.select(*keys).distinct()
+    greq = (hits.join(reqs, "repo_id", "left")
+            .select(*keys, F.lit("requirements_file_names").alias("field"), F.coalesce("names", F.lit("")).alias("value")))
+    # W-1: primary until the first settings file (length, path order) with guesses
+    prim = primary_until_first_hit(
+        st.join(hits.withColumn("hit", F.lit(True)), keys, "left").fillna(False, ["hit"]).withColumn("len", F.length("path")),
+        "repo_id", ["len", "path"], "hit").select(*keys, "is_primary")
+    out = (g.unionByName(greq).join(prim, keys)
+           .select("repo_id", "field", "value", "is_primary", F.col("path").alias("basis")))
+    from opsframe.functions.text import title_from_url
+    title = (hits.select("repo_id").distinct().join(src_url, "repo_id")
+             .select("repo_id", F.lit("title").alias("field"), title_from_url(F.col("url")).alias("value"),
+                     F.lit(True).alias("is_primary"), F.lit("").alias("basis")))
+    return out.unionByName(title)
+
+
+# ---- S-13: build config (INI) ----------------------------------------------
+
+# The keys every build config must define in its [project] section (fixed values).
+BUILD_KEYS = ("base_python_package", "django_settings_module", "site_media_map", "additional_python_path_dirs",
+              "requirements_files", "extra_requirements", "django_version", "database_type")
+
+INI_SECTION_RE = r"^\[([^\]]+)\]"
+INI_OPTION_RE = r"^([^:=\s][^:=]*?)\s*[:=]\s*(.*)$"
+
+
+def parse_ini(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """S-13: INI texts → (key, section, option, value), RawConfigParser style:
+    option names lower-cased, values stripped, indented lines continue the
+    previous option (joined with newlines, blank ones dropped), blank and
+    ``#``/``;`` lines skipped, a repeated option keeps its last value.
+    Windows here run per file — config files are small by nature."""
+    from pyspark.sql import Window
+
+    lines = (texts.select(key, F.posexplode(T.split_lines(F.col(text))).alias("pos", "line"))
+             .filter((T.strip_ws("line") != "") & ~F.col("line").rlike(r"^[#;]")))
+    is_sec = F.col("line").rlike(INI_SECTION_RE)
+    is_cont = F.col("line").rlike(r"^\s")
+    is_opt = ~is_sec & ~is_cont & F.col("line").rlike(INI_OPTION_RE)
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    tagged = (lines.withColumn("section", F.last(F.when(is_sec, F.regexp_extract("line", INI_SECTION_RE, 1)), True).over(w))
+              .withColumn("opt_pos", F.last(F.when(is_opt, F.col("pos")), True).over(w))
+              .withColumn("kind", F.when(is_sec, "sec").when(is_opt, "opt").when(is_cont, "cont").otherwise("bad")))
+    opts = tagged.filter(F.col("kind") == "opt").select(
+        key, "section", "opt_pos", F.lower(T.strip_ws(F.regexp_extract("line", INI_OPTION_RE, 1))).alias("option"),
+        T.strip_ws(F.regexp_extract("line", INI_OPTION_RE, 2)).alias("first"))
+    conts = (tagged.filter((F.col("kind") == "cont") & F.col("opt_pos").isNotNull())
+             .select(key, "opt_pos", "pos", T.strip_ws("line").alias("v")).filter(F.col("v") != "")
+             .groupBy(key, "opt_pos").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))),
+                                                                   lambda x: x["v"]), "\n").alias("more")))
+    vals = (opts.join(conts, [key, "opt_pos"], "left")
+            .withColumn("value", F.when(F.col("more").isNull(), F.col("first"))
+                        .otherwise(F.concat_ws("\n", F.col("first"), F.col("more")))))
+    return (vals.groupBy(key, "section", "option").agg(F.max_by("value", "opt_pos").alias("value")))
+
+
+def build_config(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """S-13 + F-9: one row per config with the 8 required ``[project]`` keys;
+    ``missing`` lists absent keys and ``status`` is ``error`` if any."""
+    from opsframe.operators.filters import missing_fields
+    kv = parse_ini(texts, key, text).filter(F.col("section") == "project")
+    wide = kv.groupBy(key).pivot("option", list(BUILD_KEYS)).agg(F.first("value"))
+    out = texts.select(key).join(wide, key, "left")
+    miss = F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in BUILD_KEYS]))
+    return (out.withColumn("missing", F.array_join(miss, ","))
+            .withColumn("status", F.when(F.col("missing") == "", F.lit("ok")).otherwise(F.lit("error"))))
