@@ -228,3 +228,143 @@ def q_build_config(spark, sf):
     required ``[project]`` keys (continuation lines folded, other sections
     ignored); a missing key is an error."""
     return P.build_config(_ini_text(Roles(spark, sf).project), "project_id")
+
+
+URLCONF_RE = (r"(?m)^ROOT_URLCONF[ \t]*=[ \t]*(?:'([^'\n]*)'|\"([^\"\n]*)\"|([A-Za-z_][A-Za-z0-9_]*))[ \t]*(?:#.*)?$")
+_UQ = URLCONF_RE.replace("'", "''")
+_URLCONF_DK = (f"CASE WHEN regexp_matches(content, '{_UQ}') THEN regexp_extract(content, '{_UQ}', 1) || "
+               f"regexp_extract(content, '{_UQ}', 2) || regexp_extract(content, '{_UQ}', 3) END")
+
+
+def _repo_urls(rf):
+    return rf.select("repo_id").distinct().select(
+        "repo_id", F.concat(F.lit("git://example.com/repo_"), F.col("repo_id").cast("string"), F.lit(".git")).alias("url"))
+
+
+GUESS_CTES = f"""
+f AS (SELECT repo_id, path, content, regexp_extract(path, '[^/]*$') AS b FROM repofile),
+py AS (SELECT repo_id, path AS py_path FROM f WHERE ends_with(path, '.py')),
+st AS (SELECT repo_id, path, {_URLCONF_DK} AS urlconf FROM f
+       WHERE ends_with(b, 'settings.py') OR (starts_with(b, 'settings') AND ends_with(b, '.py'))),
+stp AS (SELECT *, string_split(urlconf, '.') AS parts, len(string_split(urlconf, '.')) AS n,
+               replace(urlconf, '.', '/') || '.py' AS suffix FROM st WHERE coalesce(urlconf, '') <> ''),
+m1 AS (SELECT s.repo_id, s.path, min(p.py_path) AS found FROM stp s JOIN py p ON p.repo_id = s.repo_id
+       AND ends_with(p.py_path, s.suffix) GROUP BY s.repo_id, s.path),
+s1 AS (SELECT s.*, rtrim(substr(m1.found, 1, length(m1.found) - length(s.suffix)), '/') AS pydir
+       FROM stp s JOIN m1 ON m1.repo_id = s.repo_id AND m1.path = s.path),
+g1 AS (SELECT repo_id, path, 'base_python_package' AS field, '' AS value FROM s1
+       UNION ALL SELECT repo_id, path, 'additional_python_path_dirs',
+              CASE WHEN n > 1 THEN pydir || chr(10) || CASE WHEN pydir = '' THEN array_to_string(parts[1:n-1], '/')
+                                                           ELSE pydir || '/' || array_to_string(parts[1:n-1], '/') END
+                   ELSE pydir END FROM s1
+       UNION ALL SELECT repo_id, path, 'django_settings_module',
+              CASE WHEN starts_with(path, pydir)
+                   THEN replace(ltrim(substr(path, length(pydir) + 1, length(path) - length(pydir) - 3), '/'), '/', '.')
+                   WHEN pydir = '' THEN 'settings.py' ELSE pydir || '/settings.py' END FROM s1),
+rest AS (SELECT s.* FROM stp s WHERE NOT EXISTS (SELECT 1 FROM m1 WHERE m1.repo_id = s.repo_id AND m1.path = s.path)),
+m2 AS (SELECT c.repo_id, c.path, c.parts, min(c.d) AS d FROM
+         (SELECT r.repo_id, r.path, r.parts, r.n, d.d FROM rest r, LATERAL (SELECT unnest(range(0, r.n)) AS d) d) c
+       JOIN py p ON p.repo_id = c.repo_id AND p.py_path = array_to_string(c.parts[c.d + 1:], '/') || '.py'
+       GROUP BY c.repo_id, c.path, c.parts),
+g2 AS (SELECT repo_id, path, 'base_python_package' AS field, array_to_string(parts[1:d], '.') AS value FROM m2
+       UNION ALL SELECT repo_id, path, 'django_settings_module',
+              array_to_string(parts[1:d], '.') || '.' || substr(replace(path, '/', '.'), 1, length(path) - 3) FROM m2),
+b0 AS (SELECT r.* FROM rest r WHERE NOT EXISTS (SELECT 1 FROM m2 WHERE m2.repo_id = r.repo_id AND m2.path = r.path)),
+bx AS (SELECT b0.*,
+              EXISTS (SELECT 1 FROM f WHERE f.repo_id = b0.repo_id AND (f.path = replace(b0.urlconf, '.', '/') || '.py'
+                                                                       OR f.path = replace(b0.urlconf, '.', '/') || '/__init__.py')) AS e1,
+              EXISTS (SELECT 1 FROM f WHERE f.repo_id = b0.repo_id AND f.path = regexp_extract(b0.urlconf, '[^.]*$') || '.py') AS e2
+       FROM b0),
+g3 AS (SELECT repo_id, path, 'django_settings_module' AS field,
+              substr(regexp_extract(path, '[^/]*$'), 1, length(regexp_extract(path, '[^/]*$')) - 3) AS value FROM bx
+       UNION ALL SELECT repo_id, path, 'base_python_package',
+              CASE WHEN e1 THEN '' WHEN contains(urlconf, '.') THEN regexp_extract(urlconf, '^(.*)\\.[^.]*$', 1) ELSE urlconf END
+       FROM bx WHERE e1 OR e2),
+g AS (SELECT * FROM g1 UNION ALL SELECT * FROM g2 UNION ALL SELECT * FROM g3),
+hits AS (SELECT DISTINCT repo_id, path FROM g),
+reqs AS (SELECT repo_id, string_agg(path, chr(10) ORDER BY path) AS names FROM f
+         WHERE NOT ends_with(b, '.py') AND (ends_with(b, 'requirements.txt') OR (starts_with(b, 'requirements') AND ends_with(b, '.txt'))
+               OR (contains(path, 'requirements/') AND ends_with(path, '.txt'))) GROUP BY repo_id),
+greq AS (SELECT h.repo_id, h.path, 'requirements_file_names' AS field, coalesce(r.names, '') AS value
+         FROM hits h LEFT JOIN reqs r ON r.repo_id = h.repo_id),
+prim AS (SELECT repo_id, path,
+                coalesce(max(CAST(hit AS INTEGER)) OVER (PARTITION BY repo_id ORDER BY length(path), path
+                                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 AS is_primary
+         FROM (SELECT st.repo_id, st.path, h.path IS NOT NULL AS hit FROM st
+               LEFT JOIN hits h ON h.repo_id = st.repo_id AND h.path = st.path)),
+guesses AS (
+  SELECT x.repo_id, x.field, x.value, p.is_primary, x.path AS basis
+  FROM (SELECT * FROM g UNION ALL SELECT * FROM greq) x JOIN prim p ON p.repo_id = x.repo_id AND p.path = x.path
+  UNION ALL
+  SELECT repo_id, 'title', {dk_title_from_url("'git://example.com/repo_' || CAST(repo_id AS VARCHAR) || '.git'")}, true, ''
+  FROM (SELECT DISTINCT repo_id FROM hits))"""
+
+
+@query("config_guesses", oracle=with_roles("SELECT * FROM guesses", "repofile", extra=GUESS_CTES))
+def q_config_guesses(spark, sf):
+    """C-5 / J-9 / W-1 / X-18 / X-26 / S-5: configuration guesses for every
+    repository (each repository's URL is ``git://example.com/repo_<id>.git``)."""
+    rf = Roles(spark, sf).repofile
+    return P.config_guesses(rf.select("repo_id", "path", "content"), _repo_urls(rf))
+
+
+@query("dangling_links", oracle=with_roles(
+    """SELECT l.repo_id, l.path, l.target FROM
+         (SELECT repo_id, path, CASE WHEN path = 'README.txt' THEN 'docs/README.txt' ELSE 'proj/models.py' END AS target
+          FROM repofile WHERE path IN ('README.txt', 'media/logo.png')) l
+       WHERE NOT EXISTS (SELECT 1 FROM repofile r WHERE r.repo_id = l.repo_id AND r.path = l.target)""", "repofile"))
+def q_dangling_links(spark, sf):
+    """J-12: symbolic links of every checkout whose target is missing
+    (README.txt → docs/README.txt, media/logo.png → proj/models.py)."""
+    rf = Roles(spark, sf).repofile
+    links = (rf.filter(F.col("path").isin("README.txt", "media/logo.png"))
+             .select("repo_id", "path", F.when(F.col("path") == "README.txt", F.lit("docs/README.txt"))
+                     .otherwise(F.lit("proj/models.py")).alias("target")))
+    return J.dangling_links(links, rf, "target", "path", "repo_id")
+
+
+# ---- fixed values: supported framework versions → install line and caption ----
+VERSIONS = [
+    ("1.2", "Django==1.2.7", "Django-1.2 latest (currently 1.2.7)"),
+    ("1.3", "Django==1.3.1", "Django-1.3.1 latest (currently 1.3.1)"),
+]
+VERSION_DEFAULT = "1.3.1"  # the platform's default; note it is not itself a key
+# ------------------------------------------------------------------------------
+
+_VERSION_OF = "CASE owner_id % 3 WHEN 0 THEN '1.2' WHEN 1 THEN '1.3' ELSE '1.3.1' END"
+_VALUES = ", ".join(f"('{v}', '{line}', '{cap}')" for v, line, cap in VERSIONS)
+
+
+def _versions_df(spark):
+    return spark.createDataFrame(VERSIONS, "django_version string, install_line string, caption string")
+
+
+def _project_versions(p):
+    v = F.when(F.col("owner_id") % 3 == 0, "1.2").when(F.col("owner_id") % 3 == 1, "1.3").otherwise(VERSION_DEFAULT)
+    return p.select("id", v.alias("django_version"))
+
+
+@query("version_lookup", oracle=with_roles(
+    f"""SELECT p.id, p.django_version, v.install_line,
+               CASE WHEN v.install_line IS NULL THEN 'unknown_version' ELSE 'ok' END AS status
+        FROM (SELECT id, {_VERSION_OF} AS django_version FROM project) p
+        LEFT JOIN (VALUES {_VALUES}) v(django_version, install_line, caption) ON v.django_version = p.django_version""",
+    "project"))
+def q_version_lookup(spark, sf):
+    """J-15: every project's framework version → install line (broadcast of a
+    fixed dimension); the default ``1.3.1`` is not a key → unknown_version."""
+    p = _project_versions(Roles(spark, sf).project)
+    return J.version_lookup(p, _versions_df(spark)).select("id", "django_version", "install_line", "status")
+
+
+@query("version_choices", oracle=with_roles(
+    f"""SELECT p.django_version, v.caption, count(*) AS n_projects
+        FROM (SELECT {_VERSION_OF} AS django_version FROM project) p
+        JOIN (VALUES {_VALUES}) v(django_version, install_line, caption) ON v.django_version = p.django_version
+        GROUP BY p.django_version, v.caption ORDER BY p.django_version DESC""", "project"))
+def q_version_choices(spark, sf):
+    """T-4: version choices in use, newest first (string order), with captions."""
+    p = _project_versions(Roles(spark, sf).project)
+    used = p.groupBy("django_version").agg(F.count(F.lit(1)).alias("n_projects"))
+    return (used.join(F.broadcast(_versions_df(spark)), "django_version")
+            .select("django_version", "caption", "n_projects").orderBy(F.desc("django_version")))

@@ -58,89 +58,90 @@ def config_guesses(files: DataFrame, src_url: DataFrame) -> DataFrame:
     ``src_url``: (repo_id, url). Walk order is path ascending. Output rows:
     (repo_id, field, value, is_primary, basis).
 
-    1. settings files (F-11), their ROOT_URLCONF (X-26);
-    2. strategy 1 (J-9): first python file ending with the urlconf as a path;
-    3. strategy 2 (X-18): smallest divide point whose rest is a python file;
-    4. base case: settings module = file name; base package from files at
-       the repository root (exact-path equi-joins);
-    5. a requirements guess per settings file with guesses, ``is_primary``
-       by W-1, one title guess per repository with any guess (X-17).
+    One row per settings file carries everything needed: its ROOT_URLCONF
+    (X-26), the strategy-1 match (J-9 suffix join, first in walk order), the
+    strategy-2 divide point (X-18, exact-path equi-join) and the root-file
+    flags of the base case — each computed once and left-joined on
+    (repo, path). The guesses are then an ``explode`` of that row, so no
+    sub-result is recomputed per branch. Every settings file with a
+    non-empty ROOT_URLCONF yields at least the base-case guess, so W-1's
+    "has guesses" is simply ``urlconf != ''``.
     """
-    from opsframe.operators.filters import base_name, file_class
+    from opsframe.functions.text import title_from_url
+    from opsframe.operators.filters import file_class
     from opsframe.operators.joins import suffix_join
     from opsframe.operators.windows import primary_until_first_hit
 
-    f = files.withColumn("cls", file_class("path")).withColumn("base", base_name("path"))
-    py = f.filter(F.col("path").endswith(".py")).select("repo_id", F.col("path").alias("py_path"))
-    st = f.filter(F.col("cls") == "settings").select("repo_id", "path", setting_value("content", "ROOT_URLCONF").alias("urlconf"))
-    stp = (st.filter(F.coalesce(F.col("urlconf"), F.lit("")) != "")
+    keys = ["repo_id", "path"]
+    paths = files.select("repo_id", "path")
+    py = paths.filter(F.col("path").endswith(".py")).withColumnRenamed("path", "py_path")
+    st = (files.filter(file_class("path") == "settings")
+          .select(*keys, setting_value("content", "ROOT_URLCONF").alias("urlconf"))
+          .withColumn("hit", F.coalesce(F.col("urlconf"), F.lit("")) != "")
+          .withColumn("len", F.length("path")))
+    st = primary_until_first_hit(st, "repo_id", ["len", "path"], "hit")
+    stp = (st.filter("hit").select(*keys, "urlconf", "is_primary")
            .withColumn("parts", F.split("urlconf", r"\."))
            .withColumn("n", F.size("parts"))
            .withColumn("suffix", F.concat(F.regexp_replace("urlconf", r"\.", "/"), F.lit(".py"))))
-    keys = ["repo_id", "path"]
 
-    # strategy 1: suffix (theta) join, first match in walk order
+    # strategy 1 candidate: first python file ending with the urlconf path
     m1 = (suffix_join(stp.select(*keys, "suffix"), py, "repo_id", "suffix", "py_path")
           .groupBy(*keys).agg(F.min("py_path").alias("found")))
-    s1 = (stp.join(m1, keys)
-          .withColumn("pydir", F.regexp_replace(F.expr("substring(found, 1, length(found) - length(suffix))"), "/+$", "")))
-    pydir, path = F.col("pydir"), F.col("path")
-    addl = F.when(F.col("n") > 1, F.concat(pydir, F.lit("\n"), _pjoin(pydir, F.array_join(F.slice("parts", 1, F.col("n") - 1), "/")))
-                  ).otherwise(pydir)
+    # strategy 2 candidate: smallest divide point whose rest is a python file
+    cand = stp.select(*keys, "parts", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("d"))
+    cand = cand.select(*keys, "d", F.concat(F.array_join(F.slice("parts", F.col("d") + 1, F.col("n")), "/"),
+                                            F.lit(".py")).alias("py_path"))
+    m2 = cand.join(py, ["repo_id", "py_path"]).groupBy(*keys).agg(F.min("d").alias("d"))
+    # base case: which candidate files exist at the repository root
+    as_path = F.regexp_replace("urlconf", r"\.", "/")
+    last = F.regexp_extract("urlconf", r"[^.]*$", 0)
+    probes = stp.select(*keys, F.explode(F.array(
+        F.struct(F.lit(1).alias("k"), F.concat(as_path, F.lit(".py")).alias("p")),
+        F.struct(F.lit(1).alias("k"), F.concat(as_path, F.lit("/__init__.py")).alias("p")),
+        F.struct(F.lit(2).alias("k"), F.concat(last, F.lit(".py")).alias("p")))).alias("x")).select(*keys, "x.k", "x.p")
+    found = (probes.join(paths.withColumnRenamed("path", "p"), ["repo_id", "p"], "left_semi")
+             .groupBy(*keys).agg(F.max(F.col("k") == 1).alias("e1"), F.max(F.col("k") == 2).alias("e2")))
+
+    r = (stp.join(m1, keys, "left").join(m2, keys, "left").join(found, keys, "left")
+         .withColumn("pydir", F.regexp_replace(F.expr("substring(found, 1, length(found) - length(suffix))"), "/+$", "")))
+    pydir, path, n = F.col("pydir"), F.col("path"), F.col("n")
+    s1, s2 = F.col("found").isNotNull(), F.col("found").isNull() & F.col("d").isNotNull()
+    s3 = F.col("found").isNull() & F.col("d").isNull()
+    addl = F.when(n > 1, F.concat(pydir, F.lit("\n"), _pjoin(pydir, F.array_join(F.slice("parts", 1, n - 1), "/")))).otherwise(pydir)
     short = F.regexp_replace(F.expr("substring(path, length(pydir) + 1, length(path) - length(pydir) - 3)"), "^/+", "")
     dsm1 = F.when(path.startswith(pydir), F.regexp_replace(short, "/", ".")).otherwise(_pjoin(pydir, F.lit("settings.py")))
-    g1 = s1.select(*keys, F.explode(F.array(
-        F.struct(F.lit("base_python_package").alias("field"), F.lit("").alias("value")),
-        F.struct(F.lit("additional_python_path_dirs").alias("field"), addl.alias("value")),
-        F.struct(F.lit("django_settings_module").alias("field"), dsm1.alias("value")))).alias("g"))
-
-    # strategy 2: divide points (bounded by the module's part count), exact-path equi-join
-    rest = stp.join(m1.select(*keys), keys, "left_anti")
-    cand = rest.select(*keys, "parts", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("d"))
-    cand = cand.withColumn("repo_path", F.concat(F.array_join(F.slice("parts", F.col("d") + 1, F.col("n")), "/"), F.lit(".py")))
-    m2 = (cand.join(py.withColumnRenamed("py_path", "repo_path"), ["repo_id", "repo_path"])
-          .groupBy(*keys, "parts").agg(F.min("d").alias("d")))
-    base2 = F.array_join(F.slice("parts", 1, F.col("d")), ".")
+    base2 = F.array_join(F.slice("parts", 1, F.coalesce(F.col("d"), F.lit(0))), ".")
     dsm2 = F.concat(base2, F.lit("."), F.expr("substring(replace(path, '/', '.'), 1, length(path) - 3)"))
-    g2 = m2.select(*keys, F.explode(F.array(
-        F.struct(F.lit("base_python_package").alias("field"), base2.alias("value")),
-        F.struct(F.lit("django_settings_module").alias("field"), dsm2.alias("value")))).alias("g"))
-
-    # base case
-    b = rest.join(m2.select(*keys), keys, "left_anti")
-    as_path = F.regexp_replace("urlconf", r"\.", "/")
-    last = F.regexp_extract("urlconf", r"[^.]*$", 0)
+    fname = F.element_at(F.split("path", "/"), -1)
+    dsm3 = F.expr("substring(element_at(split(path, '/'), -1), 1, length(element_at(split(path, '/'), -1)) - 3)")
     head = F.when(F.col("urlconf").contains("."), F.regexp_extract("urlconf", r"^(.*)\.[^.]*$", 1)).otherwise(F.col("urlconf"))
-    allp = f.select("repo_id", F.col("path").alias("p"))
-    e1 = (b.select(*keys, F.explode(F.array(F.concat(as_path, F.lit(".py")), F.concat(as_path, F.lit("/__init__.py")))).alias("p"))
-          .join(allp, ["repo_id", "p"], "left_semi").select(*keys).distinct().withColumn("e1", F.lit(True)))
-    e2 = (b.select(*keys, F.concat(last, F.lit(".py")).alias("p"))
-          .join(allp, ["repo_id", "p"], "left_semi").select(*keys).distinct().withColumn("e2", F.lit(True)))
-    bx = b.join(e1, keys, "left").join(e2, keys, "left")
-    base_name_mod = F.expr("substring(element_at(split(path, '/'), -1), 1, length(element_at(split(path, '/'), -1)) - 3)")
-    g3a = bx.select(*keys, F.struct(F.lit("django_settings_module").alias("field"), base_name_mod.alias("value")).alias("g"))
-    g3b = (bx.filter(F.col("e1").isNotNull() | F.col("e2").isNotNull())
-           .select(*keys, F.struct(F.lit("base_python_package").alias("field"),
-                                   F.when(F.col("e1").isNotNull(), F.lit("")).otherwise(head).alias("value")).alias("g")))
-    g = g1.unionByName(g2).unionByName(g3a).unionByName(g3b).select(*keys, "g.field", "g.value")
-
-    # requirements guess per settings file with guesses
-    reqs = (f.filter(F.col("cls") == "requirements").groupBy("repo_id")
+    e1, e2 = F.coalesce(F.col("e1"), F.lit(False)), F.coalesce(F.col("e2"), F.lit(False))
+    bpp3 = F.when(e1, F.lit("")).when(e2, head)
+
+    def g(cond, field, value):
+        return F.when(cond, F.struct(F.lit(field).alias("field"), value.alias("value")))
+
+    guesses = F.array_compact(F.array(
+        g(s1, "base_python_package", F.lit("")),
+        g(s1, "additional_python_path_dirs", addl),
+        g(s1, "django_settings_module", dsm1),
+        g(s2, "base_python_package", base2),
+        g(s2, "django_settings_module", dsm2),
+        g(s3, "django_settings_module", dsm3),
+        g(s3 & (e1 | e2), "base_python_package", bpp3)))
+    out = (r.select("repo_id", "path", "is_primary", F.explode(guesses).alias("g"))
+           .select("repo_id", "g.field", "g.value", "is_primary", F.col("path").alias("basis")))
+
+    reqs = (files.filter(file_class("path") == "requirements").groupBy("repo_id")
             .agg(F.array_join(F.sort_array(F.collect_list("path")), "\n").alias("names")))
-    hits = g.select(*keys).distinct()
-    greq = (hits.join(reqs, "repo_id", "left")
-            .select(*keys, F.lit("requirements_file_names").alias("field"), F.coalesce("names", F.lit("")).alias("value")))
-    # W-1: primary until the first settings file (length, path order) with guesses
-    prim = primary_until_first_hit(
-        st.join(hits.withColumn("hit", F.lit(True)), keys, "left").fillna(False, ["hit"]).withColumn("len", F.length("path")),
-        "repo_id", ["len", "path"], "hit").select(*keys, "is_primary")
-    out = (g.unionByName(greq).join(prim, keys)
-           .select("repo_id", "field", "value", "is_primary", F.col("path").alias("basis")))
-    from opsframe.functions.text import title_from_url
-    title = (hits.select("repo_id").distinct().join(src_url, "repo_id")
+    greq = (stp.join(reqs, "repo_id", "left")
+            .select("repo_id", F.lit("requirements_file_names").alias("field"), F.coalesce("names", F.lit("")).alias("value"),
+                    "is_primary", F.col("path").alias("basis")))
+    title = (stp.select("repo_id").distinct().join(src_url, "repo_id")
              .select("repo_id", F.lit("title").alias("field"), title_from_url(F.col("url")).alias("value"),
                      F.lit(True).alias("is_primary"), F.lit("").alias("basis")))
-    return out.unionByName(title)
+    return out.unionByName(greq).unionByName(title)
 
 
 # ---- S-13: build config (INI) ----------------------------------------------
