@@ -368,3 +368,108 @@ def q_version_choices(spark, sf):
     used = p.groupBy("django_version").agg(F.count(F.lit(1)).alias("n_projects"))
     return (used.join(F.broadcast(_versions_df(spark)), "django_version")
             .select("django_version", "caption", "n_projects").orderBy(F.desc("django_version")))
+
+
+# Requirement files of every project (this library's own fixture text; the
+# rules only pick which variant a project gets, from its own columns).
+def _req_lines(p):
+    sid = naming.sysid("id")
+    dbt = F.col("database_type")
+    rows = [
+        ("requirements.txt", 0, F.concat(F.lit("# requirements for "), sid)),
+        ("requirements.txt", 1, F.lit("--requirement=base.txt")),
+        ("requirements.txt", 2, F.lit("Django==1.3.1")),
+        ("requirements.txt", 3, F.lit("simplejson==2.1.1  # json support")),
+        ("requirements.txt", 4, F.concat(F.lit("-e git+git://example.com/"), sid, F.lit(".git#egg="), sid)),
+        ("requirements.txt", 5, F.concat(F.lit("http://example.com/tarball/"), sid, F.lit("#egg=extra-"), F.col("id").cast("string"))),
+        ("requirements.txt", 6, F.lit("")),
+        ("requirements.txt", 7, F.when(dbt == "automobile", F.lit("django-tagging<>0.3")).otherwise(F.lit("django-tagging>=0.3, <0.4"))),
+        ("base.txt", 0, F.lit("-i http://index.example.com/simple/")),
+        ("base.txt", 1, F.concat(F.lit("--find-links=http://links.example.com/"), F.col("owner_id").cast("string"))),
+        ("base.txt", 2, F.lit("South==0.7.2")),
+        ("base.txt", 3, F.when(dbt == "building", F.lit("DJANGO==1.2.7")).otherwise(F.lit("pytz"))),
+        ("base.txt", 4, F.when(dbt == "household", F.lit("-r missing.txt")).otherwise(F.lit(""))),
+    ]
+    arr = F.array(*[F.struct(F.lit(f).alias("file"), F.lit(n).alias("line_no"), v.alias("line")) for f, n, v in rows])
+    return p.select(F.col("id").alias("project_id"), F.explode(arr).alias("r")).select("project_id", "r.*")
+
+
+REQ_IGNORE = ["SOUTH"]
+
+
+def _dk(rx: str) -> str:
+    return rx.replace("'", "''")
+
+
+REQ_CTES = f"""
+rf AS (
+  SELECT id AS project_id, 'requirements.txt' AS file, 0 AS line_no, '# requirements for ' || printf('p%08d', id) AS line FROM project
+  UNION ALL SELECT id, 'requirements.txt', 1, '--requirement=base.txt' FROM project
+  UNION ALL SELECT id, 'requirements.txt', 2, 'Django==1.3.1' FROM project
+  UNION ALL SELECT id, 'requirements.txt', 3, 'simplejson==2.1.1  # json support' FROM project
+  UNION ALL SELECT id, 'requirements.txt', 4, '-e git+git://example.com/' || printf('p%08d', id) || '.git#egg=' || printf('p%08d', id) FROM project
+  UNION ALL SELECT id, 'requirements.txt', 5, 'http://example.com/tarball/' || printf('p%08d', id) || '#egg=extra-' || CAST(id AS VARCHAR) FROM project
+  UNION ALL SELECT id, 'requirements.txt', 6, '' FROM project
+  UNION ALL SELECT id, 'requirements.txt', 7, CASE WHEN database_type = 'automobile' THEN 'django-tagging<>0.3' ELSE 'django-tagging>=0.3, <0.4' END FROM project
+  UNION ALL SELECT id, 'base.txt', 0, '-i http://index.example.com/simple/' FROM project
+  UNION ALL SELECT id, 'base.txt', 1, '--find-links=http://links.example.com/' || CAST(owner_id AS VARCHAR) FROM project
+  UNION ALL SELECT id, 'base.txt', 2, 'South==0.7.2' FROM project
+  UNION ALL SELECT id, 'base.txt', 3, CASE WHEN database_type = 'building' THEN 'DJANGO==1.2.7' ELSE 'pytz' END FROM project
+  UNION ALL SELECT id, 'base.txt', 4, CASE WHEN database_type = 'household' THEN '-r missing.txt' ELSE '' END FROM project),
+lv0 AS (SELECT project_id, [0, line_no] AS ord, line,
+               regexp_replace(regexp_replace(line, '{_dk(P.REQ_COMMENT_RE)}', ''), '^\\s+|\\s+$', '', 'g') AS s
+        FROM rf WHERE file = 'requirements.txt'),
+inc0 AS (SELECT project_id, ord, regexp_extract(s, '{_dk(P.REQ_INCLUDE_RE)}', 1) AS target FROM lv0
+         WHERE regexp_matches(s, '{_dk(P.REQ_INCLUDE_RE)}')),
+lv1 AS (SELECT i.project_id, list_concat(i.ord, [r.line_no]) AS ord, r.line,
+               regexp_replace(regexp_replace(r.line, '{_dk(P.REQ_COMMENT_RE)}', ''), '^\\s+|\\s+$', '', 'g') AS s
+        FROM inc0 i JOIN rf r ON r.project_id = i.project_id AND r.file = i.target),
+inc1 AS (SELECT project_id, ord, regexp_extract(s, '{_dk(P.REQ_INCLUDE_RE)}', 1) AS target FROM lv1
+         WHERE regexp_matches(s, '{_dk(P.REQ_INCLUDE_RE)}')),
+unread AS (SELECT i.* FROM (SELECT * FROM inc0 UNION ALL SELECT * FROM inc1) i
+           WHERE NOT EXISTS (SELECT 1 FROM rf WHERE rf.project_id = i.project_id AND rf.file = i.target)),
+okl AS (SELECT project_id, ord, line, s FROM lv0 WHERE NOT regexp_matches(s, '{_dk(P.REQ_INCLUDE_RE)}')
+        UNION ALL SELECT project_id, ord, line, s FROM lv1 WHERE NOT regexp_matches(s, '{_dk(P.REQ_INCLUDE_RE)}')
+        UNION ALL SELECT id, [{P.EXTRA_ORDER}, 0], 'gunicorn==0.12.1', 'gunicorn==0.12.1' FROM project),
+parsed AS (
+  SELECT project_id, ord, line,
+    CASE WHEN regexp_matches(s, '{_dk(P.REQ_FIND_LINKS_RE)}') THEN 0
+         WHEN regexp_matches(s, '{_dk(P.REQ_INDEX_RE)}') THEN 1
+         WHEN regexp_matches(s, '{_dk(P.REQ_EDITABLE_RE)}') OR regexp_matches(s, '{_dk(P.REQ_URL_RE)}')
+              OR regexp_matches(s, '{_dk(P.REQ_SPEC_RE)}') THEN 2 END AS section,
+    CASE WHEN regexp_matches(s, '{_dk(P.REQ_FIND_LINKS_RE)}') THEN '--find-links=' || regexp_extract(s, '{_dk(P.REQ_FIND_LINKS_RE)}', 1)
+         WHEN regexp_matches(s, '{_dk(P.REQ_INDEX_RE)}') THEN '--extra-index-url=' || regexp_extract(s, '{_dk(P.REQ_INDEX_RE)}', 1)
+         WHEN regexp_matches(s, '{_dk(P.REQ_EDITABLE_RE)}') THEN '-e ' || regexp_extract(s, '{_dk(P.REQ_EDITABLE_RE)}', 1)
+         WHEN regexp_matches(s, '{_dk(P.REQ_URL_RE)}') THEN CASE WHEN regexp_extract(s, '{_dk(P.REQ_EGG_RE)}', 1) <> ''
+              THEN regexp_extract(s, '{_dk(P.REQ_EGG_RE)}', 1) ELSE regexp_extract(s, '{_dk(P.REQ_URL_RE)}', 0) END
+         WHEN regexp_matches(s, '{_dk(P.REQ_SPEC_RE)}') THEN regexp_extract(s, '{_dk(P.REQ_SPEC_RE)}', 1)
+              || regexp_replace(regexp_extract(s, '{_dk(P.REQ_SPEC_RE)}', 2), '\\s+', '', 'g') END AS out,
+    CASE WHEN regexp_matches(s, '{_dk(P.REQ_EDITABLE_RE)}') OR regexp_matches(s, '{_dk(P.REQ_URL_RE)}')
+              THEN CASE WHEN regexp_extract(s, '{_dk(P.REQ_EGG_RE)}', 1) <> '' THEN lower(regexp_extract(s, '{_dk(P.REQ_EGG_RE)}', 1)) END
+         WHEN regexp_matches(s, '{_dk(P.REQ_SPEC_RE)}') AND NOT regexp_matches(s, '{_dk(P.REQ_INDEX_RE)}')
+              AND NOT regexp_matches(s, '{_dk(P.REQ_FIND_LINKS_RE)}') THEN lower(regexp_extract(s, '{_dk(P.REQ_SPEC_RE)}', 1)) END AS key
+  FROM okl WHERE s <> ''),
+good AS (SELECT * FROM parsed WHERE section IS NOT NULL AND (key IS NULL OR key NOT IN ('south'))),
+reqout AS (
+  SELECT project_id, section, array_to_string(list_transform(ord, lambda x: lpad(CAST(x AS VARCHAR), 6, '0')), '.') AS ord_key,
+         out AS line, 'ok' AS status FROM good
+  UNION ALL SELECT project_id, -1, array_to_string(list_transform(ord, lambda x: lpad(CAST(x AS VARCHAR), 6, '0')), '.'), line,
+         'bad_syntax' FROM parsed WHERE section IS NULL
+  UNION ALL SELECT project_id, -1, '', key, 'duplicate' FROM good WHERE key IS NOT NULL GROUP BY project_id, key HAVING count(*) > 1
+  UNION ALL SELECT project_id, -1, array_to_string(list_transform(ord, lambda x: lpad(CAST(x AS VARCHAR), 6, '0')), '.'), target,
+         'unreadable' FROM unread)"""
+
+
+@query("requirements", oracle=with_roles("SELECT * FROM reqout", "project", extra=REQ_CTES))
+def q_requirements(spark, sf):
+    """C-6 / S-14 / X-25 / X-29 / A-8 / U-3: requirements of every project:
+    ``-r`` includes resolved, ``South`` excluded (case-insensitive), duplicate
+    keys, bad syntax and missing files reported, output ordered find-links →
+    index options → requirement lines (sort by section, ord_key)."""
+    p = Roles(spark, sf).project
+    files = _req_lines(p)
+    top = p.select(F.col("id").alias("project_id"), F.lit("requirements.txt").alias("file"), F.lit(0).alias("file_order"))
+    extra = p.select(F.col("id").alias("project_id"), F.explode(F.array(
+        F.struct(F.lit(0).alias("line_no"), F.lit("gunicorn==0.12.1").alias("line")),
+        F.struct(F.lit(1).alias("line_no"), F.lit("   ").alias("line")))).alias("e")).select("project_id", "e.*")
+    return P.assemble_requirements(P.requirement_lines(files, top), extra, REQ_IGNORE)

@@ -194,3 +194,114 @@ def build_config(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     miss = F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in BUILD_KEYS]))
     return (out.withColumn("missing", F.array_join(miss, ","))
             .withColumn("status", F.when(F.col("missing") == "", F.lit("ok")).otherwise(F.lit("error"))))
+
+
+# ---- C-6 / S-14 / X-25 / X-29 / A-8 / U-3: requirements assembly ------------
+
+REQ_INCLUDE_RE = r"^(?:-r|--requirement)(?:\s+|=)(\S+)$"
+REQ_FIND_LINKS_RE = r"^(?:-f|--find-links)(?:\s+|=)(\S+)$"
+REQ_INDEX_RE = r"^(?:-i|--index-url|--extra-index-url)(?:\s+|=)(\S+)$"
+REQ_EDITABLE_RE = r"^(?:-e|--editable)(?:\s+|=)(\S+)$"
+REQ_URL_RE = r"^[A-Za-z][A-Za-z0-9+.-]*:\S+$"
+REQ_EGG_RE = r"#egg=([^&\s]+)"
+_OP = r"(?:==|>=|<=|!=|~=|>|<)\s*[A-Za-z0-9.*+!_-]+"
+REQ_SPEC_RE = r"^([A-Za-z0-9][A-Za-z0-9._-]*)\s*(" + _OP + r"(?:\s*,\s*" + _OP + r")*)?$"
+REQ_COMMENT_RE = r"(^|\s)+#.*$"
+
+
+EXTRA_ORDER = 999999  # extra lines come after every file (order keys are 6-digit padded)
+
+
+def _ord_key(c):
+    return F.array_join(F.transform(c, lambda x: F.lpad(x.cast("string"), 6, "0")), ".")
+
+
+def requirement_lines(files: DataFrame, top: DataFrame, max_depth: int = 32) -> DataFrame:
+    """S-14 + include closure: every line reachable from the top files, with an
+    order key = array of line numbers down the include chain (arrays compare
+    lexicographically, so included lines land at their include line).
+
+    Breadth-first: each level is one equi-join of pending ``-r`` includes to
+    the file table, and one scalar count decides whether another level is
+    needed, so any depth is followed; a chain deeper than ``max_depth`` can
+    only be a cycle and becomes an ``include_cycle`` row.
+    ``files``: (project_id, file, line_no, line); ``top``: (project_id, file, file_order).
+    Output: (project_id, ord, line, status) — status ``ok`` or an include error.
+    """
+    from functools import reduce
+
+    f = files.select("project_id", "file", "line_no", "line")
+    level = (top.join(f, ["project_id", "file"])
+             .select("project_id", F.array(F.col("file_order").cast("int"), F.col("line_no").cast("int")).alias("ord"), "line"))
+    levels, errors, depth = [], [], 0
+    while True:
+        stripped = T.strip_ws(F.regexp_replace("line", REQ_COMMENT_RE, ""))
+        inc = level.filter(stripped.rlike(REQ_INCLUDE_RE)).select(
+            "project_id", "ord", F.regexp_extract(stripped, REQ_INCLUDE_RE, 1).alias("file"))
+        levels.append(level.filter(~stripped.rlike(REQ_INCLUDE_RE)).withColumn("status", F.lit("ok")))
+        known = f.select("project_id", "file").distinct()
+        errors.append(inc.join(known, ["project_id", "file"], "left_anti")
+                      .select("project_id", "ord", F.col("file").alias("line"), F.lit("unreadable").alias("status")))
+        nxt = (inc.join(f, ["project_id", "file"])
+               .select("project_id", F.concat("ord", F.array(F.col("line_no").cast("int"))).alias("ord"), "line"))
+        depth += 1
+        if depth >= max_depth:
+            errors.append(nxt.select("project_id", "ord", "line", F.lit("include_cycle").alias("status")))
+            break
+        if nxt.limit(1).count() == 0:  # scalar check: is another level needed?
+            break
+        level = nxt
+    return reduce(lambda a, b: a.unionByName(b), levels + errors)
+
+
+def assemble_requirements(lines: DataFrame, extra: DataFrame | None, ignore_keys: list[str]) -> DataFrame:
+    """C-6 / X-25 / X-29 / A-8 / U-3: parse, exclude, check and order.
+
+    ``lines``: output of ``requirement_lines``; ``extra``: (project_id,
+    line_no, line) appended after all files (blank ones skipped). Output:
+    (project_id, section, ord_key, line, status): section 0 find-links,
+    1 index options (``-i`` becomes ``--extra-index-url=``), 2 requirement
+    lines, -1 errors (bad_syntax, duplicate, unreadable, include_cycle).
+    Excluded keys (case-insensitive) are dropped before duplicate detection;
+    URL lines without an egg name take no part in it.
+    """
+    all_lines = lines
+    if extra is not None:
+        ex = extra.filter(T.strip_ws("line") != "").select(
+            "project_id", F.array(F.lit(EXTRA_ORDER), F.col("line_no").cast("int")).alias("ord"), "line", F.lit("ok").alias("status"))
+        all_lines = all_lines.unionByName(ex)
+    errs = all_lines.filter(F.col("status") != "ok").select(
+        "project_id", F.lit(-1).alias("section"), _ord_key(F.col("ord")).alias("ord_key"), "line", "status")
+    s = T.strip_ws(F.regexp_replace("line", REQ_COMMENT_RE, ""))
+    ok = all_lines.filter(F.col("status") == "ok").withColumn("s", s).filter(F.col("s") != "")
+    egg = F.regexp_extract("s", REQ_EGG_RE, 1)
+    spec_name = F.regexp_extract("s", REQ_SPEC_RE, 1)
+    spec = F.regexp_replace(F.regexp_extract("s", REQ_SPEC_RE, 2), r"\s+", "")
+    url = F.regexp_extract("s", REQ_URL_RE, 0)
+    parsed = ok.select(
+        "project_id", "ord", "line",
+        F.when(F.col("s").rlike(REQ_FIND_LINKS_RE), F.lit(0))
+         .when(F.col("s").rlike(REQ_INDEX_RE), F.lit(1))
+         .when(F.col("s").rlike(REQ_EDITABLE_RE) | F.col("s").rlike(REQ_URL_RE) | F.col("s").rlike(REQ_SPEC_RE), F.lit(2))
+         .alias("section"),
+        F.when(F.col("s").rlike(REQ_FIND_LINKS_RE), F.concat(F.lit("--find-links="), F.regexp_extract("s", REQ_FIND_LINKS_RE, 1)))
+         .when(F.col("s").rlike(REQ_INDEX_RE), F.concat(F.lit("--extra-index-url="), F.regexp_extract("s", REQ_INDEX_RE, 1)))
+         .when(F.col("s").rlike(REQ_EDITABLE_RE), F.concat(F.lit("-e "), F.regexp_extract("s", REQ_EDITABLE_RE, 1)))
+         .when(F.col("s").rlike(REQ_URL_RE), F.when(egg != "", egg).otherwise(url))
+         .when(F.col("s").rlike(REQ_SPEC_RE), F.concat(spec_name, spec)).alias("out"),
+        F.when(F.col("s").rlike(REQ_EDITABLE_RE) | F.col("s").rlike(REQ_URL_RE), F.when(egg != "", F.lower(egg)))
+         .when(F.col("s").rlike(REQ_SPEC_RE) & ~F.col("s").rlike(REQ_INDEX_RE) & ~F.col("s").rlike(REQ_FIND_LINKS_RE),
+               F.lower(spec_name)).alias("key"))
+    bad = parsed.filter(F.col("section").isNull()).select(
+        "project_id", F.lit(-1).alias("section"), _ord_key(F.col("ord")).alias("ord_key"), "line",
+        F.lit("bad_syntax").alias("status"))
+    good = parsed.filter(F.col("section").isNotNull())
+    ignore = [k.lower() for k in ignore_keys]
+    good = good.filter(F.col("key").isNull() | ~F.col("key").isin(ignore)) if ignore else good
+    dups = (good.filter(F.col("key").isNotNull()).groupBy("project_id", "key").agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > 1)
+            .select("project_id", F.lit(-1).alias("section"), F.lit("").alias("ord_key"), F.col("key").alias("line"),
+                    F.lit("duplicate").alias("status")))
+    out = good.select("project_id", "section", _ord_key(F.col("ord")).alias("ord_key"), F.col("out").alias("line"),
+                      F.lit("ok").alias("status"))
+    return out.unionByName(bad).unionByName(dups).unionByName(errs)
