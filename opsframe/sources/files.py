@@ -8,7 +8,7 @@
   ``monotonically_increasing_id``) — rows of one split are produced in file
   order and splits of one file are ordered by their start offset. Large logs
   are split across tasks like any text input.
-* ``read_whole`` (S-10, S-13, S-17): ``wholetext`` for small config files only.
+* ``read_whole`` (S-10, S-13, S-17): whole small config files (``binaryFile`` content).
 """
 
 from __future__ import annotations
@@ -43,8 +43,10 @@ def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         F.col("value").alias("line"))
 
 
-def read_whole(spark: SparkSession, path: str) -> DataFrame:
-    """(path, name, text) — one row per (small) file."""
-    df = spark.read.option("wholetext", "true").text(path)
-    p = F.regexp_replace(F.col("_metadata.file_path"), "^file:", "")
-    return df.select(p.alias("path"), F.element_at(F.split(p, "/"), -1).alias("name"), F.col("value").alias("text"))
+def read_whole(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(path, name, text) — one row per (small) file, byte-exact (``binaryFile``
+    content decoded as UTF-8; ``wholetext`` would drop a final newline)."""
+    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    p = F.regexp_replace("path", "^file:", "")
+    return df.select(p.alias("path"), F.element_at(F.split(p, "/"), -1).alias("name"),
+                     F.decode("content", "UTF-8").alias("text"))
