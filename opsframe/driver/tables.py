@@ -213,8 +213,8 @@ def q_append_ids(spark, sf):
         F.col("id").alias("job_id"), "issued_at", "project_id",
         naming.bundle_name(naming.sysid("project_id"), F.col("issued_at")).alias("bundle_name"),
         naming.truncate_revision(F.col("task_id")).alias("code_revision"))
-    start = r.bundle.agg(F.max("id").alias("__max"))
-    numbered = dense_index(new, ["issued_at", "job_id"], "__i")
-    out = J.attach_scalars(numbered, start)
+    start = J.scalar(r.bundle.agg(F.max("id")))
+    numbered = dense_index(new, ["issued_at", "job_id"], "__i").withColumn("__max", F.lit(start).cast("bigint"))
+    out = numbered
     out = out.select((F.col("__max") + F.col("__i") + 1).cast("bigint").alias("id"), "project_id", "bundle_name", "code_revision")
     return cut_lineage(out)

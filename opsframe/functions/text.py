@@ -19,9 +19,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Python 2 byte-string whitespace — what the reference's str.strip() removes.
+PY_WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: leading/trailing whitespace of any kind."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: leading/trailing ASCII whitespace (Spark's
+    ``trim`` removes only spaces); ``btrim`` with the set, no regex."""
+    return F.btrim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def split_lines(c) -> Column:

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from opsframe.operators.windows import dense_index
 
 
-def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row DataFrame (a global aggregate) to every
-    row: broadcast hash join on a constant key — the broadcast side is one row
-    by construction, and no nested-loop / cartesian join is planned."""
-    return (df.withColumn("__one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one", "left").drop("__one"))
+def scalar(one_row: DataFrame):
+    """Value of a one-row, one-column global aggregate (a count, a max). Read
+    once on the driver — a single number, not data — and used as a literal,
+    so the plan needs no join (a constant-key join would be folded into a
+    nested-loop cross join)."""
+    row = one_row.first()
+    return None if row is None else row[0]
 
 
 def worker_bundle(deployment: DataFrame, bundle: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def placement(project: DataFrame, hosts: DataFrame, workers: str = "num_workers"
     """
     app_hosts = dense_index(hosts.filter(F.col("role") == "appserver"), ["instance_id"], "slot")
     # one row (a proven size bound), attached by a broadcast equi-join on a constant
-    p = attach_scalars(project, app_hosts.agg(F.count(F.lit(1)).alias("n_hosts")))
+    p = project.withColumn("n_hosts", F.lit(scalar(app_hosts.agg(F.count(F.lit(1))))).cast("bigint"))
     k = F.least(F.col(workers), F.col("n_hosts"))
     slots = p.select(F.col("id").alias("project_id"), "n_hosts",
                      F.explode(F.when(k > 0, F.sequence(F.lit(0), k - 1))

@@ -230,6 +230,8 @@ def requirement_lines(files: DataFrame, top: DataFrame, max_depth: int = 32) ->
     """
     from functools import reduce
 
+    from opsframe.session import cut_lineage
+
     f = files.select("project_id", "file", "line_no", "line")
     level = (top.join(f, ["project_id", "file"])
              .select("project_id", F.array(F.col("file_order").cast("int"), F.col("line_no").cast("int")).alias("ord"), "line"))
@@ -248,7 +250,10 @@ def requirement_lines(files: DataFrame, top: DataFrame, max_depth: int = 32) ->
         if depth >= max_depth:
             errors.append(nxt.select("project_id", "ord", "line", F.lit("include_cycle").alias("status")))
             break
-        if nxt.limit(1).count() == 0:  # scalar check: is another level needed?
+        # reliable checkpoint of the level (shared checkpoint folder): the
+        # emptiness check and the next level read it instead of recomputing
+        nxt = cut_lineage(nxt)
+        if nxt.isEmpty():
             break
         level = nxt
     return reduce(lambda a, b: a.unionByName(b), levels + errors)
@@ -264,44 +269,50 @@ def assemble_requirements(lines: DataFrame, extra: DataFrame | None, ignore_keys
     lines, -1 errors (bad_syntax, duplicate, unreadable, include_cycle).
     Excluded keys (case-insensitive) are dropped before duplicate detection;
     URL lines without an egg name take no part in it.
+
+    One pass: each input row yields its output row, and the first row of a
+    key seen more than once also yields the ``duplicate`` row (a window over
+    the (project, key) group — a handful of rows — instead of a second scan).
     """
+    from pyspark.sql import Window
+
     all_lines = lines
     if extra is not None:
         ex = extra.filter(T.strip_ws("line") != "").select(
             "project_id", F.array(F.lit(EXTRA_ORDER), F.col("line_no").cast("int")).alias("ord"), "line", F.lit("ok").alias("status"))
         all_lines = all_lines.unionByName(ex)
-    errs = all_lines.filter(F.col("status") != "ok").select(
-        "project_id", F.lit(-1).alias("section"), _ord_key(F.col("ord")).alias("ord_key"), "line", "status")
-    s = T.strip_ws(F.regexp_replace("line", REQ_COMMENT_RE, ""))
-    ok = all_lines.filter(F.col("status") == "ok").withColumn("s", s).filter(F.col("s") != "")
-    egg = F.regexp_extract("s", REQ_EGG_RE, 1)
-    spec_name = F.regexp_extract("s", REQ_SPEC_RE, 1)
-    spec = F.regexp_replace(F.regexp_extract("s", REQ_SPEC_RE, 2), r"\s+", "")
-    url = F.regexp_extract("s", REQ_URL_RE, 0)
-    parsed = ok.select(
-        "project_id", "ord", "line",
-        F.when(F.col("s").rlike(REQ_FIND_LINKS_RE), F.lit(0))
-         .when(F.col("s").rlike(REQ_INDEX_RE), F.lit(1))
-         .when(F.col("s").rlike(REQ_EDITABLE_RE) | F.col("s").rlike(REQ_URL_RE) | F.col("s").rlike(REQ_SPEC_RE), F.lit(2))
-         .alias("section"),
-        F.when(F.col("s").rlike(REQ_FIND_LINKS_RE), F.concat(F.lit("--find-links="), F.regexp_extract("s", REQ_FIND_LINKS_RE, 1)))
-         .when(F.col("s").rlike(REQ_INDEX_RE), F.concat(F.lit("--extra-index-url="), F.regexp_extract("s", REQ_INDEX_RE, 1)))
-         .when(F.col("s").rlike(REQ_EDITABLE_RE), F.concat(F.lit("-e "), F.regexp_extract("s", REQ_EDITABLE_RE, 1)))
-         .when(F.col("s").rlike(REQ_URL_RE), F.when(egg != "", egg).otherwise(url))
-         .when(F.col("s").rlike(REQ_SPEC_RE), F.concat(spec_name, spec)).alias("out"),
-        F.when(F.col("s").rlike(REQ_EDITABLE_RE) | F.col("s").rlike(REQ_URL_RE), F.when(egg != "", F.lower(egg)))
-         .when(F.col("s").rlike(REQ_SPEC_RE) & ~F.col("s").rlike(REQ_INDEX_RE) & ~F.col("s").rlike(REQ_FIND_LINKS_RE),
-               F.lower(spec_name)).alias("key"))
-    bad = parsed.filter(F.col("section").isNull()).select(
-        "project_id", F.lit(-1).alias("section"), _ord_key(F.col("ord")).alias("ord_key"), "line",
-        F.lit("bad_syntax").alias("status"))
-    good = parsed.filter(F.col("section").isNotNull())
+    d = all_lines.withColumn("s", T.strip_ws(F.regexp_replace("line", REQ_COMMENT_RE, "")))
+    d = d.filter((F.col("status") != "ok") | (F.col("s") != ""))
+    s = F.col("s")
+    is_fl, is_ix, is_ed = s.rlike(REQ_FIND_LINKS_RE), s.rlike(REQ_INDEX_RE), s.rlike(REQ_EDITABLE_RE)
+    is_url, is_spec = s.rlike(REQ_URL_RE), s.rlike(REQ_SPEC_RE)
+    egg = F.regexp_extract(s, REQ_EGG_RE, 1)
+    spec = F.concat(F.regexp_extract(s, REQ_SPEC_RE, 1), F.regexp_replace(F.regexp_extract(s, REQ_SPEC_RE, 2), r"\s+", ""))
+    d = d.select(
+        "project_id", "ord", "line", "status",
+        F.when(is_fl, 0).when(is_ix, 1).when(is_ed | is_url | is_spec, 2).alias("section"),
+        F.when(is_fl, F.concat(F.lit("--find-links="), F.regexp_extract(s, REQ_FIND_LINKS_RE, 1)))
+         .when(is_ix, F.concat(F.lit("--extra-index-url="), F.regexp_extract(s, REQ_INDEX_RE, 1)))
+         .when(is_ed, F.concat(F.lit("-e "), F.regexp_extract(s, REQ_EDITABLE_RE, 1)))
+         .when(is_url, F.when(egg != "", egg).otherwise(F.regexp_extract(s, REQ_URL_RE, 0)))
+         .when(is_spec, spec).alias("out"),
+        F.when(is_fl | is_ix, F.lit(None).cast("string"))
+         .when(is_ed | is_url, F.when(egg != "", F.lower(egg)))
+         .when(is_spec, F.lower(F.regexp_extract(s, REQ_SPEC_RE, 1))).alias("key"))
+    ok = (F.col("status") == "ok") & F.col("section").isNotNull()
     ignore = [k.lower() for k in ignore_keys]
-    good = good.filter(F.col("key").isNull() | ~F.col("key").isin(ignore)) if ignore else good
-    dups = (good.filter(F.col("key").isNotNull()).groupBy("project_id", "key").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > 1)
-            .select("project_id", F.lit(-1).alias("section"), F.lit("").alias("ord_key"), F.col("key").alias("line"),
-                    F.lit("duplicate").alias("status")))
-    out = good.select("project_id", "section", _ord_key(F.col("ord")).alias("ord_key"), F.col("out").alias("line"),
-                      F.lit("ok").alias("status"))
-    return out.unionByName(bad).unionByName(dups).unionByName(errs)
+    if ignore:
+        d = d.filter(~(ok & F.coalesce(F.col("key").isin(ignore), F.lit(False))))
+    w = Window.partitionBy("project_id", "key")
+    counted = ok & F.col("key").isNotNull()
+    d = (d.withColumn("__n", F.when(counted, F.count(F.when(counted, 1)).over(w)))
+         .withColumn("__first", F.when(counted, F.min(F.when(counted, F.col("ord"))).over(w))))
+    key_ord = _ord_key(F.col("ord"))
+    main = F.struct(
+        F.when(ok, F.col("section")).otherwise(F.lit(-1)).alias("section"), key_ord.alias("ord_key"),
+        F.when(ok, F.col("out")).otherwise(F.col("line")).alias("line"),
+        F.when(F.col("status") != "ok", F.col("status")).when(ok, F.lit("ok")).otherwise(F.lit("bad_syntax")).alias("status"))
+    dup = F.when((F.col("__n") > 1) & (F.col("ord") == F.col("__first")), F.struct(
+        F.lit(-1).alias("section"), F.lit("").alias("ord_key"), F.col("key").alias("line"), F.lit("duplicate").alias("status")))
+    return (d.select("project_id", F.explode(F.array_compact(F.array(main, dup))).alias("r"))
+            .select("project_id", "r.section", "r.ord_key", "r.line", "r.status"))
