@@ -136,49 +136,44 @@ def site_config_lines(routing: DataFrame, upstreams: DataFrame, hosts: DataFrame
     r = (routing.filter(F.col("status") == "routed")
          .select("project_id", naming.sysid("project_id").alias("app_id"), "bundle_name", "n_upstreams"))
     app = r.select("project_id", "app_id")
-    head = r.select("project_id", "app_id", F.lit(0).alias("section"), F.lit(0).cast("bigint").alias("ord"),
-                    F.concat(F.lit("upstream app_server_"), F.col("app_id"), F.lit(" {")).alias("line"))
+    bdir = _bundle_dir(F.col("app_id"), F.col("bundle_name"))
+
+    def row(section, ord_, line):
+        return F.struct(F.lit(section).alias("section"), F.lit(ord_).cast("bigint").alias("ord"), line.alias("line"))
+
+    # every fixed line of every app in one pass over the routed projects
+    fixed = F.array(
+        row(0, 0, F.concat(F.lit("upstream app_server_"), F.col("app_id"), F.lit(" {"))),
+        row(2, 0, F.lit("}")),
+        row(3, 0, F.lit("server {")),
+        row(5, 0, F.concat(F.lit("    access_log /tmp/"), F.col("app_id"), F.lit(".access.log combined;"))),
+        row(6, 1 << 40, F.concat(F.lit("    location " + ADMIN_MEDIA_URL_PATH + " {\n        alias "), bdir,
+                                 F.lit("/" + ADMIN_MEDIA_BUNDLE_PATH + "/;\n    }"))),
+        row(7, 0, F.concat(F.lit("    location / {\n        proxy_pass http://app_server_"), F.col("app_id"),
+                           F.lit(";\n    }"))),
+        row(8, 0, F.lit("}")),
+        F.when(F.col("n_upstreams") == 0, row(-1, 0, F.lit("error: no appserver upstreams"))))
+    out = (r.select("project_id", "app_id", F.explode(F.array_compact(fixed)).alias("x"))
+           .select("project_id", "app_id", "x.section", "x.ord", "x.line"))
     ups = (upstreams.join(app, "project_id")
            .select("project_id", "app_id", F.lit(1).alias("section"), F.col("deployment_id").cast("bigint").alias("ord"),
                    F.concat(F.lit("    server "), F.col("host_ip"), F.lit(":"), F.col("host_port").cast("string"),
                             F.lit(" " + UPSTREAM_OPTIONS + ";")).alias("line")))
-    mid = r.select("project_id", "app_id", F.lit(2).alias("section"), F.lit(0).cast("bigint").alias("ord"),
-                   F.lit("}").alias("line"))
-    srv = r.select("project_id", "app_id", F.lit(3).alias("section"), F.lit(0).cast("bigint").alias("ord"),
-                   F.lit("server {").alias("line"))
-    # server_name: one row per host name; the renderer puts them on one line,
-    # here each is a fragment row so no per-app list is ever built.
+    # server_name: one fragment row per host name (nginx accumulates repeated
+    # server_name directives), so no per-app list is ever built
     names = (hosts.join(app, "project_id")
              .select("project_id", "app_id", F.lit(4).alias("section"),
                      (F.col("branch").cast("bigint") * F.lit(1 << 40) + F.col("pos")).alias("ord"),
                      F.concat(F.lit("    server_name "), F.col("hostname"), F.lit(" ;")).alias("line")))
-    access = r.select("project_id", "app_id", F.lit(5).alias("section"), F.lit(0).cast("bigint").alias("ord"),
-                      F.concat(F.lit("    access_log /tmp/"), F.col("app_id"), F.lit(".access.log combined;")).alias("line"))
-    parts = [head, ups, mid, srv, names, access]
-    bdir = _bundle_dir(F.col("app_id"), F.col("bundle_name"))
-    admin = r.select("project_id", "app_id", F.lit(6).alias("section"), F.lit(1 << 40).cast("bigint").alias("ord"),
-                     F.concat(F.lit("    location " + ADMIN_MEDIA_URL_PATH + " {\n        alias "), bdir,
-                              F.lit("/" + ADMIN_MEDIA_BUNDLE_PATH + "/;\n    }")).alias("line"))
+    out = out.unionByName(ups).unionByName(names)
     if media is not None:
         m = (media.join(r.select("project_id", "app_id", "bundle_name"), "project_id")
              .select("project_id", "app_id", F.lit(6).alias("section"), F.col("pos").cast("bigint").alias("ord"),
                      F.concat(F.lit("    location "), F.col("url_path"), F.lit(" {\n        alias "),
-                              media_alias_dest(bdir, F.col("file_path")), F.lit("/;\n    }")).alias("line")))
-        parts.append(m)
-    parts.append(admin)
-    tail = r.select("project_id", "app_id", F.lit(7).alias("section"), F.lit(0).cast("bigint").alias("ord"),
-                    F.concat(F.lit("    location / {\n        proxy_pass http://app_server_"), F.col("app_id"),
-                             F.lit(";\n    }")).alias("line"))
-    close = r.select("project_id", "app_id", F.lit(8).alias("section"), F.lit(0).cast("bigint").alias("ord"),
-                     F.lit("}").alias("line"))
-    parts += [tail, close]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    errors = (r.filter(F.col("n_upstreams") == 0)
-              .select("project_id", "app_id", F.lit(-1).alias("section"), F.lit(0).cast("bigint").alias("ord"),
-                      F.lit("error: no appserver upstreams").alias("line")))
-    return out.unionByName(errors)
+                              media_alias_dest(_bundle_dir(F.col("app_id"), F.col("bundle_name")), F.col("file_path")),
+                              F.lit("/;\n    }")).alias("line")))
+        out = out.unionByName(m)
+    return out
 
 
 def write_site_files(lines: DataFrame, path: str) -> None:
