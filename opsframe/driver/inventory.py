@@ -86,7 +86,7 @@ def q_proc_groups(spark, sf):
     g = A.proc_groups(_procs(Roles(spark, sf)))
     return g.select("host", "bundle_name", "port", "user", "master_pid",
                     F.size("worker_pids").cast("bigint").alias("n_workers"),
-                    F.array_join("worker_pids", ",").alias("worker_pids"))
+                    F.array_join("worker_pids", ",").alias("worker_pids")).orderBy("host", "bundle_name")  # T-3
 
 
 def _df_lines(r):

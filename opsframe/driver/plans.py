@@ -152,3 +152,25 @@ def q_served_bundle(spark, sf):
     """A-6 / A-12: served (max) bundle and distinct active bundle count."""
     s = served_bundles(Roles(spark, sf).deployment)
     return s.select("project_id", "bundle_id", "n_bundles", (F.col("n_bundles") > 1).alias("multi"))
+
+
+ADD_SQL = RECOVERY_CTES + """,
+placed_rows AS (SELECT per.project_id, per.restore_bundle_id AS bundle_id, a.instance_id AS server_instance_id, a.ip AS server_ip
+                FROM per JOIN project p ON p.id = per.project_id CROSS JOIN nl
+                CROSS JOIN LATERAL (SELECT unnest(range(0, least(p.num_workers, nl.n))) AS k) k
+                JOIN live a ON a.slot = (p.id + k.k) % nl.n),
+added AS (SELECT (SELECT max(id) FROM deployment) + row_number() OVER (ORDER BY project_id, bundle_id, server_instance_id) AS id,
+                 project_id, bundle_id, server_instance_id, server_ip, CAST(10001 AS INTEGER) AS server_port,
+                 """ + NOW_SQL + """ AS creation_date, CAST(NULL AS TIMESTAMP) AS deactivation_date FROM placed_rows)"""
+
+
+@query("recovery_new_workers", oracle=with_roles("SELECT * FROM added", "deployment", "project", "bundle", "host", extra=ADD_SQL))
+def q_recovery_new_workers(spark, sf):
+    """S-4 + C-2: the deployment rows a recovery appends (active, stamped now,
+    dense ids after the table's max id)."""
+    r = Roles(spark, sf)
+    dead_hosts = r.host.filter(F.col("load_raw") < 0)
+    _, new_rows = deploys.recovery_plan(r.deployment, r.project, r.bundle, r.host, dead_hosts)
+    new = new_rows.select("project_id", "bundle_id", F.col("instance_id").alias("server_instance_id"),
+                          F.col("ip").alias("server_ip"), F.lit(10001).alias("server_port"))
+    return M.add_workers(r.deployment, new, NOW)

@@ -218,3 +218,20 @@ def q_append_ids(spark, sf):
     out = numbered
     out = out.select((F.col("__max") + F.col("__i") + 1).cast("bigint").alias("id"), "project_id", "bundle_name", "code_revision")
     return cut_lineage(out)
+
+
+@query("store_catalog", oracle=with_roles(
+    """SELECT coalesce(b.key, s.key) AS key, b.id,
+              CASE WHEN b.id IS NULL THEN 'orphan' WHEN s.key IS NOT NULL THEN 'present'
+                   WHEN b.deletion_date IS NOT NULL THEN 'deleted' ELSE 'missing' END AS status
+       FROM (SELECT id, deletion_date, bundle_name || '.tgz' AS key FROM bundle) b
+       FULL OUTER JOIN (SELECT DISTINCT b.bundle_name || '.tgz' AS key FROM deployment d JOIN bundle b ON b.id = d.bundle_id
+                        WHERE d.deactivation_date IS NULL) s ON s.key = b.key""", "deployment", "bundle"))
+def q_store_catalog(spark, sf):
+    """S-16: bundle store catalog; the store holds the archives of bundles
+    with an active deployment (uploaded when deployed)."""
+    from opsframe.operators.mutations import store_catalog
+    r = Roles(spark, sf)
+    stored = (Fl.active_filter(r.deployment, True).join(r.bundle.select(F.col("id").alias("bundle_id"), "bundle_name"), "bundle_id")
+              .select(F.concat(F.col("bundle_name"), F.lit(".tgz")).alias("key")))
+    return store_catalog(r.bundle, stored)

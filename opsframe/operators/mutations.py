@@ -96,3 +96,34 @@ def db_info_for(project: DataFrame) -> DataFrame:
                           naming.sysid("id").alias("db_name_new"), naming.sysid("id").alias("username"),
                           F.lit(None).cast("string").alias("password"),
                           F.col("db_host").isNull().alias("just_created"))
+
+
+def add_workers(deployment: DataFrame, new: DataFrame, now) -> DataFrame:
+    """S-4: append new deployments: dense ids after the table's max id (W-8,
+    ordered by project, bundle, host), created ``now``, active (no
+    deactivation stamp). ``new``: (project_id, bundle_id, server_instance_id,
+    server_ip, server_port)."""
+    from opsframe.operators.joins import scalar
+    from opsframe.operators.windows import dense_index
+
+    start = scalar(deployment.agg(F.max("id"))) or 0
+    numbered = dense_index(new, ["project_id", "bundle_id", "server_instance_id"], "__i")
+    return numbered.select(
+        (F.lit(start) + F.col("__i") + 1).cast("bigint").alias("id"), "project_id", "bundle_id",
+        "server_instance_id", "server_ip", F.col("server_port").cast("int").alias("server_port"),
+        _ts(now).alias("creation_date"), F.lit(None).cast("timestamp_ntz").alias("deactivation_date"))
+
+
+def store_catalog(bundle: DataFrame, stored: DataFrame) -> DataFrame:
+    """S-16: bundle store catalog: bundle rows ⟗ stored objects on
+    ``<bundle_name>.tgz``. ``present`` (both), ``missing`` (row, no object —
+    a get would fail), ``orphan`` (object, no row); deleted bundles whose
+    object is gone are ``deleted``."""
+    b = bundle.select("id", "bundle_name", "deletion_date", F.concat(F.col("bundle_name"), F.lit(".tgz")).alias("key"))
+    s = stored.select("key").distinct().withColumn("__s", F.lit(True))
+    j = b.join(s, "key", "full_outer")
+    status = (F.when(F.col("id").isNull(), F.lit("orphan"))
+              .when(F.col("__s").isNotNull(), F.lit("present"))
+              .when(F.col("deletion_date").isNotNull(), F.lit("deleted"))
+              .otherwise(F.lit("missing")))
+    return j.select("key", "id", status.alias("status"))

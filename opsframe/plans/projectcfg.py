@@ -7,6 +7,9 @@ their position, parsed with column expressions, and folded back per key with
 
 from __future__ import annotations
 
+import ast
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -316,3 +319,43 @@ def assemble_requirements(lines: DataFrame, extra: DataFrame | None, ignore_keys
         F.lit(-1).alias("section"), F.lit("").alias("ord_key"), F.col("key").alias("line"), F.lit("duplicate").alias("status")))
     return (d.select("project_id", F.explode(F.array_compact(F.array(main, dup))).alias("r"))
             .select("project_id", "r.section", "r.ord_key", "r.line", "r.status"))
+
+
+# ---- X-26 exact mode: Python's own parser in an Arrow-batched UDF ----------
+
+def _settings_exact(name: str):
+    def first_value(src):
+        if src is None:
+            return None, False
+        try:
+            tree = ast.parse(src)
+        except (SyntaxError, ValueError):
+            return None, False      # unparsable: skipped with a note, as the reference does
+        for part in tree.body:
+            if not isinstance(part, ast.Assign) or not isinstance(part.targets[0], ast.Name):
+                continue
+            v = part.value
+            if isinstance(v, ast.Name):
+                val = v.id
+            elif isinstance(v, ast.Constant) and isinstance(v.value, str):
+                val = v.value
+            else:
+                continue
+            if part.targets[0].id == name:
+                return val, True
+        return None, True
+
+    def fn(s: pd.Series) -> pd.DataFrame:
+        out = [first_value(x) for x in s]
+        return pd.DataFrame({"value": [o[0] for o in out], "parsed": [o[1] for o in out]})
+
+    return fn
+
+
+def setting_value_exact(content, name: str):
+    """X-26 exact mode: struct(value, parsed) from Python's ``ast`` — the first
+    top-level ``NAME = 'str'`` / ``NAME = name`` assignment; ``parsed`` is
+    false for sources Python cannot parse. An Arrow-batched pandas UDF: a
+    small per-row helper, used only where the regex mode is not enough."""
+    udf = F.pandas_udf(_settings_exact(name), "value string, parsed boolean")
+    return udf(F.col(content) if isinstance(content, str) else content)

@@ -109,3 +109,13 @@ def test_requirements_include_ignore_duplicate_errors(spark):
     assert any(r["status"] == "unreadable" for r in reqs(spark, {"a.txt": ["-r nothere.txt"]}))
     cyc = reqs(spark, {"a.txt": ["-r _b.txt", "x==1"], "_b.txt": ["-r a.txt"]})
     assert any(r["status"] == "include_cycle" for r in cyc)
+
+
+def test_setting_value_regex_and_exact_modes(spark):
+    src = [("ROOT_URLCONF = 'a.urls'\n",), ("X = f()\nROOT_URLCONF = other_name\n",), ("def (:\n",), ("    ROOT_URLCONF = 'x'\n",)]
+    df = spark.createDataFrame(src, "c string")
+    regex = [r["v"] for r in df.select(P.setting_value("c", "ROOT_URLCONF").alias("v")).collect()]
+    assert regex == ["a.urls", "other_name", None, None]
+    exact = [(r["e"]["value"], r["e"]["parsed"]) for r in df.select(P.setting_value_exact("c", "ROOT_URLCONF").alias("e")).collect()]
+    assert exact[0] == ("a.urls", True) and exact[1] == ("other_name", True)
+    assert exact[2] == (None, False)          # unparsable file: skipped

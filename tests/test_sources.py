@@ -38,3 +38,15 @@ def test_listing_and_whole_files(spark):
     assert listing["notes.txt"]["length"] == 9 and listing["notes.txt"]["mod_time"] > 0
     whole = {r["name"]: r["text"] for r in files.read_whole(spark, d).collect()}
     assert whole["notes.txt"] == "  myname\n"
+
+
+def test_write_site_files_roundtrip(spark):
+    from opsframe.plans import routing
+    d = tempfile.mkdtemp(prefix="opsframe-sites-")
+    lines = spark.createDataFrame([("p1", 0, 0, "upstream app_server_p1 {"), ("p1", 1, 7, "    server 10.0.0.1:10001;"),
+                                   ("p1", 2, 0, "}"), ("p2", 0, 0, "upstream app_server_p2 {")],
+                                  "app_id string, section int, ord long, line string")
+    routing.write_site_files(lines, d)
+    back = files.read_whole(spark, os.path.join(d, "app_id=p1"))
+    text = "".join(r["text"] for r in back.collect())
+    assert text.splitlines() == ["upstream app_server_p1 {", "    server 10.0.0.1:10001;", "}"]
