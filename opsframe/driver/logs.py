@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from opsframe.functions import naming
 from opsframe.functions import text as T
+from opsframe.functions.times import epoch_micros
 from opsframe.operators.windows import tail_lines
 from opsframe.plans import logs
 from opsframe.registry import query
@@ -60,7 +61,7 @@ def _listing(r):
             .join(hosts, "instance_id")
             .select("hostname", F.col("filename").alias("name"),
                     F.floor(F.col("value") * 1000).cast("bigint").alias("filesize"),
-                    (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("mod_time")))
+                    (epoch_micros("ts") / F.lit(1e6)).alias("mod_time")))
 
 
 LISTING_CTE = f"""

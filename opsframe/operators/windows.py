@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsframe.functions.times import epoch_micros, seconds_between
+
 
 def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
@@ -48,8 +50,10 @@ def order_proxy(c: Column, dtype: str) -> Column:
     if dtype in ("string",):
         head = F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7))  # first 7 bytes, zero-padded
         return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
+    if dtype == "timestamp":
+        return F.unix_micros(c).cast("double")          # an instant: zone-free already
     if dtype.startswith("timestamp") or dtype == "date":
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+        return epoch_micros(c).cast("double")          # wall clock: no session zone involved
     return c.cast("double")
 
 
@@ -73,7 +77,10 @@ def dense_index(df: DataFrame, order: list[str], out: str = "idx", buckets: int
     if n > 1:
         got = df.select(F.percentile_approx(proxy, [i / n for i in range(1, n)], 10000).alias("e")).first()
         edges = sorted(set(x for x in (got["e"] or []) if x is not None))
-    bucket = F.lit(0)
+    # nulls sort first, so they take the lowest bucket; depending on the column
+    # also keeps a single-bucket (tiny) input from being folded to a constant
+    # key, which would plan a single-partition window and a nested-loop join
+    bucket = F.when(proxy.isNull(), F.lit(-1)).otherwise(F.lit(0))
     for e in edges:
         bucket = bucket + F.when(proxy >= F.lit(e), 1).otherwise(0)
     d = df.withColumn("__bk", bucket)
@@ -156,8 +163,7 @@ def step_spans(log: DataFrame, job: str = "job_id", title: str = "message", buck
         F.col("id").alias("begin_id"), F.col("ts").alias("begin_ts"),
         F.when(closed, F.col("__n.id")).alias("end_id"), F.when(closed, F.col("__n.ts")).alias("end_ts"),
         F.when(closed, F.lit("done")).otherwise(F.lit("unfinished")).alias("status"),
-        F.when(closed, F.unix_timestamp(F.col("__n.ts").cast("timestamp"))
-               - F.unix_timestamp(F.col("ts").cast("timestamp"))).cast("bigint").alias("duration_s"))
+        F.when(closed, seconds_between(F.col("ts"), F.col("__n.ts"))).alias("duration_s"))
 
 
 def step_of_message(log: DataFrame, job: str = "job_id", bucket: Column | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsframe.functions.times import seconds_between
 from opsframe.operators.filters import safe_identifier
 from opsframe.operators.windows import running_count_before, step_of_message, step_spans
 
@@ -60,8 +61,7 @@ def job_durations(job: DataFrame, project: DataFrame, taskmeta: DataFrame) -> Da
     return out.select(
         "id", "project_id", "task_id", "jobcode", "issued_at", "date_done",
         F.when(F.col("__p").isNull(), F.lit("missing")).otherwise(F.lit("ok")).alias("project_status"),
-        (F.unix_timestamp(F.col("date_done").cast("timestamp"))
-         - F.unix_timestamp(F.col("issued_at").cast("timestamp"))).cast("bigint").alias("duration_s"))
+        seconds_between("issued_at", "date_done").alias("duration_s"))
 
 
 def port_outcomes(control: DataFrame) -> DataFrame:

@@ -41,7 +41,8 @@ def log_catalog(listing: DataFrame, access_logs: DataFrame | None = None) -> Dat
         out = out.unionByName(access_logs.select("hostname", "app_id", F.lit("access").alias("stream"),
                                                  F.col("name").alias("log_id"), "filesize", "mod_time"))
     return (out.withColumn("caption", naming.log_caption("stream"))
-            .withColumn("mod_dt", F.timestamp_seconds("mod_time").cast("timestamp_ntz")))
+            .withColumn("mod_dt", F.timestamp_add("MICROSECOND", (F.col("mod_time") * F.lit(1e6)).cast("bigint"),
+                                                  F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))))
 
 
 def log_page(lines: DataFrame, catalog: DataFrame, requests: DataFrame, n: int = PAGE_LINES) -> DataFrame:

@@ -27,7 +27,14 @@ def query(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in _QUERIES:
             raise ValueError(f"duplicate query {name}")
-        _QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # all control-table times are UTC; pin the session zone
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        _QUERIES[name] = run
         if oracle is not None:
             _ORACLE[name] = oracle
         return fn
