@@ -235,3 +235,35 @@ def q_store_catalog(spark, sf):
     stored = (Fl.active_filter(r.deployment, True).join(r.bundle.select(F.col("id").alias("bundle_id"), "bundle_name"), "bundle_id")
               .select(F.concat(F.col("bundle_name"), F.lit(".tgz")).alias("key")))
     return store_catalog(r.bundle, stored)
+
+
+CHECKS_SQL = """
+SELECT 'deployment' AS "table", 'not_null(project_id)' AS "constraint", count(*) FILTER (WHERE project_id IS NULL) AS n_violations FROM deployment
+UNION ALL SELECT 'deployment', 'not_null(server_ip)', count(*) FILTER (WHERE server_ip IS NULL) FROM deployment
+UNION ALL SELECT 'deployment', 'check(server_port >= 0)', count(*) FILTER (WHERE NOT coalesce(server_port >= 0, true)) FROM deployment
+UNION ALL SELECT 'deployment', 'unique(id)', count(*) FILTER (WHERE n > 1) FROM (SELECT id, count(*) AS n FROM deployment WHERE id IS NOT NULL GROUP BY id)
+UNION ALL SELECT 'vhost', 'not_null(project_id)', count(*) FILTER (WHERE project_id IS NULL) FROM vhost
+UNION ALL SELECT 'vhost', 'unique(hostname)', count(*) FILTER (WHERE n > 1) FROM (SELECT hostname, count(*) AS n FROM vhost WHERE hostname IS NOT NULL GROUP BY hostname)
+UNION ALL SELECT 'project', 'not_null(title)', count(*) FILTER (WHERE title IS NULL) FROM project
+UNION ALL SELECT 'project', 'unique(hostname_slug)', count(*) FILTER (WHERE n > 1) FROM (SELECT hostname_slug, count(*) AS n FROM project WHERE hostname_slug IS NOT NULL GROUP BY hostname_slug)
+UNION ALL SELECT 'bundle', 'not_null(bundle_name)', count(*) FILTER (WHERE bundle_name IS NULL) FROM bundle
+UNION ALL SELECT 'bundle', 'check(length(code_revision) <= 512)', count(*) FILTER (WHERE NOT coalesce(length(code_revision) <= 512, true)) FROM bundle"""
+
+
+@query("table_checks", oracle=with_roles(CHECKS_SQL, "deployment", "vhost", "project", "bundle"))
+def q_table_checks(spark, sf):
+    """F-9 / §1.2: NOT NULL, UNIQUE and CHECK constraints of the control
+    tables, evaluated as data (an empty slug repeats, so it shows up)."""
+    r = Roles(spark, sf)
+    parts = [
+        Fl.constraint_violations(r.deployment, "deployment", ("project_id", "server_ip"), ("id",),
+                                 {"server_port >= 0": F.col("server_port") >= 0}),
+        Fl.constraint_violations(r.vhost, "vhost", ("project_id",), ("hostname",)),
+        Fl.constraint_violations(r.project, "project", ("title",), ("hostname_slug",)),
+        Fl.constraint_violations(r.bundle, "bundle", ("bundle_name",), (),
+                                 {"length(code_revision) <= 512": F.length("code_revision") <= 512}),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

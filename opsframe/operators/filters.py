@@ -171,3 +171,28 @@ def address(instance_id="server_instance_id", ip="server_ip", port="server_port"
     """F-18: deployment → (instance_id, node_name, host_ip, host_port) struct."""
     return F.struct(_c(instance_id).alias("instance_id"), F.lit("NODE_NAME_IGNORED").alias("node_name"),
                     _c(ip).alias("host_ip"), _c(port).alias("host_port"))
+
+
+def constraint_violations(df: DataFrame, table: str, not_null: tuple[str, ...] = (), unique: tuple[str, ...] = (),
+                          checks: dict[str, Column] | None = None) -> DataFrame:
+    """F-9 (table form): the database constraints of §1.2 that Spark does not
+    enforce, as data. One row per constraint: (table, constraint, n_violations).
+    NOT NULL and CHECK are counted in one aggregation pass; each UNIQUE key is
+    a per-key count (partial aggregation) folded to the number of keys seen
+    more than once."""
+    from functools import reduce
+
+    exprs = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"not_null({c})") for c in not_null]
+    exprs += [F.count(F.when(~F.coalesce(cond, F.lit(True)), 1)).alias(f"check({name})")
+              for name, cond in (checks or {}).items()]
+    parts = []
+    if exprs:
+        wide = df.agg(*exprs)
+        parts.append(wide.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("constraint"), F.col(f"`{c}`").cast("bigint").alias("n_violations"))
+            for c in wide.columns])).alias("v")).select("v.*"))
+    for key in unique:
+        dup = (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+               .agg(F.count(F.when(F.col("n") > 1, 1)).cast("bigint").alias("n_violations")))
+        parts.append(dup.select(F.lit(f"unique({key})").alias("constraint"), "n_violations"))
+    return reduce(lambda a, b: a.unionByName(b), parts).select(F.lit(table).alias("table"), "constraint", "n_violations")

@@ -9,8 +9,12 @@ the driver queries use it); a long-running deployment calls ``.start()`` with
 a processing-time trigger instead.
 
 Stateful operators use ``applyInPandasWithState``: state is bounded per key
-(N lines, one open step, one port slot), and each group's rows arrive as an
-iterator of Arrow batches, so even a hot key is processed in bounded memory.
+(N lines, one open step, one port slot). ST-2 consumes each group's Arrow
+batches one at a time, so a hot log costs at most N lines of memory. ST-3 and
+ST-4 must apply a key's rows in (ts, id) order, so they hold one key's rows of
+one micro-batch; that is bounded by the trigger's rate limit
+(``stream_table(..., max_files_per_trigger=…)`` or ``maxBytesPerTrigger``),
+which is how a hot port or job is kept in bounds.
 """
 
 from __future__ import annotations
