@@ -97,17 +97,23 @@ def q_recovery_plan(spark, sf):
 SOFT_DELETE_SQL = """
 SELECT q.id, b.bundle_name,
        CASE WHEN b.id IS NULL THEN 'unknown_id' WHEN b.deletion_date IS NOT NULL THEN 'previously_deleted' ELSE 'deleted' END AS outcome,
-       b.deletion_date AS previous_deletion_date
+       b.deletion_date AS previous_deletion_date,
+       coalesce(b.bundle_name || '.tgz' IN (SELECT DISTINCT b2.bundle_name || '.tgz' FROM deployment d JOIN bundle b2 ON b2.id = d.bundle_id
+                                            WHERE d.deactivation_date IS NULL), false) AS file_found
 FROM (SELECT DISTINCT bundle_id AS id FROM deployment WHERE deactivation_date IS NOT NULL) q
 LEFT JOIN bundle b ON b.id = q.id"""
 
 
 @query("soft_delete_outcomes", oracle=with_roles(SOFT_DELETE_SQL, "deployment", "bundle"))
 def q_soft_delete_outcomes(spark, sf):
-    """M-2: soft-delete every bundle that has been undeployed somewhere."""
+    """M-2 + S-16: soft-delete every bundle that has been undeployed somewhere;
+    ``file_found`` tells whether its archive is in the store (the archives
+    of bundles with an active deployment)."""
     r = Roles(spark, sf)
     req = r.deployment.filter(F.col("deactivation_date").isNotNull()).select(F.col("bundle_id").alias("id"))
-    _, outcomes = M.soft_delete(r.bundle, req, NOW)
+    stored = (active_filter(r.deployment, True).join(r.bundle.select(F.col("id").alias("bundle_id"), "bundle_name"), "bundle_id")
+              .select(F.concat(F.col("bundle_name"), F.lit(".tgz")).alias("key")))
+    _, outcomes = M.soft_delete(r.bundle, req, NOW, stored)
     return outcomes
 
 

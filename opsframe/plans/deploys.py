@@ -16,11 +16,16 @@ from opsframe.operators.joins import match_deployments, placement
 from opsframe.operators.mutations import deactivate
 
 
-def undeploy_plan(deployment: DataFrame, requests: DataFrame, now, zero_undeploys_ok: bool = False) -> tuple[DataFrame, DataFrame]:
+def undeploy_plan(deployment: DataFrame, requests: DataFrame, now, zero_undeploys_ok: bool = False,
+                  bundle_requests: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """C-1 for every requesting project at once.
 
     ``requests``: (project_id, dep_id) — deployments to drop, inactive ones
-    included (J-4). Returns (per-project plan, new deployment snapshot).
+    included (J-4). ``bundle_requests``: (project_id, bundle_id) — the other
+    route: the project's *active* deployments of those bundles (F-3/F-4).
+    (An empty request list meaning "everything active" is not inferred; pass
+    the project's bundles explicitly.) Returns (per-project plan, new
+    deployment snapshot).
 
     Plan columns: project_id, n_matched, n_warnings (already inactive, F-16),
     n_remaining (active after the change), action (``update`` / ``remove`` /
@@ -28,8 +33,14 @@ def undeploy_plan(deployment: DataFrame, requests: DataFrame, now, zero_undeploy
     static_bundle_id (bundle of the newest remaining worker, A-5).
     """
     matched = match_deployments(deployment, requests)
+    req_projects = requests.select("project_id")
+    if bundle_requests is not None:
+        by_bundle = active_filter(deployment, True).join(
+            bundle_requests.select("project_id", "bundle_id").distinct(), ["project_id", "bundle_id"], "left_semi")
+        matched = matched.unionByName(by_bundle).dropDuplicates(["id"])
+        req_projects = req_projects.unionByName(bundle_requests.select("project_id"))
+    req_projects = req_projects.distinct()
     snapshot = deactivate(deployment, matched.select("id"), now)
-    req_projects = requests.select("project_id").distinct()
     per_match = matched.groupBy("project_id").agg(
         F.count(F.lit(1)).alias("n_matched"),
         F.count(F.when(F.col("deactivation_date").isNotNull(), 1)).alias("n_warnings"))

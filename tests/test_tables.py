@@ -93,3 +93,21 @@ def test_site_config_path_variables(spark):
     got = [r["a"] for r in df.select(routing.media_alias_dest(bdir, F.col("fp")).alias("a")).collect()]
     assert got == ["/cust/app/bundle_x/lib/python2.6/site-packages/somepackage/media",
                    "/cust/app/bundle_x/src/something", "/cust/app/bundle_x/user-repo/path/to/static"]
+
+
+def test_undeploy_plan_routes(spark):
+    from opsframe.plans.deploys import undeploy_plan
+    d = deployments(spark)   # project 2: dep 1 active (bundle 1), dep 2 inactive (bundle 2)
+    by_dep = spark.createDataFrame([(2, 2)], "project_id long, dep_id long")
+    plan, snap = undeploy_plan(d, by_dep, "2030-01-01 00:00:00")
+    p = plan.collect()[0]
+    assert (p["n_matched"], p["n_warnings"], p["n_remaining"], p["action"]) == (1, 1, 1, "update")
+    assert p["static_bundle_id"] == 1
+    none = spark.createDataFrame([], "project_id long, dep_id long")
+    by_bundle = spark.createDataFrame([(2, 1)], "project_id long, bundle_id long")
+    plan, snap = undeploy_plan(d, none, "2030-01-01 00:00:00", bundle_requests=by_bundle)
+    p = plan.collect()[0]
+    assert (p["n_matched"], p["n_remaining"], p["action"]) == (1, 0, "remove")
+    nothing = spark.createDataFrame([(2, 99)], "project_id long, bundle_id long")
+    plan, _ = undeploy_plan(d, none, "2030-01-01 00:00:00", bundle_requests=nothing)
+    assert plan.collect()[0]["action"] == "error"
