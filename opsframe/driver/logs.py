@@ -52,23 +52,26 @@ def q_latest_log_per_stream(spark, sf):
 
 
 def _listing(r):
-    """Log folder listing of every host: each file name lives on host i-<id % 100>,
-    its size and mtime come from the event it was derived from."""
+    """Log folder listing of every host: each file lives on host slot
+    ``id % n_hosts``; its size and mtime come from the event it was derived from."""
+    from opsframe.driver.tables import host_slots
     ev = r.events.select(F.col("event_id").alias("id"), "ts", "value")
-    hosts = r.host.select("instance_id", F.col("name").alias("hostname"))
+    slots, n = host_slots(r.host)
+    hosts = slots.select("slot", F.col("name").alias("hostname"))
     return (r.conf_name.join(ev, "id")
-            .withColumn("instance_id", F.concat(F.lit("i-"), (F.col("id") % 100).cast("string")))
-            .join(hosts, "instance_id")
+            .withColumn("slot", F.col("id") % F.lit(n))
+            .join(hosts, "slot")
             .select("hostname", F.col("filename").alias("name"),
                     F.floor(F.col("value") * 1000).cast("bigint").alias("filesize"),
                     (epoch_micros("ts") / F.lit(1e6)).alias("mod_time")))
 
 
 LISTING_CTE = f"""
+hs AS (SELECT *, row_number() OVER (ORDER BY instance_id) - 1 AS slot FROM host),
 listing AS (SELECT h.name AS hostname, c.filename AS name, CAST(floor(e.value * 1000) AS BIGINT) AS filesize,
                    epoch_us(e.ts) / 1e6 AS mod_time
             FROM conf_name c JOIN events e ON e.event_id = c.id
-            JOIN host h ON h.instance_id = 'i-' || CAST(c.id % 100 AS VARCHAR)),
+            JOIN hs h ON h.slot = c.id % (SELECT count(*) FROM host)),
 sup AS (SELECT *, regexp_extract(name, '{SUP_RE}', 1) AS app_id, regexp_extract(name, '{SUP_RE}', 3) AS stream
         FROM listing WHERE regexp_matches(name, '{SUP_RE}')),
 newest AS (SELECT hostname, app_id, stream, max(name) AS log_id FROM sup GROUP BY ALL),

@@ -15,6 +15,19 @@ from opsframe.sources.roles import Roles, with_roles
 DEP_COLS = ("id", "project_id", "bundle_id")
 
 
+def host_slots(host):
+    """(hosts with a dense ``slot`` 0..n-1 in instance-id order, n). Rows that
+    are spread over hosts use ``slot = id % n``, so every row lands on a host
+    whatever the fleet size."""
+    n = J.scalar(host.agg(F.count(F.lit(1))))
+    return dense_index(host, ["instance_id"], "slot"), n
+
+
+HOST_SLOTS_SQL = """
+hs AS (SELECT *, row_number() OVER (ORDER BY instance_id) - 1 AS slot FROM host),
+hn AS (SELECT count(*) AS n FROM host)"""
+
+
 def _dep(df):
     return df.select(*DEP_COLS)
 
@@ -147,16 +160,15 @@ def q_safe_ids(spark, sf):
     """SELECT j.id, j.queue, h.instance_id AS delivered_to,
               coalesce(substr(j.queue, 11) = h.instance_id OR substr(j.queue, 11) = h.name
                        OR substr(j.queue, 11) = 'localhost', false) AS accepted
-       FROM job j JOIN host h ON h.ip = '10.0.' || CAST(j.id % 4 AS VARCHAR) || '.' || CAST(j.id % 100 AS VARCHAR)""",
-    "job", "host"))
+       FROM job j CROSS JOIN hn JOIN hs h ON h.slot = j.id % hn.n""", "job", "host", extra=HOST_SLOTS_SQL))
 def q_misrouted(spark, sf):
     """F-13: a host accepts work only when the target named in the queue is
-    itself (name or instance id) or ``localhost``. Jobs are delivered by ip
-    (``10.0.<id%4>.<id%100>``), so some land on the wrong host."""
+    itself (name or instance id) or ``localhost``. Every job is delivered to
+    host slot ``id % n_hosts``, so some land on the wrong host."""
     r = Roles(spark, sf)
-    jobs = r.job.select("id", "queue", F.concat(F.lit("10.0."), (F.col("id") % 4).cast("string"), F.lit("."),
-                                                (F.col("id") % 100).cast("string")).alias("ip"))
-    j = jobs.join(r.host.select("ip", "instance_id", "name"), "ip")
+    hosts, n = host_slots(r.host)
+    jobs = r.job.select("id", "queue", (F.col("id") % F.lit(n)).alias("slot"))
+    j = jobs.join(hosts.select("slot", "instance_id", "name"), "slot")
     target = F.substring("queue", 11, 1 << 20)
     return j.select("id", "queue", F.col("instance_id").alias("delivered_to"),
                     Fl.target_accepted(target, F.col("name"), F.col("instance_id")).alias("accepted"))
