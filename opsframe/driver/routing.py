@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from opsframe.functions.naming import CUSTOMER_DNS_ROOT_DOMAIN as ROOT
 from opsframe.plans import routing
 from opsframe.plans.projectcfg import site_media_entries
 from opsframe.registry import query
@@ -18,10 +19,10 @@ MEDIA_MAP_TEXT = "\n".join([
     "/media/srcpackage {SRC_PACKAGES}/something",
 ])
 
-HOSTNAMES_SQL = """
-SELECT id AS project_id, 0 AS branch, CAST(0 AS BIGINT) AS pos, printf('p%08d', id) || '.djangozoom.net' AS hostname FROM project
+HOSTNAMES_SQL = f"""
+SELECT id AS project_id, 0 AS branch, CAST(0 AS BIGINT) AS pos, printf('p%08d', id) || '.{ROOT}' AS hostname FROM project
 UNION ALL
-SELECT id, 1, CAST(0 AS BIGINT), hostname_slug || '.djangozoom.net' FROM project WHERE coalesce(hostname_slug, '') <> ''
+SELECT id, 1, CAST(0 AS BIGINT), hostname_slug || '.{ROOT}' FROM project WHERE coalesce(hostname_slug, '') <> ''
 UNION ALL
 SELECT project_id, 2, id * 2, '*.' || hostname FROM vhost WHERE is_wildcard
 UNION ALL
@@ -43,7 +44,7 @@ SELECT p.id AS project_id,
        s.bundle_id, b.bundle_name, coalesce(s.n_bundles > 1, false) AS multi,
        coalesce(s.n_active, 0) AS n_active, coalesce(s.n_upstreams, 0) AS n_upstreams,
        coalesce(nh.n_hostnames, 0) AS n_hostnames,
-       printf('p%08d', p.id) || '.djangozoom.net' AS canonical_host
+       printf('p%08d', p.id) || '.{ROOT}' AS canonical_host
 FROM project p LEFT JOIN served s ON s.project_id = p.id
 LEFT JOIN bundle b ON b.id = s.bundle_id
 LEFT JOIN nh ON nh.project_id = p.id)"""

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from opsframe.functions.naming import CUSTOMER_DNS_ROOT_DOMAIN as ROOT
+
 from opsframe.functions import naming, text as T
 from opsframe.operators import filters as Fl
 
@@ -13,7 +15,7 @@ def one(spark, expr, value, dtype="string"):
 def test_sysid_keeps_wide_ids(spark):
     assert one(spark, naming.sysid, 2, "bigint") == "p00000002"
     assert one(spark, naming.sysid, 1234567890, "bigint") == "p1234567890"  # lpad would cut this
-    assert one(spark, naming.canonical_host, 2, "bigint") == "p00000002.djangozoom.net"
+    assert one(spark, naming.canonical_host, 2, "bigint") == f"p00000002.{ROOT}"
 
 
 def test_truncate_revision_5000_chars(spark):

@@ -38,7 +38,7 @@ def test_config_guesses_strategy_two_and_primary(spark):
     assert not any(b == "conf/settings_dev.py" for _, b in g)   # no ROOT_URLCONF → no guesses
 
 
-ZOOMBUILD = """[project]
+BUILD_CFG = """[project]
 source_code_url: git://example.com/tutorial.git
 title: Tutorial
 django_version: 1.3
@@ -58,7 +58,7 @@ extra_requirements:
 
 
 def test_build_config_and_media_map(spark):
-    texts = spark.createDataFrame([(1, ZOOMBUILD), (2, ZOOMBUILD.replace("database_type", "x_type"))], "id long, text string")
+    texts = spark.createDataFrame([(1, BUILD_CFG), (2, BUILD_CFG.replace("database_type", "x_type"))], "id long, text string")
     cfg = {r["id"]: r for r in P.build_config(texts, "id").collect()}
     assert cfg[1]["status"] == "ok" and cfg[1]["django_version"] == "1.3"
     assert cfg[1]["site_media_map"] == "static static\nfoo {SITE_PACKAGES}/foo\nstaticfiles staticfiles"

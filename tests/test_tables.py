@@ -4,6 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from opsframe.functions.naming import CUSTOMER_DNS_ROOT_DOMAIN as ROOT
+
 from opsframe.operators import filters as Fl
 from opsframe.plans import routing
 
@@ -50,17 +52,17 @@ def hosts_of(spark, slug, vhosts):
 
 def test_hostnames_two_plain(spark):
     got = hosts_of(spark, None, [(1, 2, "foo.com", False), (2, 2, "bar.com", False)])
-    assert sorted(got) == ["bar.com", "foo.com", "p00000002.djangozoom.net"]
-    assert got[0] == "p00000002.djangozoom.net"
+    assert sorted(got) == ["bar.com", "foo.com", f"p00000002.{ROOT}"]
+    assert got[0] == f"p00000002.{ROOT}"
 
 
 def test_hostnames_wildcard_first(spark):
     got = hosts_of(spark, "", [(1, 2, "foo.com", True)])
-    assert got == ["p00000002.djangozoom.net", "*.foo.com", "foo.com"]
+    assert got == [f"p00000002.{ROOT}", "*.foo.com", "foo.com"]
 
 
 def test_hostnames_slug_added(spark):
-    assert hosts_of(spark, "myslug", []) == ["p00000002.djangozoom.net", "myslug.djangozoom.net"]
+    assert hosts_of(spark, "myslug", []) == [f"p00000002.{ROOT}", f"myslug.{ROOT}"]
 
 
 def test_lookup_status(spark):

@@ -25,7 +25,7 @@ def control_rows(n=600, seed=7):
 
 
 def replay(rows):
-    """The nodemaster's port table, command by command."""
+    """The control server's port table, command by command."""
     served, out = {}, {}
     for i, ts, port, cmd, name in sorted(rows, key=lambda r: (r[1], r[0])):
         if cmd == "serve":
