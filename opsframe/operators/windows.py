@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsframe.functions.times import epoch_micros, seconds_between
+from opsframe.functions.times import seconds_between
 
 
 def _cols(cs) -> list[Column]:
@@ -43,46 +43,39 @@ def running_count_before(df: DataFrame, keys: list[str], order: list[str], flag:
             .drop("__b", "__f", "__local", "__off"))
 
 
-def order_proxy(c: Column, dtype: str) -> Column:
-    """A numeric value that never decreases when ``c`` increases (for range
-    bucketing): numbers as they are, timestamps/dates as epoch seconds, strings
-    by their first 7 bytes (longer ties share a bucket, which is still correct)."""
-    if dtype in ("string",):
-        head = F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7))  # first 7 bytes, zero-padded
-        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
-    if dtype == "timestamp":
-        return F.unix_micros(c).cast("double")          # an instant: zone-free already
-    if dtype.startswith("timestamp") or dtype == "date":
-        return epoch_micros(c).cast("double")          # wall clock: no session zone involved
-    return c.cast("double")
-
-
 def dense_index(df: DataFrame, order: list[str], out: str = "idx", buckets: int | None = None,
-                start: Column | int = 0) -> DataFrame:
+                start: Column | int = 0, sample_per_bucket: int = 20) -> DataFrame:
     """W-8: consecutive 0-based (plus ``start``) index in ``order`` without a
     global (single-task) window.
 
-    Pass 1: ``buckets - 1`` quantile edges of the first order column (a
-    bounded list of numbers, fixed once as literals so every branch of the
-    plan and every recomputation after a lost executor sees the same
-    buckets). Rows are numbered inside their bucket by a window partitioned
-    on the bucket. Pass 2: per-bucket counts — one row per bucket, a proven
-    size bound — become offsets, joined back by broadcast.
+    Pass 1 fixes ``buckets - 1`` edges of the *full* sort key from a seeded
+    sample of about ``sample_per_bucket`` rows per bucket (a bounded set of
+    key tuples read once, like a range partitioner's sample) and stores them
+    as literals, so every branch of the plan and every recomputation after a
+    lost executor sees the same buckets, and ties on a leading column still
+    spread over buckets. Rows are numbered inside their bucket by a window
+    partitioned on the bucket. Pass 2: per-bucket counts — one row per
+    bucket, a proven size bound — become offsets, joined back by broadcast.
     """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = order[0]
-    dtype = dict(df.dtypes)[first]
-    proxy = order_proxy(F.col(first), dtype)
-    edges = []
+    key = F.struct(*_cols(order))
+    edges: list = []
     if n > 1:
-        got = df.select(F.percentile_approx(proxy, [i / n for i in range(1, n)], 10000).alias("e")).first()
-        edges = sorted(set(x for x in (got["e"] or []) if x is not None))
-    # nulls sort first, so they take the lowest bucket; depending on the column
-    # also keeps a single-bucket (tiny) input from being folded to a constant
-    # key, which would plan a single-partition window and a nested-loop join
-    bucket = F.when(proxy.isNull(), F.lit(-1)).otherwise(F.lit(0))
+        total = df.count()
+        if total > 0:
+            frac = min(1.0, float(sample_per_bucket * n) / total)
+            sample = [r[0] for r in df.select(key.alias("k")).sample(False, frac, seed=17).orderBy("k").collect()
+                      if all(v is not None for v in r[0])]
+            if sample:
+                picks = sorted({min(len(sample) - 1, (i * len(sample)) // n) for i in range(1, n)})
+                edges = sorted({tuple(sample[i]) for i in picks})
+    # rows compare to edges as structs (nulls order first, as in the sort);
+    # a null key takes bucket -1, and the key column keeps the bucket from
+    # folding to a constant (which would plan a single-partition window)
+    bucket = F.when(key.isNull(), F.lit(-1)).otherwise(F.lit(0))
     for e in edges:
-        bucket = bucket + F.when(proxy >= F.lit(e), 1).otherwise(0)
+        lit_key = F.struct(*[F.lit(v).cast(dict(df.dtypes)[c]) for c, v in zip(order, e)])
+        bucket = bucket + F.when(key >= lit_key, 1).otherwise(0)
     d = df.withColumn("__bk", bucket)
     numbered = d.withColumn("__row", F.row_number().over(Window.partitionBy("__bk").orderBy(*_cols(order))) - 1)
     counts = d.groupBy("__bk").agg(F.count(F.lit(1)).alias("__n"))

@@ -106,3 +106,15 @@ def test_running_count_and_dense_index(spark):
     idx = {r["id"]: r["i"] for r in dense_index(df, ["ts", "id"], "i", buckets=5).collect()}
     order = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))]
     assert [idx[i] for i in order] == list(range(len(rows)))
+
+
+def test_dense_index_heavy_ties_and_nulls(spark):
+    day = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i % 50 == 0 else day) for i in range(1000)]   # one date for all, some nulls
+    df = spark.createDataFrame(rows, "id long, d timestamp_ntz")
+    got = {r["id"]: r["i"] for r in dense_index(df, ["d", "id"], "i", buckets=8).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or day, r[0]))   # nulls first, then id
+    assert [got[r[0]] for r in order] == list(range(1000))
+    buckets = (dense_index(df, ["d", "id"], "i", buckets=8)
+               .withColumn("b", F.floor(F.col("i") / 125)).groupBy("b").count().count())
+    assert buckets == 8
