@@ -145,7 +145,7 @@ def step_spans(log: DataFrame, job: str = "job_id", title: str = "message", buck
 
     Output: job_id, title, begin_id, begin_ts, end_id, end_ts, status, duration_s.
     """
-    b = bucket if bucket is not None else F.to_date("ts")
+    b = bucket if bucket is not None else F.date_trunc("hour", F.col("ts"))
     steps = log.filter(F.col("logtype").isin("sb", "se"))
     nxt = next_row(steps, [job, title], ["ts", "id"],
                    F.struct(F.col("logtype").alias("t"), F.col("ts").alias("ts"), F.col("id").alias("id")), b, "__n")
@@ -163,7 +163,7 @@ def step_of_message(log: DataFrame, job: str = "job_id", bucket: Column | None =
     """W-4: the step each row belongs to: the last step marker (``sb``/``se``)
     at or before the row within its job; marker ``sb`` → that step (begin id,
     title), ``se`` or none → null (between steps)."""
-    b = bucket if bucket is not None else F.to_date("ts")
+    b = bucket if bucket is not None else F.date_trunc("hour", F.col("ts"))
     marker = F.when(F.col("logtype").isin("sb", "se"), F.struct(F.col("logtype").alias("t"), F.col("id").alias("i"),
                                                                   F.col("message").alias("m")))
     out = last_until(log, [job], ["ts", "id"], marker, b, "__m")
