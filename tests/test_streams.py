@@ -43,3 +43,24 @@ def test_rolling_tail_across_batches(spark):
     tail = S.latest_tail(spark.read.parquet(sink).drop("batch"))
     got = sorted((r["log_id"], r["line_no"]) for r in tail.collect())
     assert got == [(1, i) for i in range(20, 30)] + [(2, i) for i in range(5)]
+
+
+def test_step_pairs_replay_with_timeout(spark):
+    t0 = dt.datetime(2024, 1, 1, 8, 0, 0)
+    m = lambda minutes: t0 + dt.timedelta(minutes=minutes)
+    rows = [
+        (1, 1, m(0), "Build", "sb"), (2, 1, m(10), "Build", "se"),       # done
+        (3, 1, m(20), "Build", "sb"), (4, 1, m(30), "Build", "sb"),      # 3 superseded → unfinished
+        (5, 2, m(5), "Deploy", "se"),                                     # end with nothing open → late_end
+        (6, 3, m(600), "Other", "sb"),                                    # moves the watermark far ahead
+    ]
+    df = spark.createDataFrame(rows, "id long, job_id long, ts timestamp_ntz, message string, logtype string")
+    d = tempfile.mkdtemp(prefix="opsframe-st3-")
+    df.coalesce(1).write.parquet(os.path.join(d, "log"))
+    src = spark.readStream.schema(df.schema).parquet(os.path.join(d, "log"))
+    sink, ckpt = os.path.join(d, "sink"), os.path.join(d, "ckpt")
+    S.run_available_now(S.step_pairs(src).writeStream.format("parquet").outputMode("append")
+                        .option("path", sink).option("checkpointLocation", ckpt))
+    got = {(r["begin_id"], r["end_id"], r["status"]) for r in spark.read.parquet(sink).collect()}
+    # 4 times out (its time-out passed the watermark: max ts - 1 h); 6 is still open
+    assert got == {(1, 2, "done"), (3, None, "unfinished"), (None, 5, "late_end"), (4, None, "unfinished")}
