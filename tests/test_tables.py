@@ -113,3 +113,26 @@ def test_undeploy_plan_routes(spark):
     nothing = spark.createDataFrame([(2, 99)], "project_id long, bundle_id long")
     plan, _ = undeploy_plan(d, none, "2030-01-01 00:00:00", bundle_requests=nothing)
     assert plan.collect()[0]["action"] == "error"
+
+
+def test_recovery_plan_one_restore_per_project(spark):
+    from opsframe.plans.deploys import recovery_plan
+    d = spark.createDataFrame([
+        (1, 2, 7, "10.0.0.1", 10001, "i-1", T0, None),     # dead host, project 2
+        (4, 2, 8, "10.0.0.1", 10002, "i-1", T0, None),     # dead host, project 2, higher id → its bundle wins
+        (5, 2, 7, "10.0.0.2", 10001, "i-2", T0, None),     # live host, project 2 (still dropped: all old go)
+        (6, 3, 9, "10.0.0.1", 10003, "i-1", T0, None),     # dead host, project 3
+        (7, 3, 9, "10.0.0.1", 10004, "i-1", T0, T0),       # inactive: ignored
+    ], DEP)
+    project = spark.createDataFrame([(2, None, 2), (3, "db-1", 1)], "id long, db_host string, num_workers int")
+    bundle = spark.createDataFrame([(7, "b7"), (8, "b8"), (9, "b9")], "id long, bundle_name string")
+    hosts = spark.createDataFrame([("i-1", "h1", "appserver", "10.0.0.1"), ("i-2", "h2", "appserver", "10.0.0.2"),
+                                   ("i-3", "h3", "appserver", "10.0.0.3")], "instance_id string, name string, role string, ip string")
+    dead = hosts.filter("instance_id = 'i-1'")
+    plan, new = recovery_plan(d, project, bundle, hosts, dead)
+    p = {r["project_id"]: r for r in plan.collect()}
+    assert (p[2]["n_dead"], p[2]["restore_bundle_id"], p[2]["n_old"], p[2]["n_new"], p[2]["status"]) == (2, 8, 3, 2, "ok")
+    assert (p[3]["n_dead"], p[3]["restore_bundle_id"], p[3]["n_new"]) == (1, 9, 1)
+    assert {r["instance_id"] for r in new.collect()} <= {"i-2", "i-3"}          # never the dead host
+    only3, _ = recovery_plan(d, project, bundle, hosts, dead, project_id=3)     # F-17
+    assert [r["project_id"] for r in only3.collect()] == [3]
