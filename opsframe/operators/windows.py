@@ -49,8 +49,8 @@ def dense_index(df: DataFrame, order: list[str], out: str = "idx", buckets: int
     global (single-task) window.
 
     Pass 1 fixes ``buckets - 1`` edges of the *full* sort key from a seeded
-    sample of about ``sample_per_bucket`` rows per bucket (a bounded set of
-    key tuples read once, like a range partitioner's sample) and stores them
+    sample of ``sample_per_bucket`` rows per bucket (a bounded set of key
+    tuples read in one pass, like a range partitioner's sample) and stores them
     as literals, so every branch of the plan and every recomputation after a
     lost executor sees the same buckets, and ties on a leading column still
     spread over buckets. Rows are numbered inside their bucket by a window
@@ -61,14 +61,14 @@ def dense_index(df: DataFrame, order: list[str], out: str = "idx", buckets: int
     key = F.struct(*_cols(order))
     edges: list = []
     if n > 1:
-        total = df.count()
-        if total > 0:
-            frac = min(1.0, float(sample_per_bucket * n) / total)
-            sample = [r[0] for r in df.select(key.alias("k")).sample(False, frac, seed=17).orderBy("k").collect()
-                      if all(v is not None for v in r[0])]
-            if sample:
-                picks = sorted({min(len(sample) - 1, (i * len(sample)) // n) for i in range(1, n)})
-                edges = sorted({tuple(sample[i]) for i in picks})
+        # one pass: a seeded uniform sample of k keys (a top-k on a seeded random
+        # column keeps k rows per task), sorted here — k is bounded by n
+        k = sample_per_bucket * n
+        got = df.select(key.alias("k"), F.rand(17).alias("r")).orderBy("r").limit(k).collect()
+        sample = sorted((tuple(r["k"]) for r in got if all(v is not None for v in r["k"])))
+        if sample:
+            picks = sorted({min(len(sample) - 1, (i * len(sample)) // n) for i in range(1, n)})
+            edges = sorted({sample[i] for i in picks})
     # rows compare to edges as structs (nulls order first, as in the sort);
     # a null key takes bucket -1, and the key column keeps the bucket from
     # folding to a constant (which would plan a single-partition window)
