@@ -59,12 +59,14 @@ ROUTING_ROLES = ("deployment", "bundle", "project", "vhost")
 
 @query("hostnames", oracle=with_roles(HOSTNAMES_SQL, "project", "vhost"))
 def q_hostnames(spark, sf):
+    """C-3a / J-6 / U-1 / X-1..X-4: every project's host names in reference order."""
     r = Roles(spark, sf)
     return routing.hostnames(r.project, r.vhost)
 
 
 @query("routing_table", oracle=with_roles("SELECT * FROM rt", *ROUTING_ROLES, extra=ROUTING_CTES))
 def q_routing_table(spark, sf):
+    """C-3 / A-6: per project the served (max active) bundle, multi-bundle flag and counts."""
     r = Roles(spark, sf)
     return routing.routing_table(r.deployment, r.bundle, r.project, r.vhost)
 
@@ -72,6 +74,7 @@ def q_routing_table(spark, sf):
 @query("routing_upstreams", oracle=with_roles("SELECT * FROM ups", "deployment",
                                               extra=SERVED_CTES + "," + UPSTREAMS_CTE))
 def q_routing_upstreams(spark, sf):
+    """C-3 / A-7 / F-18: the served bundle's deployments as upstream rows."""
     return routing.routing_upstreams(Roles(spark, sf).deployment)
 
 
@@ -110,6 +113,7 @@ UNION ALL SELECT project_id, app_id, -1, 0, 'error: no appserver upstreams' FROM
 
 @query("site_config_text", oracle=with_roles("SELECT * FROM lines", *ROUTING_ROLES, extra=SITE_SQL))
 def q_site_config_text(spark, sf):
+    """C-4 / X-12 / X-11: every routed app's proxy site file as ordered line rows."""
     r = Roles(spark, sf)
     dep, project, vhost = r.deployment, r.project, r.vhost
     rt = routing.routing_table(dep, r.bundle, project, vhost)
