@@ -109,3 +109,22 @@ def round_robin(requests: DataFrame, key: str, pool_size: Column) -> DataFrame:
     key) mod pool size — the pointer advances by one per request."""
     r = running_count_before(requests, [key], ["ts", "id"], F.lit(True), time_bucket(), "__k")
     return r.withColumn("slot", (F.col("__k") % pool_size).cast("int")).drop("__k")
+
+
+def round_robin_workers(requests: DataFrame, workers: DataFrame, key: str = "project_id",
+                        worker_id: str = "id", id_bucket: int = 1 << 20) -> DataFrame:
+    """W-2 with the worker list: request k of a key goes to worker ``k mod n``
+    of that key's workers (numbered by id), n = the key's worker count.
+
+    Both numberings are two-level counts (requests by hour, workers by id
+    range), so a key with very many requests or workers is spread over many
+    tasks; the join is an equi-join on (key, worker number). Requests of a
+    key without workers get no slot and no worker.
+    """
+    w = running_count_before(workers.select(key, worker_id), [key], [worker_id], F.lit(True),
+                             F.floor(F.col(worker_id) / F.lit(id_bucket)), "worker_no")
+    n = workers.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    r = running_count_before(requests, [key], ["ts", "id"], F.lit(True), time_bucket(), "__k")
+    r = r.join(n, key, "left").withColumn("slot", (F.col("__k") % F.col("__n")).cast("int")).drop("__k", "__n")
+    return (r.join(w.select(key, F.col("worker_no").cast("int").alias("slot"), F.col(worker_id).alias("worker_id")),
+                   [key, "slot"], "left"))
