@@ -159,19 +159,27 @@ def q_safe_ids(spark, sf):
 @query("misrouted", oracle=with_roles(
     """SELECT j.id, j.queue, h.instance_id AS delivered_to,
               coalesce(substr(j.queue, 11) = h.instance_id OR substr(j.queue, 11) = h.name
-                       OR substr(j.queue, 11) = 'localhost', false) AS accepted
+                       OR substr(j.queue, 11) = 'localhost', false) AS accepted,
+              CASE j.jobcode WHEN '1-urgent' THEN 'TTIN' WHEN '2-high' THEN 'TTOU' WHEN '5-low' THEN 'KILL' END AS signal,
+              coalesce(CASE j.jobcode WHEN '1-urgent' THEN 'TTIN' WHEN '2-high' THEN 'TTOU' WHEN '5-low' THEN 'KILL' END
+                       IN ('TTIN', 'TTOU'), false) AS signal_ok
        FROM job j CROSS JOIN hn JOIN hs h ON h.slot = j.id % hn.n""", "job", "host", extra=HOST_SLOTS_SQL))
 def q_misrouted(spark, sf):
     """F-13: a host accepts work only when the target named in the queue is
     itself (name or instance id) or ``localhost``. Every job is delivered to
-    host slot ``id % n_hosts``, so some land on the wrong host."""
+    host slot ``id % n_hosts``, so some land on the wrong host. Jobs of
+    priority urgent / high / low also ask for a worker signal (TTIN / TTOU /
+    KILL); only TTIN and TTOU are allowed."""
     r = Roles(spark, sf)
     hosts, n = host_slots(r.host)
-    jobs = r.job.select("id", "queue", (F.col("id") % F.lit(n)).alias("slot"))
+    signal = (F.when(F.col("jobcode") == "1-urgent", "TTIN").when(F.col("jobcode") == "2-high", "TTOU")
+              .when(F.col("jobcode") == "5-low", "KILL"))
+    jobs = r.job.select("id", "queue", (F.col("id") % F.lit(n)).alias("slot"), signal.alias("signal"))
     j = jobs.join(hosts.select("slot", "instance_id", "name"), "slot")
     target = F.substring("queue", 11, 1 << 20)
     return j.select("id", "queue", F.col("instance_id").alias("delivered_to"),
-                    Fl.target_accepted(target, F.col("name"), F.col("instance_id")).alias("accepted"))
+                    Fl.target_accepted(target, F.col("name"), F.col("instance_id")).alias("accepted"),
+                    "signal", Fl.signal_allowed("signal").alias("signal_ok"))
 
 
 PLACEMENT_SQL = """
