@@ -241,7 +241,8 @@ cand AS (SELECT r.host, unnest(range(r.m + 1, least(r.m + r.n_req + coalesce(nb.
 free AS (SELECT host, port, row_number() OVER (PARTITION BY host ORDER BY port) - 1 AS request_no FROM cand c
          WHERE NOT EXISTS (SELECT 1 FROM blk b WHERE b.host = c.host AND b.port = c.port)),
 asks AS (SELECT host, unnest(range(0, n_req)) AS request_no FROM r),
-alloc AS (SELECT a.host, a.request_no, f.port, CASE WHEN f.port IS NULL THEN 'out_of_ports' ELSE 'ok' END AS status
+alloc AS (SELECT a.host, CAST(a.request_no AS INTEGER) AS request_no, CAST(f.port AS INTEGER) AS port,
+                 CASE WHEN f.port IS NULL THEN 'out_of_ports' ELSE 'ok' END AS status
           FROM asks a LEFT JOIN free f ON f.host = a.host AND f.request_no = a.request_no)"""
 
 

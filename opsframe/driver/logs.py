@@ -16,7 +16,7 @@ NL = "chr(10)"
 
 
 @query("tail_lines", oracle=with_roles(
-    """SELECT log_id, line_no, from_end, line FROM (
+    """SELECT log_id, CAST(line_no AS INTEGER) AS line_no, CAST(from_end AS INTEGER) AS from_end, line FROM (
          SELECT *, row_number() OVER (PARTITION BY log_id ORDER BY line_no DESC) AS from_end FROM logline)
        WHERE from_end <= 100""", "logline"))
 def q_tail_lines(spark, sf):
@@ -29,7 +29,7 @@ TAIL_TURNS = 5
 
 
 @query("tail_turns", oracle=with_roles(
-    f"""SELECT log_id, line_no, from_end, line FROM (
+    f"""SELECT log_id, line_no, CAST(from_end AS INTEGER) AS from_end, line FROM (
          SELECT *, row_number() OVER (PARTITION BY log_id ORDER BY line_no DESC) AS from_end FROM turnlog)
        WHERE from_end <= {TAIL_TURNS}""", "turnlog"))
 def q_tail_turns(spark, sf):
@@ -136,7 +136,7 @@ def _help_text(text, lang):
 SECTION_SQL = f"""
 SELECT doc_id, has_marker, n_section_lines, has_collectstatic, has_migrate FROM (
   SELECT doc_id, strpos(h, 'Available subcommands:') > 0 AS has_marker,
-         CASE WHEN strpos(h, 'Available subcommands:') > 0 THEN len(sec) END AS n_section_lines,
+         CAST(CASE WHEN strpos(h, 'Available subcommands:') > 0 THEN len(sec) END AS INTEGER) AS n_section_lines,
          coalesce(CASE WHEN strpos(h, 'Available subcommands:') > 0 THEN list_contains(sec, 'collectstatic') END, false) AS has_collectstatic,
          coalesce(CASE WHEN strpos(h, 'Available subcommands:') > 0 THEN list_contains(sec, 'migrate') END, false) AS has_migrate
   FROM (SELECT doc_id, h, list_transform(
@@ -163,7 +163,7 @@ def q_section_membership(spark, sf):
 
 
 @query("command_args", oracle=with_roles(
-    """SELECT log_id, line_no, len(a) AS n_args, a[1] AS first_arg, a[-1] AS last_arg FROM (
+    """SELECT log_id, CAST(line_no AS INTEGER) AS line_no, len(a) AS n_args, a[1] AS first_arg, a[-1] AS last_arg FROM (
          SELECT log_id, line_no, CASE WHEN regexp_replace(line, '^\\s+|\\s+$', '', 'g') = '' THEN []
                 ELSE string_split_regex(regexp_replace(line, '^\\s+|\\s+$', '', 'g'), '\\s+') END AS a FROM logline)""",
     "logline"))

@@ -172,8 +172,8 @@ def q_media_map(spark, sf):
 
 FILE_CLASS_SQL = """
 SELECT id, repo_id, path, cls,
-       CASE WHEN cls = 'settings' THEN row_number() OVER (PARTITION BY repo_id, cls = 'settings' ORDER BY length(path), path) END
-         AS settings_rank
+       CAST(CASE WHEN cls = 'settings' THEN row_number() OVER (PARTITION BY repo_id, cls = 'settings' ORDER BY length(path), path) END
+            AS INTEGER) AS settings_rank
 FROM (SELECT id, repo_id, path,
              CASE WHEN ends_with(b, 'settings.py') OR (starts_with(b, 'settings') AND ends_with(b, '.py')) THEN 'settings'
                   WHEN ends_with(b, '.py') THEN 'python'

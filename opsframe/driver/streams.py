@@ -29,7 +29,7 @@ def q_stream_ingest(spark, sf):
 
 
 @query("stream_tail", oracle=with_roles(
-    """SELECT log_id, line_no, line FROM (
+    """SELECT log_id, CAST(line_no AS INTEGER) AS line_no, line FROM (
          SELECT *, row_number() OVER (PARTITION BY log_id ORDER BY line_no DESC) AS rn FROM logline) WHERE rn <= 100""",
     "logline"))
 def q_stream_tail(spark, sf):

@@ -78,7 +78,7 @@ def placement(project: DataFrame, hosts: DataFrame, workers: str = "num_workers"
     p = project.withColumn("n_hosts", F.lit(scalar(app_hosts.agg(F.count(F.lit(1))))).cast("bigint"))
     k = F.least(F.col(workers), F.col("n_hosts"))
     slots = p.select(F.col("id").alias("project_id"), "n_hosts",
-                     F.explode(F.when(k > 0, F.sequence(F.lit(0), k - 1))
+                     F.explode(F.when(k > 0, F.sequence(F.lit(0), (k - 1).cast("int")))
                                .otherwise(F.array().cast("array<int>"))).alias("k"))
     slots = slots.withColumn("slot", ((F.col("project_id") + F.col("k")) % F.col("n_hosts")).cast("bigint"))
     placed = (slots.join(app_hosts.select("slot", "instance_id", "name", "ip"), "slot")
