@@ -119,3 +119,12 @@ def test_setting_value_regex_and_exact_modes(spark):
     exact = [(r["e"]["value"], r["e"]["parsed"]) for r in df.select(P.setting_value_exact("c", "ROOT_URLCONF").alias("e")).collect()]
     assert exact[0] == ("a.urls", True) and exact[1] == ("other_name", True)
     assert exact[2] == (None, False)          # unparsable file: skipped
+
+
+def test_parse_ini_edge_cases(spark):
+    text = "# comment\n[project]\nTitle: first\n; another comment\ntitle = second\nmap: a b\n   c d\n\n   e f\n[other]\ntitle: x\n"
+    kv = {(r["section"], r["option"]): r["value"]
+          for r in P.parse_ini(spark.createDataFrame([(1, text)], "id long, text string"), "id").collect()}
+    assert kv[("project", "title")] == "second"          # option names lower-cased, last one wins
+    assert kv[("project", "map")] == "a b\nc d\ne f"     # continuation lines folded, blank lines skipped
+    assert kv[("other", "title")] == "x"
