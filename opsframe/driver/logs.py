@@ -12,9 +12,6 @@ from opsframe.plans import logs
 from opsframe.registry import query
 from opsframe.sources.roles import Roles, with_roles
 
-NL = "chr(10)"
-
-
 @query("tail_lines", oracle=with_roles(
     """SELECT log_id, CAST(line_no AS INTEGER) AS line_no, CAST(from_end AS INTEGER) AS from_end, line FROM (
          SELECT *, row_number() OVER (PARTITION BY log_id ORDER BY line_no DESC) AS from_end FROM logline)

@@ -23,7 +23,7 @@ def dk_title(x: str) -> str:
 def dk_title_from_url(u: str) -> str:
     first = f"list_filter(list_reverse(string_split_regex({u}, '[/.]')), lambda p: NOT starts_with(p, 'git'))[1]"
     return (f"CASE WHEN {u} IS NULL THEN NULL WHEN {first} IS NULL THEN 'Untitled Project' "
-            f"ELSE {dk_title(f'replace({first}, ' + chr(39) + '_' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ')')} END")
+            f"ELSE {dk_title(f"replace({first}, '_', ' ')")} END")
 
 
 @query("url_canonical", oracle=with_roles(

@@ -27,10 +27,10 @@ def site_media_entries(df: DataFrame, text_col: str, key: str = "project_id") ->
     lines = (df.select(key, F.posexplode(T.split_lines(F.col(text_col))).alias("pos", "line"))
              .filter(T.strip_ws("line") != ""))
     parsed = lines.select(key, "pos", "line", T.media_entry("line").alias("e"))
-    ok = (parsed.filter(F.col("e").isNotNull())
-          .groupBy(key, F.col("e.url_path").alias("url_path"))
-          .agg(F.max_by(F.col("e.file_path"), "pos").alias("file_path"), F.min("pos").alias("pos"))
-          .withColumn("status", F.lit("ok")))
+    from opsframe.operators.aggregates import last_wins_map
+
+    entries = parsed.filter(F.col("e").isNotNull()).select(key, "pos", "e.url_path", "e.file_path")
+    ok = last_wins_map(entries, [key], "url_path", "file_path", "pos").withColumn("status", F.lit("ok"))
     bad = parsed.filter(F.col("e").isNull()).select(
         key, F.lit(None).cast("string").alias("url_path"), F.col("line").alias("file_path"), "pos",
         F.lit("error").alias("status"))
