@@ -228,3 +228,24 @@ def q_bundle_names(spark, sf):
     out = b.select("id", "bundle_name", app.alias("app_id"), ts.cast("timestamp_ntz").alias("built_at"))
     return out.select("id", "app_id", "built_at", F.coalesce(
         naming.bundle_name(F.col("app_id"), F.col("built_at")) == F.col("bundle_name"), F.lit(False)).alias("roundtrip_ok"))
+
+
+WC_RE = naming.WORKER_CONF_RE
+
+
+@query("log_service", oracle=with_roles(
+    f"""SELECT a.app_id, coalesce(p.n_logs, 0) AS n_logs, coalesce(p.n_hosts, 0) AS n_hosts,
+               CASE WHEN (SELECT count(*) FROM listing) = 0 THEN 'service_not_available'
+                    WHEN coalesce(p.n_logs, 0) > 0 THEN 'ok' ELSE 'no_logs' END AS status
+        FROM (SELECT DISTINCT regexp_extract(filename, '{WC_RE}', 1) AS app_id FROM conf_name
+              WHERE regexp_matches(filename, '{WC_RE}')
+                AND TRY_CAST(trim(regexp_extract(filename, '{WC_RE}', 3)) AS INTEGER) IS NOT NULL) a
+        LEFT JOIN (SELECT app_id, count(*) AS n_logs, count(DISTINCT hostname) AS n_hosts FROM sup GROUP BY app_id) p
+          ON p.app_id = a.app_id""", "conf_name", "host", extra=LISTING_CTE))
+def q_log_service(spark, sf):
+    """S-19: log availability of every app that has a worker config: ok /
+    no_logs / service_not_available (nobody answered)."""
+    from opsframe.plans.inventory import active_bundles
+    r = Roles(spark, sf)
+    apps = active_bundles(r.conf_name, "filename").select("app_id")
+    return logs.log_service_status(_listing(r), apps).select("app_id", "n_logs", "n_hosts", "status")

@@ -81,3 +81,18 @@ def first_nonempty_reply(replies: DataFrame, key: str, value: str = "reply", pos
 def newest_logs(listing: DataFrame, n: int = 1) -> DataFrame:
     """W-6 window form (``row_number <= n``), kept for callers needing the top n."""
     return top_n_per_key(supervisor_logs(listing), ["hostname", "app_id", "stream"], [F.col("name").desc()], n)
+
+
+def log_service_status(listing: DataFrame, apps: DataFrame) -> DataFrame:
+    """S-19: per requested app: ``ok`` (with log and host counts), ``no_logs``
+    (hosts answered, none holds a log of the app) or, when no host answered
+    at all, ``service_not_available`` — a flag, not an empty list."""
+    from opsframe.operators.joins import scalar
+
+    answered = (scalar(listing.select(F.lit(1)).limit(1).agg(F.count(F.lit(1)))) or 0) > 0
+    per = supervisor_logs(listing).groupBy("app_id").agg(
+        F.count(F.lit(1)).alias("n_logs"), F.count_distinct("hostname").alias("n_hosts"))
+    out = apps.select("app_id").distinct().join(per, "app_id", "left").fillna(0, ["n_logs", "n_hosts"])
+    status = (F.lit("service_not_available") if not answered
+              else F.when(F.col("n_logs") > 0, F.lit("ok")).otherwise(F.lit("no_logs")))
+    return out.withColumn("status", status)

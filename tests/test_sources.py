@@ -83,3 +83,15 @@ def test_log_catalog_with_access_log(spark):
     assert cat["stderr"]["caption"] == "Application Standard Error"
     assert cat["access"]["caption"] == "Web Server Access Log"
     assert str(cat["stdout"]["mod_dt"]) == "1970-01-01 00:00:03.500000"
+
+
+def test_log_service_status(spark):
+    from opsframe.plans import logs
+    schema = "hostname string, name string, filesize long, mod_time double"
+    apps = spark.createDataFrame([("test001",), ("test002",)], "app_id string")
+    listing = spark.createDataFrame([("h1", "bundle_test001_2011-07-08-03.40.29-stderr---supervisor-x.log", 1, 1.0)], schema)
+    got = {r["app_id"]: r["status"] for r in logs.log_service_status(listing, apps).collect()}
+    assert got == {"test001": "ok", "test002": "no_logs"}
+    empty = spark.createDataFrame([], schema)
+    got = {r["app_id"]: r["status"] for r in logs.log_service_status(empty, apps).collect()}
+    assert got == {"test001": "service_not_available", "test002": "service_not_available"}
