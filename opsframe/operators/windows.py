@@ -65,6 +65,12 @@ def dense_index(df: DataFrame, order: list[str], out: str = "idx", buckets: int
         # column keeps k rows per task), sorted here — k is bounded by n
         k = sample_per_bucket * n
         got = df.select(key.alias("k"), F.rand(17).alias("r")).orderBy("r").limit(k).collect()
+        if not got:
+            # empty input: nothing to bucket (a constant bucket would only fold
+            # the offset join into a nested loop); the plain window stays correct
+            w0 = Window.orderBy(*_cols(order))
+            start0 = start if isinstance(start, Column) else F.lit(start)
+            return df.withColumn(out, (F.row_number().over(w0) - 1 + start0).cast("bigint"))
         sample = sorted((tuple(r["k"]) for r in got if all(v is not None for v in r["k"])))
         if sample:
             picks = sorted({min(len(sample) - 1, (i * len(sample)) // n) for i in range(1, n)})
