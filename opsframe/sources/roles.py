@@ -155,8 +155,12 @@ class Roles:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
+        # built once per accessor: repeated uses in one query share one DataFrame
         if name in ROLE_SQL or name == "logline":
-            return role(self.spark, self.sf_dir, name)
-        if name in BASE_TABLES:
-            return base_table(self.spark, self.sf_dir, name)
-        raise AttributeError(name)
+            df = role(self.spark, self.sf_dir, name)
+        elif name in BASE_TABLES:
+            df = base_table(self.spark, self.sf_dir, name)
+        else:
+            raise AttributeError(name)
+        setattr(self, name, df)
+        return df
