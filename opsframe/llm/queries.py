@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import langid, packing, shard
+from opsframe.llm import langid, minhash, packing, shard, substring
 from opsframe.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(table(spark, sf_dir, "documents"))
 
@@ -22,9 +26,15 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op5_repeats": op5_repeats,
     "op8_language": op8_language,
     "op9_shards": op9_shards,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLE: dict[str, str] = {}
