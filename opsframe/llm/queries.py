@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import langid, minhash, packing, shard, substring
+from opsframe.llm import fingerprint, langid, minhash, packing, shard, substring
 from opsframe.llm.common import table
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_table(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op5_repeats": op5_repeats,
     "op8_language": op8_language,
