@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import fingerprint, langid, minhash, packing, shard, substring
+from opsframe.llm import extract, fingerprint, langid, minhash, packing, shard, substring
 from opsframe.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_digest(table(spark, sf_dir, "pages"))
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeats_digest(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
+    "op4_main_text": op4_main_text,
     "op5_repeats": op5_repeats,
     "op8_language": op8_language,
     "op9_shards": op9_shards,
