@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import extract, fingerprint, langid, minhash, packing, shard, substring
+from opsframe.llm import extract, fingerprint, langid, minhash, packing, pii, shard, substring
 from opsframe.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeats_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans_table(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_main_text": op4_main_text,
     "op5_repeats": op5_repeats,
+    "op6_personal_data": op6_personal_data,
     "op8_language": op8_language,
     "op9_shards": op9_shards,
     "op10_near_duplicates": op10_near_duplicates,
