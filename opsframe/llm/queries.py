@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import extract, fingerprint, langid, minhash, packing, pii, shard, substring
+from opsframe.llm import extract, fingerprint, langid, minhash, packing, pii, secrets, shard, substring
 from opsframe.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans_table(table(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_table(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_main_text": op4_main_text,
     "op5_repeats": op5_repeats,
     "op6_personal_data": op6_personal_data,
+    "op7_secrets": op7_secrets,
     "op8_language": op8_language,
     "op9_shards": op9_shards,
     "op10_near_duplicates": op10_near_duplicates,
