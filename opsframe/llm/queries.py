@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import extract, fingerprint, langid, minhash, packing, pii, secrets, shard, substring
+from opsframe.llm import decontaminate, extract, fingerprint, langid, minhash, packing, pii, secrets, shard, substring
 from opsframe.llm.common import table
 
 
+def op1_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_table(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_leaks": op1_leaks,
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op4_main_text": op4_main_text,
