@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import langid, packing
+from opsframe.llm import decontaminate, langid, minhash, packing, pii
 from opsframe.llm.common import saved, table
 
 
@@ -18,12 +18,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).where("lang_pred <> 'und'").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: five-word shingles, similarity from 0.8 on."""
+    return minhash.one_of_each(docs, k=5, percent=80)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data are replaced by their kind; n_chars counts the new text."""
+    return pii.redact(docs, pii.train(docs), "text", "n_chars")
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining texts in windows of tokens, one row per piece."""
     return packing.pack(docs)
 
 
-STAGES = [("language", language), ("packing", pack)]
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("benchmark", benchmark),
+    ("personal_data", personal_data),
+    ("packing", pack),
+]
 ORACLE_SQL = None
 
 

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsframe.llm.common import grams, mix, saved, small_batches, text_bytes, word_blocks
@@ -231,3 +231,13 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, id_col:
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """documents without near duplicates: of each component the document with the least id stays, and of rows
+    with equal id and text one. Rows without an id stay, one of each text."""
+    found = near_duplicates(documents, k, percent, id_col, text_col)
+    gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    same = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(0))
+    return (documents.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+            .withColumn("_same", F.row_number().over(same)).where("_same = 1").drop("_same"))
