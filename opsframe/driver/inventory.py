@@ -153,7 +153,7 @@ def q_fleet_health(spark, sf):
     """C-9 / A-11: one health row per host (max disk, load, tasks, workers)."""
     r = Roles(spark, sf)
     hosts = r.host.select(F.col("instance_id").alias("host"), F.col("load_raw").alias("loadavg_curr"))
-    tasks = r.job.select(F.substring("queue", 11, 1 << 20).alias("host"))
+    tasks = r.job.select(F.expr("substring(queue, 11)").alias("host"))
     workers = r.deployment.filter(F.col("deactivation_date").isNull()).select(F.col("server_instance_id").alias("host"))
     h = I.fleet_health(hosts, _df_lines(r), tasks, workers)
     return h.select("host", "pct", "type", "loadavg_curr", "num_active_tasks", "num_workers")
@@ -169,8 +169,7 @@ tk AS (SELECT site, section, ord, sub,
 parsed AS (
   SELECT site,
          arg_max(t[2], (section, ord, sub)) FILTER (WHERE t[1] = 'server' AND t[2] <> '{') AS server,
-         coalesce(string_agg(array_to_string(t[2:], ' '), ' ' ORDER BY section, ord, sub) FILTER (WHERE t[1] = 'server_name'), '')
-           AS server_names,
+         array_to_string(arg_max(t[2:], (section, ord, sub)) FILTER (WHERE t[1] = 'server_name'), ' ') AS server_names,
          arg_max(string_split(t[2], '/')[4], (section, ord, sub)) FILTER (WHERE t[1] = 'alias') AS bundle_name,
          count(*) FILTER (WHERE t[1] = 'alias' AND len(string_split(t[2], '/')) < 4) AS n_bad_alias
   FROM tk WHERE len(t) >= 2 GROUP BY site)"""
@@ -182,7 +181,7 @@ def q_site_files(spark, sf):
     from opsframe.driver.routing import q_site_config_text
     lines = q_site_config_text(spark, sf)
     s = lines.select(F.col("app_id").alias("site"), F.struct("section", "ord").alias("ord"), F.col("line").alias("text"))
-    return I.site_files(s)
+    return (I.site_files(s).withColumn("server_names", F.array_join("server_name", " ")).drop("server_name"))
 
 
 @query("node_meta", oracle=with_roles(

@@ -54,6 +54,21 @@ def q_undeploy_plan(spark, sf):
     return plan.select("project_id", "n_matched", "n_warnings", "n_remaining", "action", "static_bundle_id")
 
 
+@query("undeploy_upstreams", oracle=with_roles(
+    """SELECT s.project_id, b.bundle_name AS static_bundle_name, s.id AS deployment_id, d.server_instance_id AS instance_id,
+              d.server_ip AS host_ip, d.server_port AS host_port
+       FROM snap s JOIN deployment d ON d.id = s.id
+       JOIN (SELECT project_id, arg_max(bundle_id, (creation_date, -id)) AS bundle_id FROM snap WHERE deactivation_date IS NULL GROUP BY project_id) n
+         ON n.project_id = s.project_id
+       LEFT JOIN bundle b ON b.id = n.bundle_id
+       WHERE s.deactivation_date IS NULL AND s.project_id IN (SELECT project_id FROM req)""", "deployment", "bundle", extra=REQ_CTE))
+def q_undeploy_upstreams(spark, sf):
+    """C-1: the servers left to the projects that undeploy a deleted bundle, and the bundle they serve static files from."""
+    r = Roles(spark, sf)
+    plan, snap = deploys.undeploy_plan(r.deployment, _deleted_bundle_requests(r), NOW)
+    return deploys.remaining_upstreams(snap, plan, r.bundle)
+
+
 @query("deactivate_snapshot", oracle=with_roles(
     "SELECT id, deactivation_date, was_deactivated, changed FROM snap", "deployment", "bundle", extra=REQ_CTE))
 def q_deactivate_snapshot(spark, sf):
@@ -161,22 +176,40 @@ def q_served_bundle(spark, sf):
 
 
 ADD_SQL = RECOVERY_CTES + """,
-placed_rows AS (SELECT per.project_id, per.restore_bundle_id AS bundle_id, a.instance_id AS server_instance_id, a.ip AS server_ip
-                FROM per JOIN project p ON p.id = per.project_id CROSS JOIN nl
-                CROSS JOIN LATERAL (SELECT unnest(range(0, least(p.num_workers, nl.n))) AS k) k
-                JOIN live a ON a.slot = (p.id + k.k) % nl.n),
-added AS (SELECT (SELECT max(id) FROM deployment) + row_number() OVER (ORDER BY project_id, bundle_id, server_instance_id) AS id,
-                 project_id, bundle_id, server_instance_id, server_ip, CAST(10001 AS INTEGER) AS server_port,
-                 """ + NOW_SQL + """ AS creation_date, CAST(NULL AS TIMESTAMP) AS deactivation_date FROM placed_rows)"""
+asks AS (SELECT r.project_id, r.restore_bundle_id AS bundle_id, r.bundle_name, a.instance_id, a.name AS node_name, a.ip,
+                row_number() OVER (PARTITION BY a.instance_id ORDER BY r.project_id) - 1 AS request_no
+         FROM recovered r JOIN project p ON p.id = r.project_id CROSS JOIN nl
+         CROSS JOIN LATERAL (SELECT unnest(range(0, least(p.num_workers, nl.n))) AS k) k
+         JOIN live a ON a.slot = (p.id + k.k) % nl.n WHERE r.status = 'ok'),
+top AS (SELECT h.instance_id, greatest(10000, coalesce(max(d.server_port), 0)) AS used
+        FROM (SELECT DISTINCT instance_id FROM asks) h LEFT JOIN deployment d ON d.server_instance_id = h.instance_id AND d.deactivation_date IS NULL
+        GROUP BY h.instance_id),
+choice AS (SELECT instance_id, port, row_number() OVER (PARTITION BY instance_id ORDER BY port) - 1 AS request_no
+           FROM (SELECT instance_id, unnest(range(used + 1, 25001)) AS port FROM top) c
+           WHERE NOT EXISTS (SELECT 1 FROM deployment d WHERE d.server_instance_id = c.instance_id AND d.server_port = c.port AND d.deactivation_date IS NOT NULL)),
+given AS (SELECT asks.*, CAST(choice.port AS INTEGER) AS port FROM asks JOIN choice USING (instance_id, request_no)),
+added AS (SELECT (SELECT max(id) FROM deployment) + row_number() OVER (ORDER BY project_id, bundle_id, instance_id) AS id,
+                 project_id, bundle_id, instance_id AS server_instance_id, ip AS server_ip, port AS server_port,
+                 """ + NOW_SQL + """ AS creation_date, CAST(NULL AS TIMESTAMP) AS deactivation_date FROM given)"""
+
+
+def _recovered(r):
+    dead_hosts = r.host.filter(F.col("load_raw") < 0)
+    _, new_rows = deploys.recovery_plan(r.deployment, r.project, r.bundle, r.host, dead_hosts)
+    return deploys.recovery_workers(r.deployment, new_rows)
 
 
 @query("recovery_new_workers", oracle=with_roles("SELECT * FROM added", "deployment", "project", "bundle", "host", extra=ADD_SQL))
 def q_recovery_new_workers(spark, sf):
     """S-4 + C-2: the deployment rows a recovery appends (active, stamped now,
-    dense ids after the table's max id)."""
+    dense ids after the table's max id), each on a free port of its host."""
     r = Roles(spark, sf)
-    dead_hosts = r.host.filter(F.col("load_raw") < 0)
-    _, new_rows = deploys.recovery_plan(r.deployment, r.project, r.bundle, r.host, dead_hosts)
-    new = new_rows.select("project_id", "bundle_id", F.col("instance_id").alias("server_instance_id"),
-                          F.col("ip").alias("server_ip"), F.lit(10001).alias("server_port"))
-    return M.add_workers(r.deployment, new, NOW)
+    return M.add_workers(r.deployment, _recovered(r).filter(F.col("status") == "ok"), NOW)
+
+
+@query("recovery_routes", oracle=with_roles(
+    "SELECT project_id, bundle_name, instance_id, node_name, ip AS host_ip, port AS host_port FROM given",
+    "deployment", "project", "bundle", "host", extra=ADD_SQL))
+def q_recovery_routes(spark, sf):
+    """C-2: the upstream rows of every recovered project."""
+    return deploys.recovery_routes(_recovered(Roles(spark, sf)))

@@ -194,32 +194,33 @@ def q_file_classes(spark, sf):
 
 
 def _ini_text(p):
-    """Every project's build config rendered as INI text (projects without a
-    database host omit ``extra_requirements``)."""
+    """Every project's build config rendered as INI text, in variants: without a database host
+    ``extra_requirements`` is left out; the version may come from ``[DEFAULT]``; comments stand behind
+    values; some files hold a line that is no INI."""
     sid = naming.sysid("id")
-    extra = F.when(F.col("db_host").isNotNull(), F.lit("extra_requirements: \n")).otherwise(F.lit(""))
+    extra = F.when(F.col("db_host").isNotNull(), F.lit("Extra_Requirements: \n")).otherwise(F.lit(""))
+    version = F.when(F.col("owner_id") % 3 == 0, "").otherwise("django_version: 1.3 ; the usual\n")
+    broken = F.when(F.col("owner_id") % 7 == 0, "this line is nothing\n").otherwise("")
     return p.select(F.col("id").alias("project_id"), F.concat(
-        F.lit("[project]\nsource_code_url: git://example.com/"), sid, F.lit(".git\ntitle: "), F.col("title"),
-        F.lit("\ndjango_version: 1.3\ndatabase_type = "), F.col("database_type"),
-        F.lit("\nbase_python_package: "), F.coalesce(F.col("hostname_slug"), F.lit("")),
-        F.lit("\ndjango_settings_module: "), sid, F.lit(".settings\n# media\nsite_media_map: static static\n  foo {SITE_PACKAGES}/foo\n"
-                                                     "  staticfiles staticfiles\n\nadditional_python_path_dirs: "), sid,
-        F.lit("_pth\nrequirements_files: \n"), extra, F.lit("[other]\ndjango_version: 9.9\n")).alias("text"))
+        F.lit("[DEFAULT]\ndjango_version = 1.2\n[project]\nsource: git://example.com/"), sid, F.lit(".git\ntitle: "), F.col("title"),
+        F.lit("\n"), version, F.lit("database_type = "), F.col("database_type"),
+        F.lit("\nbase_python_package: "), F.coalesce(F.col("hostname_slug"), F.lit('""')),
+        F.lit("\ndjango_settings_module: "), sid, F.lit(".live\n; media\nREM folders\nsite_media_map: pics var/pics\n  docs {SITE_PACKAGES}/docs\n\n"
+                                                         "  logos pics/logos\nadditional_python_path_dirs: "), sid,
+        F.lit("_lib\nrequirements_files = \n"), extra, broken, F.lit("[other]\ndjango_version: 9.9\n")).alias("text"))
 
 
 BUILD_SQL = """
-SELECT id AS project_id,
-       coalesce(hostname_slug, '') AS base_python_package,
-       printf('p%08d', id) || '.settings' AS django_settings_module,
-       'static static' || chr(10) || 'foo {SITE_PACKAGES}/foo' || chr(10) || 'staticfiles staticfiles' AS site_media_map,
-       printf('p%08d', id) || '_pth' AS additional_python_path_dirs,
-       '' AS requirements_files,
-       CASE WHEN db_host IS NOT NULL THEN '' END AS extra_requirements,
-       '1.3' AS django_version,
-       database_type,
-       CASE WHEN db_host IS NULL THEN 'extra_requirements' ELSE '' END AS missing,
-       CASE WHEN db_host IS NULL THEN 'error' ELSE 'ok' END AS status
-FROM project"""
+SELECT project_id, CASE WHEN fine THEN base END AS base_python_package, CASE WHEN fine THEN sid || '.live' END AS django_settings_module,
+       CASE WHEN fine THEN 'pics var/pics' || chr(10) || 'docs {SITE_PACKAGES}/docs' || chr(10) || 'logos pics/logos' END AS site_media_map,
+       CASE WHEN fine THEN sid || '_lib' END AS additional_python_path_dirs, CASE WHEN fine THEN '' END AS requirements_files,
+       CASE WHEN fine AND has_extra THEN '' END AS extra_requirements, CASE WHEN fine THEN version END AS django_version,
+       CASE WHEN fine THEN database_type END AS database_type,
+       CASE WHEN NOT fine THEN 'base_python_package,django_settings_module,site_media_map,additional_python_path_dirs,requirements_files,extra_requirements,django_version,database_type'
+            WHEN has_extra THEN '' ELSE 'extra_requirements' END AS missing,
+       CASE WHEN NOT fine THEN 'unparsable' WHEN has_extra THEN 'ok' ELSE 'error' END AS status
+FROM (SELECT id AS project_id, printf('p%08d', id) AS sid, coalesce(hostname_slug, '') AS base, db_host IS NOT NULL AS has_extra,
+             owner_id % 7 <> 0 AS fine, CASE WHEN owner_id % 3 = 0 THEN '1.2' ELSE '1.3' END AS version, database_type FROM project)"""
 
 
 @query("build_config", oracle=with_roles(BUILD_SQL, "project"))
@@ -230,10 +231,8 @@ def q_build_config(spark, sf):
     return P.build_config(_ini_text(Roles(spark, sf).project), "project_id")
 
 
-URLCONF_RE = (r"(?m)^ROOT_URLCONF[ \t]*=[ \t]*(?:'([^'\n]*)'|\"([^\"\n]*)\"|([A-Za-z_][A-Za-z0-9_]*))[ \t]*(?:#.*)?$")
-_UQ = URLCONF_RE.replace("'", "''")
-_URLCONF_DK = (f"CASE WHEN regexp_matches(content, '{_UQ}') THEN regexp_extract(content, '{_UQ}', 1) || "
-               f"regexp_extract(content, '{_UQ}', 2) || regexp_extract(content, '{_UQ}', 3) END")
+# the repositories' settings files assign ROOT_URLCONF on a line of its own, with either quotation mark
+_URLCONF_DK = """nullif(regexp_extract(regexp_extract(chr(10) || content, '\\nROOT_URLCONF *= *[^\\n]*'), '[''"]([^''"]*)[''"]', 1), '')"""
 
 
 def _repo_urls(rf):
@@ -370,100 +369,93 @@ def q_version_choices(spark, sf):
             .select("django_version", "caption", "n_projects").orderBy(F.desc("django_version")))
 
 
-# Requirement files of every project (this library's own fixture text; the
-# rules only pick which variant a project gets, from its own columns).
+# Requirement files of every project, in folders (this library's own fixture text; the
+# rules only pick which variant a project gets, from its own columns). The same table feeds
+# the oracle, which parses and resolves with patterns and a recursion of its own.
 def _req_lines(p):
     sid = naming.sysid("id")
     dbt = F.col("database_type")
     rows = [
         ("requirements.txt", 0, F.concat(F.lit("# requirements for "), sid)),
-        ("requirements.txt", 1, F.lit("--requirement=base.txt")),
-        ("requirements.txt", 2, F.lit("Django==1.3.1")),
-        ("requirements.txt", 3, F.lit("simplejson==2.1.1  # json support")),
+        ("requirements.txt", 1, F.lit("--requirement=req/base.txt")),
+        ("requirements.txt", 2, F.lit("Flask_Thing == 1.3.1")),
+        ("requirements.txt", 3, F.lit("json5==2.1.1  # json support")),
         ("requirements.txt", 4, F.concat(F.lit("-e git+git://example.com/"), sid, F.lit(".git#egg="), sid)),
-        ("requirements.txt", 5, F.concat(F.lit("http://example.com/tarball/"), sid, F.lit("#egg=extra-"), F.col("id").cast("string"))),
+        ("requirements.txt", 5, F.concat(F.lit("http://example.com/tarball/"), sid, F.lit("#egg=extra_"), F.col("id").cast("string"))),
         ("requirements.txt", 6, F.lit("")),
-        ("requirements.txt", 7, F.when(dbt == "automobile", F.lit("django-tagging<>0.3")).otherwise(F.lit("django-tagging>=0.3, <0.4"))),
-        ("base.txt", 0, F.lit("-i http://index.example.com/simple/")),
-        ("base.txt", 1, F.concat(F.lit("--find-links=http://links.example.com/"), F.col("owner_id").cast("string"))),
-        ("base.txt", 2, F.lit("South==0.7.2")),
-        ("base.txt", 3, F.when(dbt == "building", F.lit("DJANGO==1.2.7")).otherwise(F.lit("pytz"))),
-        ("base.txt", 4, F.when(dbt == "household", F.lit("-r missing.txt")).otherwise(F.lit(""))),
+        ("requirements.txt", 7, F.when(dbt == "automobile", F.lit("tag-cloud<>0.3")).otherwise(F.lit("tag-cloud>=0.3, <0.4"))),
+        ("requirements.txt", 8, F.lit("images[png, jpeg] >= 2.0")),
+        ("req/base.txt", 0, F.lit("-i http://index.example.com/simple/")),
+        ("req/base.txt", 1, F.concat(F.lit("--find-links=http://links.example.com/"), F.col("owner_id").cast("string"))),
+        ("req/base.txt", 2, F.lit("Migrate==0.7.2")),
+        ("req/base.txt", 3, F.when(dbt == "building", F.lit("FLASK-thing==1.2.7")).otherwise(F.lit("zones"))),
+        ("req/base.txt", 4, F.lit("-r ./more/deep.txt")),
+        ("req/more/deep.txt", 0, F.lit("-r ../../common.txt")),
+        ("req/more/deep.txt", 1, F.when(dbt == "household", F.lit("-r missing.txt")).when(dbt == "machinery", F.lit("-r ../base.txt"))
+                                  .when(dbt == "furniture", F.lit("-r http://example.com/all.txt")).otherwise(F.lit("deep.pkg"))),
+        ("common.txt", 0, F.lit("common_lib~=3.1")),
+        ("unused.txt", 0, F.lit("never==1")),
     ]
     arr = F.array(*[F.struct(F.lit(f).alias("file"), F.lit(n).alias("line_no"), v.alias("line")) for f, n, v in rows])
     return p.select(F.col("id").alias("project_id"), F.explode(arr).alias("r")).select("project_id", "r.*")
 
 
-REQ_IGNORE = ["SOUTH"]
-
-
-def _dk(rx: str) -> str:
-    return rx.replace("'", "''")
-
-
-REQ_CTES = f"""
-rf AS (
-  SELECT id AS project_id, 'requirements.txt' AS file, 0 AS line_no, '# requirements for ' || printf('p%08d', id) AS line FROM project
-  UNION ALL SELECT id, 'requirements.txt', 1, '--requirement=base.txt' FROM project
-  UNION ALL SELECT id, 'requirements.txt', 2, 'Django==1.3.1' FROM project
-  UNION ALL SELECT id, 'requirements.txt', 3, 'simplejson==2.1.1  # json support' FROM project
-  UNION ALL SELECT id, 'requirements.txt', 4, '-e git+git://example.com/' || printf('p%08d', id) || '.git#egg=' || printf('p%08d', id) FROM project
-  UNION ALL SELECT id, 'requirements.txt', 5, 'http://example.com/tarball/' || printf('p%08d', id) || '#egg=extra-' || CAST(id AS VARCHAR) FROM project
-  UNION ALL SELECT id, 'requirements.txt', 6, '' FROM project
-  UNION ALL SELECT id, 'requirements.txt', 7, CASE WHEN database_type = 'automobile' THEN 'django-tagging<>0.3' ELSE 'django-tagging>=0.3, <0.4' END FROM project
-  UNION ALL SELECT id, 'base.txt', 0, '-i http://index.example.com/simple/' FROM project
-  UNION ALL SELECT id, 'base.txt', 1, '--find-links=http://links.example.com/' || CAST(owner_id AS VARCHAR) FROM project
-  UNION ALL SELECT id, 'base.txt', 2, 'South==0.7.2' FROM project
-  UNION ALL SELECT id, 'base.txt', 3, CASE WHEN database_type = 'building' THEN 'DJANGO==1.2.7' ELSE 'pytz' END FROM project
-  UNION ALL SELECT id, 'base.txt', 4, CASE WHEN database_type = 'household' THEN '-r missing.txt' ELSE '' END FROM project),
-lv0 AS (SELECT project_id, [0, line_no] AS ord, line,
-               regexp_replace(regexp_replace(line, '{_dk(P.REQ_COMMENT_RE)}', ''), '^\\s+|\\s+$', '', 'g') AS s
-        FROM rf WHERE file = 'requirements.txt'),
-inc0 AS (SELECT project_id, ord, regexp_extract(s, '{_dk(P.REQ_INCLUDE_RE)}', 1) AS target FROM lv0
-         WHERE regexp_matches(s, '{_dk(P.REQ_INCLUDE_RE)}')),
-lv1 AS (SELECT i.project_id, list_concat(i.ord, [r.line_no]) AS ord, r.line,
-               regexp_replace(regexp_replace(r.line, '{_dk(P.REQ_COMMENT_RE)}', ''), '^\\s+|\\s+$', '', 'g') AS s
-        FROM inc0 i JOIN rf r ON r.project_id = i.project_id AND r.file = i.target),
-inc1 AS (SELECT project_id, ord, regexp_extract(s, '{_dk(P.REQ_INCLUDE_RE)}', 1) AS target FROM lv1
-         WHERE regexp_matches(s, '{_dk(P.REQ_INCLUDE_RE)}')),
-unread AS (SELECT i.* FROM (SELECT * FROM inc0 UNION ALL SELECT * FROM inc1) i
-           WHERE NOT EXISTS (SELECT 1 FROM rf WHERE rf.project_id = i.project_id AND rf.file = i.target)),
-okl AS (SELECT project_id, ord, line, s FROM lv0 WHERE NOT regexp_matches(s, '{_dk(P.REQ_INCLUDE_RE)}')
-        UNION ALL SELECT project_id, ord, line, s FROM lv1 WHERE NOT regexp_matches(s, '{_dk(P.REQ_INCLUDE_RE)}')
-        UNION ALL SELECT id, [{P.EXTRA_ORDER}, 0], 'gunicorn==0.12.1', 'gunicorn==0.12.1' FROM project),
-parsed AS (
-  SELECT project_id, ord, line,
-    CASE WHEN regexp_matches(s, '{_dk(P.REQ_FIND_LINKS_RE)}') THEN 0
-         WHEN regexp_matches(s, '{_dk(P.REQ_INDEX_RE)}') THEN 1
-         WHEN regexp_matches(s, '{_dk(P.REQ_EDITABLE_RE)}') OR regexp_matches(s, '{_dk(P.REQ_URL_RE)}')
-              OR regexp_matches(s, '{_dk(P.REQ_SPEC_RE)}') THEN 2 END AS section,
-    CASE WHEN regexp_matches(s, '{_dk(P.REQ_FIND_LINKS_RE)}') THEN '--find-links=' || regexp_extract(s, '{_dk(P.REQ_FIND_LINKS_RE)}', 1)
-         WHEN regexp_matches(s, '{_dk(P.REQ_INDEX_RE)}') THEN '--extra-index-url=' || regexp_extract(s, '{_dk(P.REQ_INDEX_RE)}', 1)
-         WHEN regexp_matches(s, '{_dk(P.REQ_EDITABLE_RE)}') THEN '-e ' || regexp_extract(s, '{_dk(P.REQ_EDITABLE_RE)}', 1)
-         WHEN regexp_matches(s, '{_dk(P.REQ_URL_RE)}') THEN CASE WHEN regexp_extract(s, '{_dk(P.REQ_EGG_RE)}', 1) <> ''
-              THEN regexp_extract(s, '{_dk(P.REQ_EGG_RE)}', 1) ELSE regexp_extract(s, '{_dk(P.REQ_URL_RE)}', 0) END
-         WHEN regexp_matches(s, '{_dk(P.REQ_SPEC_RE)}') THEN regexp_extract(s, '{_dk(P.REQ_SPEC_RE)}', 1)
-              || regexp_replace(regexp_extract(s, '{_dk(P.REQ_SPEC_RE)}', 2), '\\s+', '', 'g') END AS out,
-    CASE WHEN regexp_matches(s, '{_dk(P.REQ_EDITABLE_RE)}') OR regexp_matches(s, '{_dk(P.REQ_URL_RE)}')
-              THEN CASE WHEN regexp_extract(s, '{_dk(P.REQ_EGG_RE)}', 1) <> '' THEN lower(regexp_extract(s, '{_dk(P.REQ_EGG_RE)}', 1)) END
-         WHEN regexp_matches(s, '{_dk(P.REQ_SPEC_RE)}') AND NOT regexp_matches(s, '{_dk(P.REQ_INDEX_RE)}')
-              AND NOT regexp_matches(s, '{_dk(P.REQ_FIND_LINKS_RE)}') THEN lower(regexp_extract(s, '{_dk(P.REQ_SPEC_RE)}', 1)) END AS key
-  FROM okl WHERE s <> ''),
-good AS (SELECT * FROM parsed WHERE section IS NOT NULL AND (key IS NULL OR key NOT IN ('south'))),
-reqout AS (
-  SELECT project_id, section, array_to_string(list_transform(ord, lambda x: lpad(CAST(x AS VARCHAR), 6, '0')), '.') AS ord_key,
-         out AS line, 'ok' AS status FROM good
-  UNION ALL SELECT project_id, -1, array_to_string(list_transform(ord, lambda x: lpad(CAST(x AS VARCHAR), 6, '0')), '.'), line,
-         'bad_syntax' FROM parsed WHERE section IS NULL
-  UNION ALL SELECT project_id, -1, '', key, 'duplicate' FROM good WHERE key IS NOT NULL GROUP BY project_id, key HAVING count(*) > 1
-  UNION ALL SELECT project_id, -1, array_to_string(list_transform(ord, lambda x: lpad(CAST(x AS VARCHAR), 6, '0')), '.'), target,
-         'unreadable' FROM unread)"""
-
-
-@query("requirements", oracle=with_roles("SELECT * FROM reqout", "project", extra=REQ_CTES))
+REQ_IGNORE = ["MIGRATE"]
+
+REQ_SQL = """SELECT * FROM (
+WITH RECURSIVE rf AS (
+  SELECT id AS project_id, v.file, v.line_no, CASE
+      WHEN v.line = '@sid' THEN '# requirements for ' || printf('p%08d', id)
+      WHEN v.line = '@edit' THEN '-e git+git://example.com/' || printf('p%08d', id) || '.git#egg=' || printf('p%08d', id)
+      WHEN v.line = '@tar' THEN 'http://example.com/tarball/' || printf('p%08d', id) || '#egg=extra_' || id
+      WHEN v.line = '@links' THEN '--find-links=http://links.example.com/' || owner_id
+      WHEN v.line = '@tag' THEN CASE WHEN database_type = 'automobile' THEN 'tag-cloud<>0.3' ELSE 'tag-cloud>=0.3, <0.4' END
+      WHEN v.line = '@zone' THEN CASE WHEN database_type = 'building' THEN 'FLASK-thing==1.2.7' ELSE 'zones' END
+      WHEN v.line = '@deep' THEN CASE database_type WHEN 'household' THEN '-r missing.txt' WHEN 'machinery' THEN '-r ../base.txt'
+                                 WHEN 'furniture' THEN '-r http://example.com/all.txt' ELSE 'deep.pkg' END
+      ELSE v.line END AS line
+  FROM project, (VALUES
+    ('requirements.txt', 0, '@sid'), ('requirements.txt', 1, '--requirement=req/base.txt'), ('requirements.txt', 2, 'Flask_Thing == 1.3.1'),
+    ('requirements.txt', 3, 'json5==2.1.1  # json support'), ('requirements.txt', 4, '@edit'), ('requirements.txt', 5, '@tar'),
+    ('requirements.txt', 6, ''), ('requirements.txt', 7, '@tag'), ('requirements.txt', 8, 'images[png, jpeg] >= 2.0'),
+    ('req/base.txt', 0, '-i http://index.example.com/simple/'), ('req/base.txt', 1, '@links'), ('req/base.txt', 2, 'Migrate==0.7.2'),
+    ('req/base.txt', 3, '@zone'), ('req/base.txt', 4, '-r ./more/deep.txt'), ('req/more/deep.txt', 0, '-r ../../common.txt'),
+    ('req/more/deep.txt', 1, '@deep'), ('common.txt', 0, 'common_lib~=3.1'), ('unused.txt', 0, 'never==1')) v(file, line_no, line)),
+clean AS (SELECT *, trim(split_part(' ' || line, ' #', 1)) AS s FROM rf),
+tok AS (SELECT *, CASE WHEN starts_with(s, '-r ') THEN trim(s[4:]) WHEN starts_with(s, '--requirement=') THEN s[15:] END AS target FROM clean),
+aimed AS (SELECT *, CASE WHEN contains(target, '://') THEN target ELSE
+    regexp_replace(regexp_replace(replace('/' || array_to_string(string_split(file, '/')[1:len(string_split(file, '/')) - 1], '/') || '/' || target, '/./', '/'),
+      '[^/]+/[.][.]/', ''), '[^/]+/[.][.]/', '') END AS raw FROM tok),
+item AS (SELECT project_id, file, line_no, line, s, target, CASE WHEN contains(target, '://') THEN raw ELSE ltrim(replace(raw, '//', '/'), '/') END AS goal FROM aimed),
+walk AS (
+  SELECT project_id, file, line, s, target, goal, [CAST(0 AS BIGINT), line_no] AS ord, [file] AS chain FROM item WHERE file = 'requirements.txt'
+  UNION ALL
+  SELECT i.project_id, i.file, i.line, i.s, i.target, i.goal, list_append(w.ord, i.line_no), list_append(w.chain, i.file)
+  FROM walk w JOIN item i ON i.project_id = w.project_id AND i.file = w.goal WHERE w.target IS NOT NULL AND NOT list_contains(w.chain, w.goal)),
+flaws AS (SELECT project_id, ord, goal AS line, CASE WHEN contains(goal, '://') THEN 'remote_include'
+            WHEN list_contains(chain, goal) THEN 'include_cycle' ELSE 'unreadable' END AS status
+          FROM walk w WHERE target IS NOT NULL AND (contains(goal, '://') OR list_contains(chain, goal)
+            OR NOT EXISTS (SELECT 1 FROM rf WHERE rf.project_id = w.project_id AND rf.file = w.goal))),
+entry AS (SELECT project_id, 0 AS part, ord, line, s FROM walk WHERE target IS NULL AND s <> ''
+          UNION ALL SELECT id, 1, [CAST(0 AS BIGINT)], 'gunicorn==0.12.1', 'gunicorn==0.12.1' FROM project),
+kind AS (SELECT *, CASE WHEN starts_with(s, '--find-links=') THEN 'links' WHEN starts_with(s, '-i ') THEN 'index' WHEN starts_with(s, '-e ') THEN 'edit'
+                        WHEN contains(s, '://') THEN 'url' WHEN contains(s, '<>') THEN 'bad' ELSE 'spec' END AS k FROM entry),
+named AS (SELECT *, CASE k WHEN 'edit' THEN split_part(s, '#egg=', 2) WHEN 'url' THEN replace(split_part(s, '#egg=', 2), '_', '-')
+                           WHEN 'spec' THEN replace(regexp_extract(s, '^[A-Za-z0-9._-]+'), '_', '-') END AS dist FROM kind),
+good AS (SELECT *, lower(dist) AS key FROM named WHERE k <> 'bad' AND (dist IS NULL OR lower(dist) <> 'migrate')),
+keyed AS (SELECT *, part || '.' || array_to_string(list_transform(ord, lambda x: lpad(CAST(x AS VARCHAR), 19, '0')), '.') AS ord_key FROM good)
+SELECT project_id, CASE k WHEN 'links' THEN 0 WHEN 'index' THEN 1 ELSE 2 END AS section, ord_key,
+       CASE k WHEN 'links' THEN s WHEN 'index' THEN '--extra-index-url=' || trim(s[4:]) WHEN 'edit' THEN s WHEN 'url' THEN dist
+              ELSE dist || replace(s[length(dist) + 1:], ' ', '') END AS line, 'ok' AS status FROM keyed
+UNION ALL SELECT project_id, -1, part || '.' || array_to_string(list_transform(ord, lambda x: lpad(CAST(x AS VARCHAR), 19, '0')), '.'), line, 'bad_syntax' FROM named WHERE k = 'bad'
+UNION ALL SELECT project_id, -1, '', key, 'duplicate' FROM good WHERE key IS NOT NULL GROUP BY project_id, key HAVING count(*) > 1
+UNION ALL SELECT project_id, -1, '0.' || array_to_string(list_transform(ord, lambda x: lpad(CAST(x AS VARCHAR), 19, '0')), '.'), line, status FROM flaws)"""
+
+
+@query("requirements", oracle=with_roles(REQ_SQL, "project"))
 def q_requirements(spark, sf):
     """C-6 / S-14 / X-25 / X-29 / A-8 / U-3: requirements of every project:
-    ``-r`` includes resolved, ``South`` excluded (case-insensitive), duplicate
+    ``-r`` includes resolved relative to their file, ``Migrate`` excluded (case-insensitive), duplicate
     keys, bad syntax and missing files reported, output ordered find-links →
     index options → requirement lines (sort by section, ord_key)."""
     p = Roles(spark, sf).project

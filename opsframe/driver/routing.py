@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opsframe.functions.naming import CUSTOMER_DNS_ROOT_DOMAIN as ROOT
+from opsframe.functions.naming import ROOT_DOMAIN as ROOT
 from opsframe.plans import routing
 from opsframe.plans.projectcfg import site_media_entries
 from opsframe.registry import query
 from opsframe.sources.roles import Roles, with_roles
 
-# The site media map every project is given in these queries: the reference's
-# proxy test fixture, rendered as the text a build config carries (fixed values).
+# The site media map every project is given in these queries (this library's own entries).
 MEDIA_MAP_TEXT = "\n".join([
-    "/static/ /path/to/static",
-    "/otherstatic/ /somewhere/else",
-    "/media/somepackage {SITE_PACKAGES}/somepackage/media",
-    "/media/srcpackage {SRC_PACKAGES}/something",
+    "/pics/ /var/pics",
+    "/docs/ var/docs/",
+    "/media/widgets {SITE_PACKAGES}/widgets/media",
+    "/media/maps {SRC_PACKAGES}//maps",
 ])
 
 HOSTNAMES_SQL = f"""
@@ -91,23 +90,41 @@ SITE_SQL = ROUTING_CTES + "," + UPSTREAMS_CTE + f""",
 r AS (SELECT project_id, printf('p%08d', project_id) AS app_id, bundle_name, n_upstreams,
              '/cust/' || printf('p%08d', project_id) || '/' || bundle_name AS bdir
       FROM rt WHERE status = 'routed'),
-media(url_path, file_path, pos) AS (VALUES ('/static/', '/path/to/static', 0), ('/otherstatic/', '/somewhere/else', 1),
-      ('/media/somepackage/', '{{SITE_PACKAGES}}/somepackage/media', 2), ('/media/srcpackage/', '{{SRC_PACKAGES}}/something', 3)),
+media(url_path, file_path, pos) AS (VALUES ('/pics/', '/var/pics', 0), ('/docs/', 'var/docs/', 1),
+      ('/media/widgets/', '{{SITE_PACKAGES}}/widgets/media', 2), ('/media/maps/', '{{SRC_PACKAGES}}//maps', 3)),
+names AS (SELECT project_id, string_agg(hostname, ' ' ORDER BY branch, pos) AS names FROM hn GROUP BY project_id),
 lines AS (
 SELECT project_id, app_id, 0 AS section, CAST(0 AS BIGINT) AS ord, 'upstream app_server_' || app_id || ' {{' AS line FROM r
 UNION ALL SELECT u.project_id, app_id, 1, u.deployment_id, '    server ' || host_ip || ':' || CAST(host_port AS VARCHAR) || ' max_fails=2  fail_timeout=10s;'
           FROM ups u JOIN r ON u.project_id = r.project_id
 UNION ALL SELECT project_id, app_id, 2, 0, '}}' FROM r
-UNION ALL SELECT project_id, app_id, 3, 0, 'server {{' FROM r
-UNION ALL SELECT h.project_id, app_id, 4, CAST(h.branch AS BIGINT) * 1099511627776 + h.pos, '    server_name ' || h.hostname || ' ;'
-          FROM hn h JOIN r ON h.project_id = r.project_id
-UNION ALL SELECT project_id, app_id, 5, 0, '    access_log /tmp/' || app_id || '.access.log combined;' FROM r
+UNION ALL SELECT project_id, app_id, 3, 0, 'server {{' || chr(10) || '    listen 80;' || chr(10) || '    client_max_body_size 1G;' FROM r
+UNION ALL SELECT r.project_id, app_id, 4, 0, '    server_name ' || n.names || ' ;' FROM names n JOIN r ON n.project_id = r.project_id
+UNION ALL SELECT project_id, app_id, 5, 0, '    access_log /tmp/' || app_id || $$.access.log combined;
+    keepalive_timeout 5;
+    gzip on;
+    gzip_http_version 1.1;
+    gzip_comp_level 1;
+    gzip_min_length 1100;
+    gzip_proxied any;
+    gzip_types text/plain text/html text/css application/json application/x-javascript text/xml application/xml application/xml+rss text/javascript;
+    gzip_buffers 16 8k;
+    gzip_disable "MSIE [1-6].(?!.*SV1)";
+    gzip_vary on;$$ FROM r
 UNION ALL SELECT project_id, app_id, 6, m.pos, '    location ' || m.url_path || ' {{' || chr(10) || '        alias ' || {_dk_alias('bdir', 'm.file_path')} || '/;' || chr(10) || '    }}'
           FROM r, media m
-UNION ALL SELECT project_id, app_id, 6, 1099511627776, '    location /_dz/admin_media/ {{' || chr(10) || '        alias ' || bdir
+UNION ALL SELECT project_id, app_id, 7, 0, '    location /_admin_media/ {{' || chr(10) || '        alias ' || bdir
           || '/lib/python2.6/site-packages/django/contrib/admin/media/;' || chr(10) || '    }}' FROM r
-UNION ALL SELECT project_id, app_id, 7, 0, '    location / {{' || chr(10) || '        proxy_pass http://app_server_' || app_id || ';' || chr(10) || '    }}' FROM r
-UNION ALL SELECT project_id, app_id, 8, 0, '}}' FROM r
+UNION ALL SELECT project_id, app_id, 8, 0, $$    location / {{
+        proxy_set_header X-Forwarded-For $proxy_add_x_forwarded_for;
+        proxy_set_header Host $http_host;
+        proxy_redirect off;
+        if (!-f $request_filename) {{
+            proxy_pass http://app_server_$$ || app_id || $$;
+            break;
+        }}
+    }}$$ FROM r
+UNION ALL SELECT project_id, app_id, 9, 0, '}}' FROM r
 UNION ALL SELECT project_id, app_id, -1, 0, 'error: no appserver upstreams' FROM r WHERE n_upstreams = 0)"""
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 # ---- fixed values (must equal the platform's constants) --------------------
 SYSID_FORMAT = "p%08d"                      # project system id
-CUSTOMER_DNS_ROOT_DOMAIN = "djangozoom.net"  # canonical and slug hosts live here
 BUNDLE_STAMP_FORMAT = "yyyy-MM-dd-HH.mm.ss"  # bundle_<app>_<stamp>, UTC
 REVISION_LIMIT = 512                        # stored code_revision length
 REVISION_KEEP = 509                         # then "..." is appended
 # ---------------------------------------------------------------------------
 
+ROOT_DOMAIN = "apps.example.com"            # default domain of canonical and slug hosts (a parameter)
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -23,15 +24,15 @@ def sysid(project_id) -> Column:
     return F.format_string(SYSID_FORMAT, _c(project_id))
 
 
-def canonical_host(project_id) -> Column:
+def canonical_host(project_id, domain: str = ROOT_DOMAIN) -> Column:
     """X-2: ``<sysid>.<root domain>``."""
-    return F.concat(sysid(project_id), F.lit("." + CUSTOMER_DNS_ROOT_DOMAIN))
+    return F.concat(sysid(project_id), F.lit("." + domain))
 
 
-def slug_host(slug) -> Column:
+def slug_host(slug, domain: str = ROOT_DOMAIN) -> Column:
     """X-3: ``<slug>.<root domain>`` when the slug is neither null nor empty, else null."""
     s = _c(slug)
-    return F.when(F.coalesce(s, F.lit("")) != "", F.concat(s, F.lit("." + CUSTOMER_DNS_ROOT_DOMAIN)))
+    return F.when(F.coalesce(s, F.lit("")) != "", F.concat(s, F.lit("." + domain)))
 
 
 def wildcard_expansion(hostname, is_wildcard) -> Column:

@@ -17,7 +17,7 @@ DB_FIELDS = ("db_host", "db_name", "db_username", "db_password")
 POSTGIS_TYPE = "postgresql-gis"
 
 
-def _ts(now) -> Column:
+def stamp(now) -> Column:
     return now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
 
 
@@ -29,7 +29,7 @@ def deactivate(deployment: DataFrame, matched_ids: DataFrame, now) -> DataFrame:
     out = deployment.join(m, "id", "left")
     hit = F.coalesce(F.col("__m"), F.lit(False))
     return (out.withColumn("was_deactivated", hit & F.col("deactivation_date").isNotNull())
-            .withColumn("deactivation_date", F.when(hit, _ts(now)).otherwise(F.col("deactivation_date")))
+            .withColumn("deactivation_date", F.when(hit, stamp(now)).otherwise(F.col("deactivation_date")))
             .withColumn("changed", hit).drop("__m"))
 
 
@@ -55,7 +55,7 @@ def soft_delete(bundle: DataFrame, requested_ids: DataFrame, now, stored: DataFr
         outcomes = (outcomes.join(keys, F.concat(F.col("bundle_name"), F.lit(".tgz")) == F.col("__key"), "left")
                     .withColumn("file_found", F.coalesce("file_found", F.lit(False))).drop("__key"))
     hit = bundle.join(req.withColumn("__r", F.lit(True)), "id", "left")
-    snapshot = (hit.withColumn("deletion_date", F.when(F.col("__r") & F.col("deletion_date").isNull(), _ts(now))
+    snapshot = (hit.withColumn("deletion_date", F.when(F.col("__r") & F.col("deletion_date").isNull(), stamp(now))
                                .otherwise(F.col("deletion_date"))).drop("__r"))
     return snapshot, outcomes
 
@@ -111,7 +111,7 @@ def add_workers(deployment: DataFrame, new: DataFrame, now) -> DataFrame:
     return numbered.select(
         (F.lit(start) + F.col("__i") + 1).cast("bigint").alias("id"), "project_id", "bundle_id",
         "server_instance_id", "server_ip", F.col("server_port").cast("int").alias("server_port"),
-        _ts(now).alias("creation_date"), F.lit(None).cast("timestamp_ntz").alias("deactivation_date"))
+        stamp(now).alias("creation_date"), F.lit(None).cast("timestamp_ntz").alias("deactivation_date"))
 
 
 def store_catalog(bundle: DataFrame, stored: DataFrame) -> DataFrame:

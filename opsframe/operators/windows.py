@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsframe.functions.times import seconds_between
+from opsframe.session import cut_lineage
 
 
 def _cols(cs) -> list[Column]:
@@ -44,53 +45,31 @@ def running_count_before(df: DataFrame, keys: list[str], order: list[str], flag:
 
 
 def dense_index(df: DataFrame, order: list[str], out: str = "idx", buckets: int | None = None,
-                start: Column | int = 0, sample_per_bucket: int = 20) -> DataFrame:
+                start: Column | int = 0) -> DataFrame:
     """W-8: consecutive 0-based (plus ``start``) index in ``order`` without a
     global (single-task) window.
 
-    Pass 1 fixes ``buckets - 1`` edges of the *full* sort key from a seeded
-    sample of ``sample_per_bucket`` rows per bucket (a bounded set of key
-    tuples read in one pass, like a range partitioner's sample) and stores them
-    as literals, so every branch of the plan and every recomputation after a
-    lost executor sees the same buckets, and ties on a leading column still
-    spread over buckets. Rows are numbered inside their bucket by a window
-    partitioned on the bucket. Pass 2: per-bucket counts — one row per
-    bucket, a proven size bound — become offsets, joined back by broadcast.
+    One pass over the input: rows are range-partitioned by the *full* sort key
+    (so ties on a leading column still spread), sorted inside their partition
+    and numbered there (``monotonically_increasing_id`` is the partition number
+    and the row's place in it). The result is written once to the reliable
+    checkpoint, which fixes the numbering for every branch of the plan and for
+    recomputation after a lost executor. Counts per partition - one row per
+    partition, a proven size bound - become offsets, joined by broadcast.
     """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*_cols(order))
-    edges: list = []
-    if n > 1:
-        # one pass: a seeded uniform sample of k keys (a top-k on a seeded random
-        # column keeps k rows per task), sorted here — k is bounded by n
-        k = sample_per_bucket * n
-        got = df.select(key.alias("k"), F.rand(17).alias("r")).orderBy("r").limit(k).collect()
-        if not got:
-            # empty input: nothing to bucket (a constant bucket would only fold
-            # the offset join into a nested loop); the plain window stays correct
-            w0 = Window.orderBy(*_cols(order))
-            start0 = start if isinstance(start, Column) else F.lit(start)
-            return df.withColumn(out, (F.row_number().over(w0) - 1 + start0).cast("bigint"))
-        sample = sorted((tuple(r["k"]) for r in got if all(v is not None for v in r["k"])))
-        if sample:
-            picks = sorted({min(len(sample) - 1, (i * len(sample)) // n) for i in range(1, n)})
-            edges = sorted({sample[i] for i in picks})
-    # rows compare to edges as structs (nulls order first, as in the sort);
-    # a null key takes bucket -1, and the key column keeps the bucket from
-    # folding to a constant (which would plan a single-partition window)
-    bucket = F.when(key.isNull(), F.lit(-1)).otherwise(F.lit(0))
-    for e in edges:
-        lit_key = F.struct(*[F.lit(v).cast(dict(df.dtypes)[c]) for c, v in zip(order, e)])
-        bucket = bucket + F.when(key >= lit_key, 1).otherwise(0)
-    d = df.withColumn("__bk", bucket)
-    numbered = d.withColumn("__row", F.row_number().over(Window.partitionBy("__bk").orderBy(*_cols(order))) - 1)
-    counts = d.groupBy("__bk").agg(F.count(F.lit(1)).alias("__n"))
+    cols = _cols(order)
+    placed = cut_lineage(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                         .withColumn("__at", F.monotonically_increasing_id()))
+    numbered = (placed.withColumn("__bk", F.shiftright("__at", 33))
+                .withColumn("__row", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))))
+    counts = numbered.groupBy("__bk").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
     start_c = start if isinstance(start, Column) else F.lit(start)
     return (numbered.join(F.broadcast(offsets), "__bk")
             .withColumn(out, (F.col("__off") + F.col("__row") + start_c).cast("bigint"))
-            .drop("__bk", "__row", "__off"))
+            .drop("__at", "__bk", "__row", "__off"))
 
 
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank_col: str = "rn") -> DataFrame:

@@ -80,9 +80,9 @@ def site_files(site_lines: DataFrame) -> DataFrame:
 
     ``site_lines``: (site, ord, text) where ``text`` may hold several lines.
     Each line is stripped, a trailing ``;`` dropped, and split on whitespace;
-    lines with fewer than two tokens are ignored. ``server X`` (X not ``{``)
-    and ``alias`` (4th path part = bundle name) are last-wins;
-    ``server_name`` lines accumulate in file order. An alias path with fewer
+    lines with fewer than two tokens are ignored. ``server X`` (X not ``{``),
+    ``alias`` (4th path part = bundle name) and ``server_name`` (the list of
+    its names) are last-wins. An alias path with fewer
     than four parts is an ``error``. Sites starting with ``.`` are skipped.
     """
     ln = (site_lines.filter(~F.col("site").startswith("."))
@@ -91,13 +91,11 @@ def site_files(site_lines: DataFrame) -> DataFrame:
     t = ln.withColumn("t", toks).filter(F.size("t") >= 2).withColumn("pos", F.struct("ord", "sub"))
     first, second = F.col("t")[0], F.col("t")[1]
     is_server = (first == "server") & (second != "{")
-    is_alias = first == "alias"
+    is_alias, is_name = first == "alias", first == "server_name"
     alias_part = F.try_element_at(F.split(second, "/"), F.lit(4))
     return t.groupBy("site").agg(
         F.max_by(F.when(is_server, second), F.when(is_server, F.col("pos"))).alias("server"),
-        F.array_join(F.flatten(F.transform(
-            F.sort_array(F.collect_list(F.when(first == "server_name", F.struct("pos", F.slice("t", 2, 1 << 20).alias("v"))))),
-            lambda x: x["v"])), " ").alias("server_names"),
+        F.max_by(F.when(is_name, F.expr("slice(t, 2, size(t))")), F.when(is_name, F.col("pos"))).alias("server_name"),
         F.max_by(F.when(is_alias, alias_part), F.when(is_alias, F.col("pos"))).alias("bundle_name"),
         F.count(F.when(is_alias & alias_part.isNull(), 1)).alias("n_bad_alias"))
 

@@ -78,8 +78,11 @@ def config_guesses(files: DataFrame, src_url: DataFrame) -> DataFrame:
     keys = ["repo_id", "path"]
     paths = files.select("repo_id", "path")
     py = paths.filter(F.col("path").endswith(".py")).withColumnRenamed("path", "py_path")
-    st = (files.filter(file_class("path") == "settings")
-          .select(*keys, setting_value("content", "ROOT_URLCONF").alias("urlconf"))
+    # Python's own parser, on settings files only; files it can't parse are left out of everything
+    parsed = files.filter(file_class("path") == "settings").select(*keys, setting_value_exact("content", "ROOT_URLCONF").alias("v"))
+    skipped = parsed.filter(~F.col("v.parsed")).select(*keys)
+    py = py.join(skipped.withColumnRenamed("path", "py_path"), ["repo_id", "py_path"], "left_anti")
+    st = (parsed.filter("v.parsed").select(*keys, F.col("v.value").alias("urlconf"))
           .withColumn("hit", F.coalesce(F.col("urlconf"), F.lit("")) != "")
           .withColumn("len", F.length("path")))
     st = primary_until_first_hit(st, "repo_id", ["len", "path"], "hit")
@@ -155,48 +158,66 @@ BUILD_KEYS = ("base_python_package", "django_settings_module", "site_media_map",
 
 INI_SECTION_RE = r"^\[([^\]]+)\]"
 INI_OPTION_RE = r"^([^:=\s][^:=]*?)\s*[:=]\s*(.*)$"
+INI_DEFAULT = "DEFAULT"
 
 
-def parse_ini(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """S-13: INI texts → (key, section, option, value), RawConfigParser style:
-    option names lower-cased, values stripped, indented lines continue the
-    previous option (joined with newlines, blank ones dropped), blank and
-    ``#``/``;`` lines skipped, a repeated option keeps its last value.
-    Windows here run per file — config files are small by nature."""
-    from pyspark.sql import Window
+def ini_items(text):
+    """S-13: one INI text folded inside its row (no shuffle) into
+    struct(bad, sections, items: (section, option, value) in file order).
+
+    RawConfigParser's rules: blank lines, lines that begin with ``#`` or ``;``
+    or the word ``rem`` are skipped; an indented line continues the option
+    before it; option names are lower-cased; a value ends before `` ;`` and
+    ``""`` is empty. A line that is none of these, or an option before any
+    section, makes the text ``bad``.
+    """
+    line = lambda x: F.regexp_extract(x, INI_OPTION_RE, 2)
+    value = lambda x: F.regexp_replace(T.strip_ws(F.regexp_replace(line(x), r"^(.*?)\s;.*$", "$1")), '^""$', "")
+    item = "struct<section:string,option:string,value:string>"
+    start = F.struct(F.lit(None).cast("string").alias("section"), F.lit(False).alias("open"), F.lit(False).alias("bad"),
+                     F.array().cast("array<string>").alias("sections"), F.array().cast(f"array<{item}>").alias("items"))
+
+    def state(acc, **changed):
+        return F.struct(*[changed.get(c, acc[c]).alias(c) for c in ("section", "open", "bad", "sections", "items")])
+
+    def step(acc, x):
+        last = F.try_element_at(acc["items"], F.lit(-1))
+        longer = F.concat(F.slice(acc["items"], 1, F.greatest(F.size(acc["items"]) - 1, F.lit(0))), F.array(F.struct(
+            last["section"].alias("section"), last["option"].alias("option"), F.concat_ws("\n", last["value"], T.strip_ws(x)).alias("value"))))
+        section = F.regexp_extract(x, INI_SECTION_RE, 1)
+        more = F.concat(acc["items"], F.array(F.struct(
+            acc["section"].alias("section"), F.lower(T.strip_ws(F.regexp_extract(x, INI_OPTION_RE, 1))).alias("option"), value(x).alias("value"))))
+        return (F.when((T.strip_ws(x) == "") | x.rlike(r"^[#;]") | x.rlike(r"^(?i)rem(\s|$)"), state(acc))
+                .when(x.rlike(r"^\s") & acc["open"], state(acc, items=longer))
+                .when(x.rlike(INI_SECTION_RE), state(acc, section=section, open=F.lit(False), sections=F.concat(acc["sections"], F.array(section))))
+                .when(x.rlike(INI_OPTION_RE) & acc["section"].isNotNull(), state(acc, open=F.lit(True), items=more))
+                .otherwise(state(acc, bad=F.lit(True))))
+
+    return F.aggregate(F.coalesce(T.split_lines(F.col(text)), F.array().cast("array<string>")), start, step)
 
-    lines = (texts.select(key, F.posexplode(T.split_lines(F.col(text))).alias("pos", "line"))
-             .filter((T.strip_ws("line") != "") & ~F.col("line").rlike(r"^[#;]")))
-    is_sec = F.col("line").rlike(INI_SECTION_RE)
-    is_cont = F.col("line").rlike(r"^\s")
-    is_opt = ~is_sec & ~is_cont & F.col("line").rlike(INI_OPTION_RE)
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    tagged = (lines.withColumn("section", F.last(F.when(is_sec, F.regexp_extract("line", INI_SECTION_RE, 1)), True).over(w))
-              .withColumn("opt_pos", F.last(F.when(is_opt, F.col("pos")), True).over(w))
-              .withColumn("kind", F.when(is_sec, "sec").when(is_opt, "opt").when(is_cont, "cont").otherwise("bad")))
-    opts = tagged.filter(F.col("kind") == "opt").select(
-        key, "section", "opt_pos", F.lower(T.strip_ws(F.regexp_extract("line", INI_OPTION_RE, 1))).alias("option"),
-        T.strip_ws(F.regexp_extract("line", INI_OPTION_RE, 2)).alias("first"))
-    conts = (tagged.filter((F.col("kind") == "cont") & F.col("opt_pos").isNotNull())
-             .select(key, "opt_pos", "pos", T.strip_ws("line").alias("v")).filter(F.col("v") != "")
-             .groupBy(key, "opt_pos").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))),
-                                                                   lambda x: x["v"]), "\n").alias("more")))
-    vals = (opts.join(conts, [key, "opt_pos"], "left")
-            .withColumn("value", F.when(F.col("more").isNull(), F.col("first"))
-                        .otherwise(F.concat_ws("\n", F.col("first"), F.col("more")))))
-    return (vals.groupBy(key, "section", "option").agg(F.max_by("value", "opt_pos").alias("value")))
+
+def parse_ini(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """S-13: INI texts → (key, section, option, value); a repeated option keeps
+    its last value. A text that can't be parsed gives no rows here."""
+    d = texts.select(key, ini_items(text).alias("ini")).filter(~F.col("ini.bad"))
+    later = lambda x, i: F.exists(F.slice(F.col("ini.items"), i + 2, F.size("ini.items")),
+                                  lambda y: (y["section"] == x["section"]) & (y["option"] == x["option"]))
+    return d.select(key, F.explode(F.filter("ini.items", lambda x, i: ~later(x, i))).alias("i")).select(key, "i.section", "i.option", "i.value")
 
 
 def build_config(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """S-13 + F-9: one row per config with the 8 required ``[project]`` keys;
-    ``missing`` lists absent keys and ``status`` is ``error`` if any."""
-    from opsframe.operators.filters import missing_fields
-    kv = parse_ini(texts, key, text).filter(F.col("section") == "project")
-    wide = kv.groupBy(key).pivot("option", list(BUILD_KEYS)).agg(F.first("value"))
-    out = texts.select(key).join(wide, key, "left")
+    """S-13 + F-9: one row per config with the 8 required ``[project]`` keys,
+    each the section's last value, else the one of ``[DEFAULT]``; ``missing``
+    lists absent keys (all, without the section). ``status``: ``ok``,
+    ``error`` (keys missing) or ``unparsable``."""
+    d = texts.select(key, ini_items(text).alias("ini"))
+    of = lambda section, k: F.try_element_at(F.filter("ini.items", lambda x: (x["section"] == section) & (x["option"] == k)), F.lit(-1))["value"]
+    known = ~F.col("ini.bad") & F.array_contains("ini.sections", "project")
+    out = d.select(key, "ini", *[F.when(known, F.coalesce(of("project", k), of(INI_DEFAULT, k))).alias(k) for k in BUILD_KEYS])
     miss = F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in BUILD_KEYS]))
     return (out.withColumn("missing", F.array_join(miss, ","))
-            .withColumn("status", F.when(F.col("missing") == "", F.lit("ok")).otherwise(F.lit("error"))))
+            .withColumn("status", F.when(F.col("ini.bad"), F.lit("unparsable")).when(F.col("missing") == "", F.lit("ok")).otherwise(F.lit("error")))
+            .drop("ini"))
 
 
 # ---- C-6 / S-14 / X-25 / X-29 / A-8 / U-3: requirements assembly ------------
@@ -208,26 +229,43 @@ REQ_EDITABLE_RE = r"^(?:-e|--editable)(?:\s+|=)(\S+)$"
 REQ_URL_RE = r"^[A-Za-z][A-Za-z0-9+.-]*:\S+$"
 REQ_EGG_RE = r"#egg=([^&\s]+)"
 _OP = r"(?:==|>=|<=|!=|~=|>|<)\s*[A-Za-z0-9.*+!_-]+"
-REQ_SPEC_RE = r"^([A-Za-z0-9][A-Za-z0-9._-]*)\s*(" + _OP + r"(?:\s*,\s*" + _OP + r")*)?$"
+REQ_SPEC_RE = r"^([A-Za-z0-9][A-Za-z0-9._-]*)\s*(\[[A-Za-z0-9._, -]*\])?\s*(" + _OP + r"(?:\s*,\s*" + _OP + r")*)?$"
 REQ_COMMENT_RE = r"(^|\s)+#.*$"
+REQ_ADDRESS_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://"
+
+
+def safe_name(c):
+    """A distribution name as it is printed: runs outside letters, digits and dots become one dash."""
+    return F.regexp_replace(c, r"[^A-Za-z0-9.]+", "-")
 
 
-EXTRA_ORDER = 999999  # extra lines come after every file (order keys are 6-digit padded)
+def _ord_key(part, c):
+    """Sortable text of (part, line numbers down the include chain), whatever their size."""
+    return F.concat_ws(".", part.cast("string"), F.array_join(F.transform(c, lambda x: F.lpad(x.cast("string"), 19, "0")), "."))
 
 
-def _ord_key(c):
-    return F.array_join(F.transform(c, lambda x: F.lpad(x.cast("string"), 6, "0")), ".")
+def included_path(parent, target):
+    """The path a ``-r`` line names: relative to the folder of the file it stands in, ``.`` and ``..`` resolved."""
+    folder = F.regexp_extract(parent, r"^(.*/)?[^/]*$", 1)
+    whole = F.when(target.startswith("/"), target).otherwise(F.concat(folder, target))
+    up = lambda acc: (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1)) != "..")
+    parts = F.aggregate(
+        F.split(whole, "/"), F.array().cast("array<string>"),
+        lambda acc, x: F.when(x.isin("", "."), acc).when((x == "..") & F.coalesce(up(acc), F.lit(False)), F.slice(acc, 1, F.size(acc) - 1))
+        .otherwise(F.concat(acc, F.array(x))))
+    return F.concat(F.when(whole.startswith("/"), "/").otherwise(""), F.array_join(parts, "/"))
 
 
-def requirement_lines(files: DataFrame, top: DataFrame, max_depth: int = 32) -> DataFrame:
+def requirement_lines(files: DataFrame, top: DataFrame) -> DataFrame:
     """S-14 + include closure: every line reachable from the top files, with an
     order key = array of line numbers down the include chain (arrays compare
     lexicographically, so included lines land at their include line).
 
     Breadth-first: each level is one equi-join of pending ``-r`` includes to
-    the file table, and one scalar count decides whether another level is
-    needed, so any depth is followed; a chain deeper than ``max_depth`` can
-    only be a cycle and becomes an ``include_cycle`` row.
+    the file table, to any depth. A line carries the chain of files that led
+    to it; an include of a file in its own chain is one ``include_cycle`` row,
+    so every chain ends. A file that isn't there is ``unreadable``, an address
+    is ``remote_include`` (nothing is fetched).
     ``files``: (project_id, file, line_no, line); ``top``: (project_id, file, file_order).
     Output: (project_id, ord, line, status) — status ``ok`` or an include error.
     """
@@ -235,31 +273,31 @@ def requirement_lines(files: DataFrame, top: DataFrame, max_depth: int = 32) ->
 
     from opsframe.session import cut_lineage
 
-    f = files.select("project_id", "file", "line_no", "line")
+    f = cut_lineage(files.select("project_id", "file", F.col("line_no").cast("bigint").alias("line_no"), "line"))
+    known = f.select("project_id", "file").distinct().withColumn("known", F.lit(True))
     level = (top.join(f, ["project_id", "file"])
-             .select("project_id", F.array(F.col("file_order").cast("int"), F.col("line_no").cast("int")).alias("ord"), "line"))
-    levels, errors, depth = [], [], 0
+             .select("project_id", F.array(F.col("file_order").cast("bigint"), "line_no").alias("ord"), "line", "file", F.array("file").alias("chain")))
+    done = []
     while True:
         stripped = T.strip_ws(F.regexp_replace("line", REQ_COMMENT_RE, ""))
-        inc = level.filter(stripped.rlike(REQ_INCLUDE_RE)).select(
-            "project_id", "ord", F.regexp_extract(stripped, REQ_INCLUDE_RE, 1).alias("file"))
-        levels.append(level.filter(~stripped.rlike(REQ_INCLUDE_RE)).withColumn("status", F.lit("ok")))
-        known = f.select("project_id", "file").distinct()
-        errors.append(inc.join(known, ["project_id", "file"], "left_anti")
-                      .select("project_id", "ord", F.col("file").alias("line"), F.lit("unreadable").alias("status")))
-        nxt = (inc.join(f, ["project_id", "file"])
-               .select("project_id", F.concat("ord", F.array(F.col("line_no").cast("int"))).alias("ord"), "line"))
-        depth += 1
-        if depth >= max_depth:
-            errors.append(nxt.select("project_id", "ord", "line", F.lit("include_cycle").alias("status")))
-            break
+        is_include = stripped.rlike(REQ_INCLUDE_RE)
+        target = F.regexp_extract(stripped, REQ_INCLUDE_RE, 1)
+        inc = (level.filter(is_include).withColumn("target", target)
+               .withColumn("file", F.when(target.rlike(REQ_ADDRESS_RE), target).otherwise(included_path(F.col("file"), target)))
+               .join(known, ["project_id", "file"], "left"))
+        problem = (F.when(F.col("target").rlike(REQ_ADDRESS_RE), "remote_include").when(F.col("known").isNull(), "unreadable")
+                   .when(F.array_contains("chain", F.col("file")), "include_cycle"))
+        done.append(level.filter(~is_include).select("project_id", "ord", "line", F.lit("ok").alias("status")))
+        done.append(inc.filter(problem.isNotNull()).select("project_id", "ord", F.col("file").alias("line"), problem.alias("status")))
+        nxt = (inc.filter(problem.isNull()).select("project_id", "file", "ord", F.concat("chain", F.array("file")).alias("chain"))
+               .join(f, ["project_id", "file"])
+               .select("project_id", F.concat("ord", F.array("line_no")).alias("ord"), "line", "file", "chain"))
         # reliable checkpoint of the level (shared checkpoint folder): the
         # emptiness check and the next level read it instead of recomputing
         nxt = cut_lineage(nxt)
         if nxt.isEmpty():
-            break
+            return reduce(lambda a, b: a.unionByName(b), done)
         level = nxt
-    return reduce(lambda a, b: a.unionByName(b), levels + errors)
 
 
 def assemble_requirements(lines: DataFrame, extra: DataFrame | None, ignore_keys: list[str]) -> DataFrame:
@@ -269,9 +307,12 @@ def assemble_requirements(lines: DataFrame, extra: DataFrame | None, ignore_keys
     line_no, line) appended after all files (blank ones skipped). Output:
     (project_id, section, ord_key, line, status): section 0 find-links,
     1 index options (``-i`` becomes ``--extra-index-url=``), 2 requirement
-    lines, -1 errors (bad_syntax, duplicate, unreadable, include_cycle).
+    lines, -1 errors (bad_syntax, duplicate, unreadable, include_cycle, remote_include).
+    Names are printed with other characters as dashes, extras stay; the key is
+    the name in lower case, so ``foo_bar`` and ``Foo-Bar`` are duplicates.
     Excluded keys (case-insensitive) are dropped before duplicate detection;
-    URL lines without an egg name take no part in it.
+    lines without a key (options, errors, URLs without an egg name) take no
+    part in it and don't meet in one window.
 
     One pass: each input row yields its output row, and the first row of a
     key seen more than once also yields the ``duplicate`` row (a window over
@@ -279,20 +320,21 @@ def assemble_requirements(lines: DataFrame, extra: DataFrame | None, ignore_keys
     """
     from pyspark.sql import Window
 
-    all_lines = lines
-    if extra is not None:
+    all_lines = lines.withColumn("part", F.lit(0))
+    if extra is not None:  # extra lines are a part of their own, after every file
         ex = extra.filter(T.strip_ws("line") != "").select(
-            "project_id", F.array(F.lit(EXTRA_ORDER), F.col("line_no").cast("int")).alias("ord"), "line", F.lit("ok").alias("status"))
+            "project_id", F.array(F.col("line_no").cast("bigint")).alias("ord"), "line", F.lit("ok").alias("status"), F.lit(1).alias("part"))
         all_lines = all_lines.unionByName(ex)
     d = all_lines.withColumn("s", T.strip_ws(F.regexp_replace("line", REQ_COMMENT_RE, "")))
     d = d.filter((F.col("status") != "ok") | (F.col("s") != ""))
     s = F.col("s")
     is_fl, is_ix, is_ed = s.rlike(REQ_FIND_LINKS_RE), s.rlike(REQ_INDEX_RE), s.rlike(REQ_EDITABLE_RE)
     is_url, is_spec = s.rlike(REQ_URL_RE), s.rlike(REQ_SPEC_RE)
-    egg = F.regexp_extract(s, REQ_EGG_RE, 1)
-    spec = F.concat(F.regexp_extract(s, REQ_SPEC_RE, 1), F.regexp_replace(F.regexp_extract(s, REQ_SPEC_RE, 2), r"\s+", ""))
+    egg = safe_name(F.regexp_extract(s, REQ_EGG_RE, 1))
+    name = safe_name(F.regexp_extract(s, REQ_SPEC_RE, 1))
+    spec = F.concat(name, F.regexp_replace(F.concat(F.regexp_extract(s, REQ_SPEC_RE, 2), F.regexp_extract(s, REQ_SPEC_RE, 3)), r"\s+", ""))
     d = d.select(
-        "project_id", "ord", "line", "status",
+        "project_id", "part", "ord", "line", "status",
         F.when(is_fl, 0).when(is_ix, 1).when(is_ed | is_url | is_spec, 2).alias("section"),
         F.when(is_fl, F.concat(F.lit("--find-links="), F.regexp_extract(s, REQ_FIND_LINKS_RE, 1)))
          .when(is_ix, F.concat(F.lit("--extra-index-url="), F.regexp_extract(s, REQ_INDEX_RE, 1)))
@@ -301,21 +343,23 @@ def assemble_requirements(lines: DataFrame, extra: DataFrame | None, ignore_keys
          .when(is_spec, spec).alias("out"),
         F.when(is_fl | is_ix, F.lit(None).cast("string"))
          .when(is_ed | is_url, F.when(egg != "", F.lower(egg)))
-         .when(is_spec, F.lower(F.regexp_extract(s, REQ_SPEC_RE, 1))).alias("key"))
+         .when(is_spec, F.lower(name)).alias("key"))
     ok = (F.col("status") == "ok") & F.col("section").isNotNull()
     ignore = [k.lower() for k in ignore_keys]
     if ignore:
         d = d.filter(~(ok & F.coalesce(F.col("key").isin(ignore), F.lit(False))))
-    w = Window.partitionBy("project_id", "key")
     counted = ok & F.col("key").isNotNull()
-    d = (d.withColumn("__n", F.when(counted, F.count(F.when(counted, 1)).over(w)))
-         .withColumn("__first", F.when(counted, F.min(F.when(counted, F.col("ord"))).over(w))))
-    key_ord = _ord_key(F.col("ord"))
+    place = F.struct("part", "ord")
+    # rows without a key get one from their place, so that they spread over tasks
+    w = Window.partitionBy("project_id", F.coalesce("key", _ord_key(F.col("part"), F.col("ord"))), counted)
+    d = (d.withColumn("__n", F.when(counted, F.count(F.lit(1)).over(w)))
+         .withColumn("__first", F.when(counted, F.min(place).over(w))))
+    key_ord = _ord_key(F.col("part"), F.col("ord"))
     main = F.struct(
         F.when(ok, F.col("section")).otherwise(F.lit(-1)).alias("section"), key_ord.alias("ord_key"),
         F.when(ok, F.col("out")).otherwise(F.col("line")).alias("line"),
         F.when(F.col("status") != "ok", F.col("status")).when(ok, F.lit("ok")).otherwise(F.lit("bad_syntax")).alias("status"))
-    dup = F.when((F.col("__n") > 1) & (F.col("ord") == F.col("__first")), F.struct(
+    dup = F.when((F.col("__n") > 1) & (place == F.col("__first")), F.struct(
         F.lit(-1).alias("section"), F.lit("").alias("ord_key"), F.col("key").alias("line"), F.lit("duplicate").alias("status")))
     return (d.select("project_id", F.explode(F.array_compact(F.array(main, dup))).alias("r"))
             .select("project_id", "r.section", "r.ord_key", "r.line", "r.status"))

@@ -22,14 +22,22 @@ from pyspark.sql import functions as F
 from opsframe.functions import naming
 from opsframe.operators.filters import active_filter
 
+ADMIN_MEDIA_URL_PATH = "/_admin_media/"      # default url path of the admin's media (a parameter)
+
 # ---- fixed values of the proxy site file ----------------------------------
-ADMIN_MEDIA_URL_PATH = "/_dz/admin_media/"
 ADMIN_MEDIA_BUNDLE_PATH = "lib/python2.6/site-packages/django/contrib/admin/media"
 SITE_PACKAGES_SUBDIR = "lib/python2.6/site-packages"
 SRC_PACKAGES_SUBDIR = "src"
 USER_REPO_SUBDIR = "user-repo"
 CUSTOMER_DIR = "/cust"
 UPSTREAM_OPTIONS = "max_fails=2  fail_timeout=10s"
+SERVER_OPTIONS = ("listen 80", "client_max_body_size 1G")
+CONNECTION_OPTIONS = (
+    "keepalive_timeout 5", "gzip on", "gzip_http_version 1.1", "gzip_comp_level 1", "gzip_min_length 1100", "gzip_proxied any",
+    "gzip_types text/plain text/html text/css application/json application/x-javascript text/xml application/xml "
+    "application/xml+rss text/javascript",
+    "gzip_buffers 16 8k", 'gzip_disable "MSIE [1-6].(?!.*SV1)"', "gzip_vary on")
+PROXY_OPTIONS = ("proxy_set_header X-Forwarded-For $proxy_add_x_forwarded_for", "proxy_set_header Host $http_host", "proxy_redirect off")
 # ---------------------------------------------------------------------------
 
 
@@ -109,8 +117,8 @@ def media_alias_dest(bundle_dir: Column, file_path: Column) -> Column:
     """X-12: ``{SITE_PACKAGES}`` / ``{SRC_PACKAGES}`` prefix → bundle sub-folder,
     otherwise under ``user-repo``; outer ``/`` of the file path stripped first."""
     fp = F.regexp_replace(file_path, r"^/+|/+$", "")
-    site = F.regexp_replace(F.substring(fp, len("{SITE_PACKAGES}") + 1, 1 << 30), r"^/+", "")
-    src = F.regexp_replace(F.substring(fp, len("{SRC_PACKAGES}") + 1, 1 << 30), r"^/+", "")
+    site = F.regexp_replace(fp, r"^\{SITE_PACKAGES\}/*", "")
+    src = F.regexp_replace(fp, r"^\{SRC_PACKAGES\}/*", "")
     return (F.when(fp.startswith("{SITE_PACKAGES}"),
                    _join_path(F.concat_ws("/", bundle_dir, F.lit(SITE_PACKAGES_SUBDIR)), site))
             .when(fp.startswith("{SRC_PACKAGES}"),
@@ -123,48 +131,51 @@ def _join_path(base: Column, rest: Column) -> Column:
     return F.concat(base, F.lit("/"), rest)
 
 
-def site_config_lines(routing: DataFrame, upstreams: DataFrame, hosts: DataFrame,
-                      media: DataFrame | None = None) -> DataFrame:
+def site_config_lines(routing: DataFrame, upstreams: DataFrame, hosts: DataFrame, media: DataFrame | None = None,
+                      admin_path: str = ADMIN_MEDIA_URL_PATH) -> DataFrame:
     """C-4: the proxy site file of every routed app as ordered line rows.
 
     ``routing`` rows with status ``routed`` get a file; an app with zero
     upstreams gets an ``error`` row instead (the reference raises).
     ``media`` is (project_id, url_path, file_path, pos) — the site media map.
     Rows: (app_id, section, ord, line); sort by (section, ord) for file order.
-    A ``location`` block is one row holding its three lines.
+    A block (``location``, the options of a section) is one row of several lines;
+    ``server_name`` is one line with every host name in order, as it is one line of the file.
     """
     r = (routing.filter(F.col("status") == "routed")
          .select("project_id", naming.sysid("project_id").alias("app_id"), "bundle_name", "n_upstreams"))
     app = r.select("project_id", "app_id")
     bdir = _bundle_dir(F.col("app_id"), F.col("bundle_name"))
 
-    def row(section, ord_, line):
-        return F.struct(F.lit(section).alias("section"), F.lit(ord_).cast("bigint").alias("ord"), line.alias("line"))
+    def row(section, line):
+        return F.struct(F.lit(section).alias("section"), F.lit(0).cast("bigint").alias("ord"), line.alias("line"))
+
+    def options(lines, indent=4):
+        return "\n".join(" " * indent + x + ";" for x in lines)
 
     # every fixed line of every app in one pass over the routed projects
     fixed = F.array(
-        row(0, 0, F.concat(F.lit("upstream app_server_"), F.col("app_id"), F.lit(" {"))),
-        row(2, 0, F.lit("}")),
-        row(3, 0, F.lit("server {")),
-        row(5, 0, F.concat(F.lit("    access_log /tmp/"), F.col("app_id"), F.lit(".access.log combined;"))),
-        row(6, 1 << 40, F.concat(F.lit("    location " + ADMIN_MEDIA_URL_PATH + " {\n        alias "), bdir,
-                                 F.lit("/" + ADMIN_MEDIA_BUNDLE_PATH + "/;\n    }"))),
-        row(7, 0, F.concat(F.lit("    location / {\n        proxy_pass http://app_server_"), F.col("app_id"),
-                           F.lit(";\n    }"))),
-        row(8, 0, F.lit("}")),
-        F.when(F.col("n_upstreams") == 0, row(-1, 0, F.lit("error: no appserver upstreams"))))
+        row(0, F.concat(F.lit("upstream app_server_"), F.col("app_id"), F.lit(" {"))),
+        row(2, F.lit("}")),
+        row(3, F.lit("server {\n" + options(SERVER_OPTIONS))),
+        row(5, F.concat(F.lit("    access_log /tmp/"), F.col("app_id"), F.lit(".access.log combined;\n" + options(CONNECTION_OPTIONS)))),
+        row(7, F.concat(F.lit("    location " + admin_path + " {\n        alias "), bdir,
+                        F.lit("/" + ADMIN_MEDIA_BUNDLE_PATH + "/;\n    }"))),
+        row(8, F.concat(F.lit("    location / {\n" + options(PROXY_OPTIONS, 8) + "\n        if (!-f $request_filename) {\n"
+                              "            proxy_pass http://app_server_"), F.col("app_id"),
+                        F.lit(";\n            break;\n        }\n    }"))),
+        row(9, F.lit("}")),
+        F.when(F.col("n_upstreams") == 0, row(-1, F.lit("error: no appserver upstreams"))))
     out = (r.select("project_id", "app_id", F.explode(F.array_compact(fixed)).alias("x"))
            .select("project_id", "app_id", "x.section", "x.ord", "x.line"))
     ups = (upstreams.join(app, "project_id")
            .select("project_id", "app_id", F.lit(1).alias("section"), F.col("deployment_id").cast("bigint").alias("ord"),
                    F.concat(F.lit("    server "), F.col("host_ip"), F.lit(":"), F.col("host_port").cast("string"),
                             F.lit(" " + UPSTREAM_OPTIONS + ";")).alias("line")))
-    # server_name: one fragment row per host name (nginx accumulates repeated
-    # server_name directives), so no per-app list is ever built
-    names = (hosts.join(app, "project_id")
-             .select("project_id", "app_id", F.lit(4).alias("section"),
-                     (F.col("branch").cast("bigint") * F.lit(1 << 40) + F.col("pos")).alias("ord"),
-                     F.concat(F.lit("    server_name "), F.col("hostname"), F.lit(" ;")).alias("line")))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("branch", "pos", "hostname"))), lambda x: x["hostname"])
+    names = (hosts.join(app, "project_id").groupBy("project_id", "app_id").agg(F.array_join(ordered, " ").alias("names"))
+             .select("project_id", "app_id", F.lit(4).alias("section"), F.lit(0).cast("bigint").alias("ord"),
+                     F.concat(F.lit("    server_name "), F.col("names"), F.lit(" ;")).alias("line")))
     out = out.unionByName(ups).unionByName(names)
     if media is not None:
         m = (media.join(r.select("project_id", "app_id", "bundle_name"), "project_id")

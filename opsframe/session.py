@@ -41,17 +41,24 @@ def get_spark(app: str = "opsframe", cpus: str | int = "*",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder.
+    """Return the session's checkpoint folder: the one already set on the
+    context, else the one ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    unchanged. Only when it is unset (local tests) is a scratch folder made.
+    On a cluster this must be a shared folder. Only a ``local`` session without
+    one (tests, the bench) gets a scratch folder; elsewhere that is an error,
+    since executors could not see the driver's folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="opsframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="opsframe-ckpt-")
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -32,14 +32,18 @@ from opsframe.operators.filters import VALID_LOG_TYPES, SAFE_ID_RE
 from opsframe.session import ensure_checkpoint_dir
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A table's parquet file(s) as a streaming source with the table's schema."""
-    path = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{path}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None,
+                 max_bytes_per_trigger: str = "1g") -> DataFrame:
+    """A table as a streaming source with the table's schema: one parquet file,
+    or a folder of them (the pattern names both). A micro-batch takes at most
+    ``max_bytes_per_trigger`` of files, or ``max_files_per_trigger`` files."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(path)
+    else:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return r.parquet(f"{path[:-1]}[t]")
 
 
 def stream_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -48,9 +52,10 @@ def stream_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
     return f"{base}/sink", f"{base}/checkpoint"
 
 
-def run_available_now(writer, timeout_s: int = 3600) -> None:
+def run_available_now(writer) -> None:
+    """Drain what is available, however long it takes; a failed query raises."""
     q = writer.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from opsframe.functions.naming import CUSTOMER_DNS_ROOT_DOMAIN as ROOT
+from opsframe.functions.naming import ROOT_DOMAIN as ROOT
 
 from opsframe.functions import naming, text as T
 from opsframe.operators import filters as Fl

@@ -8,20 +8,20 @@ from opsframe.plans import projectcfg as P
 def test_config_guesses_golden(spark):
     files = spark.createDataFrame([
         (1, "requirements.txt", ""),
-        (1, "version2/voo2do/settings.py", "DEBUG = True\nROOT_URLCONF = 'voo2do.urls'\n"),
-        (1, "version2/voo2do/urls.py", "urlpatterns = []\n"),
-        (1, "version2/voo2do/__init__.py", ""),
-        (1, "version2/voo2do/requirements/base.txt", "Django==1.3\n"),
+        (1, "src/harbour/settings.py", "DEBUG = True\nROOT_URLCONF = 'harbour.urls'\n"),
+        (1, "src/harbour/urls.py", "urlpatterns = []\n"),
+        (1, "src/harbour/__init__.py", ""),
+        (1, "src/harbour/requirements/base.txt", "Django==1.3\n"),
     ], "repo_id long, path string, content string")
-    urls = spark.createDataFrame([(1, "git://github.com/someone/voo2do.git")], "repo_id long, url string")
+    urls = spark.createDataFrame([(1, "git://example.org/someone/harbour.git")], "repo_id long, url string")
     g = [r.asDict() for r in P.config_guesses(files, urls).collect()]
     assert len(g) == 5
     by = {r["field"]: r for r in g}
-    assert by["additional_python_path_dirs"]["value"] == "version2\nversion2/voo2do"
-    assert by["requirements_file_names"]["value"] == "requirements.txt\nversion2/voo2do/requirements/base.txt"
-    assert by["django_settings_module"]["value"] == "voo2do.settings"
+    assert by["additional_python_path_dirs"]["value"] == "src\nsrc/harbour"
+    assert by["requirements_file_names"]["value"] == "requirements.txt\nsrc/harbour/requirements/base.txt"
+    assert by["django_settings_module"]["value"] == "harbour.settings"
     assert by["base_python_package"]["value"] == ""
-    assert by["title"]["value"] == "Voo2Do" and by["title"]["basis"] == ""
+    assert by["title"]["value"] == "Harbour" and by["title"]["basis"] == ""
     assert all(r["is_primary"] for r in g)
 
 
@@ -38,35 +38,35 @@ def test_config_guesses_strategy_two_and_primary(spark):
     assert not any(b == "conf/settings_dev.py" for _, b in g)   # no ROOT_URLCONF → no guesses
 
 
-BUILD_CFG = """[project]
-source_code_url: git://example.com/tutorial.git
-title: Tutorial
-django_version: 1.3
-database_type: postgresql-8.4
-base_python_package: mysite
-django_settings_module: mysite.settings
-site_media_map: static static
-  foo {SITE_PACKAGES}/foo
-  staticfiles staticfiles
-
-additional_python_path_dirs: mysite_pth_add
-
-requirements_files: 
-
-extra_requirements: 
+BUILD_CFG = """[DEFAULT]
+django_version = 1.2
+[project]
+Title = Harbour
+database_type = sqlite ; the small one
+base_python_package =
+django_settings_module = harbour.conf.live
+site_media_map = pics var/pics
+\tdocs {SITE_PACKAGES}/docs
+    pics other/pics
+additional_python_path_dirs = lib_extra
+requirements_files = ""
+extra_requirements =
 """
 
 
 def test_build_config_and_media_map(spark):
-    texts = spark.createDataFrame([(1, BUILD_CFG), (2, BUILD_CFG.replace("database_type", "x_type"))], "id long, text string")
+    texts = spark.createDataFrame([(1, BUILD_CFG), (2, BUILD_CFG.replace("database_type", "x_type")), (3, BUILD_CFG + "no separator here\n"), (4, "a = 1\n[project]\n"), (5, None)],
+                                  "id long, text string")
     cfg = {r["id"]: r for r in P.build_config(texts, "id").collect()}
-    assert cfg[1]["status"] == "ok" and cfg[1]["django_version"] == "1.3"
-    assert cfg[1]["site_media_map"] == "static static\nfoo {SITE_PACKAGES}/foo\nstaticfiles staticfiles"
+    assert cfg[1]["status"] == "ok" and cfg[1]["django_version"] == "1.2"      # inherited from [DEFAULT]
+    assert cfg[1]["database_type"] == "sqlite" and cfg[1]["requirements_files"] == "" and cfg[1]["base_python_package"] == ""
+    assert cfg[1]["site_media_map"] == "pics var/pics\ndocs {SITE_PACKAGES}/docs\npics other/pics"
     assert cfg[2]["status"] == "error" and cfg[2]["missing"] == "database_type"
+    assert cfg[3]["status"] == "unparsable" and cfg[4]["status"] == "unparsable" and cfg[5]["status"] == "error"
     media = P.site_media_entries(texts.filter("id = 1").select(F.col("id").alias("project_id"),
                                                               F.lit(cfg[1]["site_media_map"]).alias("m")), "m")
     got = {r["url_path"]: r["file_path"] for r in media.collect()}
-    assert got == {"/static/": "static", "/foo/": "{SITE_PACKAGES}/foo", "/staticfiles/": "staticfiles"}
+    assert got == {"/pics/": "other/pics", "/docs/": "{SITE_PACKAGES}/docs"}
 
 
 def reqs(spark, files, extra=None, ignore=()):
@@ -77,38 +77,47 @@ def reqs(spark, files, extra=None, ignore=()):
     ex = None
     if extra is not None:
         ex = spark.createDataFrame([(1, i, line) for i, line in enumerate(extra)], "project_id long, line_no int, line string")
-    out = P.assemble_requirements(P.requirement_lines(f, top, max_depth=6), ex, list(ignore))
+    out = P.assemble_requirements(P.requirement_lines(f, top), ex, list(ignore))
     return [r.asDict() for r in out.orderBy("section", "ord_key").collect()]
 
 
-def test_tricky_requirements_five_lines(spark):
-    rows = reqs(spark, {"tricky.txt": [
-        "# options and odd forms",
-        "-i http://dist.example.com/dev/",
-        "-e git+git://example.com/x/feincms.git#egg=feincms",
-        "http://example.com/tarball/master#egg=django-sugar",
-        "--find-links=http://pypi.example.com",
-        "--find-links=http://pypi2.example.com"]})
+def test_requirement_forms(spark):
+    rows = reqs(spark, {"forms.txt": [
+        "# every kind of line", "--index-url=http://index.example.org/", "-e hg+http://example.org/tool#egg=tool_kit",
+        "http://example.org/pack.zip#egg=pack_er", "-f http://files.example.org", "plain", "Some_Name [fast, tls] >= 1.0, != 1.3  # why",
+        "http://example.org/nameless.zip"]})
     assert [r["line"] for r in rows] == [
-        "--find-links=http://pypi.example.com", "--find-links=http://pypi2.example.com",
-        "--extra-index-url=http://dist.example.com/dev/",
-        "-e git+git://example.com/x/feincms.git#egg=feincms", "django-sugar"]
+        "--find-links=http://files.example.org", "--extra-index-url=http://index.example.org/",
+        "-e hg+http://example.org/tool#egg=tool_kit", "pack-er", "plain", "Some-Name[fast,tls]>=1.0,!=1.3", "http://example.org/nameless.zip"]
 
 
 def test_requirements_include_ignore_duplicate_errors(spark):
-    files = {"project.txt": ["--requirement=_base.txt", "simplejson==2.1.1", "Django==1.3.1"],
-             "_base.txt": ["south==0.7.2", "django-timezones==0.2.dev1"]}
-    plain = reqs(spark, files, ["somepkga", ""])
+    files = {"main.txt": ["-r _sub/base.txt", "alpha==2", "Beta_pkg==1.3"], "_sub/base.txt": ["-r ../_common.txt", "gamma==0.7"],
+             "_common.txt": ["delta.x==0.2"]}
+    plain = reqs(spark, files, ["omega", " "])
     lines = [r["line"] for r in plain if r["status"] == "ok"]
-    assert lines == ["south==0.7.2", "django-timezones==0.2.dev1", "simplejson==2.1.1", "Django==1.3.1", "somepkga"]
-    ignored = [r for r in reqs(spark, files, ["somepkga"], ignore=["DJANGO"]) if r["status"] == "ok"]
-    assert len(ignored) + 1 == len(lines)
-    dup = reqs(spark, files, ["Django==0.96"])
-    assert any(r["status"] == "duplicate" and r["line"] == "django" for r in dup)
-    assert any(r["status"] == "bad_syntax" for r in reqs(spark, {"a.txt": ["<>"]}))
-    assert any(r["status"] == "unreadable" for r in reqs(spark, {"a.txt": ["-r nothere.txt"]}))
-    cyc = reqs(spark, {"a.txt": ["-r _b.txt", "x==1"], "_b.txt": ["-r a.txt"]})
-    assert any(r["status"] == "include_cycle" for r in cyc)
+    assert lines == ["delta.x==0.2", "gamma==0.7", "alpha==2", "Beta-pkg==1.3", "omega"]
+    assert [r["line"] for r in reqs(spark, files, ["omega"], ignore=["BETA-PKG"]) if r["status"] == "ok"] == [x for x in lines if "Beta" not in x]
+    assert [r["line"] for r in reqs(spark, files, ["beta-PKG==9", "BETA_pkg"]) if r["status"] == "duplicate"] == ["beta-pkg"]
+    for line, status in (("<>", "bad_syntax"), ("-r nothere.txt", "unreadable"), ("-r ../a.txt", "unreadable"), ("-r http://example.org/r.txt", "remote_include")):
+        assert [r["status"] for r in reqs(spark, {"a.txt": [line]})] == [status]
+
+
+def test_requirement_cycles_end_and_chains_are_whole(spark):
+    cyc = reqs(spark, {"a.txt": ["-r _b.txt", "x==1"], "_b.txt": ["-r a.txt", "-r _b.txt", "y==1"]})
+    assert sorted(r["line"] for r in cyc if r["status"] == "include_cycle") == ["_b.txt", "a.txt"]
+    twice = reqs(spark, {"a.txt": ["-r a.txt", "-r a.txt", "z"]})
+    assert [r["status"] for r in twice].count("include_cycle") == 2 and len(twice) == 3
+    chain = {"f0.txt": ["-r _f1.txt", "p0"], **{f"_f{i}.txt": [f"-r _f{i + 1}.txt", f"p{i}"] for i in range(1, 12)}, "_f12.txt": ["p12"]}
+    assert [r["line"] for r in reqs(spark, chain)] == [f"p{i}" for i in range(12, -1, -1)]
+
+
+def test_requirement_order_of_long_files(spark):
+    f = spark.createDataFrame([(1, "a.txt", n, f"p{n}") for n in (999_999, 1_000_000, 1_000_001, 10_000_000_000, 5)], "project_id long, file string, line_no long, line string")
+    top = spark.createDataFrame([(1, "a.txt", 0)], "project_id long, file string, file_order int")
+    ex = spark.createDataFrame([(1, 0, "last")], "project_id long, line_no int, line string")
+    out = P.assemble_requirements(P.requirement_lines(f, top), ex, []).orderBy("section", "ord_key").collect()
+    assert [r["line"] for r in out] == ["p5", "p999999", "p1000000", "p1000001", "p10000000000", "last"]
 
 
 def test_setting_value_regex_and_exact_modes(spark):

@@ -56,14 +56,14 @@ def test_site_files_parse(spark):
     from opsframe.plans import inventory
     site = ("upstream app_server_p1 {\n    server 10.0.0.1:10001 max_fails=2  fail_timeout=10s;\n"
             "    server 10.0.0.2:10002 max_fails=2  fail_timeout=10s;\n}\nserver {\n    listen 80;\n"
-            "    server_name p1.example.net www.example.com ;\n"
+            "    server_name old.example.net ;\n    server_name p1.example.net www.example.com ;\n"
             "    location /static/ {\n        alias /cust/p1/bundle_p1_x/user-repo/static/;\n    }\n}\n")
     rows = spark.createDataFrame([("p1", 0, site), (".hidden", 0, site), ("p2", 0, "    alias /short;\n")],
                                  "site string, ord int, text string")
     got = {r["site"]: r for r in inventory.site_files(rows).collect()}
     assert set(got) == {"p1", "p2"}
     p1 = got["p1"]
-    assert (p1["server"], p1["server_names"], p1["bundle_name"]) == ("10.0.0.2:10002", "p1.example.net www.example.com",
+    assert (p1["server"], p1["server_name"], p1["bundle_name"]) == ("10.0.0.2:10002", ["p1.example.net", "www.example.com"],
                                                                       "bundle_p1_x")
     assert got["p2"]["n_bad_alias"] == 1
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from opsframe.functions.naming import CUSTOMER_DNS_ROOT_DOMAIN as ROOT
+from opsframe.functions.naming import ROOT_DOMAIN as ROOT
 
 from opsframe.operators import filters as Fl
 from opsframe.plans import routing
