@@ -33,6 +33,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit mixing (xor-shift and multiply), in place."""
     x ^= x >> np.uint64(30)

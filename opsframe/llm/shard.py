@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsframe.llm.common import fresh
+
 SEED = 20240229
 BUCKET_MB = 16
 
@@ -35,28 +37,30 @@ def _swaps(n: int, rng: np.random.Generator) -> np.ndarray:
 def two_pass_shuffle(df: DataFrame, shards: int, seed: int = SEED, bucket_mb: int = BUCKET_MB,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df in a random order: its columns and shard (int), slot (long, gapless from 0 in each shard)."""
-    df = df.drop("shard", "slot", "_bucket", "_at")
+    df = df.drop("shard", "slot")
+    bucket_col, place_col = fresh(df, "_bucket"), fresh(df, "_position")
     n_rows, n_bytes = df.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)).first()
-    buckets = max(1, -(-(n_bytes or 0) // (bucket_mb << 20)))
+    buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(n_bytes or 0) // (bucket_mb << 20)))
     bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(buckets)).cast("int")
     # one row per bucket: how many rows lie before it
-    before = (df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-              .select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_before")))
-    scattered = df.withColumn("_bucket", bucket)
-    schema = T.StructType([*scattered.schema.fields, T.StructField("_at", T.LongType())])
+    before = (df.groupBy(bucket.alias(bucket_col)).agg(F.count(F.lit(1)).alias("_n"))
+              .select(bucket_col, (F.sum("_n").over(Window.orderBy(bucket_col)) - F.col("_n")).alias("_before")))
+    scattered = df.withColumn(bucket_col, bucket)
+    schema = T.StructType([*scattered.schema.fields, T.StructField(place_col, T.LongType())])
 
-    def shuffled(key: tuple, rows: pa.Table) -> pa.Table:
+    def shuffled(key: tuple, rows: pa.Table, offset: pa.Table) -> pa.Table:
         rows = rows.sort_by([(id_col, "ascending"), (text_col, "ascending")])
         order = _swaps(rows.num_rows, np.random.default_rng([seed, key[0].as_py()]))
-        return rows.take(order).append_column("_at", pa.array(np.arange(rows.num_rows)))
+        start = offset.column("_before")[0].as_py()
+        return rows.take(order).append_column(place_col, pa.array(np.arange(start, start + rows.num_rows)))
 
-    position = F.col("_before") + F.col("_at")
+    position = F.col(place_col)
     shard = F.floor(((position + 1) * shards - 1) / F.lit(max(n_rows, 1)))  # exact below 2**53 / shards
     first = F.floor(shard * F.lit(n_rows) / shards)
-    return (scattered.groupBy("_bucket").applyInArrow(shuffled, schema)
-            .join(before, "_bucket")
+    # the offsets come to the buckets' tasks, so the records are shuffled once
+    return (scattered.groupBy(bucket_col).cogroup(before.groupBy(bucket_col)).applyInArrow(shuffled, schema)
             .withColumns({"shard": shard.cast("int"), "slot": (position - first).cast("long")})
-            .drop("_bucket", "_at", "_before"))
+            .drop(bucket_col, place_col))
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
