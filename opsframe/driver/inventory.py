@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opsframe.driver.routing import ROUTING_ROLES, SITE_SQL
-from opsframe.functions import naming
 from opsframe.operators import aggregates as A
 from opsframe.operators import joins as J
 from opsframe.plans import inventory as I
@@ -14,26 +13,24 @@ from opsframe.plans import routing
 from opsframe.registry import query
 from opsframe.sources.roles import Roles, with_roles
 
-WC = naming.WORKER_CONF_RE
+# the oracle takes worker config names apart in its own way: at dots, the last ".port." counts
+WORKER_CONF_CTE = """
+wsplit AS (SELECT id, filename, split_part(filename, '.', 1) AS app_id, string_split(filename, '.port.') AS s FROM conf_name WHERE ends_with(filename, '.conf')),
+wconf AS (SELECT id, filename, app_id, substr(array_to_string(s[1:len(s) - 1], '.port.'), length(app_id) + 2) AS bundle_name,
+                 TRY_CAST(trim(left(s[-1], length(s[-1]) - 5)) AS INTEGER) AS port
+          FROM wsplit WHERE len(s) > 1 AND contains(array_to_string(s[1:len(s) - 1], '.port.'), '.')
+            AND TRY_CAST(trim(left(s[-1], length(s[-1]) - 5)) AS INTEGER) IS NOT NULL)"""
 
 
-@query("parse_conf_names", oracle=with_roles(
-    f"""SELECT id, filename, app_id, bundle_name, port FROM (
-          SELECT id, filename, regexp_extract(filename, '{WC}', 1) AS app_id, regexp_extract(filename, '{WC}', 2) AS bundle_name,
-                 TRY_CAST(trim(regexp_extract(filename, '{WC}', 3)) AS INTEGER) AS port
-          FROM conf_name WHERE regexp_matches(filename, '{WC}'))
-        WHERE port IS NOT NULL""", "conf_name"))
+@query("parse_conf_names", oracle=with_roles("SELECT id, filename, app_id, bundle_name, port FROM wconf", "conf_name", extra=WORKER_CONF_CTE))
 def q_parse_conf_names(spark, sf):
     """X-7 / S-8: worker config names → (app, bundle, port); bad ports skipped."""
     c = Roles(spark, sf).conf_name
     return I.active_bundles(c, "filename").select("id", "filename", "app_id", "bundle_name", "port")
 
 
-OTHER_CTES = f"""
-ab AS (SELECT regexp_extract(filename, '{WC}', 1) AS app_id, regexp_extract(filename, '{WC}', 2) AS bundle_name
-       FROM conf_name WHERE regexp_matches(filename, '{WC}')
-         AND TRY_CAST(trim(regexp_extract(filename, '{WC}', 3)) AS INTEGER) IS NOT NULL),
-inst AS (SELECT DISTINCT app_id, bundle_name FROM ab),
+OTHER_CTES = WORKER_CONF_CTE + """,
+inst AS (SELECT DISTINCT app_id, bundle_name FROM wconf),
 keep AS (SELECT app_id, max(bundle_name) AS keep_bundle FROM inst GROUP BY app_id)"""
 
 

@@ -177,12 +177,16 @@ def q_vote_counts(spark, sf):
 
 JOB_REPORT_SQL = JOB_DURATIONS_SQL.replace("SELECT j.id", "SELECT * FROM (SELECT j.id", 1) + f""") b
 LEFT JOIN (SELECT job_id AS id, count(*) AS n_steps_, count(*) FILTER (WHERE status = 'done') AS n_done_,
+                  sum(duration_s) AS steps_duration_s,
                   arg_min(title, (begin_ts, begin_id)) FILTER (WHERE status = 'unfinished') AS failed_step
-           FROM ({STEP_SPANS_SQL}) GROUP BY job_id) s USING (id)"""
+           FROM ({STEP_SPANS_SQL}) GROUP BY job_id) s USING (id)
+LEFT JOIN (SELECT job_id AS id, count(*) FILTER (WHERE logtype = 'w') AS n_warnings_, count(*) FILTER (WHERE logtype = 'e') AS n_errors_
+           FROM joblog GROUP BY job_id) l USING (id)"""
 
 
 @query("job_report", oracle=with_roles(
-    "SELECT * EXCLUDE (n_steps_, n_done_), coalesce(n_steps_, 0) AS n_steps, coalesce(n_done_, 0) AS n_done FROM ("
+    "SELECT * EXCLUDE (n_steps_, n_done_, n_warnings_, n_errors_), coalesce(n_steps_, 0) AS n_steps, coalesce(n_done_, 0) AS n_done, "
+    "coalesce(n_warnings_, 0) AS n_warnings, coalesce(n_errors_, 0) AS n_errors FROM ("
     + JOB_REPORT_SQL + ")", "job", "project", "taskmeta", "joblog"))
 def q_job_report(spark, sf):
     r = Roles(spark, sf)

@@ -8,6 +8,7 @@ from opsframe.functions import naming
 from opsframe.functions import text as T
 from opsframe.functions.times import epoch_micros
 from opsframe.operators.windows import tail_lines
+from opsframe.driver.inventory import WORKER_CONF_CTE
 from opsframe.plans import logs
 from opsframe.registry import query
 from opsframe.sources.roles import Roles, with_roles
@@ -35,13 +36,15 @@ def q_tail_turns(spark, sf):
     return t.select("log_id", "line_no", F.col("from_end").cast("int").alias("from_end"), "line")
 
 
-SUP_RE = naming.SUPERVISOR_LOG_RE
+# the oracles take names apart in their own way
+SUP_APP = "regexp_replace(split_part({0}, '---', 1), '^bundle_|_[^_]*$', '', 'g')"
+SUP_STREAM = "string_split(split_part({0}, '---', 1), '-')[-1]"
+SUP_IS = "({0} LIKE 'bundle\\_%\\_%' ESCAPE '\\' AND {0} LIKE '%.log' AND ({0} LIKE '%-stderr---supervisor-%' OR {0} LIKE '%-stdout---supervisor-%'))"
 
 
 @query("latest_log_per_stream", oracle=with_roles(
-    f"""SELECT regexp_extract(filename, '{SUP_RE}', 1) AS app_id, regexp_extract(filename, '{SUP_RE}', 3) AS stream,
-              max(filename) AS log_id
-       FROM conf_name WHERE regexp_matches(filename, '{SUP_RE}') GROUP BY 1, 2""", "conf_name"))
+    f"""SELECT {SUP_APP.format('filename')} AS app_id, {SUP_STREAM.format('filename')} AS stream, max(filename) AS log_id
+       FROM conf_name WHERE {SUP_IS.format('filename')} GROUP BY 1, 2""", "conf_name"))
 def q_latest_log_per_stream(spark, sf):
     """X-8 / W-6: newest supervisor log per (app, stream)."""
     listing = Roles(spark, sf).conf_name.select(F.col("filename").alias("name"), F.lit("any").alias("hostname"))
@@ -69,8 +72,8 @@ listing AS (SELECT h.name AS hostname, c.filename AS name, CAST(floor(e.value *
                    epoch_us(e.ts) / 1e6 AS mod_time
             FROM conf_name c JOIN events e ON e.event_id = c.id
             JOIN hs h ON h.slot = c.id % (SELECT count(*) FROM host)),
-sup AS (SELECT *, regexp_extract(name, '{SUP_RE}', 1) AS app_id, regexp_extract(name, '{SUP_RE}', 3) AS stream
-        FROM listing WHERE regexp_matches(name, '{SUP_RE}')),
+sup AS (SELECT *, {SUP_APP.format('name')} AS app_id, {SUP_STREAM.format('name')} AS stream
+        FROM listing WHERE {SUP_IS.format('name')}),
 newest AS (SELECT hostname, app_id, stream, max(name) AS log_id FROM sup GROUP BY ALL),
 cat AS (SELECT n.hostname, n.app_id, n.stream, n.log_id, s.filesize, s.mod_time,
                CASE n.stream WHEN 'stderr' THEN 'Application Standard Error' WHEN 'stdout' THEN 'Application Standard Output'
@@ -212,15 +215,12 @@ def q_truncate_revision(spark, sf):
     return d.select("doc_id", naming.truncate_revision("text").alias("revision"))
 
 
-BN_RE = naming.BUNDLE_NAME_RE
-
-
 @query("bundle_names", oracle=with_roles(
     f"""SELECT id, app_id, built_at,
                built_at IS NOT NULL AND 'bundle_' || app_id || '_' || strftime(built_at, '%Y-%m-%d-%H.%M.%S') = bundle_name AS roundtrip_ok
-        FROM (SELECT id, bundle_name, regexp_extract(bundle_name, '{BN_RE}', 1) AS app_id,
-                     try_strptime(nullif(regexp_extract(bundle_name, '{BN_RE}', 2), ''), '%Y-%m-%d-%H.%M.%S') AS built_at
-              FROM bundle)""", "bundle"))
+        FROM (SELECT id, bundle_name, CASE WHEN fits THEN substr(bundle_name, 8, length(bundle_name) - 27) ELSE '' END AS app_id,
+                     CASE WHEN fits THEN try_strptime(right(bundle_name, 19), '%Y-%m-%d-%H.%M.%S') END AS built_at
+              FROM (SELECT *, bundle_name SIMILAR TO 'bundle_.*_\\d{{4}}-\\d\\d-\\d\\d-\\d\\d[.]\\d\\d[.]\\d\\d' AS fits FROM bundle))""", "bundle"))
 def q_bundle_names(spark, sf):
     """X-6: parse app id and build time out of bundle names and format back."""
     b = Roles(spark, sf).bundle
@@ -230,18 +230,22 @@ def q_bundle_names(spark, sf):
         naming.bundle_name(F.col("app_id"), F.col("built_at")) == F.col("bundle_name"), F.lit(False)).alias("roundtrip_ok"))
 
 
-WC_RE = naming.WORKER_CONF_RE
+@query("first_reply", oracle=with_roles(
+    """SELECT log_id, coalesce(arg_min(line, line_no) FILTER (WHERE line_no % 3 <> 0 AND line <> ''), '') AS result FROM turnlog GROUP BY log_id""", "turnlog"))
+def q_first_reply(spark, sf):
+    """T-6: per request the first non-empty reply in host order (turn n of a conversation is host n's reply;
+    every third host answers nothing)."""
+    t = Roles(spark, sf).turnlog.select("log_id", F.col("line_no").alias("pos"), F.when(F.col("line_no") % 3 == 0, F.lit("")).otherwise(F.col("line")).alias("reply"))
+    return logs.first_nonempty_reply(t, "log_id")
 
 
 @query("log_service", oracle=with_roles(
     f"""SELECT a.app_id, coalesce(p.n_logs, 0) AS n_logs, coalesce(p.n_hosts, 0) AS n_hosts,
                CASE WHEN (SELECT count(*) FROM listing) = 0 THEN 'service_not_available'
                     WHEN coalesce(p.n_logs, 0) > 0 THEN 'ok' ELSE 'no_logs' END AS status
-        FROM (SELECT DISTINCT regexp_extract(filename, '{WC_RE}', 1) AS app_id FROM conf_name
-              WHERE regexp_matches(filename, '{WC_RE}')
-                AND TRY_CAST(trim(regexp_extract(filename, '{WC_RE}', 3)) AS INTEGER) IS NOT NULL) a
+        FROM (SELECT DISTINCT app_id FROM wconf) a
         LEFT JOIN (SELECT app_id, count(*) AS n_logs, count(DISTINCT hostname) AS n_hosts FROM sup GROUP BY app_id) p
-          ON p.app_id = a.app_id""", "conf_name", "host", extra=LISTING_CTE))
+          ON p.app_id = a.app_id""", "conf_name", "host", extra=WORKER_CONF_CTE + "," + LISTING_CTE))
 def q_log_service(spark, sf):
     """S-19: log availability of every app that has a worker config: ok /
     no_logs / service_not_available (nobody answered)."""

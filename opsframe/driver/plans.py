@@ -132,6 +132,18 @@ def q_soft_delete_outcomes(spark, sf):
     return outcomes
 
 
+@query("soft_delete_snapshot", oracle=with_roles(
+    """SELECT b.id, CASE WHEN b.deletion_date IS NULL AND q.id IS NOT NULL THEN """ + NOW_SQL + """ ELSE b.deletion_date END AS deletion_date
+       FROM bundle b LEFT JOIN (SELECT DISTINCT bundle_id AS id FROM deployment WHERE deactivation_date IS NOT NULL) q ON q.id = b.id""",
+    "deployment", "bundle"))
+def q_soft_delete_snapshot(spark, sf):
+    """M-2: the bundle table after the soft delete (only rows without a deletion date are stamped)."""
+    r = Roles(spark, sf)
+    req = r.deployment.filter(F.col("deactivation_date").isNotNull()).select(F.col("bundle_id").alias("id"))
+    snapshot, _ = M.soft_delete(r.bundle, req, NOW)
+    return snapshot.select("id", "deletion_date")
+
+
 DB_FILL_SQL = """
 SELECT id, db_host IS NULL AS just_created,
        CASE WHEN db_host IS NULL THEN 'db-' || CAST(id % 9 AS VARCHAR) ELSE db_host END AS db_host,

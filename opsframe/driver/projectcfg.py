@@ -11,6 +11,7 @@ from opsframe.operators import filters as Fl
 from opsframe.operators import joins as J
 from opsframe.plans import projectcfg as P
 from opsframe.registry import query
+from opsframe.sources.handlers import handlers, source_url_of
 from opsframe.sources.roles import Roles, with_roles
 
 
@@ -49,24 +50,6 @@ def q_title_from_url(spark, sf):
     return Roles(spark, sf).page.select("id", T.title_from_url("url").alias("title"))
 
 
-# E-1: per source-control kind, how its "where does this checkout come from"
-# report is read. Registering a kind = adding a column-expression builder.
-SOURCE_HANDLERS = {
-    "git": T.git_fetch_url,
-    "hg": lambda report: T.strip_ws(report),
-    "svn": T.svn_url,
-}
-
-
-def source_url_of(kind, report):
-    """E-1: fold the registered handlers into one ``when`` chain; an unknown
-    kind yields null (the caller marks it rejected)."""
-    out = None
-    for k, fn in SOURCE_HANDLERS.items():
-        out = F.when(kind == k, fn(report)) if out is None else out.when(kind == k, fn(report))
-    return out
-
-
 def _reports(p):
     kind = F.element_at(F.array(F.lit("git"), F.lit("hg"), F.lit("svn"), F.lit("bzr")), (F.col("id") % 4 + 1).cast("int"))
     report = (F.when(kind == "git", F.concat(F.lit("* remote origin\n  Fetch URL: "), F.col("url"), F.lit(" \n  Push  URL: "),
@@ -86,7 +69,7 @@ def q_source_url(spark, sf):
     """X-15 / X-16 / E-1: every checkout's reported source URL, read by the
     handler registered for its kind (git remote report, hg config, svn XML)."""
     r = _reports(Roles(spark, sf).page)
-    known = F.col("kind").isin(*SOURCE_HANDLERS)
+    known = F.col("kind").isin(*handlers())
     return r.select("id", "kind", source_url_of(F.col("kind"), F.col("report")).alias("source_url"),
                     F.when(known, F.lit("ok")).otherwise(F.lit("unknown_kind")).alias("status"))
 
@@ -182,6 +165,13 @@ FROM (SELECT id, repo_id, path,
       FROM (SELECT *, regexp_extract(path, '[^/]*$') AS b FROM repofile))"""
 
 
+@query("bundle_sources", oracle=with_roles(
+    "SELECT id, repo_id, path FROM repofile WHERE NOT regexp_matches('/' || path || '/', '/[.](git|svn|hg)/')", "repofile"))
+def q_bundle_sources(spark, sf):
+    """F-10: the files of every repository that go into a bundle (no source-control metadata)."""
+    return Roles(spark, sf).repofile.filter(Fl.copied_source("path")).select("id", "repo_id", "path")
+
+
 @query("file_classes", oracle=with_roles(FILE_CLASS_SQL, "repofile"))
 def q_file_classes(spark, sf):
     """F-11 / S-15 / T-2: every repository file classified; settings files

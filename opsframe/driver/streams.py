@@ -35,35 +35,35 @@ def q_stream_ingest(spark, sf):
 def q_stream_tail(spark, sf):
     """ST-2: rolling last-100 lines per log, newest state per log."""
     sink, ckpt = S.stream_dirs(spark, "tail")
-    lines = _role_stream(spark, sf, "logline", "documents").select("log_id", "line_no", "line")
+    return S.rolling_tail(_role_stream(spark, sf, "logline", "documents").select("log_id", "line_no", "line"), sink, ckpt, 100)
 
-    def write_batch(df, batch_id):
-        df.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    S.run_available_now(S.rolling_tail(lines, 100).writeStream.outputMode("update")
-                        .foreachBatch(write_batch).option("checkpointLocation", ckpt))
-    out = spark.read.parquet(sink).drop("batch")
-    return S.latest_tail(out).select("log_id", "line_no", "line")
+STEPS_SQL = """
+SELECT job_id, title, id AS begin_id, ts AS begin_ts, CASE WHEN ends THEN n_id END AS end_id, CASE WHEN ends THEN n_ts END AS end_ts,
+       CASE WHEN ends THEN 'done' ELSE 'unfinished' END AS status
+FROM seq WHERE logtype = 'sb' AND (n_id IS NOT NULL OR ts + INTERVAL 1 HOUR < (SELECT max(ts) FROM seq))
+UNION ALL
+SELECT job_id, title, NULL, NULL, id, ts, 'late_end' FROM seq WHERE logtype = 'se' AND NOT coalesce(p_type = 'sb' AND ts <= p_ts + INTERVAL 1 HOUR, false)"""
 
+STEPS_CTE = """
+seq AS (SELECT *, n_type = 'se' AND n_ts <= ts + INTERVAL 1 HOUR AS ends FROM (
+  SELECT id, job_id, message AS title, ts, logtype, lead(id) OVER w AS n_id, lead(ts) OVER w AS n_ts, lead(logtype) OVER w AS n_type,
+         lag(ts) OVER w AS p_ts, lag(logtype) OVER w AS p_type
+  FROM joblog WHERE logtype IN ('sb', 'se') WINDOW w AS (PARTITION BY job_id, message ORDER BY ts, id)))"""
 
-@query("stream_steps")
+
+@query("stream_steps", oracle=with_roles(STEPS_SQL, "joblog", extra=STEPS_CTE))
 def q_stream_steps(spark, sf):
-    """ST-3: step pairing with a one-hour time-out (custom state: no SQL oracle)."""
+    """ST-3: step pairing with a one-hour time-out (begins still open at the end are not reported)."""
     sink, ckpt = S.stream_dirs(spark, "steps")
-    pairs = S.step_pairs(_role_stream(spark, sf, "joblog", "events"))
-    S.run_available_now(pairs.writeStream.format("parquet").outputMode("append")
-                        .option("path", sink).option("checkpointLocation", ckpt))
-    return spark.read.parquet(sink)
+    return S.step_pairs(_role_stream(spark, sf, "joblog", "events"), sink, ckpt)
 
 
 @query("stream_ports", oracle=with_roles("SELECT id, ts, port, cmd, bundle_name, outcome FROM o", "control", extra=PORT_CTES))
 def q_stream_ports(spark, sf):
-    """ST-4: live port registry outcomes (equal to W-5 when commands arrive in order)."""
+    """ST-4: live port registry outcomes, equal to W-5."""
     sink, ckpt = S.stream_dirs(spark, "ports")
-    out = S.port_registry_stream(_role_stream(spark, sf, "control", "events"))
-    S.run_available_now(out.writeStream.format("parquet").outputMode("append")
-                        .option("path", sink).option("checkpointLocation", ckpt))
-    return spark.read.parquet(sink).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return S.port_registry_stream(_role_stream(spark, sf, "control", "events"), sink, ckpt)
 
 
 HEALTH_METRICS = """

@@ -192,6 +192,14 @@ JOIN (SELECT *, row_number() OVER (ORDER BY instance_id) - 1 AS slot FROM host W
   ON a.slot = (p.id + k.k) % n.n"""
 
 
+@query("placement_errors", oracle=with_roles("SELECT id AS project_id, 'no_appservers' AS status FROM project", "project"))
+def q_placement_errors(spark, sf):
+    """J-8: without any appserver (here: only the other hosts are offered) every app is an error row."""
+    r = Roles(spark, sf)
+    _, errors = J.placement(r.project, r.host.filter(F.col("role") != "appserver"))
+    return errors
+
+
 @query("placement", oracle=with_roles(PLACEMENT_SQL, "project", "host"))
 def q_placement(spark, sf):
     """J-8 (re-aimed): bounded placement of every app on appservers."""

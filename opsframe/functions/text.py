@@ -115,16 +115,6 @@ def title_from_url(url) -> Column:
         first.isNull(), F.lit("Untitled Project")).otherwise(py_title(F.regexp_replace(first, "_", " ")))
 
 
-def module_to_path(module) -> Column:
-    """X-18: ``a.b.c`` → ``a/b/c.py``."""
-    return F.concat(F.regexp_replace(_c(module), r"\.", "/"), F.lit(".py"))
-
-
-def path_to_module(path) -> Column:
-    """X-18: ``a/b/c.py`` → ``a.b.c``."""
-    return F.regexp_replace(F.regexp_replace(_c(path), r"\.py$", ""), "/", ".")
-
-
 # ---- X-20 .. X-28: report parsing ------------------------------------------
 
 def percent_value(token) -> Column:

@@ -78,7 +78,3 @@ def last_wins_map(entries: DataFrame, key_cols: list[str], k: str, v: str, pos:
     """A-9: last value per (key, k) in ``pos`` order, as rows (k, v, first pos)."""
     return entries.groupBy(*key_cols, k).agg(F.max_by(v, pos).alias(v), F.min(pos).alias(pos))
 
-
-def first_wins_map(entries: DataFrame, key_cols: list[str], k: str, v: str, pos: str) -> DataFrame:
-    """A-9 (settings form): first value per (key, k)."""
-    return entries.groupBy(*key_cols, k).agg(F.min_by(v, pos).alias(v), F.min(pos).alias(pos))

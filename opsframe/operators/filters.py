@@ -106,15 +106,9 @@ def missing_fields(*cols: str) -> Column:
         F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), F.lit(c)) for c in cols]))
 
 
-def visible_name(name) -> Column:
-    """F-10: not hidden (``.`` prefix) and not a reserved directory name."""
-    n = _c(name)
-    return ~n.startswith(".") & ~n.isin(list(RESERVED_DIR_NAMES))
-
-
-def vcs_name(name) -> Column:
-    """F-10: VCS metadata folders skipped when copying sources."""
-    return _c(name).isin(list(VCS_DIR_NAMES))
+def copied_source(path) -> Column:
+    """F-10: a path is copied into a bundle unless a part of it is source-control metadata."""
+    return ~F.arrays_overlap(F.split(_c(path), "/"), F.array(*[F.lit(n) for n in VCS_DIR_NAMES]))
 
 
 def base_name(path) -> Column:
@@ -162,11 +156,6 @@ def other_bundle(name, keep) -> Column:
     return n.startswith("bundle_") & (n != _c(keep))
 
 
-def already_deactivated(df: DataFrame) -> DataFrame:
-    """F-16: matched deployments that were already deactivated → warning rows."""
-    return df.filter(F.col("deactivation_date").isNotNull())
-
-
 def address(instance_id="server_instance_id", ip="server_ip", port="server_port") -> Column:
     """F-18: deployment → (instance_id, node_name, host_ip, host_port) struct."""
     return F.struct(_c(instance_id).alias("instance_id"), F.lit("NODE_NAME_IGNORED").alias("node_name"),

@@ -54,13 +54,6 @@ def queue_routing(tasks: DataFrame, hosts: DataFrame) -> DataFrame:
     return out.withColumn("routed", F.col("n_subscribers") > 0)
 
 
-def queue_subscribers(tasks: DataFrame, hosts: DataFrame, host_key: str = "instance_id") -> DataFrame:
-    """J-10 row form: (task, host) pairs for host-addressed queues
-    (``appserver:<id>`` has one subscriber, so the fan-out is bounded)."""
-    subs = hosts.select(host_key, F.explode(F.split("queues", ",")).alias("queue"))
-    return tasks.join(subs, "queue")
-
-
 def placement(project: DataFrame, hosts: DataFrame, workers: str = "num_workers") -> DataFrame:
     """J-8 (re-aimed, see README): appservers for every app.
 

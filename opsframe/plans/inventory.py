@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from opsframe.functions import naming
 from opsframe.functions import text as T
 from opsframe.operators import aggregates as A
-from opsframe.operators.filters import PORT_CEILING
+from opsframe.operators.filters import PORT_CEILING, other_bundle
 
 # ---- fixed values ----------------------------------------------------------
 RESERVED_APP_DIRS = ("django",)
@@ -34,7 +34,7 @@ def other_bundles(installed: DataFrame, keep: DataFrame) -> DataFrame:
     """F-14: installed bundles of an app other than the one kept (name starts
     ``bundle_`` and differs). ``keep``: (app_id, keep_bundle)."""
     j = installed.join(keep, "app_id")
-    return j.filter(F.col("bundle_name").startswith("bundle_") & (F.col("bundle_name") != F.col("keep_bundle")))
+    return j.filter(other_bundle("bundle_name", "keep_bundle"))
 
 
 def installed_bundles(paths: DataFrame, app: Column, path: str = "path") -> DataFrame:

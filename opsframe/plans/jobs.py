@@ -41,17 +41,19 @@ def step_messages(joblog: DataFrame) -> DataFrame:
 
 
 def job_report(job: DataFrame, project: DataFrame, taskmeta: DataFrame, joblog: DataFrame) -> DataFrame:
-    """C-8 / J-1 / J-11 / S-20: one row per job: project found?, task duration,
-    step counts, first unfinished (failed) step."""
+    """C-8 / J-1 / J-11 / S-20: one row per job: project found?, job duration, step counts, the
+    seconds spent in finished steps, warnings and errors logged, first unfinished (failed) step."""
     steps = job_steps(joblog)
     per_job = steps.groupBy("job_id").agg(
         F.count(F.lit(1)).alias("n_steps"),
         F.count(F.when(F.col("status") == "done", 1)).alias("n_done"),
+        F.sum("duration_s").alias("steps_duration_s"),
         F.min_by("title", F.when(F.col("status") == "unfinished", F.struct("begin_ts", "begin_id"))).alias("failed_step"))
+    logged = joblog.groupBy("job_id").agg(
+        F.count(F.when(F.col("logtype") == "w", 1)).alias("n_warnings"), F.count(F.when(F.col("logtype") == "e", 1)).alias("n_errors"))
     base = job_durations(job, project, taskmeta)
-    return (base.join(per_job.withColumnRenamed("job_id", "id"), "id", "left")
-            .withColumn("n_steps", F.coalesce("n_steps", F.lit(0)))
-            .withColumn("n_done", F.coalesce("n_done", F.lit(0))))
+    return (base.join(per_job.withColumnRenamed("job_id", "id"), "id", "left").join(logged.withColumnRenamed("job_id", "id"), "id", "left")
+            .fillna(0, ["n_steps", "n_done", "n_warnings", "n_errors"]))
 
 
 def job_durations(job: DataFrame, project: DataFrame, taskmeta: DataFrame) -> DataFrame:
@@ -104,13 +106,6 @@ def port_registry(control: DataFrame) -> DataFrame:
             .select("port", "bundle_name", F.col("id").alias("since_id"), F.col("ts").alias("since_ts")))
 
 
-def round_robin(requests: DataFrame, key: str, pool_size: Column) -> DataFrame:
-    """W-2: worker slot of every request: (requests before it for the same
-    key) mod pool size — the pointer advances by one per request."""
-    r = running_count_before(requests, [key], ["ts", "id"], F.lit(True), time_bucket(), "__k")
-    return r.withColumn("slot", (F.col("__k") % pool_size).cast("int")).drop("__k")
-
-
 def round_robin_workers(requests: DataFrame, workers: DataFrame, key: str = "project_id",
                         worker_id: str = "id", id_bucket: int = 1 << 20) -> DataFrame:
     """W-2 with the worker list: request k of a key goes to worker ``k mod n``

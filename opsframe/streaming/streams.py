@@ -1,34 +1,35 @@
 """Structured Streaming forms (ST-1 .. ST-5).
 
-Sources are file streams over the tables' parquet folders; sinks are parquet
-folders (never the driver-side memory sink). Checkpoint and sink folders live
-under the session's ``spark.checkpoint.dir`` — the shared folder the cluster
-names — so a restarted query resumes where it stopped. ``run_available_now``
-drains everything currently available and stops (the batch-twin tests and
-the driver queries use it); a long-running deployment calls ``.start()`` with
-a processing-time trigger instead.
-
-Stateful operators use ``applyInPandasWithState``: state is bounded per key
-(N lines, one open step, one port slot). ST-2 consumes each group's Arrow
-batches one at a time, so a hot log costs at most N lines of memory. ST-3 and
-ST-4 must apply a key's rows in (ts, id) order, so they hold one key's rows of
-one micro-batch; that is bounded by the trigger's rate limit
-(``stream_table(..., max_files_per_trigger=…)`` or ``maxBytesPerTrigger``),
-which is how a hot port or job is kept in bounds.
+Sources are file streams over the tables' parquet files or folders, with a rate
+limit per micro-batch; sinks are parquet folders (never the driver-side memory
+sink). Checkpoint and sink folders live under the session's checkpoint folder -
+the shared folder the cluster names - so a restarted query resumes where it
+stopped. ``run_available_now`` drains everything currently available and stops
+(the batch-twin tests and the driver queries use it); a long-running deployment
+calls ``.start()`` with a processing-time trigger instead.
+
+ST-2, ST-3 and ST-4 keep their state as a small table beside the sink: batch N
+reads the state that batch N-1 left, applies the batch operators of this
+library to it and the new rows (two-level scans, so a hot log, job or port is
+spread over tasks), and overwrites its own output and state folders, so a
+retried batch is idempotent. ST-3 and ST-4 depend on the order of time: rows
+are held in the state until the watermark (greatest time seen less ``delay``)
+has passed them, so the result doesn't depend on how rows fall into batches.
+Rows behind the watermark go to a ``late`` folder, none is dropped. ``finish``
+settles what is held after the last batch of a drained source.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from opsframe.operators.filters import VALID_LOG_TYPES, SAFE_ID_RE
+from opsframe.operators.filters import VALID_LOG_TYPES
+from opsframe.operators.windows import next_row, tail_lines
+from opsframe.plans.jobs import port_outcomes, port_registry, time_bucket
 from opsframe.session import ensure_checkpoint_dir
 
 
@@ -60,6 +61,31 @@ def run_available_now(writer) -> None:
         raise q.exception()
 
 
+# ---- state tables -----------------------------------------------------------
+
+def _state(spark: SparkSession, sink: str, name: str, batch: int | None, schema: str) -> DataFrame:
+    """What batch ``batch`` left; empty before the first one."""
+    if batch is None or batch < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{sink}/{name}/batch={batch}")
+
+
+def _put(df: DataFrame, sink: str, name: str, batch: int | str) -> None:
+    df.write.mode("overwrite").parquet(f"{sink}/{name}/batch={batch}")
+
+
+def run_with_state(rows: DataFrame, sink: str, checkpoint: str, step: Callable[[DataFrame, int], None]) -> int | None:
+    """Drain ``rows`` through ``step(batch rows, batch id)``; the last batch id (None without batches)."""
+    last: list[int] = []
+
+    def each(df: DataFrame, batch: int) -> None:
+        step(df, batch)
+        last[:] = [batch]
+
+    run_available_now(rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint))
+    return last[0] if last else None
+
+
 # ---- ST-1: validated job-log ingest ----------------------------------------
 
 def ingest_job_log(log: DataFrame, sink: str, checkpoint: str, watermark: str = "1 hour") -> None:
@@ -80,125 +106,136 @@ def ingest_job_log(log: DataFrame, sink: str, checkpoint: str, watermark: str =
 
 # ---- ST-2: rolling last-N lines per log ------------------------------------
 
-TAIL_STATE = "tail string, version long"
-TAIL_OUT = "log_id long, line_no int, line string, version long"
+TAIL_SCHEMA = "log_id bigint, line_no int, line string"
+
+
+def rolling_tail(lines: DataFrame, sink: str, checkpoint: str, n: int = 100) -> DataFrame:
+    """ST-2: per log the last ``n`` lines seen so far (by line number). The state
+    is that tail; each batch keeps the last ``n`` of it and the new lines, which
+    prunes every partition to ``n`` lines per log before the shuffle."""
+    spark = lines.sparkSession
 
+    def step(df: DataFrame, batch: int) -> None:
+        new = df.select("log_id", F.col("line_no").cast("int").alias("line_no"), "line")
+        both = _state(spark, sink, "tail", batch - 1, TAIL_SCHEMA).unionByName(new)
+        _put(tail_lines(both, ["log_id"], [F.col("line_no")], n).drop("from_end"), sink, "tail", batch)
 
-def rolling_tail(lines: DataFrame, n: int = 100) -> DataFrame:
-    """ST-2: per log the last ``n`` lines seen so far (by line number).
-    State = at most ``n`` (line_no, line) pairs; every batch that touches a
-    log re-emits its current tail with a new ``version`` (update mode)."""
+    return _state(spark, sink, "tail", run_with_state(lines, sink, checkpoint, step), TAIL_SCHEMA)
 
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        tail, version = ([], 0)
-        if state.exists:
-            s = state.get
-            tail, version = json.loads(s[0]), int(s[1])
-        for pdf in pdfs:  # chunks of the group: keep only the top n, memory stays bounded
-            rows = list(zip(pdf["line_no"].astype(int).tolist(), pdf["line"].tolist()))
-            tail = sorted(tail + rows, key=lambda r: r[0])[-n:]
-        version += 1
-        state.update((json.dumps(tail), version))
-        yield pd.DataFrame({"log_id": [key[0]] * len(tail), "line_no": [r[0] for r in tail],
-                            "line": [r[1] for r in tail], "version": [version] * len(tail)})
 
-    return lines.groupBy("log_id").applyInPandasWithState(fn, TAIL_OUT, TAIL_STATE, "update",
-                                                          GroupStateTimeout.NoTimeout)
+# ---- rows held until the watermark -----------------------------------------
 
+def _held(spark: SparkSession, df: DataFrame, sink: str, batch: int, schema: str, delay: str) -> tuple[DataFrame, Column, Column]:
+    """(held rows and the batch's rows in time, old watermark, new watermark) of an ordered operator.
 
-def latest_tail(sink_df: DataFrame) -> DataFrame:
-    """The newest emitted tail per log from an ST-2 sink."""
-    last = sink_df.groupBy("log_id").agg(F.max("version").alias("version"))
-    return sink_df.join(last, ["log_id", "version"], "left_semi").drop("version")
+    Two bounds, single values, are read: the greatest time of earlier batches (kept in the state)
+    and of this one. Rows behind the old watermark are written to ``late``."""
+    before = _state(spark, sink, "seen", batch - 1, "ts timestamp_ntz").agg(F.max("ts")).first()[0]
+    now = df.agg(F.max("ts")).first()[0]
+    top = max([x for x in (before, now) if x is not None], default=None)
+    _put(spark.createDataFrame([(top,)] if top is not None else [], "ts timestamp_ntz"), sink, "seen", batch)
+    mark = lambda t: F.lit(t).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
+    old, new = mark(before), mark(top)
+    late = F.coalesce(F.col("ts") <= old, F.lit(False))
+    columns = [x.split()[0] for x in schema.split(", ")]
+    rows = df.select(columns)
+    _put(rows.filter(late), sink, "late", batch)
+    return _state(spark, sink, "held", batch - 1, schema).unionByName(rows.filter(~late)), old, new
 
 
 # ---- ST-3: step-span pairing with time-out ---------------------------------
 
-STEP_STATE = "begin_id long, begin_ts timestamp"
-STEP_OUT = "job_id long, title string, begin_id long, begin_ts timestamp, end_id long, end_ts timestamp, status string"
-
-
-def step_pairs(log: DataFrame, timeout: str = "1 hour", timeout_ms: int = 3_600_000) -> DataFrame:
-    """ST-3: pair each ``sb`` with the next ``se`` of the same (job, title).
-
-    State = the one open begin. A new ``sb`` while one is open closes the old
-    one as ``unfinished``; an ``se`` closes the open one as ``done`` or, with
-    nothing open, is reported ``late_end``; an open begin whose time-out
-    passes the watermark is emitted ``unfinished`` and dropped.
-    """
-    steps = (log.filter(F.col("logtype").isin("sb", "se")).withColumn("ts", F.col("ts").cast("timestamp"))
-             .withWatermark("ts", timeout))
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        job_id, title = key
-        out = []
-        if state.hasTimedOut:
-            b_id, b_ts = state.get
-            out.append((job_id, title, b_id, b_ts, None, None, "unfinished"))
-            state.remove()
-        else:
-            pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "id"])
-            open_ = state.get if state.exists else None
-            for r in pdf.itertuples(index=False):
-                if r.logtype == "sb":
-                    if open_ is not None:
-                        out.append((job_id, title, open_[0], open_[1], None, None, "unfinished"))
-                    open_ = (int(r.id), r.ts)
-                else:
-                    if open_ is not None:
-                        out.append((job_id, title, open_[0], open_[1], int(r.id), r.ts, "done"))
-                        open_ = None
-                    else:
-                        out.append((job_id, title, None, None, int(r.id), r.ts, "late_end"))
-            if open_ is not None:
-                state.update(open_)
-                state.setTimeoutTimestamp(int(pd.Timestamp(open_[1]).timestamp() * 1000) + timeout_ms)
-            elif state.exists:
-                state.remove()
-        cols = ["job_id", "title", "begin_id", "begin_ts", "end_id", "end_ts", "status"]
-        yield pd.DataFrame(out, columns=cols)
-
-    return steps.withColumnRenamed("message", "title").groupBy("job_id", "title").applyInPandasWithState(
-        fn, STEP_OUT, STEP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+STEP_SCHEMA = "id bigint, job_id bigint, ts timestamp_ntz, title string, logtype string"
+STEP_OUT = "job_id bigint, title string, begin_id bigint, begin_ts timestamp_ntz, end_id bigint, end_ts timestamp_ntz, status string"
+
+
+def settle_steps(rows: DataFrame, mark: Column, timeout: str) -> tuple[DataFrame, DataFrame]:
+    """(settled pairs, rows still open) of ``sb`` / ``se`` rows when all rows up to ``mark`` are known.
+
+    An ``sb`` whose next row of (job, title) is an ``se`` within the time-out is ``done``; with
+    another next row, or once the mark has passed its time-out, it is ``unfinished``. An ``se``
+    that ends nothing is ``late_end``."""
+    me = F.struct(F.col("logtype").alias("t"), F.col("ts").alias("ts"), F.col("id").alias("id"))
+    d = next_row(rows, ["job_id", "title"], ["ts", "id"], me, time_bucket(), "nx")
+    wait = F.expr(f"INTERVAL {timeout}")
+    ends = (F.col("nx.t") == "se") & (F.col("nx.ts") <= F.col("ts") + wait)
+    known = F.coalesce(F.col("nx.ts") <= mark, F.lit(False)) | F.coalesce(F.col("ts") + wait < mark, F.lit(False))
+    begins = d.filter(F.col("logtype") == "sb")
+    done = known & F.coalesce(ends, F.lit(False))
+    pairs = begins.filter(known).select(
+        "job_id", "title", F.col("id").alias("begin_id"), F.col("ts").alias("begin_ts"),
+        F.when(done, F.col("nx.id")).alias("end_id"), F.when(done, F.col("nx.ts")).alias("end_ts"),
+        F.when(done, F.lit("done")).otherwise(F.lit("unfinished")).alias("status"))
+    # ends that a begin points to, settled or not
+    taken = begins.filter(F.coalesce(ends, F.lit(False))).select(F.col("nx.id").alias("id"))
+    alone = rows.filter((F.col("logtype") == "se") & (F.col("ts") <= mark)).join(taken, "id", "left_anti")
+    late = alone.select("job_id", "title", F.lit(None).cast("bigint").alias("begin_id"), F.lit(None).cast("timestamp_ntz").alias("begin_ts"),
+                        F.col("id").alias("end_id"), F.col("ts").alias("end_ts"), F.lit("late_end").alias("status"))
+    still = begins.filter(~known).select("id", "job_id", "ts", "title", "logtype").unionByName(
+        rows.filter((F.col("logtype") == "se") & (F.col("ts") > mark)).select("id", "job_id", "ts", "title", "logtype"))
+    return pairs.unionByName(late), still
+
+
+def step_pairs(log: DataFrame, sink: str, checkpoint: str, timeout: str = "1 hour", delay: str = "1 hour", finish: bool = True) -> DataFrame:
+    """ST-3: pair each ``sb`` with the next ``se`` of the same (job, title), with a time-out.
+
+    The state is what ``settle_steps`` left open: begins and ends that the watermark hasn't passed.
+    ``finish`` settles them after the drain with the greatest time seen as the time that is:
+    begins that are not yet past their time-out and have no next row stay unreported."""
+    spark = log.sparkSession
+    steps = log.filter(F.col("logtype").isin("sb", "se")).select(
+        "id", "job_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("message").alias("title"), "logtype")
+
+    def step(df: DataFrame, batch: int) -> None:
+        rows, _, mark = _held(spark, df, sink, batch, STEP_SCHEMA, delay)
+        pairs, still = settle_steps(rows, mark, timeout)
+        _put(pairs, sink, "pairs", batch)
+        _put(still, sink, "held", batch)
+
+    last = run_with_state(steps, sink, checkpoint, step)
+    if finish and last is not None:
+        top = _state(spark, sink, "seen", last, "ts timestamp_ntz").agg(F.max("ts")).first()[0]
+        pairs, _ = settle_steps(_state(spark, sink, "held", last, STEP_SCHEMA), F.lit(top).cast("timestamp_ntz"), timeout)
+        _put(pairs, sink, "pairs", "finish")
+    if last is None:
+        return spark.createDataFrame([], STEP_OUT)
+    return spark.read.schema(STEP_OUT).parquet(f"{sink}/pairs")
 
 
 # ---- ST-4: live port registry ----------------------------------------------
 
-PORT_STATE = "bundle_name string, since_id long"
-PORT_OUT = "id long, ts timestamp, port int, cmd string, bundle_name string, outcome string"
-
-
-def port_registry_stream(control: DataFrame) -> DataFrame:
-    """ST-4: outcome of every control command, keyed by port; state = the
-    bundle currently served (if any). Within a batch a port's commands are
-    applied in (ts, id) order — the batch W-5 semantics."""
-    import re
-    safe = re.compile(SAFE_ID_RE.replace(r"\A", "^").replace(r"\z", r"\Z"))
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "id"])
-        cur = state.get if state.exists else None
-        out = []
-        for r in pdf.itertuples(index=False):
-            if r.cmd == "serve":
-                if cur is not None:
-                    res = "refused_busy"
-                elif r.bundle_name is None or not safe.match(r.bundle_name):
-                    res = "refused_name"
-                else:
-                    cur, res = (r.bundle_name, int(r.id)), "ok"
-            else:
-                res = "ok" if cur is not None else "error_not_served"
-                cur = None
-            out.append((int(r.id), r.ts, int(key[0]), r.cmd, r.bundle_name, res))
-        if cur is not None:
-            state.update(cur)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["id", "ts", "port", "cmd", "bundle_name", "outcome"])
-
-    c = control.withColumn("ts", F.col("ts").cast("timestamp"))
-    return c.groupBy("port").applyInPandasWithState(fn, PORT_OUT, PORT_STATE, "append", GroupStateTimeout.NoTimeout)
+PORT_SCHEMA = "id bigint, ts timestamp_ntz, port int, cmd string, bundle_name string"
+SERVED_SCHEMA = "port int, bundle_name string, since_id bigint, since_ts timestamp_ntz"
+PORT_OUT = "id bigint, ts timestamp_ntz, port int, cmd string, bundle_name string, outcome string"
+
+
+def port_registry_stream(control: DataFrame, sink: str, checkpoint: str, delay: str = "1 hour", finish: bool = True) -> DataFrame:
+    """ST-4: outcome of every control command, in (ts, id) order per port.
+
+    The state is the bundle each port serves, and the commands that the watermark hasn't passed.
+    What a port serves enters the batch operator (W-5) as the command that began it."""
+    spark = control.sparkSession
+    rows = control.select("id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("port").cast("int").alias("port"), "cmd", "bundle_name")
+
+    def apply(known: DataFrame, batch: int, name: int | str) -> None:
+        served = _state(spark, sink, "served", batch - 1, SERVED_SCHEMA)
+        began = served.select(F.col("since_id").alias("id"), F.col("since_ts").alias("ts"), "port", F.lit("serve").alias("cmd"), "bundle_name")
+        both = began.unionByName(known)
+        out = port_outcomes(both).select("id", "ts", "port", "cmd", "bundle_name", "outcome")
+        _put(out.join(began.select("port", "id", "cmd"), ["port", "id", "cmd"], "left_anti").select("id", "ts", "port", "cmd", "bundle_name", "outcome"), sink, "out", name)
+        _put(port_registry(both).select("port", "bundle_name", "since_id", "since_ts"), sink, "served", name)
+
+    def step(df: DataFrame, batch: int) -> None:
+        held, _, mark = _held(spark, df, sink, batch, PORT_SCHEMA, delay)
+        apply(held.filter(F.col("ts") <= mark), batch, batch)
+        _put(held.filter(~F.coalesce(F.col("ts") <= mark, F.lit(False))), sink, "held", batch)
+
+    last = run_with_state(rows, sink, checkpoint, step)
+    if last is None:
+        return spark.createDataFrame([], PORT_OUT)
+    if finish:
+        apply(_state(spark, sink, "held", last, PORT_SCHEMA), last + 1, "finish")
+    return spark.read.schema(PORT_OUT).parquet(f"{sink}/out")
 
 
 # ---- ST-5: per-host health per tumbling window -----------------------------

@@ -1,9 +1,11 @@
-"""Streaming forms equal their batch twins on the same rows."""
+"""Streaming forms equal their batch twins on the same rows, however the rows fall into batches."""
 
 import datetime as dt
 import os
+import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from opsframe.plans import jobs
@@ -11,56 +13,65 @@ from opsframe.streaming import streams as S
 from tests.test_windows import control_rows
 
 
-def test_port_registry_stream_equals_batch(spark):
-    rows = control_rows(300, seed=11)
-    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, port int, cmd string, bundle_name string")
-    d = tempfile.mkdtemp(prefix="opsframe-st4-")
-    df.write.parquet(os.path.join(d, "control.parquet"))
-    src = spark.readStream.schema(df.schema).parquet(os.path.join(d, "control.parquet"))
-    sink, ckpt = os.path.join(d, "sink"), os.path.join(d, "ckpt")
-    S.run_available_now(S.port_registry_stream(src).writeStream.format("parquet").outputMode("append")
-                        .option("path", sink).option("checkpointLocation", ckpt))
-    got = {r["id"]: r["outcome"] for r in spark.read.parquet(sink).collect()}
-    want = {r["id"]: r["outcome"] for r in jobs.port_outcomes(df).collect()}
+def table_of_files(spark, rows, schema, n):
+    """A folder table of n files, written in the order of the rows, and its stream of one file a batch."""
+    d = tempfile.mkdtemp(prefix="opsframe-stream-")
+    size = -(-len(rows) // n)
+    for i in range(n):
+        spark.createDataFrame(rows[i * size : (i + 1) * size], schema).coalesce(1).write.mode("append").parquet(os.path.join(d, "t.parquet"))
+    return S.stream_table(spark, d, "t", max_files_per_trigger=1), os.path.join(d, "sink"), os.path.join(d, "ckpt")
+
+
+@pytest.mark.parametrize("n", [1, 2, 10])
+def test_port_registry_stream_equals_batch(spark, n):
+    rows = sorted(control_rows(300, seed=11), key=lambda r: (r[1], r[0]))
+    schema = "id long, ts timestamp_ntz, port int, cmd string, bundle_name string"
+    got = {r["id"]: r["outcome"] for r in S.port_registry_stream(*table_of_files(spark, rows, schema, n)).collect()}
+    want = {r["id"]: r["outcome"] for r in jobs.port_outcomes(spark.createDataFrame(rows, schema)).collect()}
     assert got == want
 
 
 def test_rolling_tail_across_batches(spark):
-    d = tempfile.mkdtemp(prefix="opsframe-st2-")
     lines = [(1, i, f"l{i}") for i in range(30)] + [(2, i, f"m{i}") for i in range(5)]
-    schema = "log_id long, line_no int, line string"
-    spark.createDataFrame(lines[:20], schema).coalesce(1).write.parquet(os.path.join(d, "in", "a"))
-    spark.createDataFrame(lines[20:], schema).coalesce(1).write.parquet(os.path.join(d, "in", "b"))
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").option("recursiveFileLookup", "true")
-           .parquet(os.path.join(d, "in")))
-    sink, ckpt = os.path.join(d, "sink"), os.path.join(d, "ckpt")
-
-    def write_batch(df, batch_id):
-        df.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    S.run_available_now(S.rolling_tail(src, 10).writeStream.outputMode("update").foreachBatch(write_batch)
-                        .option("checkpointLocation", ckpt))
-    tail = S.latest_tail(spark.read.parquet(sink).drop("batch"))
-    got = sorted((r["log_id"], r["line_no"]) for r in tail.collect())
-    assert got == [(1, i) for i in range(20, 30)] + [(2, i) for i in range(5)]
-
-
-def test_step_pairs_replay_with_timeout(spark):
-    t0 = dt.datetime(2024, 1, 1, 8, 0, 0)
-    m = lambda minutes: t0 + dt.timedelta(minutes=minutes)
-    rows = [
-        (1, 1, m(0), "Build", "sb"), (2, 1, m(10), "Build", "se"),       # done
-        (3, 1, m(20), "Build", "sb"), (4, 1, m(30), "Build", "sb"),      # 3 superseded → unfinished
-        (5, 2, m(5), "Deploy", "se"),                                     # end with nothing open → late_end
-        (6, 3, m(600), "Other", "sb"),                                    # moves the watermark far ahead
-    ]
-    df = spark.createDataFrame(rows, "id long, job_id long, ts timestamp_ntz, message string, logtype string")
-    d = tempfile.mkdtemp(prefix="opsframe-st3-")
-    df.coalesce(1).write.parquet(os.path.join(d, "log"))
-    src = spark.readStream.schema(df.schema).parquet(os.path.join(d, "log"))
-    sink, ckpt = os.path.join(d, "sink"), os.path.join(d, "ckpt")
-    S.run_available_now(S.step_pairs(src).writeStream.format("parquet").outputMode("append")
-                        .option("path", sink).option("checkpointLocation", ckpt))
-    got = {(r["begin_id"], r["end_id"], r["status"]) for r in spark.read.parquet(sink).collect()}
-    # 4 times out (its time-out passed the watermark: max ts - 1 h); 6 is still open
-    assert got == {(1, 2, "done"), (3, None, "unfinished"), (None, 5, "late_end"), (4, None, "unfinished")}
+    random.Random(1).shuffle(lines)
+    tail = S.rolling_tail(*table_of_files(spark, lines, "log_id long, line_no int, line string", 4), 10)
+    assert sorted((r["log_id"], r["line_no"]) for r in tail.collect()) == [(1, i) for i in range(20, 30)] + [(2, i) for i in range(5)]
+
+
+STEP_ROWS_SCHEMA = "id long, job_id long, ts timestamp_ntz, message string, logtype string"
+
+
+def pairs_by_replay(rows, hours=1):
+    """Sequential replay; rows in (ts, id) order."""
+    wait, top, open_, out = dt.timedelta(hours=hours), max(r[2] for r in rows), {}, set()
+    for i, job, ts, title, kind in sorted(rows, key=lambda r: (r[2], r[0])):
+        held = open_.pop((job, title), None)
+        if kind == "sb":
+            if held:
+                out.add((held[0], None, "unfinished"))
+            open_[job, title] = (i, ts)
+        elif held and ts <= held[1] + wait:
+            out.add((held[0], i, "done"))
+        else:
+            out |= {(None, i, "late_end")} | ({(held[0], None, "unfinished")} if held else set())
+    return out | {(i, None, "unfinished") for i, ts in open_.values() if ts + wait < top}
+
+
+@pytest.mark.parametrize("n", [1, 2, 10])
+def test_step_pairs_replay_with_timeout(spark, n):
+    rng, t0 = random.Random(5), dt.datetime(2024, 1, 1, 8)
+    rows = [(i, rng.randrange(3), t0 + dt.timedelta(minutes=rng.randrange(1500)), rng.choice(["Build", "Deploy"]), rng.choice(["sb", "se", "sb", "se", "i"])) for i in range(160)]
+    # an end five hours after its begin is late, in whatever batches the two are
+    rows += [(900, 7, t0, "Long", "sb"), (901, 7, t0 + dt.timedelta(hours=5), "Long", "se"), (902, 8, t0 + dt.timedelta(minutes=1499), "Open", "sb")]
+    rows.sort(key=lambda r: (r[2], r[0]))
+    got = {(r["begin_id"], r["end_id"], r["status"]) for r in S.step_pairs(*table_of_files(spark, rows, STEP_ROWS_SCHEMA, n)).collect()}
+    want = pairs_by_replay([r for r in rows if r[4] != "i"])
+    assert got == want and (900, None, "unfinished") in got and (None, 901, "late_end") in got
+
+
+def test_late_rows_are_kept_aside(spark):
+    t0 = dt.datetime(2024, 1, 1, 8)
+    rows = [(1, t0 + dt.timedelta(hours=9), 1, "serve", "a"), (2, t0, 1, "serve", "b")]
+    src, sink, ckpt = table_of_files(spark, rows, "id long, ts timestamp_ntz, port int, cmd string, bundle_name string", 2)
+    out = S.port_registry_stream(src, sink, ckpt)
+    assert [r["id"] for r in out.collect()] == [1] and [r["id"] for r in spark.read.parquet(f"{sink}/late").collect()] == [2]
