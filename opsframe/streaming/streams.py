@@ -34,7 +34,7 @@ from opsframe.session import ensure_checkpoint_dir
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None,
-                 max_bytes_per_trigger: str = "1g") -> DataFrame:
+                 max_bytes_per_trigger: int = 1 << 30) -> DataFrame:
     """A table as a streaming source with the table's schema: one parquet file,
     or a folder of them (the pattern names both). A micro-batch takes at most
     ``max_bytes_per_trigger`` of files, or ``max_files_per_trigger`` files."""
@@ -43,7 +43,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     else:
-        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return r.parquet(f"{path[:-1]}[t]")
 
 
