@@ -199,7 +199,7 @@ def step_pairs(log: DataFrame, sink: str, checkpoint: str, timeout: str = "1 hou
         _put(pairs, sink, "pairs", "finish")
     if last is None:
         return spark.createDataFrame([], STEP_OUT)
-    return spark.read.schema(STEP_OUT).parquet(f"{sink}/pairs")
+    return spark.read.schema(STEP_OUT).parquet(f"{sink}/pairs").drop("batch")
 
 
 # ---- ST-4: live port registry ----------------------------------------------
@@ -235,7 +235,7 @@ def port_registry_stream(control: DataFrame, sink: str, checkpoint: str, delay:
         return spark.createDataFrame([], PORT_OUT)
     if finish:
         apply(_state(spark, sink, "held", last, PORT_SCHEMA), last + 1, "finish")
-    return spark.read.schema(PORT_OUT).parquet(f"{sink}/out")
+    return spark.read.schema(PORT_OUT).parquet(f"{sink}/out").drop("batch")
 
 
 # ---- ST-5: per-host health per tumbling window -----------------------------
