@@ -9,7 +9,6 @@ from opsframe.driver.routing import ROUTING_ROLES, SITE_SQL
 from opsframe.operators import aggregates as A
 from opsframe.operators import joins as J
 from opsframe.plans import inventory as I
-from opsframe.plans import routing
 from opsframe.registry import query
 from opsframe.sources.roles import Roles, with_roles
 

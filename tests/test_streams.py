@@ -6,7 +6,6 @@ import random
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from opsframe.plans import jobs
 from opsframe.streaming import streams as S
