@@ -124,8 +124,8 @@ mdall AS (SELECT h.instance_id AS host, coalesce(md.pct, 0) AS pct, md.type, md.
 
 
 @query("df_report", oracle=with_roles(
-    """SELECT host, type, line_no, line FROM dfl WHERE line_no = 0 OR starts_with(line, '/dev')
-       UNION ALL SELECT DISTINCT host, type, 1073741824, '' FROM dfl""", "host", extra=DF_CTE))
+    """SELECT host, type, 0 AS part, line_no, line FROM dfl WHERE line_no = 0 OR starts_with(line, '/dev')
+       UNION ALL SELECT DISTINCT host, type, 1, NULL, '' FROM dfl""", "host", extra=DF_CTE))
 def q_df_report(spark, sf):
     """S-12 / U-4: the kept lines of both disk reports of every host."""
     return I.df_report(_df_lines(Roles(spark, sf)))
@@ -139,20 +139,21 @@ def q_max_disk(spark, sf):
 
 
 @query("fleet_health", oracle=with_roles(
-    """SELECT m.host, m.pct, m.type, h.load_raw AS loadavg_curr, coalesce(t.n, 0) AS num_active_tasks,
+    """SELECT m.host, m.pct, m.type, m.detail, h.load_raw AS loadavg_curr, h.load_raw * 3600 AS uptime, coalesce(t.n, 0) AS num_active_tasks,
               coalesce(w.n, 0) AS num_workers
        FROM mdall m JOIN host h ON h.instance_id = m.host
        LEFT JOIN (SELECT substr(queue, 11) AS host, count(*) AS n FROM job GROUP BY 1) t ON t.host = m.host
        LEFT JOIN (SELECT server_instance_id AS host, count(*) AS n FROM deployment WHERE deactivation_date IS NULL
                   GROUP BY 1) w ON w.host = m.host""", "host", "job", "deployment", extra=DF_CTE))
 def q_fleet_health(spark, sf):
-    """C-9 / A-11: one health row per host (max disk, load, tasks, workers)."""
+    """C-9 / A-11: one health row per host (max disk and its detail, load, uptime, tasks, workers)."""
     r = Roles(spark, sf)
-    hosts = r.host.select(F.col("instance_id").alias("host"), F.col("load_raw").alias("loadavg_curr"))
+    hosts = r.host.select(F.col("instance_id").alias("host"), F.col("load_raw").alias("loadavg_curr"),
+                          (F.col("load_raw") * 3600).alias("uptime"))
     tasks = r.job.select(F.expr("substring(queue, 11)").alias("host"))
     workers = r.deployment.filter(F.col("deactivation_date").isNull()).select(F.col("server_instance_id").alias("host"))
     h = I.fleet_health(hosts, _df_lines(r), tasks, workers)
-    return h.select("host", "pct", "type", "loadavg_curr", "num_active_tasks", "num_workers")
+    return h.select("host", "pct", "type", "detail", "loadavg_curr", "uptime", "num_active_tasks", "num_workers")
 
 
 SITE_PARSE = """

@@ -82,7 +82,7 @@ ROUND_ROBIN_CTES = """
 w AS (SELECT project_id, id AS worker_id, row_number() OVER (PARTITION BY project_id ORDER BY id) - 1 AS worker_no
       FROM deployment WHERE deactivation_date IS NULL),
 n AS (SELECT project_id, count(*) AS n FROM w GROUP BY project_id),
-q AS (SELECT id, job_id, ts, row_number() OVER (PARTITION BY job_id ORDER BY ts, id) - 1 AS k FROM joblog WHERE logtype = 'i')"""
+q AS (SELECT id, job_id, ts, row_number() OVER (PARTITION BY job_id ORDER BY ts, id) - 1 AS k FROM joblog)"""
 
 ROUND_ROBIN_SQL = """
 SELECT q.id, q.job_id, q.ts, CAST(q.k % n.n AS INTEGER) AS slot, w.worker_id
@@ -92,10 +92,10 @@ LEFT JOIN w ON w.project_id = q.job_id AND w.worker_no = q.k % n.n"""
 
 @query("round_robin", oracle=with_roles(ROUND_ROBIN_SQL, "joblog", "deployment", extra=ROUND_ROBIN_CTES))
 def q_round_robin(spark, sf):
-    """W-2: every info request of a project goes to the next of the project's
+    """W-2: every request (log row) of a project goes to the next of the project's
     active workers in turn (pointer + 1 per request, worker list by id)."""
     r = Roles(spark, sf)
-    req = r.joblog.filter(F.col("logtype") == "i").select("id", F.col("job_id").alias("project_id"), "ts")
+    req = r.joblog.select("id", F.col("job_id").alias("project_id"), "ts")
     workers = r.deployment.filter(F.col("deactivation_date").isNull()).select("project_id", "id")
     out = jobs.round_robin_workers(req, workers, "project_id", "id")
     return out.select("id", F.col("project_id").alias("job_id"), "ts", "slot", "worker_id")

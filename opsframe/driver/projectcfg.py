@@ -299,17 +299,15 @@ def q_config_guesses(spark, sf):
 
 @query("dangling_links", oracle=with_roles(
     """SELECT l.repo_id, l.path, l.target FROM
-         (SELECT repo_id, path, CASE WHEN path = 'README.txt' THEN 'docs/README.txt' ELSE 'proj/models.py' END AS target
-          FROM repofile WHERE path IN ('README.txt', 'media/logo.png')) l
+         (SELECT id, repo_id, path, CASE id % 3 WHEN 0 THEN 'docs/' || path WHEN 1 THEN 'proj/models.py' ELSE string_split(path, '/')[-1] END AS target FROM repofile) l
        WHERE NOT EXISTS (SELECT 1 FROM repofile r WHERE r.repo_id = l.repo_id AND r.path = l.target)""", "repofile"))
 def q_dangling_links(spark, sf):
-    """J-12: symbolic links of every checkout whose target is missing
-    (README.txt → docs/README.txt, media/logo.png → proj/models.py)."""
+    """J-12: symbolic links of every checkout whose target is missing; every file has a link, to a copy
+    under docs/, to proj/models.py or to its own name at the root."""
     rf = Roles(spark, sf).repofile
-    links = (rf.filter(F.col("path").isin("README.txt", "media/logo.png"))
-             .select("repo_id", "path", F.when(F.col("path") == "README.txt", F.lit("docs/README.txt"))
-                     .otherwise(F.lit("proj/models.py")).alias("target")))
-    return J.dangling_links(links, rf, "target", "path", "repo_id")
+    target = (F.when(F.col("id") % 3 == 0, F.concat(F.lit("docs/"), F.col("path"))).when(F.col("id") % 3 == 1, F.lit("proj/models.py"))
+              .otherwise(F.element_at(F.split("path", "/"), -1)))
+    return J.dangling_links(rf.select("repo_id", "path", target.alias("target")), rf, "target", "path", "repo_id")
 
 
 # ---- fixed values: supported framework versions → install line and caption ----

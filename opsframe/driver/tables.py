@@ -176,7 +176,7 @@ def q_misrouted(spark, sf):
               .when(F.col("jobcode") == "5-low", "KILL"))
     jobs = r.job.select("id", "queue", (F.col("id") % F.lit(n)).alias("slot"), signal.alias("signal"))
     j = jobs.join(hosts.select("slot", "instance_id", "name"), "slot")
-    target = F.substring("queue", 11, 1 << 20)
+    target = F.expr("substring(queue, 11)")
     return j.select("id", "queue", F.col("instance_id").alias("delivered_to"),
                     Fl.target_accepted(target, F.col("name"), F.col("instance_id")).alias("accepted"),
                     "signal", Fl.signal_allowed("signal").alias("signal_ok"))
@@ -229,22 +229,21 @@ APPEND_SQL = """
 SELECT CAST((SELECT max(id) FROM bundle) + row_number() OVER (ORDER BY j.issued_at, j.id) AS BIGINT) AS id,
        j.project_id, 'bundle_' || printf('p%08d', j.project_id) || '_' || strftime(j.issued_at, '%Y-%m-%d-%H.%M.%S') AS bundle_name,
        j.task_id AS code_revision
-FROM job j WHERE j.jobcode = '1-urgent'"""
+FROM job j"""
 
 
 @query("append_ids", oracle=with_roles(APPEND_SQL, "job", "bundle"))
 def q_append_ids(spark, sf):
-    """W-8 + S-3 + X-6: new bundle rows (one per urgent job) get dense ids
+    """W-8 + S-3 + X-6: new bundle rows (one per job) get dense ids
     after the table's max id, in (issued_at, job id) order — no global window."""
     r = Roles(spark, sf)
-    new = r.job.filter(F.col("jobcode") == "1-urgent").select(
+    new = r.job.select(
         F.col("id").alias("job_id"), "issued_at", "project_id",
         naming.bundle_name(naming.sysid("project_id"), F.col("issued_at")).alias("bundle_name"),
         naming.truncate_revision(F.col("task_id")).alias("code_revision"))
     start = J.scalar(r.bundle.agg(F.max("id")))
     numbered = dense_index(new, ["issued_at", "job_id"], "__i").withColumn("__max", F.lit(start).cast("bigint"))
-    out = numbered
-    out = out.select((F.col("__max") + F.col("__i") + 1).cast("bigint").alias("id"), "project_id", "bundle_name", "code_revision")
+    out = numbered.select((F.col("__max") + F.col("__i") + 1).cast("bigint").alias("id"), "project_id", "bundle_name", "code_revision")
     return cut_lineage(out)
 
 

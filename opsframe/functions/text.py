@@ -100,7 +100,7 @@ def py_title(c) -> Column:
     s = _c(c)
     runs = F.regexp_extract_all(s, F.lit(r"([A-Za-z]+|[^A-Za-z]+)"), 1)
     return F.array_join(F.transform(runs, lambda r: F.when(
-        r.rlike("^[A-Za-z]"), F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30))))
+        r.rlike("^[A-Za-z]"), F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, F.lit(2), F.length(r)))))
         .otherwise(r)), "")
 
 

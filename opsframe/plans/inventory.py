@@ -49,11 +49,11 @@ def installed_bundles(paths: DataFrame, app: Column, path: str = "path") -> Data
 
 def df_report(df_lines: DataFrame) -> DataFrame:
     """S-12 + U-4: keep the header (line 0) and ``/dev`` lines of each report
-    (space, then inode), followed by one blank line per report."""
+    (space, then inode), followed by one blank line per report (``part`` 1, after all lines of ``part`` 0)."""
     kept = df_lines.filter((F.col("line_no") == 0) | F.col("line").startswith("/dev"))
     blanks = df_lines.select("host", "type").distinct().select(
-        "host", "type", F.lit(1 << 30).alias("line_no"), F.lit("").alias("line"))
-    return kept.select("host", "type", "line_no", "line").unionByName(blanks)
+        "host", "type", F.lit(1).alias("part"), F.lit(None).cast(dict(df_lines.dtypes)["line_no"]).alias("line_no"), F.lit("").alias("line"))
+    return kept.select("host", "type", F.lit(0).alias("part"), "line_no", "line").unionByName(blanks)
 
 
 def max_disk(hosts: DataFrame, df_lines: DataFrame, host: str = "host") -> DataFrame:
