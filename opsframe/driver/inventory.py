@@ -146,13 +146,13 @@ def q_max_disk(spark, sf):
        LEFT JOIN (SELECT server_instance_id AS host, count(*) AS n FROM deployment WHERE deactivation_date IS NULL
                   GROUP BY 1) w ON w.host = m.host""", "host", "job", "deployment", extra=DF_CTE))
 def q_fleet_health(spark, sf):
-    """C-9 / A-11: one health row per host (max disk and its detail, load, uptime, tasks, workers)."""
+    """C-9 / A-11: one health row per host (max disk and its detail, load, uptime, work items, workers)."""
     r = Roles(spark, sf)
     hosts = r.host.select(F.col("instance_id").alias("host"), F.col("load_raw").alias("loadavg_curr"),
                           (F.col("load_raw") * 3600).alias("uptime"))
-    tasks = r.job.select(F.expr("substring(queue, 11)").alias("host"))
+    work_items = r.job.select(F.expr("substring(queue, 11)").alias("host"))
     workers = r.deployment.filter(F.col("deactivation_date").isNull()).select(F.col("server_instance_id").alias("host"))
-    h = I.fleet_health(hosts, _df_lines(r), tasks, workers)
+    h = I.fleet_health(hosts, _df_lines(r), work_items, workers)
     return h.select("host", "pct", "type", "detail", "loadavg_curr", "uptime", "num_active_tasks", "num_workers")
 
 

@@ -40,7 +40,7 @@ def old_instances(active: DataFrame, new: DataFrame, key: str = "id") -> DataFra
     return active.join(new.select(key), key, "left_anti")
 
 
-def queue_routing(tasks: DataFrame, hosts: DataFrame) -> DataFrame:
+def queue_routing(work_items: DataFrame, hosts: DataFrame) -> DataFrame:
     """J-10: hosts subscribe to comma-separated queues; per task, how many
     hosts consume its queue (0 = nobody will run it).
 
@@ -50,7 +50,7 @@ def queue_routing(tasks: DataFrame, hosts: DataFrame) -> DataFrame:
     """
     subs = (hosts.select(F.explode(F.split("queues", ",")).alias("queue"))
             .groupBy("queue").agg(F.count(F.lit(1)).alias("n_subscribers")))
-    out = tasks.join(subs, "queue", "left").withColumn("n_subscribers", F.coalesce("n_subscribers", F.lit(0)))
+    out = work_items.join(subs, "queue", "left").withColumn("n_subscribers", F.coalesce("n_subscribers", F.lit(0)))
     return out.withColumn("routed", F.col("n_subscribers") > 0)
 
 

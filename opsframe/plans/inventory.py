@@ -64,12 +64,12 @@ def max_disk(hosts: DataFrame, df_lines: DataFrame, host: str = "host") -> DataF
             .withColumn("pct", F.coalesce("pct", F.lit(0))))
 
 
-def fleet_health(hosts: DataFrame, df_lines: DataFrame, tasks: DataFrame, workers: DataFrame) -> DataFrame:
+def fleet_health(hosts: DataFrame, df_lines: DataFrame, work_items: DataFrame, workers: DataFrame) -> DataFrame:
     """C-9 / A-11: one row per host: max disk, current load, active task
     count and worker count. ``hosts``: (host, loadavg_curr, uptime);
-    ``tasks`` / ``workers``: one row per task / worker with its ``host``."""
+    ``work_items`` / ``workers``: one row per item / worker with its ``host``."""
     md = max_disk(hosts, df_lines)
-    nt = tasks.groupBy("host").agg(F.count(F.lit(1)).alias("num_active_tasks"))
+    nt = work_items.groupBy("host").agg(F.count(F.lit(1)).alias("num_active_tasks"))
     nw = workers.groupBy("host").agg(F.count(F.lit(1)).alias("num_workers"))
     return (hosts.join(md, "host", "left").join(nt, "host", "left").join(nw, "host", "left")
             .fillna(0, ["num_active_tasks", "num_workers"]))

@@ -4,7 +4,7 @@ The job log is append-only: (id, job_id, ts, message, logtype). Order inside a
 job is (ts, id); ties on ts are broken by the lower id, as everywhere.
 All order-dependent steps use the two-level scans of ``operators.windows``
 with the hour of ``ts`` as bucket, so a job or port that owns a large share
-of the rows is still spread over many tasks.
+of the rows is still spread over many partitions.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from opsframe.operators.windows import running_count_before, step_of_message, st
 
 def time_bucket(ts: str = "ts") -> Column:
     """Slice of the two-level scans: the hour of ``ts`` (monotone in (ts, id)).
-    A key that is hot within one day is still spread over up to 24 tasks per
+    A key that is hot within one day is still spread over up to 24 partitions per
     day, while the per-key slice table stays small (≤ 8,760 rows a year)."""
     return F.date_trunc("hour", F.col(ts))
 
@@ -113,7 +113,7 @@ def round_robin_workers(requests: DataFrame, workers: DataFrame, key: str = "pro
 
     Both numberings are two-level counts (requests by hour, workers by id
     range), so a key with very many requests or workers is spread over many
-    tasks; the join is an equi-join on (key, worker number). Requests of a
+    partitions; the join is an equi-join on (key, worker number). Requests of a
     key without workers get no slot and no worker.
     """
     w = running_count_before(workers.select(key, worker_id), [key], [worker_id], F.lit(True),

@@ -350,7 +350,7 @@ def assemble_requirements(lines: DataFrame, extra: DataFrame | None, ignore_keys
         d = d.filter(~(ok & F.coalesce(F.col("key").isin(ignore), F.lit(False))))
     counted = ok & F.col("key").isNotNull()
     place = F.struct("part", "ord")
-    # rows without a key get one from their place, so that they spread over tasks
+    # rows without a key get one from their place, so that they spread over partitions
     w = Window.partitionBy("project_id", F.coalesce("key", _ord_key(F.col("part"), F.col("ord"))), counted)
     d = (d.withColumn("__n", F.when(counted, F.count(F.lit(1)).over(w)))
          .withColumn("__first", F.when(counted, F.min(place).over(w))))

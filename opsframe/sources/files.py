@@ -7,7 +7,7 @@
   that needs no global numbering: (``_metadata.file_block_start``,
   ``monotonically_increasing_id``) — rows of one split are produced in file
   order and splits of one file are ordered by their start offset. Large logs
-  are split across tasks like any text input.
+  are split across partitions like any text input.
 * ``read_whole`` (S-10, S-13, S-17): whole small config files (``binaryFile`` content).
 """
 

@@ -11,7 +11,7 @@ calls ``.start()`` with a processing-time trigger instead.
 ST-2, ST-3 and ST-4 keep their state as a small table beside the sink: batch N
 reads the state that batch N-1 left, applies the batch operators of this
 library to it and the new rows (two-level scans, so a hot log, job or port is
-spread over tasks), and overwrites its own output and state folders, so a
+spread over partitions), and overwrites its own output and state folders, so a
 retried batch is idempotent. ST-3 and ST-4 depend on the order of time: rows
 are held in the state until the watermark (greatest time seen less ``delay``)
 has passed them, so the result doesn't depend on how rows fall into batches.
