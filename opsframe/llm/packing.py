@@ -11,11 +11,12 @@ Null and empty texts are one end token. Rows that share an id are packed as sepa
 table gives no rows. Only the id and text columns are read.
 
 The tokenizer drops white space, so a run without spaces, tabs or line ends is tokenised by itself, and
-its ids are remembered per worker (at most CACHE_WORDS runs).
+its ids are remembered per worker (at most about 2 * CACHE_WORDS runs).
 """
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +34,7 @@ OPEN_WINDOWS = 32
 MIN_CUT = 16
 MERGE = 16
 CACHE_WORDS = 400_000
+MARKS = frozenset(".,;:!?")
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -48,6 +50,7 @@ class Tokens:
 
         self.encode = Tokenizer.from_file(public_tokenizers.path(name)).encode_batch_fast
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         known, runs = self.known, []
@@ -57,14 +60,27 @@ class Tokens:
                 if c in x:
                     x = x.replace(c, " ")
             runs.append(x.split(" "))
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({w for r in runs for w in r if w not in known})
-        now = known
+        if len(known) > CACHE_WORDS:  # a new generation; words met again move over from the old one
+            self.older, self.known = known, {}
+            known = self.known
+        older, now = self.older, known
+        new = {w for r in runs for w in r if w not in known}
         if new:
-            ids = [np.array(e.ids, "<u4").tobytes() for e in self.encode(new, add_special_tokens=False)]
-            known.update((w, i) for w, i in zip(new, ids) if len(w) <= 64)
-            now = known | {w: i for w, i in zip(new, ids) if len(w) > 64} if any(len(w) > 64 for w in new) else known
+            met = {w: older[w] for w in new if w in older}
+            known.update(met)
+            new -= met.keys()
+            # letters and one mark after them are tokenised apart by the tokenizer too
+            # (if what its normalisation makes of them are letters)
+            stems = {w: w[:-1].lower() if w.isascii() else w[:-1] for w in new
+                     if w[-1:] in MARKS and w[:-1].isalpha() and (w.isascii() or unicodedata.normalize("NFC", w[:-1]).lower().isalpha())}
+            marks = {w[-1] for w in stems}
+            ask = list({w for w in new if w not in stems} | {x for x in (*stems.values(), *marks) if x not in known})
+            ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(ask, self.encode(ask, add_special_tokens=False))}
+            known.update((w, i) for w, i in ids.items() if len(w) <= 64)
+            now = known if all(len(w) <= 64 for w in ask) else known | ids
+            known.update((w, now[x] + now[w[-1]]) for w, x in stems.items())
+            if now is not known:
+                now = now | {w: known[w] for w in stems}
         for r in runs:
             yield b"".join([now[w] for w in r])
 
