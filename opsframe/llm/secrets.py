@@ -71,7 +71,7 @@ def dictionary(documents: DataFrame, text_col: str = "text", least: int = DICTIO
 def described(found: DataFrame, words: DataFrame) -> DataFrame:
     """found with FEATURES and label (1, 0 or null)."""
     key = ["doc_id", "textkey", "start"]
-    pieces = found.select(*key, F.explode(F.expr("array_distinct(regexp_extract_all(lower(found), '[a-z]{3,}', 0))")).alias("word"), "found")
+    pieces = found.dropDuplicates(key).select(*key, F.explode(F.expr("array_distinct(regexp_extract_all(lower(found), '[a-z]{3,}', 0))")).alias("word"), "found")
     covered = (pieces.join(words, "word").groupBy(*key)
                .agg(F.sum(F.expr("char_length(found) - char_length(replace(lower(found), word, ''))")).alias("covered_chars")))
     share = lambda pattern: F.expr(f"char_length(regexp_replace(found, '{pattern}', '')) / char_length(found)")
