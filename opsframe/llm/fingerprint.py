@@ -19,6 +19,7 @@ K = 3
 WINDOW = 4
 PIECE = 8
 BUCKET_MB = 16
+MAX_RANGES = 4096  # their edges are literals of the plan; larger ranges sort with spilling
 
 
 def with_fingerprint(df: DataFrame, text_col: str, name: str, k: int = K, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
@@ -64,7 +65,7 @@ def with_next(df: DataFrame, id_col: str, text_col: str, bucket_mb: int = BUCKET
     last comes the first. Ranges of ids of about bucket_mb are windows of their own; the row that ends
     the range below is copied to each, so the texts are shuffled once and no task orders the whole table."""
     n_bytes = df.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)).first()[0] or 0
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // (bucket_mb << 20)))
+    n = min(MAX_RANGES, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // (bucket_mb << 20))))
     top, cuts = df.agg(F.max(id_col), F.percentile_approx(id_col, [i / n for i in range(1, n)] or [0.5], 100 * n)).first()
     edges = sorted({*(cuts or []), *([top] if top is not None else [])})
     # two levels of comparisons, so that a row costs about twice the root of the number of ranges
@@ -91,7 +92,6 @@ def fingerprint_table(documents: DataFrame) -> DataFrame:
     beginning) and the likeness to both. Rows that share an id are documents of their own."""
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     near = with_next(docs, "doc_id", "text").withColumn("n_chars", F.length("text").cast("long"))
-    # a function of two columns that the optimiser won't fold into its uses
     edited = near.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - n_chars div 2 as int)), substring(next_text, 1, cast(n_chars div 2 as int)))"))
     out = edited
     for col, name in (("text", "own"), ("edited", "new"), ("next_text", "nxt")):
