@@ -8,10 +8,10 @@
    member that shares most buckets with others; the signatures must agree in enough places (verification),
    then the shingle sets themselves decide, exactly. Connected components follow by alternating large-star
    and small-star.
-4. Buckets that still hold several components are searched in whole: each member outside the bucket's
-   largest component is held against all members of other components - signatures inside blocks of bounded
-   size, then the sets. A link between two members of one component can't change the result, so after this
-   no link is lost. Only pairs whose signatures agree are ever emitted, each once.
+4. Buckets of three and more that still hold several components are searched in whole: each member outside
+   the bucket's largest component is held against all members of other components by their sets, inside blocks
+   of bounded size. A link between two members of one component can't change the result, so after this no
+   link is lost; of an outside member's links to one component, one is given on.
 
 Signatures decide with a margin of MARGIN below the threshold (over four standard deviations), and a pair at
 the threshold shares no band with a chance of (1 - threshold**ROWS)**BANDS.
@@ -27,15 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsframe.llm.common import grams, mix, saved, small_batches, text_bytes, word_blocks
+from opsframe.llm.common import fresh, grams, mix, saved, small_batches, text_bytes, word_blocks
 from opsframe.session import cut_lineage
 
 BANDS, ROWS = 24, 4
 MARGIN = 0.16
-BLOCK_MEMBERS = 2048
+BLOCK_SHINGLES = 300_000
 _U = np.uint64
 
 
@@ -71,34 +71,31 @@ class Sketch:
             out = low if out is None else np.minimum(out, low)
         return (out >> _U(32)).astype(np.uint32)
 
-    def band_hashes(self, minima: np.ndarray) -> np.ndarray:
-        m = minima.reshape(self.bands, self.rows).astype(_U)
-        out = np.arange(1, self.bands + 1, dtype=_U)
-        for r in range(self.rows):
-            out = mix(out * _U(0x9E3779B97F4A7C15) + m[:, r])
-        return out
+    def band_hashes(self) -> Column:
+        """One hash per band of the column minima."""
+        size = 4 * self.rows
+        return F.transform(F.sequence(F.lit(0), F.lit(self.bands - 1)), lambda i: F.xxhash64(F.substring(F.col("minima"), i * size + 1, F.lit(size))))
 
 
 def sketches(documents: DataFrame, k: int, id_col: str, text_col: str, sketch: Sketch) -> DataFrame:
-    """doc_id, n_shingles, set key (two longs), minima (binary), bands (array of longs) of every row."""
+    """doc_id, n_shingles, set key (two longs) and minima (binary) of every row."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            sizes, first, second, minima, bands = [], [], [], [], []
+            sizes, first, second, minima = [], [], [], []
             for s in shingle_sets(text_bytes(b.column(1)), k):
                 sizes.append(len(s))
                 first.append(int(mix(s.copy()).sum(dtype=_U).view(np.int64)))
                 second.append(int(mix(s ^ _U(0xD1B54A32D192ED03)).sum(dtype=_U).view(np.int64)))
                 m = sketch.minima(s) if len(s) else None
                 minima.append(None if m is None else m.astype("<u4").tobytes())
-                bands.append(None if m is None else sketch.band_hashes(m).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-                 pa.array(minima, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "key0", "key1", "minima", "bands"])
+                 pa.array(minima, pa.binary())],
+                ["doc_id", "n_shingles", "key0", "key1", "minima"])
 
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        sketched, "doc_id long, n_shingles long, key0 long, key1 long, minima binary, bands array<long>")
+        sketched, "doc_id long, n_shingles long, key0 long, key1 long, minima binary")
 
 
 def agreeing(pairs: DataFrame, signatures: DataFrame, least: float) -> DataFrame:
@@ -115,11 +112,14 @@ def agreeing(pairs: DataFrame, signatures: DataFrame, least: float) -> DataFrame
     return both.select("a", "b", "ma", "mb").mapInArrow(agree, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def texts_of(ids: DataFrame, documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text of the given ids; the least text of an id that has several."""
+    rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return rows.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Of pairs (a, b) of ids, those whose shingle sets satisfy 100 * intersection >= percent * union."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = (documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(needed, "id", "left_semi")
-             .groupBy("id").agg(F.min("text").alias("text")))
     both = (pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
             .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"))
 
@@ -165,41 +165,46 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def unfinished(members: DataFrame, comps: DataFrame, signatures: DataFrame, least: float, sketch: Sketch) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket whose signatures agree, where b lies outside the
-    bucket's largest component; each pair from the first bucket that it shares only."""
-    named = members.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    parts = named.groupBy("band", "hash", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (parts.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("top"))
-             .where("parts > 1").select("band", "hash", "total", F.col("top.component").alias("main")))
-    rows = named.join(mixed, ["band", "hash"]).join(signatures.select("rep", "minima"), "rep")
-    blocks = F.ceil(F.col("total") / BLOCK_MEMBERS).cast("int")
-    outside = F.col("component") != F.col("main")
+def unfinished(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between components that meet in a bucket, where b lies outside the bucket's largest one."""
+    named = (members.where("n > 2").join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
+             .withColumn("component", F.coalesce("component", "rep")))
+    parts = named.groupBy("band", "hash", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    mixed = (parts.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size"), F.max(F.struct("n", "component")).alias("top"))
+             .where("parts > 1").select("band", "hash", "size", F.col("top.component").alias("main")))
+    rows = named.join(mixed, ["band", "hash"]).join(texts.withColumnRenamed("id", "rep"), "rep")
+    blocks = F.ceil(F.col("size") / BLOCK_SHINGLES).cast("int")
     # members are dealt over blocks; those outside the largest component go to every block of their bucket
     held = rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("ask", F.lit(False))
-    asks = rows.where(outside).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("ask", F.lit(True))
-    columns = ["band", "hash", "block", "ask", "rep", "component", "main", "minima"]
-    bands, r = sketch.bands, sketch.rows
+    asks = rows.where("component <> main").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("ask", F.lit(True))
+    columns = ["band", "hash", "block", "ask", "rep", "component", "main", "text"]
 
     def searched(key: tuple, t: pa.Table) -> pa.Table:
         ask = t.column("ask").to_numpy(zero_copy_only=False)
         rep, comp, main = (t.column(c).to_numpy() for c in ("rep", "component", "main"))
-        sig = np.frombuffer(b"".join(t.column("minima").to_pylist()), "<u4").reshape(t.num_rows, -1)
-        band = key[0].as_py()
+        sets = list(shingle_sets(text_bytes(t.column("text").combine_chunks()), k))
         y = np.flatnonzero(~ask)
         a, b = [], []
-        for x in np.flatnonzero(ask):
-            near = (sig[y] == sig[x]).mean(1) >= least
-            near &= comp[y] != comp[x]
-            near &= (comp[y] == main[y]) | (rep[y] < rep[x])  # of two outside members, once
-            for z in y[near]:
-                shared = (sig[z] == sig[x]).reshape(bands, r).all(1)
-                if int(np.argmax(shared)) == band:
+        if len(y):
+            sizes = np.array([len(sets[i]) for i in y])
+            known, places = np.unique(np.concatenate([sets[i] for i in y]), return_inverse=True)
+            starts = np.cumsum(sizes) - sizes
+            mark = np.zeros(len(known), np.int64)
+            for x in np.flatnonzero(ask):
+                at = np.minimum(np.searchsorted(known, sets[x]), len(known) - 1)
+                at = at[known[at] == sets[x]]
+                mark[at] = 1
+                shared = np.add.reduceat(mark[places], starts)
+                mark[at] = 0
+                linked = (100 * shared >= percent * (sizes + len(sets[x]) - shared)) & (comp[y] != comp[x])
+                linked &= (comp[y] == main[y]) | (rep[y] < rep[x])  # of two outside members, once
+                near = y[linked]
+                for z in near[np.unique(comp[near], return_index=True)[1]]:
                     a.append(rep[z])
                     b.append(rep[x])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return held.select(columns).union(asks.select(columns)).groupBy("band", "hash", "block").applyInArrow(searched, "a long, b long")
+    return held.select(columns).union(asks.select(columns)).groupBy("band", "hash", "block").applyInArrow(searched, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
@@ -211,18 +216,18 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, id_col:
     keys = ["key0", "key1", "n_shingles"]
     some = all_rows.where("n_shingles > 0")
     classes = some.groupBy(keys).agg(F.min("doc_id").alias("rep"))
-    nodes = saved(some.join(classes.where("rep is not null"), keys).where("doc_id = rep").dropDuplicates(["rep"]).select("rep", "minima", "bands"), "classes")
-    spread = nodes.select("rep", F.posexplode("bands").alias("band", "hash"))
+    nodes = saved(some.join(classes.where("rep is not null"), keys).where("doc_id = rep").dropDuplicates(["rep"]).select("rep", "n_shingles", "minima"), "classes")
+    spread = nodes.select("rep", "n_shingles", F.posexplode(sketch.band_hashes()).alias("band", "hash"))
     buckets = spread.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = saved(spread.join(buckets, ["band", "hash"]), "members")
+    texts = saved(texts_of(members.select(F.col("rep").alias("id")).distinct(), documents, id_col, text_col), "texts")
     fame = members.groupBy("rep").agg(F.sum("n").alias("fame"))
     leads = (members.join(fame, "rep").groupBy("band", "hash").agg(F.max(F.struct("fame", (-F.col("rep")).alias("r"))).alias("top"))
              .select("band", "hash", (-F.col("top.r")).alias("a")))
     stars = members.join(leads, ["band", "hash"]).where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    links = saved(confirmed(agreeing(stars, nodes, least), documents, k, percent, id_col, text_col), "links")
+    links = saved(confirmed(agreeing(stars, nodes, least), texts, k, percent), "links")
     comps = cut_lineage(components(links))
-    rest = saved(unfinished(members, comps, nodes, least, sketch), "rest")
-    more = saved(confirmed(rest, documents, k, percent, id_col, text_col), "links")
+    more = saved(unfinished(members, comps, texts, k, percent), "links")
     if not more.isEmpty():
         comps = components(links.union(more))
     whole = (classes.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
@@ -237,7 +242,8 @@ def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80, id_col: str
     """documents without near duplicates: of each component the document with the least id stays, and of rows
     with equal id and text one. Rows without an id stay, one of each text."""
     found = near_duplicates(documents, k, percent, id_col, text_col)
-    gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    other, number = fresh(documents, "_gone"), fresh(documents, "_same")
+    gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias(other)).distinct()
     same = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(0))
-    return (documents.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
-            .withColumn("_same", F.row_number().over(same)).where("_same = 1").drop("_same"))
+    return (documents.join(gone, F.col(id_col).cast("long") == F.col(other), "left_anti")
+            .withColumn(number, F.row_number().over(same)).where(F.col(number) == 1).drop(number))
