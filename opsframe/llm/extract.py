@@ -28,6 +28,7 @@ from opsframe.llm.common import small_batches
 
 SHARE = 0.05
 MIN_PAGES = 4
+SALTS = 64
 
 # Element names and attribute words
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -265,7 +266,10 @@ def extract(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES)
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     kind = dict(pages.dtypes)["page_id"]
-    return named.join(template, "host", "left").select("page_id", "url", "html", "host", "template").mapInArrow(extracted, f"page_id {kind}, url string, text string")
+    # a host's pages are dealt over SALTS joins, each with its own copy of the host's bounded template
+    salted = named.withColumn("salt", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(SALTS)).cast("int"))
+    copies = template.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, ["host", "salt"], "left").select("page_id", "url", "html", "host", "template").mapInArrow(extracted, f"page_id {kind}, url string, text string")
 
 
 def extract_digest(pages: DataFrame) -> DataFrame:
