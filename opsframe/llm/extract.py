@@ -1,16 +1,20 @@
 """Main text of web pages with site template removal.
 
-1. Each page is parsed into elements (unclosed, implied and stray tags are allowed). Every block element
-   outside the article has a hash of its subtree: tag, class, text and children.
-2. Spark counts, per host, on how many different pages a subtree hash occurs. Hashes on at least SHARE of a
-   host's pages, and on MIN_PAGES, are that host's template; so a host has at most (elements of a page) / SHARE.
+1. Each page is parsed into elements (unclosed, implied and stray tags are allowed). Every block element has
+   a hash of its subtree: tag, class, text and children. Headings and parts of lists and tables inside an
+   article have none of their own.
+2. Spark counts, per host, on how many different pages a subtree hash from outside the articles occurs, and in
+   how many different article texts one from inside. Hashes on at least SHARE of a host's pages or in at least
+   ARTICLE_SHARE of its article texts, and in MIN_PAGES of them, are that host's template; so a host has at most
+   (elements of a page) / SHARE.
 3. From each page the template's subtrees are deleted, and those that are by their name no text of the
    article: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.
    What is left - of the article or main element, if there is one with text - is given in blocks.
 
 Inside a block white space becomes one space; blocks are joined by an empty line. Null or empty html gives an
-empty text; a null url is a host of its own. Rows that share an id are pages of their own. Content inside an
-article is never part of a template, so copies of a page on one host keep their text.
+empty text; a null url is a host of its own. Rows that share an id are pages of their own. Copies of an article
+count once, so they make no template. An article that the template would leave without text, or take more than
+half of in more than NOTICES places (a near copy of a host's other articles), keeps all of it.
 """
 
 from __future__ import annotations
@@ -27,7 +31,9 @@ from pyspark.sql import functions as F
 from opsframe.llm.common import small_batches
 
 SHARE = 0.05
+ARTICLE_SHARE = 0.5
 MIN_PAGES = 4
+NOTICES = 4
 SALTS = 64
 
 # Element names and attribute words
@@ -54,6 +60,8 @@ ENDS = {  # an open element that a new one closes, up to an element that holds i
     "th": (frozenset(("td", "th")), frozenset(("tr", "table"))),
     "option": (frozenset(("option",)), frozenset(("select",))),
 }
+# what recurs inside articles without being template
+PARTS = frozenset("article main h1 h2 h3 h4 h5 h6 hgroup hr li dt dd caption tbody td tfoot th thead tr figcaption summary".split())
 CLOSES_P = BLOCK - frozenset("html body td th tr tbody thead tfoot caption dd dt li figcaption summary".split())
 
 MARK = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</[^a-zA-Z>][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
@@ -159,7 +167,7 @@ def articles(root: Element) -> list[Element]:
 
 
 def subtree_hashes(root: Element, skip: list[Element]) -> dict[int, int]:
-    """By id() of each block element outside skip, the hash of its subtree. Bottom up, without recursion."""
+    """By id() of each block element outside skip, the hash of its subtree (even). Bottom up, without recursion."""
     out: dict[int, int] = {}
     order, todo, without = [], [root], {id(e) for e in skip}
     while todo:
@@ -180,12 +188,39 @@ def subtree_hashes(root: Element, skip: list[Element]) -> dict[int, int]:
         h = xxhash.xxh3_64_hexdigest("\x00".join(parts).encode("utf-8", "surrogatepass"))
         known[id(e)] = h
         if e.tag in BLOCK and id(e) not in holds and e.tag not in ("html", "body", "head"):
-            out[id(e)] = int(h, 16) - (1 << 63)
+            out[id(e)] = (int(h, 16) - (1 << 63)) & ~1
     return out
 
 
-def blocks(top: Element, template: frozenset, hashes: dict[int, int]) -> list[str]:
-    """Texts of the blocks under an element, in page order, without template and named non-text."""
+def article_hashes(tops: list[Element]) -> dict[int, int]:
+    """By id() of each block element with text inside the articles, the hash of its subtree (odd)."""
+    out: dict[int, int] = {}
+    known: dict[int, str] = {}
+    order: list[Element] = []
+    for top in tops:
+        todo = [top]
+        while todo:
+            e = todo.pop()
+            order.append(e)
+            todo.extend(c for c in e.children if isinstance(c, Element) and not no_text(c, inside(top)))
+    over = {id(e) for e in tops}
+    for e in reversed(order):
+        parts = [known.get(id(c), "") if isinstance(c, Element) else " ".join(c.split()) for c in e.children]
+        if not any(parts):
+            continue
+        h = known[id(e)] = xxhash.xxh3_64_hexdigest("\x00".join([f"<{e.tag} {' '.join(sorted(e.words))}>", *parts]).encode("utf-8", "surrogatepass"))
+        if id(e) not in over and e.tag in BLOCK and e.tag not in PARTS:
+            out[id(e)] = (int(h, 16) - (1 << 63)) | 1
+    return out
+
+
+def inside(top: Element) -> bool:
+    return top.tag in ("article", "main")
+
+
+def blocks(top: Element, template: frozenset, hashes: dict[int, int], cut: list | None = None) -> list[str]:
+    """Texts of the blocks under an element, in page order, without template and named non-text; to cut, if
+    given, the template's elements are added."""
     done: list[str] = []
     run: list[str] = []
 
@@ -195,7 +230,7 @@ def blocks(top: Element, template: frozenset, hashes: dict[int, int]) -> list[st
         if text:
             done.append(text)
 
-    inside = top.tag in ("article", "main")
+    within = inside(top)
     todo: list = [top]
     while todo:
         x = todo.pop()
@@ -203,7 +238,9 @@ def blocks(top: Element, template: frozenset, hashes: dict[int, int]) -> list[st
             run.append(x)
         elif x is None:
             flush()
-        elif x is not top and (no_text(x, inside) or hashes.get(id(x)) in template):
+        elif x is not top and (no_text(x, within) or hashes.get(id(x)) in template):
+            if cut is not None and not no_text(x, within):
+                cut.append(x)
             if x.tag in BLOCK:
                 flush()
         elif x.tag == "br":
@@ -222,12 +259,24 @@ def main_text(source: str | None, template: frozenset) -> str:
         return ""
     root = parse(source)
     tops = articles(root)
-    hashes = subtree_hashes(root, tops)
-    return "\n\n".join(b for top in tops or [root] for b in blocks(top, template, hashes))
-
-
-def page_templates(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """pages: host, html. host, template: the hashes of subtrees that recur on many different pages of it."""
+    if not tops:
+        return "\n\n".join(blocks(root, template, subtree_hashes(root, tops)))
+    hashes = article_hashes(tops) if template else {}
+    out = []
+    for top in tops:
+        cut: list[Element] = []
+        text = blocks(top, template, hashes, cut)
+        if cut and (not text or len(cut) > NOTICES):
+            whole = blocks(top, frozenset(), hashes)
+            if not text or 2 * sum(map(len, text)) < sum(map(len, whole)):
+                text = whole
+        out += text
+    return "\n\n".join(out)
+
+
+def page_templates(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES, article_share: float = ARTICLE_SHARE) -> DataFrame:
+    """pages: host, html. host, template: the hashes of subtrees that recur on many different pages of it, or in
+    many different article texts."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
@@ -236,17 +285,25 @@ def page_templates(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_
                 if not source:
                     continue
                 root = parse(source)
-                page = xxhash.xxh3_64_intdigest(source.encode("utf-8", "surrogatepass")) - (1 << 63)
-                for h in {0, *subtree_hashes(root, articles(root)).values()}:  # 0 counts the pages
-                    for column, v in zip(out, (host, page, h)):
-                        column.append(v)
+                tops = articles(root)
+                found = [(source, {0, *subtree_hashes(root, tops).values()})]  # 0 counts the pages, 1 the article texts
+                if tops:
+                    text = "\n\n".join(b for top in tops for b in blocks(top, frozenset(), {}))
+                    found.append((text, {1, *article_hashes(tops).values()}))
+                for text, hashes in found:
+                    page = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+                    for h in hashes:
+                        for column, v in zip(out, (host, page, h)):
+                            column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())], ["host", "page", "hash"])
 
-    # equal pages count once: first per (host, subtree, page), then per (host, subtree)
+    # equal pages, and equal article texts, count once: first per (host, subtree, page), then per (host, subtree)
     seen = pages.mapInArrow(hashed, "host string, page long, hash long").groupBy("host", "hash", "page").agg(F.lit(1).alias("one"))
     counts = seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    total = counts.where("hash = 0").select("host", F.col("n").alias("total"))
-    return (counts.where("hash <> 0").join(total, "host").where(F.col("n") >= share * F.col("total"))
+    counts = counts.withColumn("part", F.pmod("hash", F.lit(2)))
+    total = counts.where("hash in (0, 1)").select("host", "part", F.col("n").alias("total"))
+    least = F.when(F.col("part") == 0, F.lit(share)).otherwise(F.lit(article_share))
+    return (counts.where("hash not in (0, 1)").join(total, ["host", "part"]).where(F.col("n") >= least * F.col("total"))
             .groupBy("host").agg(F.collect_list("hash").alias("template")))
 
 

@@ -88,6 +88,20 @@ def test_extract_templates(spark):
     assert len(got) == len(rows) and extract.extract_digest(df.limit(0)).count() == 0
 
 
+def test_extract_templates_inside_articles(spark):
+    """A nameless block that recurs inside a host's articles goes; copies and near copies of an article keep their text."""
+    rows = []
+    for i in range(30):
+        rows.append((i, f"https://a.org/{i}", f"<body><article><h2>Summary</h2><p>Text {i} of a</p><div><p>Read also our weekly letter</p></div><p>More {i}</p></article></body>"))
+        rows.append((100 + i, f"https://b.org/{i}", f"<body><div>{i}</div><article><p>One text</p><p>in two parts</p></article></body>"))
+        rows.append((200 + i, f"https://c.org/{i}", "<body><article>" + "".join(f"<p>Part {n} of a text that was copied</p>" for n in range(9)) + f"<p>Edit {i}</p></article></body>"))
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(30):
+        assert got[i] == f"Summary\n\nText {i} of a\n\nMore {i}"
+        assert got[100 + i] == "One text\n\nin two parts"
+        assert got[200 + i].count("copied") == 9 and got[200 + i].endswith(f"Edit {i}")
+
+
 def test_extract_pages(spark):
     """On the given pages the text is the article's, decoded, block by block."""
     import html
