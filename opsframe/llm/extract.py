@@ -9,6 +9,8 @@
    (elements of a page) / SHARE.
 3. From each page the template's subtrees are deleted, and those that are by their name no text of the
    article: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.
+   Outside an article any word of a class or id counts; inside one only whole classes and ids that are sure do,
+   and what bears a doubtful one goes if the template has it. html, body, article and main stay whatever their name.
    What is left - of the article or main element, if there is one with text - is given in blocks.
 
 Inside a block white space becomes one space; blocks are joined by an empty line. Null or empty html gives an
@@ -41,15 +43,23 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
+    "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption xmp".split())
 NO_TEXT = frozenset(
     "script style textarea title head nav aside footer form noscript template svg math iframe noembed noframes object button "
-    "select option input label menu dialog canvas audio video map xmp".split())
+    "select option input label menu dialog canvas audio video map xmp annotation annotation-xml".split())
 NO_TEXT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion menu navbar nav navigation breadcrumb "
     "breadcrumbs sidebar aside footer cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe "
     "subscription signup login share sharing social related recommended comment comments commentlist reply replies disqus discussion widget "
     "toolbar pagination pager skip masthead copyright legal disclaimer form search".split())
+# inside an article: whole classes and ids that are sure, and elements and roles that are doubtful
+SURE_CLASSES = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsored navbar breadcrumb breadcrumbs pagination comments commentlist comment-list "
+    "comments-area cookie-notice cookie-banner cookie-consent share-buttons sharing-buttons social-share related-posts related-articles "
+    "newsletter-signup newsletter-form".split())
+SURE_IDS = frozenset("comments disqus_thread".split())
+DOUBTFUL = frozenset("math xmp".split())
+DOUBTFUL_ROLES = frozenset("alert banner complementary form".split())
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 ENDS = {  # an open element that a new one closes, up to an element that holds it
     "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu", "dir"))),
@@ -72,20 +82,25 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 class Element:
-    __slots__ = ("tag", "words", "role", "hidden", "children", "parent")
+    __slots__ = ("tag", "words", "classes", "name", "role", "hidden", "children", "parent")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag, self.parent, self.children = tag, parent, []
         self.words: frozenset = frozenset()
-        self.role, self.hidden = "", False
+        self.classes: tuple | list = ()
+        self.name, self.role, self.hidden = "", "", False
         if attributes:
             names = []
             for k, v in ATTRIBUTE.findall(attributes):
                 v = v.strip("\"'").lower()
                 if k.lower() == "role":
                     self.role = v
+                    continue
+                if k.lower() == "class":
+                    self.classes = v.split()
                 else:
-                    names += WORD.findall(v)
+                    self.name = v.strip()
+                names += WORD.findall(v)
             self.words = frozenset(names)
             self.hidden = HIDDEN.search(attributes) is not None
 
@@ -136,6 +151,8 @@ def parse(source: str) -> Element:
             continue
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(source, pos)
+            if tag == "xmp":  # shown as it stands
+                e.children.append(entities.escape(source[pos : close.start() if close else end], False))
             pos = close.end() if close else end
             continue
         if not attributes.endswith("/") or tag in BLOCK:
@@ -145,24 +162,36 @@ def parse(source: str) -> Element:
 
 def no_text(e: Element, inside: bool) -> bool:
     """Whether an element is by name no part of an article; a header inside one may hold its title."""
-    if e.tag in NO_TEXT or e.hidden or e.role in NO_TEXT_ROLES or not e.words.isdisjoint(NO_TEXT_WORDS):
-        return e.tag not in ("html", "body", "article", "main") or not e.words.isdisjoint(("comment", "comments", "reply"))
-    return e.tag == "header" and not inside
+    if e.tag in ("html", "body", "article", "main"):
+        return False
+    if e.hidden:
+        return True
+    if inside:
+        return (e.tag in NO_TEXT and e.tag not in DOUBTFUL or e.role in NO_TEXT_ROLES and e.role not in DOUBTFUL_ROLES
+                or e.name in SURE_IDS or not SURE_CLASSES.isdisjoint(e.classes))
+    return e.tag in NO_TEXT or e.tag == "header" or e.role in NO_TEXT_ROLES or not e.words.isdisjoint(NO_TEXT_WORDS)
+
+
+def doubtful(e: Element) -> bool:
+    """Whether an element inside an article bears a name that, outside, would be no text's."""
+    return e.tag in DOUBTFUL or e.role in DOUBTFUL_ROLES or not e.words.isdisjoint(NO_TEXT_WORDS)
 
 
 def articles(root: Element) -> list[Element]:
-    """Outermost article elements, else main elements, else none."""
-    for name in ("article", "main"):
-        found, todo = [], [root]
-        while todo:
-            e = todo.pop()
-            if (e.tag == name or name == "main" and e.role == "main") and not no_text(e, False):
-                found.append(e)
-                continue
-            if not no_text(e, False):
-                todo.extend(c for c in reversed(e.children) if isinstance(c, Element))
-        if any(blocks(e, frozenset(), {}) for e in found):
-            return found
+    """Outermost article elements, else main elements, else none; those that stand inside an element of a doubtful
+    name (<div class="has-sidebar">) count if there are no others."""
+    for sure in (False, True):
+        for name in ("article", "main"):
+            found, todo = [], [root]
+            while todo:
+                e = todo.pop()
+                if e.tag == name or name == "main" and e.role == "main" and not no_text(e, sure):
+                    found.append(e)
+                    continue
+                if not no_text(e, sure):
+                    todo.extend(c for c in reversed(e.children) if isinstance(c, Element))
+            if any(blocks(e, frozenset(), {}) for e in found):
+                return found
     return []
 
 
@@ -193,7 +222,7 @@ def subtree_hashes(root: Element, skip: list[Element]) -> dict[int, int]:
 
 
 def article_hashes(tops: list[Element]) -> dict[int, int]:
-    """By id() of each block element with text inside the articles, the hash of its subtree (odd)."""
+    """By id() of each block or doubtful element with text inside the articles, the hash of its subtree (odd)."""
     out: dict[int, int] = {}
     known: dict[int, str] = {}
     order: list[Element] = []
@@ -209,13 +238,13 @@ def article_hashes(tops: list[Element]) -> dict[int, int]:
         if not any(parts):
             continue
         h = known[id(e)] = xxhash.xxh3_64_hexdigest("\x00".join([f"<{e.tag} {' '.join(sorted(e.words))}>", *parts]).encode("utf-8", "surrogatepass"))
-        if id(e) not in over and e.tag in BLOCK and e.tag not in PARTS:
+        if id(e) not in over and (e.tag in BLOCK and e.tag not in PARTS or doubtful(e)):
             out[id(e)] = (int(h, 16) - (1 << 63)) | 1
     return out
 
 
 def inside(top: Element) -> bool:
-    return top.tag in ("article", "main")
+    return top.tag in ("article", "main") or top.role == "main"
 
 
 def blocks(top: Element, template: frozenset, hashes: dict[int, int], cut: list | None = None) -> list[str]:

@@ -102,6 +102,19 @@ def test_extract_templates_inside_articles(spark):
         assert got[200 + i].count("copied") == 9 and got[200 + i].endswith(f"Edit {i}")
 
 
+def test_extract_doubtful_names_inside_articles(spark):
+    """Parts of an article with doubtful names stay unless the host's template has them; articles stay whatever their name."""
+    page = """<body class="no-comments"><div class="layout has-sidebar"><article class="post comments-open"><h2 id="legal-form">Legal form</h2>
+      <section id="discussion"><p>Long talk</p></section><div class="search-results form">Found <math><mi>x</mi><annotation>tex</annotation></math></div>
+      <xmp>a &lt; <b></xmp><p class="related">Kin</p><div class="box ad">Buy</div><div class="comments">Reader</div></article></div></body>"""
+    text = "Legal form\n\nLong talk\n\nFound x\n\na &lt; <b>\n\nKin"
+    assert extract.main_text(page, frozenset()) == text
+    assert extract.main_text('<body><div class="ad">x</div><main class="reply"><p>y</p></main></body>', frozenset()) == "y"
+    rows = [(i, f"https://a.org/{i}", f'<article><p>Text {i}</p><p><span class="legal">All rights reserved</span> Line {i}</p></article>') for i in range(9)] + [(9, "https://b.org", page)]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[9] == text and all(got[i] == f"Text {i}\n\nLine {i}" for i in range(9))
+
+
 def test_extract_pages(spark):
     """On the given pages the text is the article's, decoded, block by block."""
     import html
