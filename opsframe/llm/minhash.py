@@ -9,8 +9,9 @@
    then the shingle sets themselves decide, exactly. Connected components follow by alternating large-star
    and small-star.
 4. Buckets of three and more that still hold several components are searched in whole: each member outside
-   the bucket's largest component is held against all members of other components by their sets, inside blocks
-   of bounded size. A link between two members of one component can't change the result, so after this no
+   the bucket's largest component is held against all members of other components by their sets. Both sides are
+   dealt over blocks of about BLOCK_SHINGLES, and each pair of blocks is searched once, in a group of its own, so
+   a group holds two blocks whatever the bucket's size. A link between two members of one component can't change the result, so after this no
    link is lost; of an outside member's links to one component, one is given on.
 
 Signatures decide with a margin of MARGIN below the threshold (over four standard deviations), and a pair at
@@ -165,23 +166,34 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def dealt(named: DataFrame) -> DataFrame:
+    """named: band, hash, rep, n_shingles, component. Members of buckets with several components, dealt over groups
+    (band, hash, i, j) that hold two blocks: i of members outside the bucket's largest component, which ask, and j
+    of other such members or of the largest component. Each pair of blocks meets in one group."""
+    parts = named.groupBy("band", "hash", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    mixed = (parts.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size"), F.max(F.struct("n", "component", "size")).alias("top"))
+             .where("parts > 1").select("band", "hash", F.col("top.component").alias("main"),
+                                        F.ceil((F.col("size") - F.col("top.size")) / BLOCK_SHINGLES).cast("int").alias("outer"),
+                                        F.ceil(F.col("top.size") / BLOCK_SHINGLES).cast("int").alias("inner")))
+    spot = F.xxhash64("rep")
+    rows = named.join(mixed, ["band", "hash"]).withColumn("at", F.when(F.col("component") != F.col("main"), F.pmod(spot, F.col("outer")))
+                                                          .otherwise(F.col("outer") + F.pmod(spot, F.col("inner"))).cast("int"))
+    # one pass: a member is held against the asking blocks up to its own, and asks the blocks from its own on
+    groups = F.expr("""concat(
+        transform(sequence(0, least(at, outer - 1)), x -> struct(x as i, at as j, false as ask)),
+        if(at < outer, transform(sequence(at, outer + inner - 1), x -> struct(at as i, x as j, true as ask)), array()))""")
+    return rows.withColumn("to", F.explode(groups)).select("band", "hash", "to.i", "to.j", "to.ask", "rep", "component", "n_shingles")
+
+
 def unfinished(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between components that meet in a bucket, where b lies outside the bucket's largest one."""
     named = (members.where("n > 2").join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
-             .withColumn("component", F.coalesce("component", "rep")))
-    parts = named.groupBy("band", "hash", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
-    mixed = (parts.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size"), F.max(F.struct("n", "component")).alias("top"))
-             .where("parts > 1").select("band", "hash", "size", F.col("top.component").alias("main")))
-    rows = named.join(mixed, ["band", "hash"]).join(texts.withColumnRenamed("id", "rep"), "rep")
-    blocks = F.ceil(F.col("size") / BLOCK_SHINGLES).cast("int")
-    # members are dealt over blocks; those outside the largest component go to every block of their bucket
-    held = rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("ask", F.lit(False))
-    asks = rows.where("component <> main").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("ask", F.lit(True))
-    columns = ["band", "hash", "block", "ask", "rep", "component", "main", "text"]
+             .withColumn("component", F.coalesce("component", "rep")).select("band", "hash", "rep", "n_shingles", "component"))
 
     def searched(key: tuple, t: pa.Table) -> pa.Table:
         ask = t.column("ask").to_numpy(zero_copy_only=False)
-        rep, comp, main = (t.column(c).to_numpy() for c in ("rep", "component", "main"))
+        rep, comp = (t.column(c).to_numpy() for c in ("rep", "component"))
+        same = key[2].as_py() == key[3].as_py()
         sets = list(shingle_sets(text_bytes(t.column("text").combine_chunks()), k))
         y = np.flatnonzero(~ask)
         a, b = [], []
@@ -197,14 +209,15 @@ def unfinished(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int, p
                 shared = np.add.reduceat(mark[places], starts)
                 mark[at] = 0
                 linked = (100 * shared >= percent * (sizes + len(sets[x]) - shared)) & (comp[y] != comp[x])
-                linked &= (comp[y] == main[y]) | (rep[y] < rep[x])  # of two outside members, once
+                if same:  # a block against itself: of two members, once
+                    linked &= rep[y] < rep[x]
                 near = y[linked]
                 for z in near[np.unique(comp[near], return_index=True)[1]]:
                     a.append(rep[z])
                     b.append(rep[x])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return held.select(columns).union(asks.select(columns)).groupBy("band", "hash", "block").applyInArrow(searched, "a long, b long").distinct()
+    return dealt(named).join(texts.withColumnRenamed("id", "rep"), "rep").groupBy("band", "hash", "i", "j").applyInArrow(searched, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",

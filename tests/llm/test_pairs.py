@@ -158,3 +158,29 @@ def test_leaks_of_nothing(spark):
     assert decontaminate.leaks(cases.edges(spark), bench.limit(0)).count() == 0
     none = spark.createDataFrame([(1, None), (2, ""), (None, "a b c")], "item_id long, text string")
     assert decontaminate.leaks(cases.edges(spark), none).count() == 0
+
+
+def test_bucket_search_is_bounded(spark, monkeypatch):
+    """A bucket of unlinked members is dealt over groups of two blocks, in which each pair of components meets once."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 2_000)
+    named = spark.range(600).select(F.lit(0).alias("band"), F.lit(7).cast("long").alias("hash"), F.col("id").alias("rep"), F.lit(50).cast("long").alias("n_shingles"),
+                                    F.greatest("id", F.lit(100)).alias("component"))  # 0 to 100 are linked
+    groups = collections.defaultdict(lambda: ([], []))
+    for r in minhash.dealt(named).collect():
+        groups[r.i, r.j][r.ask].append(r.rep)
+    assert max(50 * len(x) for g in groups.values() for x in g) <= 2 * 2_000
+    met = collections.Counter()
+    for (i, j), (held, asks) in groups.items():
+        met.update((min(x, y), max(x, y)) for x in asks for y in held if max(x, 100) != max(y, 100) and (i != j or y < x))
+    assert set(met.values()) == {1} and len(met) == 600 * 599 // 2 - 101 * 100 // 2
+
+
+def test_near_duplicates_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 150)
+    docs = []
+    for g, (n, words, edits) in enumerate([(40, 60, 1), (30, 200, 6), (30, 90, 2)]):
+        docs += [(1000 * g + i, t) for i, t in enumerate(near_copies(n, words, edits, g))]
+    got = {r[0]: tuple(r)[1:] for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == components_by_brute_force(docs, 5, 80)
