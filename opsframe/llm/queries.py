@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import decontaminate, extract, fingerprint, langid, minhash, packing, pii, secrets, shard, substring
+from opsframe.llm import decontaminate, extract, fingerprint, langid, minhash, packing, pii, secrets, shard, simhash, substring
 from opsframe.llm.common import table
 
 
@@ -50,6 +50,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint of 3-word shingles and its component at 3 or fewer differing bits."""
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), k=3, distance=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_fingerprints": op2_fingerprints,
@@ -61,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_shards": op9_shards,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_simhash": op11_simhash,
 }
 ORACLE: dict[str, str] = {}
