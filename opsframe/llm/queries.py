@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import decontaminate, extract, fingerprint, langid, minhash, packing, pii, secrets, shard, simhash, substring
+from opsframe.llm import decontaminate, extract, fingerprint, langid, minhash, packing, pii, quantize, secrets, shard, simhash, substring
 from opsframe.llm.common import table
 
 
@@ -55,6 +55,11 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), k=3, distance=3)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every usable vector: 16 parts, 64 entries, 2 rounds."""
+    return quantize.codes_digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_fingerprints": op2_fingerprints,
@@ -67,5 +72,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_shards": op9_shards,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_simhash": op11_simhash,
+    "op12_vector_codes": op12_vector_codes,
+}
+ORACLE: dict[str, str] = {
+    "op12_vector_codes": """
+        WITH kept AS (
+          SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+          FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS (SELECT vec_id, p, list_slice(v, p * 4 + 1, p * 4 + 4) AS v FROM kept, (SELECT unnest(range(16)) AS p)),
+        book0 AS (
+          SELECT q.p, f.e, q.v FROM parts q
+          JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64) f ON q.vec_id = f.vec_id),
+        near0 AS (
+          SELECT q.vec_id, q.p, min(list_sum(list_transform(list_zip(q.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 64 + b.e) AS best
+          FROM parts q JOIN book0 b ON q.p = b.p GROUP BY q.vec_id, q.p),
+        means1 AS (
+          SELECT p, e, list(m ORDER BY i) AS v FROM (
+            SELECT p, e, i, (s - ((s % c) + c) % c) // c AS m FROM (
+              SELECT q.p, n.best % 64 AS e, t.i, sum(q.v[t.i])::BIGINT AS s, count(*) AS c
+              FROM parts q JOIN near0 n ON q.vec_id = n.vec_id AND q.p = n.p, (SELECT unnest(range(1, 5)) AS i) t GROUP BY 1, 2, 3))
+          GROUP BY p, e),
+        book1 AS (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book0 b LEFT JOIN means1 m ON b.p = m.p AND b.e = m.e),
+        near1 AS (
+          SELECT q.vec_id, q.p, min(list_sum(list_transform(list_zip(q.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 64 + b.e) AS best
+          FROM parts q JOIN book1 b ON q.p = b.p GROUP BY q.vec_id, q.p),
+        means2 AS (
+          SELECT p, e, list(m ORDER BY i) AS v FROM (
+            SELECT p, e, i, (s - ((s % c) + c) % c) // c AS m FROM (
+              SELECT q.p, n.best % 64 AS e, t.i, sum(q.v[t.i])::BIGINT AS s, count(*) AS c
+              FROM parts q JOIN near1 n ON q.vec_id = n.vec_id AND q.p = n.p, (SELECT unnest(range(1, 5)) AS i) t GROUP BY 1, 2, 3))
+          GROUP BY p, e),
+        book2 AS (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book1 b LEFT JOIN means2 m ON b.p = m.p AND b.e = m.e),
+        near2 AS (
+          SELECT q.vec_id, q.p, min(list_sum(list_transform(list_zip(q.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 64 + b.e) AS best
+          FROM parts q JOIN book2 b ON q.p = b.p GROUP BY q.vec_id, q.p),
+        codes AS (
+          SELECT k.vec_id, k.label, string_agg(printf('%02x', (n.best % 64)::INT), '' ORDER BY n.p) AS code, sum(n.best // 64)::BIGINT AS error
+          FROM kept k JOIN near2 n ON k.vec_id = n.vec_id GROUP BY k.vec_id, k.label),
+        digest AS (SELECT sha256(string_agg(list_aggregate(v, 'string_agg', ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM codes, digest
+    """,
 }
-ORACLE: dict[str, str] = {}
