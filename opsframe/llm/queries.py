@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsframe.llm import decontaminate, extract, fingerprint, langid, minhash, packing, pii, quantize, secrets, shard, simhash, substring
+from opsframe.llm import decontaminate, extract, fingerprint, langid, minhash, packing, pii, quantize, secrets, shard, simhash, substring, trie
 from opsframe.llm.common import table
 
 
@@ -60,6 +60,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quantize.codes_digest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_fingerprints": op2_fingerprints,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_duplicates": op10_near_duplicates,
     "op11_simhash": op11_simhash,
     "op12_vector_codes": op12_vector_codes,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE: dict[str, str] = {
     "op12_vector_codes": """
@@ -112,4 +118,34 @@ ORACLE: dict[str, str] = {
         digest AS (SELECT sha256(string_agg(list_aggregate(v, 'string_agg', ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
         SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM codes, digest
     """,
+    "op13_prefix_trie": """
+        WITH own AS (
+          SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+          FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        hashed AS (
+          SELECT conv_id, turns, xor(4294967295::BIGINT, list_reduce(
+            [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+            lambda s, c: list_reduce([xor(s, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1))))) % 9 AS h
+          FROM own),
+        built AS (
+          SELECT c.conv_id, list_slice(coalesce(b.turns, []), 1, c.h) || list_slice(c.turns, c.h + 1, len(c.turns)) AS path
+          FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+        members AS (
+          SELECT conv_id, d, list_slice(path, 1, d) AS pre, len(path) = d AS ends
+          FROM (SELECT conv_id, path, unnest(range(len(path) + 1)) AS d FROM built)),
+        nodes AS (
+          SELECT d, pre, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+                 CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(pre[d].text) END AS saves
+          FROM members GROUP BY d, pre),
+        children AS (SELECT d - 1 AS d, list_slice(pre, 1, d - 1) AS pre, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+        counted AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.d = c.d AND n.pre = c.pre),
+        below AS (
+          SELECT up AS d, list_slice(pre, 1, up) AS pre, count(*) FILTER (n_children = 0) AS n_leaves, sum(saves) AS saved_tokens
+          FROM (SELECT pre, saves, n_children, unnest(range(d + 1)) AS up FROM counted) GROUP BY 1, 2)
+        SELECT c.conv_id, c.d::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, b.n_leaves,
+               b.saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+        FROM counted c JOIN below b ON c.d = b.d AND c.pre = b.pre
+        LEFT JOIN nodes p ON p.d = c.d - 1 AND p.pre = list_slice(c.pre, 1, c.d - 1)
+    """,
 }
