@@ -8,6 +8,7 @@ from opsframe.functions.naming import ROOT_DOMAIN as ROOT
 from opsframe.plans import routing
 from opsframe.plans.projectcfg import site_media_entries
 from opsframe.registry import query
+from opsframe.session import cut_lineage, new_folder
 from opsframe.sources.roles import Roles, with_roles
 
 # The site media map every project is given in these queries (this library's own entries).
@@ -133,9 +134,24 @@ def q_site_config_text(spark, sf):
     """C-4 / X-12 / X-11: every routed app's proxy site file as ordered line rows."""
     r = Roles(spark, sf)
     dep, project, vhost = r.deployment, r.project, r.vhost
-    rt = routing.routing_table(dep, r.bundle, project, vhost)
+    served = cut_lineage(routing.served_bundles(dep))  # read by the table and the upstreams
+    rt = cut_lineage(routing.routing_table(dep, r.bundle, project, vhost, served))
     routed = rt.filter(F.col("status") == "routed").select("project_id")
     # every routed project carries the same media map text; X-11 parses it per project
     media = site_media_entries(routed.withColumn("site_media", F.lit(MEDIA_MAP_TEXT)), "site_media")
-    return routing.site_config_lines(rt, routing.routing_upstreams(dep), routing.hostnames(project, vhost),
+    return routing.site_config_lines(rt, routing.routing_upstreams(dep, served), routing.hostnames(project, vhost),
                                      media.filter(F.col("status") == "ok").select("project_id", "url_path", "file_path", "pos"))
+
+
+SITE_LINES_SQL = """
+SELECT app_id, row_number() OVER (PARTITION BY app_id ORDER BY section, ord, sub) - 1 AS line_no, line
+FROM (SELECT app_id, section, ord, generate_subscripts(a, 1) AS sub, unnest(a) AS line
+      FROM (SELECT *, string_split(line, chr(10)) AS a FROM lines))"""
+
+
+@query("site_files_written", oracle=with_roles(SITE_LINES_SQL, *ROUTING_ROLES, extra=SITE_SQL))
+def q_site_files_written(spark, sf):
+    """S-18: the proxy site files (C-4) written as text, in file order over several tasks, and read back line by line."""
+    path = new_folder(spark, "sites")
+    routing.write_site_files(q_site_config_text(spark, sf), path)
+    return routing.read_site_files(spark, path)

@@ -72,6 +72,31 @@ def dense_index(df: DataFrame, order: list[str], out: str = "idx", buckets: int
             .drop("__at", "__bk", "__row", "__off"))
 
 
+def keyed_index(df: DataFrame, keys: list[str], order: list[str], out: str = "idx", partitions: int | None = None) -> DataFrame:
+    """J-7 / T-2: consecutive 0-based index in ``order`` within ``keys``, without a
+    window over all rows of a key. ``order`` decides ties.
+
+    Rows are range-partitioned by (keys, order) and checkpointed, which fixes the
+    partition of each row; a slice is what one partition holds of a key. Rows are
+    numbered inside their slice; a range boundary cuts at most one key, so fewer
+    slices than there are partitions have earlier slices of their key, and their
+    offsets are small enough to be joined by broadcast."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut_lineage(df.repartitionByRange(n, *_cols(keys), *_cols(order)).withColumn("__bk", F.spark_partition_id()))
+    counts = placed.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)  # one row a slice
+    offsets = counts.withColumn("__off", F.sum("__n").over(earlier)).filter(F.col("__off").isNotNull()).drop("__n")
+    inside = F.row_number().over(Window.partitionBy(*keys, "__bk").orderBy(*_cols(order))) - 1
+    numbered = placed.withColumn("__row", inside)
+    offsets = offsets.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__bk").alias("__obk"), "__off")
+    on = F.col("__bk") == F.col("__obk")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return (numbered.join(F.broadcast(offsets), on, "left")
+            .withColumn(out, (F.col("__row") + F.coalesce("__off", F.lit(0))).cast("bigint"))
+            .select(*df.columns, out))
+
+
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank_col: str = "rn") -> DataFrame:
     """T-1 / W-6: keep the first ``n`` rows per key in ``order``.
 

@@ -45,22 +45,32 @@ def log_catalog(listing: DataFrame, access_logs: DataFrame | None = None) -> Dat
                                                   F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))))
 
 
-def log_page(lines: DataFrame, catalog: DataFrame, requests: DataFrame, n: int = PAGE_LINES) -> DataFrame:
+ACCESS_LOG_RE = r"^(.*)\.access\.log$"
+
+
+def catalog_of_listing(listing: DataFrame) -> DataFrame:
+    """C-7 / S-6: ``log_catalog`` of a listing (hostname, name, filesize, mod_time) that
+    holds the apps' access logs (``<app>.access.log``) beside the supervisor logs."""
+    access = listing.filter(F.col("name").rlike(ACCESS_LOG_RE)).withColumn("app_id", F.regexp_extract("name", ACCESS_LOG_RE, 1))
+    return log_catalog(listing, access)
+
+
+def log_page(lines: DataFrame, catalog: DataFrame, requests: DataFrame, n: int = PAGE_LINES, order: tuple[str, ...] = ("line_no",)) -> DataFrame:
     """F-15 + A-10 + T-1 + T-6: answer page requests (hostname, app_id, log_id).
 
     A request is allowed only if the log is in that app's catalog on that
     host (left-semi); otherwise status ``unavailable`` and an empty page. The
     page is the last ``n`` lines in file order, newline-joined — the list is
     bounded by ``n`` and pruned per key before the shuffle (WindowGroupLimit).
-    ``lines``: (hostname, log_id, line_no, line).
+    ``lines``: (hostname, log_id, line) and the columns of ``order``, file order.
     """
     keys = ["hostname", "app_id", "log_id"]
     allowed = requests.join(catalog.select(*keys).distinct(), keys, "left_semi")
     denied = requests.join(catalog.select(*keys).distinct(), keys, "left_anti")
     last = tail_lines(lines.join(allowed.select("hostname", "log_id").distinct(), ["hostname", "log_id"], "left_semi"),
-                      ["hostname", "log_id"], [F.col("line_no")], n)
+                      ["hostname", "log_id"], [F.col(c) for c in order], n)
     pages = last.groupBy("hostname", "log_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, "line"))), lambda x: x["line"]),
                      "\n").alias("page"),
         F.count(F.lit(1)).alias("n_lines"))
     ok = (allowed.join(pages, ["hostname", "log_id"], "left")

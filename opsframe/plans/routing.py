@@ -16,11 +16,13 @@ Shapes (all set-wide, one plan for every project at once):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsframe.functions import naming
 from opsframe.operators.filters import active_filter
+from opsframe.operators.windows import keyed_index
+from opsframe.sources.files import FILE_ORDER, read_ordered_text, write_ordered_text
 
 ADMIN_MEDIA_URL_PATH = "/_admin_media/"      # default url path of the admin's media (a parameter)
 
@@ -79,9 +81,10 @@ def served_bundles(deployment: DataFrame) -> DataFrame:
 
 
 def routing_table(deployment: DataFrame, bundle: DataFrame, project: DataFrame,
-                  vhost: DataFrame) -> DataFrame:
-    """C-3: one row per project. ``status`` is ``routed`` or ``not_deployed``."""
-    served = served_bundles(deployment)
+                  vhost: DataFrame, served: DataFrame | None = None) -> DataFrame:
+    """C-3: one row per project. ``status`` is ``routed`` or ``not_deployed``.
+    ``served``: the ``served_bundles``, if they are there already."""
+    served = served_bundles(deployment) if served is None else served
     n_hosts = hostnames(project, vhost).groupBy("project_id").agg(F.count(F.lit(1)).alias("n_hostnames"))
     p = project.select(F.col("id").alias("project_id"))
     out = (p.join(served, "project_id", "left")
@@ -98,10 +101,10 @@ def routing_table(deployment: DataFrame, bundle: DataFrame, project: DataFrame,
         naming.canonical_host("project_id").alias("canonical_host"))
 
 
-def routing_upstreams(deployment: DataFrame) -> DataFrame:
+def routing_upstreams(deployment: DataFrame, served: DataFrame | None = None) -> DataFrame:
     """C-3 / F-18: the served bundle's active deployments as upstream rows
     (instance id, ip, port), ordered by deployment id within a project."""
-    served = served_bundles(deployment).select("project_id", "bundle_id")
+    served = (served_bundles(deployment) if served is None else served).select("project_id", "bundle_id")
     return (active_filter(deployment, True)
             .join(served, ["project_id", "bundle_id"], "left_semi")
             .select("project_id", "bundle_id", F.col("id").alias("deployment_id"),
@@ -187,7 +190,13 @@ def site_config_lines(routing: DataFrame, upstreams: DataFrame, hosts: DataFrame
     return out
 
 
-def write_site_files(lines: DataFrame, path: str) -> None:
-    """S-18: one text file folder per app, lines in file order."""
-    (lines.repartition("app_id").sortWithinPartitions("app_id", "section", "ord")
-     .select("app_id", "line").write.mode("overwrite").partitionBy("app_id").text(path))
+def write_site_files(lines: DataFrame, path: str, partitions: int | None = None) -> None:
+    """S-18: one folder of text per app; its part files by number are the site file,
+    and an app with very many lines is written by several tasks."""
+    write_ordered_text(lines, path, ["app_id"], ["section", "ord"], partitions=partitions)
+
+
+def read_site_files(spark: SparkSession, path: str) -> DataFrame:
+    """The written site files: app_id, line_no, line."""
+    lines = read_ordered_text(spark, path, ["app_id"])
+    return keyed_index(lines, ["app_id"], FILE_ORDER, "line_no").select("app_id", "line_no", "line")

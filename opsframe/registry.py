@@ -19,7 +19,7 @@ _QUERIES: dict[str, QueryFn] = {}
 _ORACLE: dict[str, str] = {}
 
 DRIVER_MODULES = (
-    "routing", "tables", "logs", "jobs", "inventory", "plans", "projectcfg", "streams",
+    "routing", "tables", "logs", "logfiles", "jobs", "inventory", "plans", "projectcfg", "streams",
 )
 
 

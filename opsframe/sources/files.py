@@ -8,6 +8,8 @@
   ``monotonically_increasing_id``) — rows of one split are produced in file
   order and splits of one file are ordered by their start offset. Large logs
   are split across partitions like any text input.
+* ``write_ordered_text`` / ``read_ordered_text`` (S-18, S-7): a text file too large
+  for one task as a folder of part files, whose names are in row order.
 * ``read_whole`` (S-10, S-13, S-17): whole small config files (``binaryFile`` content).
 """
 
@@ -43,6 +45,44 @@ def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         F.col("value").alias("line"))
 
 
+def write_ordered_text(rows: DataFrame, path: str, keys: list[str], order: list[str], line: str = "line", partitions: int | None = None) -> None:
+    """S-18: rows as text, one folder per ``keys``, lines in ``order``.
+
+    Rows are range-partitioned by (keys, order) and sorted there, so a folder's part
+    files taken by number are its lines in order. A folder that holds a large share of
+    all lines is written by several tasks; small folders share one. ``keys`` are not
+    null or empty; a line may hold line feeds and is then several lines of the file."""
+    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [*keys, *order]
+    (rows.repartitionByRange(n, *cols).sortWithinPartitions(*cols).select(*keys, line)
+     .write.partitionBy(*keys).option("lineSep", "\n").text(path))
+
+
+FILE_ORDER = ["part", "block_start", "seq"]
+
+
+def read_ordered_text(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """S-7: the lines of ``write_ordered_text`` folders: keys, FILE_ORDER, line.
+
+    Files are split like any text input. Within a folder, ordering by FILE_ORDER - number
+    of the part file, start of the split, row of the split - is file order. The keys are
+    folder names, so a filter or join on them skips the other folders' files."""
+    schema = ", ".join(["value string", *(f"`{k}` string" for k in keys)])
+    df = spark.read.schema(schema).option("lineSep", "\n").text(path)
+    return df.select(
+        *keys, F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("bigint").alias("part"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"))
+
+
+def list_ordered_text(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """S-6: keys, filesize and mod_time (newest part) of every ``write_ordered_text``
+    folder, from file metadata alone."""
+    of = lambda k: F.url_decode(F.replace(F.regexp_extract("path", f"/{k}=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+    return (list_files(spark, path, recursive=True).select(*[of(k).alias(k) for k in keys], "length", "mod_time")
+            .groupBy(*keys).agg(F.sum("length").alias("filesize"), F.max("mod_time").alias("mod_time")))
+
+
 def read_whole(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, name, text) — one row per (small) file, byte-exact (``binaryFile``
     content decoded as UTF-8; ``wholetext`` would drop a final newline)."""

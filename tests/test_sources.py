@@ -40,16 +40,42 @@ def test_listing_and_whole_files(spark):
     assert whole["notes.txt"] == "  myname\n"
 
 
-def test_write_site_files_roundtrip(spark):
+def test_site_files_of_a_hot_app_are_written_by_several_tasks(spark):
     from opsframe.plans import routing
-    d = tempfile.mkdtemp(prefix="opsframe-sites-")
-    lines = spark.createDataFrame([("p1", 0, 0, "upstream app_server_p1 {"), ("p1", 1, 7, "    server 10.0.0.1:10001;"),
-                                   ("p1", 2, 0, "}"), ("p2", 0, 0, "upstream app_server_p2 {")],
-                                  "app_id string, section int, ord long, line string")
-    routing.write_site_files(lines, d)
-    back = files.read_whole(spark, os.path.join(d, "app_id=p1"))
-    text = "".join(r["text"] for r in back.collect())
-    assert text.splitlines() == ["upstream app_server_p1 {", "    server 10.0.0.1:10001;", "}"]
+    d = os.path.join(tempfile.mkdtemp(prefix="opsframe-sites-"), "sites")
+    rows = [("p1", 0, 0, "upstream app_server_p1 {")] + [("p1", 1, i, f"    server 10.0.0.1:{i};") for i in range(5000, 9000)] + [
+        ("p1", 2, 0, "}\nserver {"), ("p1", 9, 0, "}"), ("p2", 0, 0, "upstream app_server_p2 {"), ("p2", 9, 0, "")]
+    lines = spark.createDataFrame(rows, "app_id string, section int, ord long, line string").repartition(5)
+    routing.write_site_files(lines, d, partitions=6)
+    parts = {r["path"] for r in files.list_files(spark, d, recursive=True).filter("parent = 'app_id=p1'").collect()}
+    assert len(parts) > 3
+    back = routing.read_site_files(spark, d).orderBy("app_id", "line_no").collect()
+    assert [r["line"] for r in back if r["app_id"] == "p1"] == "\n".join(r[3] for r in rows if r[0] == "p1").split("\n")
+    assert [(r["line_no"], r["line"]) for r in back if r["app_id"] == "p2"] == [(0, "upstream app_server_p2 {"), (1, "")]
+    listed = {r["app_id"]: r["filesize"] for r in files.list_ordered_text(spark, d, ["app_id"]).collect()}
+    assert listed["p1"] == sum(len(r[3]) + 1 for r in rows if r[0] == "p1")
+
+
+def test_ordered_text_in_many_splits(spark):
+    d = os.path.join(tempfile.mkdtemp(prefix="opsframe-logs-"), "logs")
+    rows = [("h 1+%", "a:b.log", i, f"line {i} {'x' * (i % 17)}") for i in range(20000)] + [("h2", "a:b.log", i, f"m{i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "hostname string, log_id string, no int, line string").repartition(7)
+    files.write_ordered_text(df, d, ["hostname", "log_id"], ["no"], partitions=3)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 * 1024))
+    try:
+        lines = files.read_ordered_text(spark, d, ["hostname", "log_id"])
+        assert lines.rdd.getNumPartitions() > 8
+        got = [r["line"] for r in lines.filter("hostname = 'h 1+%'").orderBy(*files.FILE_ORDER).collect()]
+        assert got == [r[3] for r in rows[:20000]]
+        tail = tail_lines(lines, ["hostname", "log_id"], [F.col(c) for c in files.FILE_ORDER], 50)
+        assert [r["line"] for r in tail.filter("hostname = 'h 1+%'").orderBy(F.desc("from_end")).collect()] == got[-50:]
+        assert tail.filter("hostname = 'h2'").count() == 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    listing = files.list_ordered_text(spark, d, ["hostname", "log_id"])
+    assert {(r["hostname"], r["log_id"]) for r in listing.collect()} == {("h 1+%", "a:b.log"), ("h2", "a:b.log")}
+    assert "content" not in listing._jdf.queryExecution().executedPlan().toString()
 
 
 def test_site_files_parse(spark):
@@ -71,15 +97,15 @@ def test_site_files_parse(spark):
 def test_log_catalog_with_access_log(spark):
     from opsframe.plans import logs
     listing = spark.createDataFrame([
-        ("h1", "bundle_test001_2011-07-08-03.40.29-stderr---supervisor-oDRZja.log", 10, 1.5),
-        ("h1", "bundle_test001_2011-07-09-03.40.29-stderr---supervisor-aaaaaa.log", 20, 2.5),   # newer name wins
-        ("h1", "bundle_test001_2011-07-08-03.40.29-stdout---supervisor-TuBrcm.log", 30, 3.5),
+        ("h1", "bundle_shop7_2013-02-04-11.20.05-stderr---supervisor-q1.log", 10, 1.5),
+        ("h1", "bundle_shop7_2013-02-05-11.20.05-stderr---supervisor-q2.log", 20, 2.5),   # newer name wins
+        ("h1", "bundle_shop7_2013-02-04-11.20.05-stdout---supervisor-q3.log", 30, 3.5),
         ("h2", "other.txt", 1, 1.0)], "hostname string, name string, filesize long, mod_time double")
-    access = spark.createDataFrame([("h1", "test001", "/tmp/test001.access.log", 5, 4.0)],
+    access = spark.createDataFrame([("h1", "shop7", "shop7.access.log", 5, 4.0)],
                                    "hostname string, app_id string, name string, filesize long, mod_time double")
     cat = {(r["stream"]): r for r in logs.log_catalog(listing, access).collect()}
     assert set(cat) == {"stderr", "stdout", "access"}
-    assert cat["stderr"]["log_id"].startswith("bundle_test001_2011-07-09")
+    assert cat["stderr"]["log_id"].startswith("bundle_shop7_2013-02-05")
     assert cat["stderr"]["caption"] == "Application Standard Error"
     assert cat["access"]["caption"] == "Web Server Access Log"
     assert str(cat["stdout"]["mod_dt"]) == "1970-01-01 00:00:03.500000"
@@ -88,10 +114,10 @@ def test_log_catalog_with_access_log(spark):
 def test_log_service_status(spark):
     from opsframe.plans import logs
     schema = "hostname string, name string, filesize long, mod_time double"
-    apps = spark.createDataFrame([("test001",), ("test002",)], "app_id string")
-    listing = spark.createDataFrame([("h1", "bundle_test001_2011-07-08-03.40.29-stderr---supervisor-x.log", 1, 1.0)], schema)
+    apps = spark.createDataFrame([("shop7",), ("shop8",)], "app_id string")
+    listing = spark.createDataFrame([("h1", "bundle_shop7_2013-02-04-11.20.05-stderr---supervisor-x.log", 1, 1.0)], schema)
     got = {r["app_id"]: r["status"] for r in logs.log_service_status(listing, apps).collect()}
-    assert got == {"test001": "ok", "test002": "no_logs"}
+    assert got == {"shop7": "ok", "shop8": "no_logs"}
     empty = spark.createDataFrame([], schema)
     got = {r["app_id"]: r["status"] for r in logs.log_service_status(empty, apps).collect()}
-    assert got == {"test001": "service_not_available", "test002": "service_not_available"}
+    assert got == {"shop7": "service_not_available", "shop8": "service_not_available"}
