@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opsframe.driver.routing import ROUTING_ROLES, SITE_SQL
 from opsframe.operators import aggregates as A
 from opsframe.operators import joins as J
+from opsframe.operators.windows import keyed_index
 from opsframe.plans import inventory as I
 from opsframe.registry import query
 from opsframe.sources.roles import Roles, with_roles
@@ -139,7 +139,7 @@ def q_max_disk(spark, sf):
 
 
 @query("fleet_health", oracle=with_roles(
-    """SELECT m.host, m.pct, m.type, m.detail, h.load_raw AS loadavg_curr, h.load_raw * 3600 AS uptime, coalesce(t.n, 0) AS num_active_tasks,
+    """SELECT m.host, m.pct, m.type, m.detail, h.load_raw AS loadavg_curr, h.load_raw * 3600 AS uptime, coalesce(t.n, 0) AS num_active_items,
               coalesce(w.n, 0) AS num_workers
        FROM mdall m JOIN host h ON h.instance_id = m.host
        LEFT JOIN (SELECT substr(queue, 11) AS host, count(*) AS n FROM job GROUP BY 1) t ON t.host = m.host
@@ -153,7 +153,7 @@ def q_fleet_health(spark, sf):
     work_items = r.job.select(F.expr("substring(queue, 11)").alias("host"))
     workers = r.deployment.filter(F.col("deactivation_date").isNull()).select(F.col("server_instance_id").alias("host"))
     h = I.fleet_health(hosts, _df_lines(r), work_items, workers)
-    return h.select("host", "pct", "type", "detail", "loadavg_curr", "uptime", "num_active_tasks", "num_workers")
+    return h.select("host", "pct", "type", "detail", "loadavg_curr", "uptime", "num_active_items", "num_workers")
 
 
 SITE_PARSE = """
@@ -259,13 +259,11 @@ def q_free_ports(spark, sf):
     "deployment", "project", "host", extra=FREE_CTES))
 def q_zip_replies(spark, sf):
     """J-7: deploy requests zipped with the appservers' replies (allocated
-    ports) on an explicit request number per host. Placement spreads apps
-    round-robin over hosts, so no host holds a large share of the requests."""
+    ports) on an explicit request number per host (a keyed dense index)."""
     r = Roles(spark, sf)
     used, blocked, placed = _port_inputs(r)
     req = placed.groupBy(F.col("instance_id").alias("host")).agg(F.count(F.lit(1)).alias("n_req"))
     replies = I.free_ports(used, blocked, req)
-    asks = (placed.drop("status").withColumn("request_no", F.row_number().over(
-        Window.partitionBy("instance_id").orderBy("project_id", "k")) - 1).withColumnRenamed("instance_id", "host"))
+    asks = keyed_index(placed.drop("status").withColumnRenamed("instance_id", "host"), ["host"], ["project_id", "k"], "request_no")
     z = J.zip_by_position(asks, replies, ["host"], "request_no")
     return z.select("project_id", "k", "host", "ip", "port", "status")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opsframe.functions import naming
 from opsframe.functions import text as T
 from opsframe.operators import filters as Fl
 from opsframe.operators import joins as J
+from opsframe.operators.windows import keyed_index
 from opsframe.plans import projectcfg as P
 from opsframe.registry import query
+from opsframe.session import new_folder
+from opsframe.sources import append
 from opsframe.sources.handlers import handlers, source_url_of
 from opsframe.sources.roles import Roles, with_roles
 
@@ -80,7 +82,7 @@ def _file_urls(p):
     form = (F.col("id") % 3).cast("int")
     u = (F.when(form == 0, F.concat(F.lit("file:///srv/"), host, tail))
          .when(form == 1, F.concat(F.lit("file:C|\\repos\\"), host, F.regexp_replace(tail, "/", "\\\\")))
-         .otherwise(F.concat(F.lit("file:////share/"), host, F.lit("/a%20b+c"), tail)))
+         .otherwise(F.concat(F.lit("file:////share/"), host, F.lit("/a%20b+c/100%x%C3%A9%"), tail)))
     comes = F.when(F.col("id") % 2 == 1, F.col("url"))
     return p.select("id", u.alias("file_url"), comes.alias("comes_from"))
 
@@ -88,7 +90,7 @@ def _file_urls(p):
 FILE_URL_CTE = """
 u AS (SELECT id, CASE id % 3 WHEN 0 THEN 'file:///srv/' || h || t
                              WHEN 1 THEN 'file:C|\\repos\\' || h || replace(t, '/', '\\')
-                             ELSE 'file:////share/' || h || '/a%20b+c' || t END AS file_url,
+                             ELSE 'file:////share/' || h || '/a%20b+c/100%x%C3%A9%' || t END AS file_url,
              CASE WHEN id % 2 = 1 THEN url END AS comes_from
       FROM (SELECT id, url, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS h,
                    regexp_extract(url, '^[a-z]+://[^/?#]*(/[^?#]*)?', 1) AS t FROM page))"""
@@ -155,7 +157,7 @@ def q_media_map(spark, sf):
 
 FILE_CLASS_SQL = """
 SELECT id, repo_id, path, cls,
-       CAST(CASE WHEN cls = 'settings' THEN row_number() OVER (PARTITION BY repo_id, cls = 'settings' ORDER BY length(path), path) END
+       CAST(CASE WHEN cls = 'settings' THEN row_number() OVER (PARTITION BY repo_id, cls = 'settings' ORDER BY length(path), path, id) END
             AS INTEGER) AS settings_rank
 FROM (SELECT id, repo_id, path,
              CASE WHEN ends_with(b, 'settings.py') OR (starts_with(b, 'settings') AND ends_with(b, '.py')) THEN 'settings'
@@ -177,10 +179,9 @@ def q_file_classes(spark, sf):
     """F-11 / S-15 / T-2: every repository file classified; settings files
     ranked shortest path first (ties by path)."""
     rf = Roles(spark, sf).repofile.select("id", "repo_id", "path", Fl.file_class("path").alias("cls"))
-    st = rf.filter(F.col("cls") == "settings").withColumn(
-        "settings_rank", F.row_number().over(Window.partitionBy("repo_id").orderBy(F.length("path"), "path")))
+    st = keyed_index(rf.filter(F.col("cls") == "settings").withColumn("len", F.length("path")), ["repo_id"], ["len", "path", "id"], "at")
     return (rf.filter(F.coalesce(F.col("cls"), F.lit("")) != "settings").withColumn("settings_rank", F.lit(None).cast("int"))
-            .unionByName(st))
+            .unionByName(st.withColumn("settings_rank", (F.col("at") + 1).cast("int")).drop("len", "at")))
 
 
 def _ini_text(p):
@@ -297,6 +298,22 @@ def q_config_guesses(spark, sf):
     return P.config_guesses(rf.select("repo_id", "path", "content"), _repo_urls(rf))
 
 
+GUESS_SCHEMA = "id bigint, project_id bigint, field string, value string, is_primary boolean, basis string"
+
+
+@query("append_guesses", oracle=with_roles(
+    """SELECT row_number() OVER (ORDER BY repo_id, basis, field) AS id, repo_id AS project_id, field, value, is_primary, basis FROM guesses""",
+    "repofile", extra=GUESS_CTES))
+def q_append_guesses(spark, sf):
+    """S-5: the guesses of C-5 appended exactly once to an empty table, with dense ids; the run is executed twice."""
+    table = new_folder(spark, "configguess")
+    guesses = q_config_guesses(spark, sf).withColumnRenamed("repo_id", "project_id")
+    append.create_table(spark.createDataFrame([], GUESS_SCHEMA), table)
+    for _ in range(2):
+        append.append_numbered(guesses, table, "check-1", GUESS_SCHEMA, ["project_id", "basis", "field"])
+    return append.read_table(spark, table, GUESS_SCHEMA)
+
+
 @query("dangling_links", oracle=with_roles(
     """SELECT l.repo_id, l.path, l.target FROM
          (SELECT id, repo_id, path, CASE id % 3 WHEN 0 THEN 'docs/' || path WHEN 1 THEN 'proj/models.py' ELSE string_split(path, '/')[-1] END AS target FROM repofile) l

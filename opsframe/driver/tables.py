@@ -9,7 +9,8 @@ from opsframe.operators import filters as Fl
 from opsframe.operators import joins as J
 from opsframe.operators.windows import dense_index
 from opsframe.registry import query
-from opsframe.session import cut_lineage
+from opsframe.session import cut_lineage, new_folder
+from opsframe.sources import append as A
 from opsframe.sources.roles import Roles, with_roles
 
 DEP_COLS = ("id", "project_id", "bundle_id")
@@ -247,6 +248,68 @@ def q_append_ids(spark, sf):
     return cut_lineage(out)
 
 
+# ---- exactly-once appends: every run is executed twice, after an attempt that failed before its commit ----
+
+def _appended_twice(spark, name, first, new, run_again, schema):
+    """The table's rows after: created with ``first``; an attempt at ``new`` that is staged and never committed; the run, twice."""
+    table = new_folder(spark, name)
+    columns = [c.split()[0] for c in schema.split(", ")]
+    A.create_table(first.select(*columns), table)
+    A.stage(new.select(*[c for c in columns if c in new.columns]), table, "run-1")
+    for _ in range(2):
+        run_again(new, table)
+    return A.read_table(spark, table, schema)
+
+
+LOG_SCHEMA = "id bigint, job_id bigint, ts timestamp_ntz, message string, logtype string"
+LOG_TYPES_SQL = ", ".join(f"'{t}'" for t in Fl.VALID_LOG_TYPES)
+
+
+@query("append_log", oracle=with_roles(f"SELECT id, job_id, ts, message, logtype FROM joblog WHERE logtype IN ({LOG_TYPES_SQL})", "joblog"))
+def q_append_log(spark, sf):
+    """S-2 / F-6: job-log rows appended exactly once (the rows of even jobs are there, those of odd jobs come); unknown types are refused."""
+    valid, _ = Fl.split_valid_log(Roles(spark, sf).joblog.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    return _appended_twice(spark, "joblog", valid.filter("job_id % 2 = 0"), valid.filter("job_id % 2 <> 0"),
+                           lambda new, t: A.append_once(new.select(*[c.split()[0] for c in LOG_SCHEMA.split(", ")]), t, "run-1"), LOG_SCHEMA)
+
+
+BUNDLE_SCHEMA = "id bigint, project_id bigint, bundle_name string, code_revision string"
+
+
+@query("append_bundles", oracle=with_roles(f"SELECT id, project_id, bundle_name, code_revision FROM bundle UNION ALL ({APPEND_SQL})", "job", "bundle"))
+def q_append_bundles(spark, sf):
+    """S-3 / X-5 / X-6 / W-8: one new bundle per job appended exactly once, with dense ids after the table's greatest."""
+    r = Roles(spark, sf)
+    new = r.job.select("issued_at", F.col("id").alias("job_id"), "project_id",
+                       naming.bundle_name(naming.sysid("project_id"), F.col("issued_at")).alias("bundle_name"),
+                       naming.truncate_revision(F.col("task_id")).alias("code_revision"))
+    return _appended_twice(spark, "bundle", r.bundle, new,
+                           lambda rows, t: A.append_numbered(rows, t, "run-1", BUNDLE_SCHEMA, ["issued_at", "job_id"]), BUNDLE_SCHEMA)
+
+
+WORKER_SCHEMA = ("id bigint, project_id bigint, bundle_id bigint, server_instance_id string, server_ip string, server_port int, "
+                 "creation_date timestamp_ntz, deactivation_date timestamp_ntz")
+
+
+@query("append_workers", oracle=with_roles(
+    """SELECT id, project_id, bundle_id, server_instance_id, server_ip, server_port, CAST(creation_date AS TIMESTAMP) AS creation_date,
+              CAST(deactivation_date AS TIMESTAMP) AS deactivation_date FROM deployment
+       UNION ALL SELECT (SELECT max(id) FROM deployment) + row_number() OVER (ORDER BY project_id, id), project_id, id, 'i-' || CAST(project_id % 10 AS VARCHAR),
+              '10.1.0.' || CAST(project_id % 10 AS VARCHAR), CAST(10001 + id % 200 AS INTEGER), CAST(creation_date AS TIMESTAMP), NULL
+       FROM bundle WHERE deletion_date IS NULL""", "deployment", "bundle"))
+def q_append_workers(spark, sf):
+    """S-4: a new active deployment of every bundle that isn't deleted, appended exactly once with dense ids."""
+    r = Roles(spark, sf)
+    at = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    host = (F.col("project_id") % 10).cast("string")
+    new = r.bundle.filter("deletion_date is null").select(
+        "project_id", F.col("id").alias("bundle_id"), F.concat(F.lit("i-"), host).alias("server_instance_id"), F.concat(F.lit("10.1.0."), host).alias("server_ip"),
+        (F.col("id") % 200 + 10001).cast("int").alias("server_port"), at("creation_date"), F.lit(None).cast("timestamp_ntz").alias("deactivation_date"))
+    old = r.deployment.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("creation_date", "deactivation_date")})
+    return _appended_twice(spark, "deployment", old, new,
+                           lambda rows, t: A.append_numbered(rows, t, "run-1", WORKER_SCHEMA, ["project_id", "bundle_id"]), WORKER_SCHEMA)
+
+
 @query("store_catalog", oracle=with_roles(
     """SELECT coalesce(b.key, s.key) AS key, b.id,
               CASE WHEN b.id IS NULL THEN 'orphan' WHEN s.key IS NOT NULL THEN 'present'

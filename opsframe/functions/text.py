@@ -162,8 +162,9 @@ def file_url_path(url) -> Column:
     u = _c(url)
     rest = F.regexp_replace(F.regexp_replace(u, r"^file:", ""), r"\\", "/")
     rest = F.regexp_replace(rest, r"^/*([a-zA-Z])\|", "$1:")
-    protected = F.regexp_replace(rest, r"\+", "%2B")
-    decoded = F.coalesce(F.try_url_decode(protected), rest)  # malformed escapes stay as they are
+    # runs of whole escapes are decoded together (a character may take several); all else, malformed escapes too, stays
+    pieces = F.regexp_extract_all(rest, F.lit("((?:%[0-9A-Fa-f]{2})+|[^%]+|%)"), F.lit(1))
+    decoded = F.array_join(F.transform(pieces, lambda x: F.when(x.rlike("^%[0-9A-Fa-f]"), F.url_decode(x)).otherwise(x)), "")
     return F.when(u.startswith("file:"), F.regexp_replace(decoded, "^/+", "/"))
 
 

@@ -28,13 +28,6 @@ def worker_bundle(deployment: DataFrame, bundle: DataFrame) -> DataFrame:
     return deployment.join(b, "bundle_id")
 
 
-def match_deployments(deployment: DataFrame, requests: DataFrame) -> DataFrame:
-    """J-4: deployments whose (project, id) is requested — inactive ones
-    included, unlike the bundle-id route. ``requests``: (project_id, dep_id)."""
-    r = requests.select("project_id", F.col("dep_id").alias("id")).distinct()
-    return deployment.join(r, ["project_id", "id"], "left_semi")
-
-
 def old_instances(active: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """J-5 / U-5: instances active before a deploy that are not among the new ones."""
     return active.join(new.select(key), key, "left_anti")
@@ -87,23 +80,40 @@ def zip_by_position(requests: DataFrame, replies: DataFrame, keys: list[str], po
     return requests.join(replies, [*keys, pos])
 
 
+SHORTEST_SUFFIX = 4
+
+
+def path_tails(left: DataFrame, right: DataFrame, group: str, suffix_col: str, path_col: str, shortest: int = SHORTEST_SUFFIX) -> DataFrame:
+    """J-9: the ends of ``right``'s paths that may equal a suffix of ``left`` in the same
+    group: (group, tail, path and the other columns of ``right``).
+
+    Two strings that end alike have equal last characters, so the lengths of a group's
+    suffixes are looked up by (group, last ``shortest`` characters) - one row a key - and a
+    path is cut to just these lengths. Suffixes have at least ``shortest`` characters (a
+    module's file is at least ``x.py``); a shorter one is an error."""
+    s, p = F.col(suffix_col), F.col(path_col)
+    long_enough = F.when(F.length(s) < shortest, F.raise_error(F.concat(F.lit("suffix too short: "), s)).cast("string")).otherwise(F.right(s, F.lit(shortest)))
+    lengths = left.select(F.col(group).alias("__g"), long_enough.alias("__end"), F.length(s).alias("__len")).groupBy("__g", "__end").agg(
+        F.collect_set("__len").alias("__lengths"))
+    cut = right.withColumn("__g", F.col(group)).withColumn("__end", F.right(p, F.lit(shortest))).join(lengths, ["__g", "__end"])
+    return (cut.withColumn("__l", F.explode("__lengths")).filter(F.col("__l") <= F.length(p))
+            .withColumn("tail", F.right(p, F.col("__l"))).drop("__g", "__end", "__lengths", "__l"))
+
+
 def suffix_join(left: DataFrame, right: DataFrame, group: str, suffix_col: str, path_col: str) -> DataFrame:
     """J-9: rows of ``right`` in the same ``group`` whose ``path_col`` ends with
-    ``left.suffix_col`` (no ``/`` boundary, as in the reference).
-
-    Equi on ``group`` plus a residual ``endswith``. To keep a huge group from
-    becoming a nested loop, the last path component is added as a second equi
-    key whenever the suffix contains a ``/`` (then the last parts must match).
-    """
-    l2 = left.withColumn("__last", F.when(F.col(suffix_col).contains("/"),
-                                          F.element_at(F.split(suffix_col, "/"), -1)))
-    r2 = (right.withColumnRenamed(group, "__rg")
-          .withColumn("__rlast", F.element_at(F.split(path_col, "/"), -1)))
-    ends = F.col(path_col).endswith(F.col(suffix_col))
-    with_slash = l2.filter(F.col("__last").isNotNull()).join(
-        r2, (F.col(group) == F.col("__rg")) & (F.col("__last") == F.col("__rlast")) & ends)
-    no_slash = l2.filter(F.col("__last").isNull()).join(r2, (F.col(group) == F.col("__rg")) & ends)
-    return with_slash.unionByName(no_slash).drop("__last", "__rlast", "__rg")
+    ``left.suffix_col`` (no ``/`` boundary, as in the reference): an equi-join on
+    (group, the path's end), see ``path_tails``; only matching pairs meet."""
+    tails = path_tails(left, right, group, suffix_col, path_col).withColumnRenamed("tail", suffix_col)
+    return left.join(tails, [group, suffix_col])
+
+
+def first_suffix_match(left: DataFrame, right: DataFrame, group: str, suffix_col: str, path_col: str, out: str) -> DataFrame:
+    """J-9 when only the first (least) path counts: it is picked per (group, end) before
+    the join, so equal settings and many matching files make no pairs."""
+    firsts = (path_tails(left, right.select(group, path_col), group, suffix_col, path_col)
+              .groupBy(group, F.col("tail").alias(suffix_col)).agg(F.min(path_col).alias(out)))
+    return left.join(firsts, [group, suffix_col])
 
 
 def dangling_links(links: DataFrame, paths: DataFrame, target: str = "target", path: str = "path",

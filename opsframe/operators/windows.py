@@ -184,7 +184,8 @@ def step_of_message(log: DataFrame, job: str = "job_id", bucket: Column | None =
 
 def primary_until_first_hit(df: DataFrame, key: str, order: list[str], hit: str, out: str = "is_primary") -> DataFrame:
     """W-1: true for every row up to and including the first row with ``hit``
-    (in ``order`` within ``key``); false afterwards."""
-    w = Window.partitionBy(key).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.max(F.col(hit).cast("int")).over(w), F.lit(0))
-    return df.withColumn(out, before == 0)
+    (in ``order`` within ``key``); false afterwards. The first hit is a minimum
+    per key, one row, joined back; no key's rows meet in one window."""
+    firsts = df.filter(hit).groupBy(key).agg(F.min(F.struct(*order)).alias("__first"))
+    return (df.join(firsts, key, "left")
+            .withColumn(out, F.col("__first").isNull() | (F.struct(*order) <= F.col("__first"))).drop("__first"))

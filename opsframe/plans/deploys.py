@@ -8,12 +8,13 @@ new placements) stay rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsframe.operators.filters import active_filter
 from opsframe.operators.joins import placement, zip_by_position
 from opsframe.operators.mutations import stamp
+from opsframe.operators.windows import keyed_index
 from opsframe.plans.inventory import free_ports
 
 
@@ -128,8 +129,7 @@ def recovery_workers(deployment: DataFrame, new_rows: DataFrame) -> DataFrame:
     blocked. A worker beyond its host's port range has status ``out_of_ports``."""
     used = active_filter(deployment, True).select(F.col("server_instance_id").alias("host"), F.col("server_port").alias("port"))
     blocked = active_filter(deployment, False).select(F.col("server_instance_id").alias("host"), F.col("server_port").alias("port"))
-    asks = (new_rows.withColumnRenamed("instance_id", "host")
-            .withColumn("request_no", F.row_number().over(Window.partitionBy("host").orderBy("project_id")) - 1))
+    asks = keyed_index(new_rows.withColumnRenamed("instance_id", "host"), ["host"], ["project_id"], "request_no")
     replies = free_ports(used, blocked, asks.groupBy("host").agg(F.count(F.lit(1)).alias("n_req")))
     return zip_by_position(asks, replies, ["host"], "request_no").select(
         "project_id", "bundle_id", "bundle_name", F.col("host").alias("server_instance_id"), F.col("name").alias("node_name"),

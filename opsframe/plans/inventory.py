@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from opsframe.functions import naming
 from opsframe.functions import text as T
 from opsframe.operators import aggregates as A
-from opsframe.operators.filters import PORT_CEILING, other_bundle
+from opsframe.operators.filters import PORT_CEILING, PORT_FLOOR, other_bundle, port_eligible
 
 # ---- fixed values ----------------------------------------------------------
 RESERVED_APP_DIRS = ("django",)
@@ -65,14 +65,14 @@ def max_disk(hosts: DataFrame, df_lines: DataFrame, host: str = "host") -> DataF
 
 
 def fleet_health(hosts: DataFrame, df_lines: DataFrame, work_items: DataFrame, workers: DataFrame) -> DataFrame:
-    """C-9 / A-11: one row per host: max disk, current load, active task
+    """C-9 / A-11: one row per host: max disk, current load, active item
     count and worker count. ``hosts``: (host, loadavg_curr, uptime);
     ``work_items`` / ``workers``: one row per item / worker with its ``host``."""
     md = max_disk(hosts, df_lines)
-    nt = work_items.groupBy("host").agg(F.count(F.lit(1)).alias("num_active_tasks"))
+    nt = work_items.groupBy("host").agg(F.count(F.lit(1)).alias("num_active_items"))
     nw = workers.groupBy("host").agg(F.count(F.lit(1)).alias("num_workers"))
     return (hosts.join(md, "host", "left").join(nt, "host", "left").join(nw, "host", "left")
-            .fillna(0, ["num_active_tasks", "num_workers"]))
+            .fillna(0, ["num_active_items", "num_workers"]))
 
 
 def site_files(site_lines: DataFrame) -> DataFrame:
@@ -113,29 +113,44 @@ def node_meta(meta: DataFrame, hosts: DataFrame, fields=("instance_id", "name",
     return out
 
 
-def free_ports(used: DataFrame, blocked: DataFrame, requests: DataFrame) -> DataFrame:
+REQUEST_STEP = 4096
+
+
+def free_ports(used: DataFrame, blocked: DataFrame, requests: DataFrame, floor: int = A.PORT_FLOOR) -> DataFrame:
     """W-7 + A-4 + F-12: allocate ``n_req`` ports per host.
 
-    Start after max(10000, highest used port); skip blocked ports; never
-    past 25000 (the reference can hand out 25001 — rejected here). Requests
-    that do not fit get status ``out_of_ports``. Candidate lists per host are
-    bounded by the 15,000-port range. ``used``/``blocked``: (host, port);
-    ``requests``: (host, n_req). Output: (host, request_no, port, status).
+    Start after the highest used port (at least after ``floor``, and never at
+    1024 or below); skip blocked ports; never past 25000 (the reference can
+    hand out 25001 — rejected here). Requests that do not fit get status
+    ``out_of_ports``. ``used``/``blocked``: (host, port); ``requests``: (host,
+    n_req). Output: (host, request_no, port, status).
+
+    The free ports between two blocked ones are an interval: it serves the
+    request numbers from the count of free ports before it. So a host is a
+    handful of intervals (a window over its blocked ports, distinct and within
+    the port range), and requests are counted out of intervals in steps of
+    REQUEST_STEP, whatever ``n_req`` is.
     """
     maxu = A.max_used_port(used, "host")
-    req = requests.join(maxu, "host", "left").withColumn("max_used_port",
-                                                         F.coalesce("max_used_port", F.lit(A.PORT_FLOOR)))
-    blk = (blocked.join(req.select("host", "max_used_port"), "host")
-           .filter(F.col("port") > F.col("max_used_port")).select("host", "port").distinct())
-    nblk = blk.groupBy("host").agg(F.count(F.lit(1)).alias("n_blk"))
-    r = req.join(nblk, "host", "left").fillna(0, ["n_blk"])
-    hi = F.least(F.col("max_used_port") + F.col("n_req") + F.col("n_blk"), F.lit(PORT_CEILING))
-    lo = F.col("max_used_port") + 1
-    cand = r.select("host", F.explode(F.when(hi >= lo, F.sequence(lo.cast("int"), hi.cast("int")))
-                                      .otherwise(F.array().cast("array<int>"))).alias("port"))
-    free = cand.join(blk, ["host", "port"], "left_anti")
-    numbered = free.withColumn("request_no", F.row_number().over(Window.partitionBy("host").orderBy("port")) - 1)
-    asks = r.select("host", F.explode(F.when(F.col("n_req") > 0, F.sequence(F.lit(0), (F.col("n_req") - 1).cast("int")))
-                                      .otherwise(F.array().cast("array<int>"))).alias("request_no"))
-    out = asks.join(numbered, ["host", "request_no"], "left")
-    return out.withColumn("status", F.when(F.col("port").isNull(), F.lit("out_of_ports")).otherwise(F.lit("ok")))
+    req = (requests.filter(F.col("n_req") > 0).join(maxu, "host", "left")
+           .select("host", F.col("n_req").cast("bigint").alias("n_req"),
+                   (F.greatest(F.coalesce("max_used_port", F.lit(floor)), F.lit(floor), F.lit(PORT_FLOOR - 1)) + 1).cast("bigint").alias("first")))
+    blk = (blocked.select("host", F.col("port").cast("bigint").alias("port")).distinct().join(req, "host")
+           .filter(F.col("port").between(F.col("first"), F.lit(PORT_CEILING))))
+    by_port = Window.partitionBy("host").orderBy("port")
+    after = blk.select("host", "n_req", (F.col("port") + 1).alias("begin"),
+                       (F.col("port") - F.col("first") - F.row_number().over(by_port) + 1).alias("no"))
+    gaps = req.select("host", "n_req", F.col("first").alias("begin"), F.lit(0).cast("bigint").alias("no")).unionByName(after)
+    end = F.lead("no").over(Window.partitionBy("host").orderBy("begin"))
+    room = F.greatest(F.lit(PORT_CEILING) - F.col("begin") + 1, F.lit(0))
+    gaps = gaps.withColumn("end", end).withColumn("last", F.col("end").isNull()).withColumn("end", F.coalesce("end", F.col("no") + room))
+    served = gaps.select("host", "begin", "no", (F.least("end", "n_req") - F.col("no")).alias("n"))
+    unserved = gaps.filter("last").select("host", F.lit(None).cast("bigint").alias("begin"), F.col("end").alias("no"), (F.col("n_req") - F.col("end")).alias("n"))
+    runs = served.unionByName(unserved).filter("n > 0")
+    steps = runs.withColumn("from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(REQUEST_STEP).cast("bigint"))))
+    steps = steps.repartition("host", "from")  # a host with very many requests is counted out by several tasks
+    each = steps.withColumn("i", F.explode(F.sequence(F.col("from"), F.least(F.col("n") - 1, F.col("from") + REQUEST_STEP - 1))))
+    port = (F.col("begin") + F.col("i")).cast("int")
+    ok = F.coalesce(port_eligible(port), F.lit(False))
+    return each.select("host", (F.col("no") + F.col("i")).alias("request_no"), F.when(ok, port).alias("port"),
+                       F.when(ok, "ok").otherwise("out_of_ports").alias("status"))

@@ -72,14 +72,15 @@ def config_guesses(files: DataFrame, src_url: DataFrame) -> DataFrame:
     """
     from opsframe.functions.text import title_from_url
     from opsframe.operators.filters import file_class
-    from opsframe.operators.joins import suffix_join
+    from opsframe.operators.joins import first_suffix_match
     from opsframe.operators.windows import primary_until_first_hit
+    from opsframe.session import cut_lineage
 
     keys = ["repo_id", "path"]
     paths = files.select("repo_id", "path")
     py = paths.filter(F.col("path").endswith(".py")).withColumnRenamed("path", "py_path")
     # Python's own parser, on settings files only; files it can't parse are left out of everything
-    parsed = files.filter(file_class("path") == "settings").select(*keys, setting_value_exact("content", "ROOT_URLCONF").alias("v"))
+    parsed = cut_lineage(files.filter(file_class("path") == "settings").select(*keys, setting_value_exact("content", "ROOT_URLCONF").alias("v")))
     skipped = parsed.filter(~F.col("v.parsed")).select(*keys)
     py = py.join(skipped.withColumnRenamed("path", "py_path"), ["repo_id", "py_path"], "left_anti")
     st = (parsed.filter("v.parsed").select(*keys, F.col("v.value").alias("urlconf"))
@@ -92,8 +93,7 @@ def config_guesses(files: DataFrame, src_url: DataFrame) -> DataFrame:
            .withColumn("suffix", F.concat(F.regexp_replace("urlconf", r"\.", "/"), F.lit(".py"))))
 
     # strategy 1 candidate: first python file ending with the urlconf path
-    m1 = (suffix_join(stp.select(*keys, "suffix"), py, "repo_id", "suffix", "py_path")
-          .groupBy(*keys).agg(F.min("py_path").alias("found")))
+    m1 = first_suffix_match(stp.select(*keys, "suffix"), py, "repo_id", "suffix", "py_path", "found").select(*keys, "found")
     # strategy 2 candidate: smallest divide point whose rest is a python file
     cand = stp.select(*keys, "parts", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("d"))
     cand = cand.select(*keys, "d", F.concat(F.array_join(F.slice("parts", F.col("d") + 1, F.col("n")), "/"),
