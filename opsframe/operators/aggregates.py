@@ -28,9 +28,9 @@ def newest_by(df: DataFrame, key: str, value: Column, ts: str = "creation_date",
     return df.groupBy(key).agg(F.max_by(value, F.struct(F.col(ts), -F.col(tie))).alias("newest"))
 
 
-def max_used_port(ports: DataFrame, host: str, port: str = "port") -> DataFrame:
-    """A-4: per host the highest used port, never below the floor 10000."""
-    return ports.groupBy(host).agg(F.greatest(F.lit(PORT_FLOOR), F.max(port)).alias("max_used_port"))
+def max_used_port(ports: DataFrame, host: str, port: str = "port", floor: int = PORT_FLOOR) -> DataFrame:
+    """A-4: per host the highest used port, never below the floor (10000)."""
+    return ports.groupBy(host).agg(F.greatest(F.lit(floor), F.max(port)).alias("max_used_port"))
 
 
 def proc_groups(procs: DataFrame) -> DataFrame:

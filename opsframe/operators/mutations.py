@@ -21,18 +21,6 @@ def stamp(now) -> Column:
     return now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
 
 
-def deactivate(deployment: DataFrame, matched_ids: DataFrame, now) -> DataFrame:
-    """M-1: stamp ``deactivation_date = now`` on matched deployments — even
-    those already stamped (they also get ``was_deactivated`` = true, the F-16
-    warning). Others are unchanged."""
-    m = matched_ids.select(F.col("id"), F.lit(True).alias("__m")).distinct()
-    out = deployment.join(m, "id", "left")
-    hit = F.coalesce(F.col("__m"), F.lit(False))
-    return (out.withColumn("was_deactivated", hit & F.col("deactivation_date").isNotNull())
-            .withColumn("deactivation_date", F.when(hit, stamp(now)).otherwise(F.col("deactivation_date")))
-            .withColumn("changed", hit).drop("__m"))
-
-
 def soft_delete(bundle: DataFrame, requested_ids: DataFrame, now, stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """M-2 + S-16: soft-delete requested bundles.
 

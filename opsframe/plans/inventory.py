@@ -131,7 +131,7 @@ def free_ports(used: DataFrame, blocked: DataFrame, requests: DataFrame, floor:
     the port range), and requests are counted out of intervals in steps of
     REQUEST_STEP, whatever ``n_req`` is.
     """
-    maxu = A.max_used_port(used, "host")
+    maxu = A.max_used_port(used, "host", floor=floor)
     req = (requests.filter(F.col("n_req") > 0).join(maxu, "host", "left")
            .select("host", F.col("n_req").cast("bigint").alias("n_req"),
                    (F.greatest(F.coalesce("max_used_port", F.lit(floor)), F.lit(floor), F.lit(PORT_FLOOR - 1)) + 1).cast("bigint").alias("first")))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsframe.functions import text as T
+from opsframe.session import cut_lineage
 
 
 def site_media_entries(df: DataFrame, text_col: str, key: str = "project_id") -> DataFrame:
@@ -37,18 +38,6 @@ def site_media_entries(df: DataFrame, text_col: str, key: str = "project_id") ->
     return ok.unionByName(bad)
 
 
-# ---- X-26: top-level string setting of a Python source ----------------------
-
-def setting_value(content: str, name: str):
-    """X-26 (regex mode): value of the first top-level ``NAME = 'str'`` /
-    ``NAME = "str"`` / ``NAME = bare_name`` assignment; null when none.
-    Other assignment forms are skipped, as the reference's AST walk does."""
-    pat = (r"(?m)^" + name + r"[ \t]*=[ \t]*(?:'([^'\n]*)'|\"([^\"\n]*)\"|([A-Za-z_][A-Za-z0-9_]*))[ \t]*(?:#.*)?$")
-    c = F.col(content)
-    v = F.concat(F.regexp_extract(c, pat, 1), F.regexp_extract(c, pat, 2), F.regexp_extract(c, pat, 3))
-    return F.when(c.rlike(pat), v)
-
-
 def _pjoin(a, b):
     """``os.path.join(a, b)`` for a relative ``b``."""
     return F.when(a == "", b).when(a.endswith("/"), F.concat(a, b)).otherwise(F.concat(a, F.lit("/"), b))
@@ -74,7 +63,6 @@ def config_guesses(files: DataFrame, src_url: DataFrame) -> DataFrame:
     from opsframe.operators.filters import file_class
     from opsframe.operators.joins import first_suffix_match
     from opsframe.operators.windows import primary_until_first_hit
-    from opsframe.session import cut_lineage
 
     keys = ["repo_id", "path"]
     paths = files.select("repo_id", "path")
@@ -196,15 +184,6 @@ def ini_items(text):
     return F.aggregate(F.coalesce(T.split_lines(F.col(text)), F.array().cast("array<string>")), start, step)
 
 
-def parse_ini(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """S-13: INI texts → (key, section, option, value); a repeated option keeps
-    its last value. A text that can't be parsed gives no rows here."""
-    d = texts.select(key, ini_items(text).alias("ini")).filter(~F.col("ini.bad"))
-    later = lambda x, i: F.exists(F.slice(F.col("ini.items"), i + 2, F.size("ini.items")),
-                                  lambda y: (y["section"] == x["section"]) & (y["option"] == x["option"]))
-    return d.select(key, F.explode(F.filter("ini.items", lambda x, i: ~later(x, i))).alias("i")).select(key, "i.section", "i.option", "i.value")
-
-
 def build_config(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """S-13 + F-9: one row per config with the 8 required ``[project]`` keys,
     each the section's last value, else the one of ``[DEFAULT]``; ``missing``
@@ -256,48 +235,118 @@ def included_path(parent, target):
     return F.concat(F.when(whole.startswith("/"), "/").otherwise(""), F.array_join(parts, "/"))
 
 
+FILE = ["project_id", "file"]
+
+
+def include_levels(top: DataFrame, edges: DataFrame) -> DataFrame:
+    """(project_id, file, level): the files reachable from the top files, each at
+    its least number of includes. Semi-naive: a round joins only the files that
+    the round before found, and a file is found once however many chains lead to it."""
+    found = frontier = cut_lineage(top.select(*FILE).distinct().withColumn("level", F.lit(0)))
+    level = 0
+    while True:
+        level += 1
+        frontier = cut_lineage(frontier.join(edges, FILE).select("project_id", F.col("target").alias("file")).distinct()
+                               .join(found, FILE, "left_anti").withColumn("level", F.lit(level)))
+        if frontier.isEmpty():
+            return found
+        found = found.unionByName(frontier)
+        if level % 16 == 0:  # keep the plan of very deep includes small
+            found = cut_lineage(found)
+
+
+def cyclic_files(edges: DataFrame) -> DataFrame:
+    """(project_id, file, cycle) of the files that lie on an include cycle; files that
+    include each other, directly or not, have the same ``cycle``.
+
+    Files that nothing includes, or that include nothing, are peeled off until none is
+    left. In what remains a file takes the greatest name that leads to it; the files of
+    that name from which it can be reached back are one cycle. They are taken out and
+    the rest, if any, goes round again."""
+    def settled(df, step):
+        while True:
+            new = cut_lineage(step(df))
+            if new.count() == df.count():
+                return new
+            df = new
+
+    def peeled(e):
+        return settled(e, lambda x: x.join(x.select("project_id", F.col("file").alias("target")).distinct(), ["project_id", "target"], "left_semi")
+                       .join(x.select("project_id", F.col("target").alias("file")).distinct(), FILE, "left_semi").select(*FILE, "target"))
+
+    rest = peeled(cut_lineage(edges.select(*FILE, "target").distinct()))
+    done = None
+    while not rest.isEmpty():
+        color = rest.select(*FILE).distinct().withColumn("cycle", F.col("file"))
+        before = None
+        while True:
+            into = rest.join(color, FILE).select("project_id", F.col("target").alias("file"), "cycle")
+            color = cut_lineage(color.unionByName(into).groupBy(*FILE).agg(F.max("cycle").alias("cycle")))
+            now = color.agg(F.sum(F.xxhash64(*FILE, "cycle").cast("decimal(38,0)"))).first()[0]
+            if now == before:
+                break
+            before = now
+        same = (rest.join(color, FILE).join(color.select("project_id", F.col("file").alias("target"), F.col("cycle").alias("other")), ["project_id", "target"])
+                .filter("cycle = other").select(*FILE, "target", "cycle"))
+        found = color.filter("file = cycle")
+        found = settled(cut_lineage(found), lambda x: x.unionByName(
+            same.join(x.select("project_id", F.col("file").alias("target"), "cycle"), ["project_id", "target", "cycle"]).select(*FILE, "cycle")).distinct())
+        done = found if done is None else cut_lineage(done.unionByName(found))
+        out = found.select("project_id", F.col("file").alias("target"))
+        rest = peeled(cut_lineage(rest.join(found, FILE, "left_anti").join(out, ["project_id", "target"], "left_anti")))
+    return done if done is not None else edges.limit(0).select(*FILE, F.col("file").alias("cycle"))
+
+
 def requirement_lines(files: DataFrame, top: DataFrame) -> DataFrame:
     """S-14 + include closure: every line reachable from the top files, with an
     order key = array of line numbers down the include chain (arrays compare
     lexicographically, so included lines land at their include line).
 
-    Breadth-first: each level is one equi-join of pending ``-r`` includes to
-    the file table, to any depth. A line carries the chain of files that led
-    to it; an include of a file in its own chain is one ``include_cycle`` row,
-    so every chain ends. A file that isn't there is ``unreadable``, an address
-    is ``remote_include`` (nothing is fetched).
+    The closure is over the graph of files, with one row per ``-r`` line, and
+    lines are joined once, at the end. A file lies at its least number of
+    includes from a top file. An include that closes a cycle - of a file that
+    leads back to the including one and lies no deeper - is one
+    ``include_cycle`` row, at the place of the first chain to the line; the
+    other includes form a graph without cycles, along which the order keys are
+    carried, one row per file and chain. A file that isn't there is
+    ``unreadable``, an address is ``remote_include`` (nothing is fetched).
     ``files``: (project_id, file, line_no, line); ``top``: (project_id, file, file_order).
     Output: (project_id, ord, line, status) — status ``ok`` or an include error.
     """
-    from functools import reduce
-
-    from opsframe.session import cut_lineage
-
-    f = cut_lineage(files.select("project_id", "file", F.col("line_no").cast("bigint").alias("line_no"), "line"))
-    known = f.select("project_id", "file").distinct().withColumn("known", F.lit(True))
-    level = (top.join(f, ["project_id", "file"])
-             .select("project_id", F.array(F.col("file_order").cast("bigint"), "line_no").alias("ord"), "line", "file", F.array("file").alias("chain")))
-    done = []
+    f = cut_lineage(files.select(*FILE, F.col("line_no").cast("bigint").alias("line_no"), "line")
+                    .withColumn("include", F.regexp_extract(T.strip_ws(F.regexp_replace("line", REQ_COMMENT_RE, "")), REQ_INCLUDE_RE, 1)))
+    known = f.select(*FILE).distinct()
+    address = F.col("include").rlike(REQ_ADDRESS_RE)
+    includes = (f.filter("include <> ''")
+                .withColumn("target", F.when(address, F.col("include")).otherwise(included_path(F.col("file"), F.col("include"))))
+                .join(known.select("project_id", F.col("file").alias("target"), F.lit(True).alias("known")), ["project_id", "target"], "left")
+                .select(*FILE, "line_no", "target", F.when(address, "remote_include").when(F.col("known").isNull(), "unreadable").alias("problem")))
+    includes = cut_lineage(includes)
+    edges = includes.filter("problem is null").select(*FILE, "line_no", "target")
+    top = top.join(known, FILE, "left_semi")
+    levels = include_levels(top, edges)
+    at = edges.join(levels, FILE).join(levels.select("project_id", F.col("file").alias("target"), F.col("level").alias("deep")), ["project_id", "target"])
+    # a cycle needs an include that leads no deeper; mostly there is none
+    back = cut_lineage(at.filter("deep <= level").select(*FILE, "line_no", "target"))
+    if back.isEmpty():
+        closing = back
+    else:
+        cycle = cyclic_files(at.join(back.select("project_id").distinct(), "project_id", "left_semi"))
+        closing = cut_lineage(back.join(cycle, FILE).join(cycle.select("project_id", F.col("file").alias("target"), F.col("cycle").alias("other")), ["project_id", "target"])
+                              .filter("cycle = other").select(*FILE, "line_no", "target"))
+    edges = cut_lineage(edges.join(closing.select(*FILE, "line_no"), [*FILE, "line_no"], "left_anti"))
+    chains = step = cut_lineage(top.select(*FILE, F.array(F.col("file_order").cast("bigint")).alias("ord")))
     while True:
-        stripped = T.strip_ws(F.regexp_replace("line", REQ_COMMENT_RE, ""))
-        is_include = stripped.rlike(REQ_INCLUDE_RE)
-        target = F.regexp_extract(stripped, REQ_INCLUDE_RE, 1)
-        inc = (level.filter(is_include).withColumn("target", target)
-               .withColumn("file", F.when(target.rlike(REQ_ADDRESS_RE), target).otherwise(included_path(F.col("file"), target)))
-               .join(known, ["project_id", "file"], "left"))
-        problem = (F.when(F.col("target").rlike(REQ_ADDRESS_RE), "remote_include").when(F.col("known").isNull(), "unreadable")
-                   .when(F.array_contains("chain", F.col("file")), "include_cycle"))
-        done.append(level.filter(~is_include).select("project_id", "ord", "line", F.lit("ok").alias("status")))
-        done.append(inc.filter(problem.isNotNull()).select("project_id", "ord", F.col("file").alias("line"), problem.alias("status")))
-        nxt = (inc.filter(problem.isNull()).select("project_id", "file", "ord", F.concat("chain", F.array("file")).alias("chain"))
-               .join(f, ["project_id", "file"])
-               .select("project_id", F.concat("ord", F.array("line_no")).alias("ord"), "line", "file", "chain"))
-        # reliable checkpoint of the level (shared checkpoint folder): the
-        # emptiness check and the next level read it instead of recomputing
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
-            return reduce(lambda a, b: a.unionByName(b), done)
-        level = nxt
+        step = cut_lineage(step.join(edges, FILE).select("project_id", F.col("target").alias("file"), F.concat("ord", F.array("line_no")).alias("ord")))
+        if step.isEmpty():
+            break
+        chains = chains.unionByName(step)
+    place = F.concat("ord", F.array("line_no")).alias("ord")
+    plain = f.filter("include = ''").join(chains, FILE).select("project_id", place, "line", F.lit("ok").alias("status"))
+    problems = includes.filter("problem is not null").join(chains, FILE).select("project_id", place, F.col("target").alias("line"), F.col("problem").alias("status"))
+    firsts = chains.join(closing.select(*FILE).distinct(), FILE, "left_semi").groupBy(*FILE).agg(F.min("ord").alias("ord"))
+    cycles = closing.join(firsts, FILE).select("project_id", place, F.col("target").alias("line"), F.lit("include_cycle").alias("status"))
+    return plain.unionByName(problems).unionByName(cycles)
 
 
 def assemble_requirements(lines: DataFrame, extra: DataFrame | None, ignore_keys: list[str]) -> DataFrame:

@@ -112,6 +112,28 @@ def test_requirement_cycles_end_and_chains_are_whole(spark):
     assert [r["line"] for r in reqs(spark, chain)] == [f"p{i}" for i in range(12, -1, -1)]
 
 
+def test_files_that_include_each_other_end_with_one_row_an_include(spark):
+    names = ["f0.txt", *(f"_f{i}.txt" for i in range(1, 12))]
+    out = reqs(spark, {n: [*(f"-r {m}" for m in names if m != n), f"p{i}"] for i, n in enumerate(names)})
+    assert [r["status"] for r in out].count("include_cycle") == 11 * 11  # all but the includes that lead to a file first
+    assert sorted(r["line"] for r in out if r["status"] == "ok") == sorted(f"p{i}" for i in range(12))
+
+
+def test_two_cycles_and_a_way_between(spark):
+    out = reqs(spark, {"a.txt": ["-r _b.txt", "-r _m.txt", "-r _c.txt"], "_b.txt": ["-r a.txt", "pb"], "_m.txt": ["-r _c.txt", "pm"],
+                       "_c.txt": ["-r _d.txt", "pc"], "_d.txt": ["-r _c.txt", "-r _b2.txt", "pd"], "_b2.txt": ["p2"]})
+    assert sorted(r["line"] for r in out if r["status"] == "include_cycle") == ["_c.txt", "a.txt"]
+    # c is included by a and by m: its lines come twice, with their duplicates told
+    lines = [r["line"] for r in out if r["status"] == "ok"]
+    assert lines == ["pb", "p2", "pd", "pc", "pm", "p2", "pd", "pc"]
+    assert sorted(r["line"] for r in out if r["status"] == "duplicate") == ["p2", "pc", "pd"]
+
+
+def test_an_include_of_a_file_on_the_same_level_is_no_cycle(spark):
+    out = reqs(spark, {"a.txt": ["-r _b.txt", "-r _c.txt"], "_b.txt": ["pb"], "_c.txt": ["-r _b.txt", "-r _none.txt", "pc"]})
+    assert [(r["line"], r["status"]) for r in out if r["status"] != "duplicate"] == [("_none.txt", "unreadable"), ("pb", "ok"), ("pb", "ok"), ("pc", "ok")]
+
+
 def test_requirement_order_of_long_files(spark):
     f = spark.createDataFrame([(1, "a.txt", n, f"p{n}") for n in (999_999, 1_000_000, 1_000_001, 10_000_000_000, 5)], "project_id long, file string, line_no long, line string")
     top = spark.createDataFrame([(1, "a.txt", 0)], "project_id long, file string, file_order int")
@@ -120,20 +142,18 @@ def test_requirement_order_of_long_files(spark):
     assert [r["line"] for r in out] == ["p5", "p999999", "p1000000", "p1000001", "p10000000000", "last"]
 
 
-def test_setting_value_regex_and_exact_modes(spark):
-    src = [("ROOT_URLCONF = 'a.urls'\n",), ("X = f()\nROOT_URLCONF = other_name\n",), ("def (:\n",), ("    ROOT_URLCONF = 'x'\n",)]
+def test_setting_value(spark):
+    src = [("ROOT_URLCONF = 'a.urls'\n",), ("X = f()\nROOT_URLCONF = other_name\n",), ("def (:\n",), ("if True:\n    ROOT_URLCONF = 'x'\n",),
+           ("'''a docstring\nROOT_URLCONF = 'no'\n'''\nROOT_URLCONF = u'b.urls'\nROOT_URLCONF = 'c.urls'\n",)]
     df = spark.createDataFrame(src, "c string")
-    regex = [r["v"] for r in df.select(P.setting_value("c", "ROOT_URLCONF").alias("v")).collect()]
-    assert regex == ["a.urls", "other_name", None, None]
-    exact = [(r["e"]["value"], r["e"]["parsed"]) for r in df.select(P.setting_value_exact("c", "ROOT_URLCONF").alias("e")).collect()]
-    assert exact[0] == ("a.urls", True) and exact[1] == ("other_name", True)
-    assert exact[2] == (None, False)          # unparsable file: skipped
+    exact = [tuple(r["e"]) for r in df.select(P.setting_value_exact("c", "ROOT_URLCONF").alias("e")).collect()]
+    # unparsable files are skipped; the first top-level assignment counts
+    assert exact == [("a.urls", True), ("other_name", True), (None, False), (None, True), ("b.urls", True)]
 
 
-def test_parse_ini_edge_cases(spark):
+def test_ini_edge_cases(spark):
     text = "# comment\n[project]\nTitle: first\n; another comment\ntitle = second\nmap: a b\n   c d\n\n   e f\n[other]\ntitle: x\n"
-    kv = {(r["section"], r["option"]): r["value"]
-          for r in P.parse_ini(spark.createDataFrame([(1, text)], "id long, text string"), "id").collect()}
-    assert kv[("project", "title")] == "second"          # option names lower-cased, last one wins
-    assert kv[("project", "map")] == "a b\nc d\ne f"     # continuation lines folded, blank lines skipped
-    assert kv[("other", "title")] == "x"
+    ini = spark.createDataFrame([(1, text)], "id long, text string").select(P.ini_items("text").alias("i")).first()["i"]
+    assert not ini["bad"] and ini["sections"] == ["project", "other"]
+    assert [tuple(x) for x in ini["items"]] == [  # option names lower-cased, continuation lines folded, blank lines skipped
+        ("project", "title", "first"), ("project", "title", "second"), ("project", "map", "a b\nc d\ne f"), ("other", "title", "x")]

@@ -1,11 +1,15 @@
 """File sources: ordered line reads across splits, metadata listing, whole files."""
 
 import os
+import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from opsframe.operators.windows import tail_lines
+from opsframe.plans.inventory import free_ports
+from opsframe.sources import append as A
 from opsframe.sources import files
 
 
@@ -121,3 +125,48 @@ def test_log_service_status(spark):
     empty = spark.createDataFrame([], schema)
     got = {r["app_id"]: r["status"] for r in logs.log_service_status(empty, apps).collect()}
     assert got == {"shop7": "service_not_available", "shop8": "service_not_available"}
+
+def test_appends_count_once(spark):
+    table = os.path.join(tempfile.mkdtemp(prefix="opsframe-append-"), "t")
+    schema = "id long, v string"
+    rows = lambda *x: spark.createDataFrame(list(x), schema)
+    read = lambda: sorted(tuple(r) for r in A.read_table(spark, table, schema).collect())
+    A.create_table(rows((1, "a")), table)
+    assert A.append_once(rows((2, "b")), table, "r1") and not A.append_once(rows((2, "b")), table, "r1")
+    lost = A.stage(rows((9, "never committed")), table, "r2")
+    assert read() == [(1, "a"), (2, "b")]
+    assert A.append_once(rows((3, "c")), table, "r2") and read() == [(1, "a"), (2, "b"), (3, "c")]
+    A.commit(spark, table, "r2", lost)  # a second attempt of a run that is there: the first one still counts
+    assert read() == [(1, "a"), (2, "b"), (3, "c")]
+    new = spark.createDataFrame([("y", 2), ("x", 1)], "v string, at int")
+    for done in (True, False):
+        assert A.append_numbered(new, table, "r3", schema, ["at"]) is done
+    assert read()[3:] == [(4, "x"), (5, "y")]
+    bad = spark.createDataFrame([(1,)], "n long").selectExpr("cast(1 as long) as id", "string(assert_true(n > 1)) as v")
+    with pytest.raises(Exception):
+        A.append_once(bad, table, "r4")
+    assert len(read()) == 5 and A.append_once(rows((6, "d")), table, "r4") and len(read()) == 6
+
+
+def ports_one_by_one(used, blocked, n, floor):
+    out, port = [], max([floor, 1024, *used])
+    for _ in range(n):
+        port += 1
+        while port in blocked:
+            port += 1
+        out.append((port, "ok") if port <= 25000 else (None, "out_of_ports"))
+    return out
+
+
+def test_free_ports_are_the_next_unblocked_ones(spark):
+    rng = random.Random(6)
+    hosts = {f"h{i}": ([rng.randrange(9000, 10400) for _ in range(rng.randrange(4))], {rng.randrange(9990, 10450) for _ in range(rng.randrange(60))}, rng.randrange(0, 90))
+             for i in range(25)}
+    hosts |= {"full": ([24990], {24992, 24993, 24999, 25000, 25003}, 12), "huge": ([], {10001, 17000}, 20000), "over": ([26000], set(), 3), "none": ([], set(), 1)}
+    table = lambda k: spark.createDataFrame([(h, p) for h, v in hosts.items() for p in v[k]], "host string, port int")
+    req = spark.createDataFrame([(h, v[2]) for h, v in hosts.items()], "host string, n_req int")
+    for floor in (10000, 1000):
+        got = {(r["host"], r["request_no"]): (r["port"], r["status"]) for r in free_ports(table(0), table(1), req, floor).collect()}
+        want = {(h, i): x for h, (u, b, n) in hosts.items() for i, x in enumerate(ports_one_by_one(u, b, n, floor))}
+        assert got == want
+    assert got["none", 0] == (1025, "ok")

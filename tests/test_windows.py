@@ -6,7 +6,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from opsframe.operators.windows import dense_index, running_count_before, step_of_message, step_spans
+from opsframe.operators.joins import first_suffix_match, suffix_join
+from opsframe.operators.windows import dense_index, keyed_index, primary_until_first_hit, running_count_before, step_of_message, step_spans
 from opsframe.plans import jobs
 
 SAFE = re.compile(r"^[0-9A-Za-z\-_]+\Z")
@@ -118,3 +119,33 @@ def test_dense_index_heavy_ties_and_nulls(spark):
     buckets = (dense_index(df, ["d", "id"], "i", buckets=8)
                .withColumn("b", F.floor(F.col("i") / 125)).groupBy("b").count().count())
     assert buckets == 8
+
+def test_keyed_index_of_a_hot_key(spark):
+    rng = random.Random(3)
+    rows = [(None if k == 7 else k, rng.randrange(200), i) for i in range(3000) for k in [rng.choice([0, 0, 0, 0, 1, 2, 7, 8 + i % 90])]]
+    df = spark.createDataFrame(rows, "k long, o int, id long").repartition(5)
+    got = {r["id"]: r["at"] for r in keyed_index(df, ["k"], ["o", "id"], "at", partitions=9).collect()}
+    want, seen = {}, {}
+    for k, o, i in sorted(rows, key=lambda r: (r[1], r[2])):
+        want[i] = seen.get(k, 0)
+        seen[k] = want[i] + 1
+    assert got == want
+    assert keyed_index(df.limit(0), ["k"], ["o", "id"], "at").count() == 0
+
+
+def test_primary_until_first_hit(spark):
+    rows = [(1, 5, "a", False), (1, 6, "b", True), (1, 6, "c", True), (1, 9, "d", False), (2, 1, "x", False), (2, 2, "y", False), (3, 1, "z", True)]
+    out = primary_until_first_hit(spark.createDataFrame(rows, "k long, len int, path string, hit boolean"), "k", ["len", "path"], "hit")
+    assert {r["path"] for r in out.collect() if not r["is_primary"]} == {"c", "d"}
+
+
+def test_suffix_joins_equal_all_pairs(spark):
+    rng = random.Random(8)
+    part = lambda n: "/".join(rng.choice(["a", "ab", "urls", "x"]) for _ in range(rng.randrange(1, n)))
+    left = [(i, rng.randrange(3), part(3) + ".py") for i in range(60)]
+    right = [(rng.randrange(3), part(6) + ".py") for _ in range(300)]
+    a, b = spark.createDataFrame(left, "id long, repo long, suffix string"), spark.createDataFrame(right, "repo long, path string")
+    want = sorted((i, p) for i, g, s in left for h, p in right if g == h and p.endswith(s))
+    assert sorted((x["id"], x["path"]) for x in suffix_join(a, b, "repo", "suffix", "path").collect()) == want
+    first = {x["id"]: x["found"] for x in first_suffix_match(a, b, "repo", "suffix", "path", "found").collect()}
+    assert first == {i: min(p for j, p in want if j == i) for i, _ in want}
