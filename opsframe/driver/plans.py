@@ -10,6 +10,7 @@ from opsframe.operators.filters import active_filter
 from opsframe.plans import deploys
 from opsframe.plans.routing import served_bundles
 from opsframe.registry import query
+from opsframe.session import cut_lineage
 from opsframe.sources.roles import Roles, with_roles
 
 # The run time stamped by row changes (a job parameter, fixed so reruns agree).
@@ -24,6 +25,14 @@ def _deleted_bundle_requests(r):
     return r.deployment.join(deleted, "bundle_id", "left_semi").select("project_id", F.col("id").alias("dep_id"))
 
 
+def _with_deployments(r):
+    """The deployment view written once: the plan reads it several times."""
+    r.deployment = cut_lineage(r.deployment)
+    return r
+
+
+PLAN_COLUMNS = ["project_id", "n_matched", "n_warnings", "n_remaining", "action", "static_bundle_id"]
+
 REQ_CTE = """
 req AS (SELECT d.project_id, d.id AS dep_id FROM deployment d
         WHERE d.bundle_id IN (SELECT id FROM bundle WHERE deletion_date IS NOT NULL)),
@@ -49,9 +58,38 @@ LEFT JOIN (SELECT project_id, count(*) AS n_remaining, arg_max(bundle_id, (creat
 @query("undeploy_plan", oracle=with_roles(UNDEPLOY_SQL, "deployment", "bundle", extra=REQ_CTE))
 def q_undeploy_plan(spark, sf):
     """C-1 / J-4 / F-16 / A-5: undeploy every deployment of a deleted bundle."""
-    r = Roles(spark, sf)
+    r = _with_deployments(Roles(spark, sf))
     plan, _ = deploys.undeploy_plan(r.deployment, _deleted_bundle_requests(r), NOW)
-    return plan.select("project_id", "n_matched", "n_warnings", "n_remaining", "action", "static_bundle_id")
+    return plan.select(*PLAN_COLUMNS)
+
+
+@query("undeploy_by_bundles", oracle=with_roles(
+    UNDEPLOY_SQL.replace("SELECT DISTINCT project_id FROM req", "SELECT DISTINCT project_id FROM ask"), "deployment", "bundle", extra="""
+ask AS (SELECT DISTINCT project_id, id AS bundle_id FROM bundle WHERE deletion_date IS NOT NULL),
+snap AS (SELECT d.id, d.project_id, d.bundle_id, d.creation_date, a.bundle_id IS NOT NULL AND d.deactivation_date IS NULL AS changed, false AS was_deactivated,
+                CASE WHEN a.bundle_id IS NOT NULL AND d.deactivation_date IS NULL THEN """ + NOW_SQL + """ ELSE d.deactivation_date END AS deactivation_date
+         FROM deployment d LEFT JOIN ask a ON a.project_id = d.project_id AND a.bundle_id = d.bundle_id)"""))
+def q_undeploy_by_bundles(spark, sf):
+    """C-1 by bundle ids (F-3 / F-4): the active deployments of each project's deleted bundles; a project without one is an error."""
+    r = _with_deployments(Roles(spark, sf))
+    asked = r.bundle.filter(F.col("deletion_date").isNotNull()).select("project_id", F.col("id").alias("bundle_id"))
+    none = asked.select("project_id", F.lit(None).cast("bigint").alias("dep_id")).limit(0)
+    plan, _ = deploys.undeploy_plan(r.deployment, none, NOW, bundle_requests=asked)
+    return plan.select(*PLAN_COLUMNS)
+
+
+@query("undeploy_all", oracle=with_roles(
+    UNDEPLOY_SQL.replace("SELECT DISTINCT project_id FROM req", "SELECT id AS project_id FROM project WHERE id % 2 = 0")
+    .replace("coalesce(m.n_matched, 0) = 0 THEN 'error'", "false THEN 'error'"), "deployment", "project", extra="""
+snap AS (SELECT id, project_id, bundle_id, creation_date, project_id % 2 = 0 AND deactivation_date IS NULL AS changed, false AS was_deactivated,
+                CASE WHEN project_id % 2 = 0 THEN coalesce(deactivation_date, """ + NOW_SQL + """) ELSE deactivation_date END AS deactivation_date
+         FROM deployment WHERE project_id IN (SELECT id FROM project))"""))
+def q_undeploy_all(spark, sf):
+    """C-1 with an empty request list: everything active of every second project goes; a project with nothing active is no error."""
+    r = _with_deployments(Roles(spark, sf))
+    asked = r.project.filter("id % 2 = 0").select(F.col("id").alias("project_id"), F.lit(None).cast("bigint").alias("dep_id"))
+    plan, _ = deploys.undeploy_plan(r.deployment, asked, NOW, zero_undeploys_ok=True, all_if_empty=True)
+    return plan.select(*PLAN_COLUMNS)
 
 
 @query("undeploy_upstreams", oracle=with_roles(
@@ -64,7 +102,7 @@ def q_undeploy_plan(spark, sf):
        WHERE s.deactivation_date IS NULL AND s.project_id IN (SELECT project_id FROM req)""", "deployment", "bundle", extra=REQ_CTE))
 def q_undeploy_upstreams(spark, sf):
     """C-1: the servers left to the projects that undeploy a deleted bundle, and the bundle they serve static files from."""
-    r = Roles(spark, sf)
+    r = _with_deployments(Roles(spark, sf))
     plan, snap = deploys.undeploy_plan(r.deployment, _deleted_bundle_requests(r), NOW)
     return deploys.remaining_upstreams(snap, plan, r.bundle)
 
@@ -73,7 +111,7 @@ def q_undeploy_upstreams(spark, sf):
     "SELECT id, deactivation_date, was_deactivated, changed FROM snap", "deployment", "bundle", extra=REQ_CTE))
 def q_deactivate_snapshot(spark, sf):
     """M-1: the deployment table after the undeploy (stamp now, warn if stamped)."""
-    r = Roles(spark, sf)
+    r = _with_deployments(Roles(spark, sf))
     _, snap = deploys.undeploy_plan(r.deployment, _deleted_bundle_requests(r), NOW)
     return snap.select("id", "deactivation_date", "was_deactivated", "changed")
 

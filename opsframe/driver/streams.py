@@ -20,12 +20,13 @@ def _role_stream(spark, sf, role, base):
 
 @query("stream_ingest", oracle=with_roles(LOG_SPLIT_SQL, "joblog"))
 def q_stream_ingest(spark, sf):
-    """ST-1: validated job-log ingest (dedup within watermark, valid/reject split)."""
+    """ST-1: validated job-log ingest: append, reject or late for every row."""
     sink, ckpt = S.stream_dirs(spark, "ingest")
     S.ingest_job_log(_role_stream(spark, sf, "joblog", "events"), sink, ckpt)
     ok = spark.read.parquet(f"{sink}/append").select("id", "job_id", "logtype", F.lit("append").alias("route"))
     bad = spark.read.parquet(f"{sink}/reject").select("id", "job_id", "logtype", F.lit("reject").alias("route"))
-    return ok.unionByName(bad)
+    late = spark.read.parquet(f"{sink}/late").select("id", "job_id", "logtype", F.lit("late").alias("route"))
+    return ok.unionByName(bad).unionByName(late)
 
 
 @query("stream_tail", oracle=with_roles(

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Queries need a session in UTC, as all control-table times are (``get_spark`` and ``__spark_entry__`` see to it).
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
@@ -27,14 +28,7 @@ def query(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in _QUERIES:
             raise ValueError(f"duplicate query {name}")
-
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # all control-table times are UTC; pin the session zone
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
-
-        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
-        _QUERIES[name] = run
+        _QUERIES[name] = fn
         if oracle is not None:
             _ORACLE[name] = oracle
         return fn

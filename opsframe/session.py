@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a table of very many small folders is listed by this many tasks (the default is a task a folder, up to 10,000)
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

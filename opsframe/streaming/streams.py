@@ -8,11 +8,13 @@ stopped. ``run_available_now`` drains everything currently available and stops
 (the batch-twin tests and the driver queries use it); a long-running deployment
 calls ``.start()`` with a processing-time trigger instead.
 
-ST-2, ST-3 and ST-4 keep their state as a small table beside the sink: batch N
-reads the state that batch N-1 left, applies the batch operators of this
-library to it and the new rows (two-level scans, so a hot log, job or port is
-spread over partitions), and overwrites its own output and state folders, so a
-retried batch is idempotent. ST-3 and ST-4 depend on the order of time: rows
+ST-1 to ST-4 keep their state as a table beside the sink: batch N reads the
+state that batch N-1 left, applies the batch operators of this library to it
+and the new rows (two-level scans, so a hot log, job or port is spread over
+partitions), and overwrites its own output and state folders, so a retried
+batch is idempotent. Two state folders take turns - a batch reads one and
+overwrites the other - so the state on disk is two copies however many batches
+there are; only the output has a folder a batch. ST-3 and ST-4 depend on the order of time: rows
 are held in the state until the watermark (greatest time seen less ``delay``)
 has passed them, so the result doesn't depend on how rows fall into batches.
 Rows behind the watermark go to a ``late`` folder, none is dropped. ``finish``
@@ -64,13 +66,19 @@ def run_available_now(writer) -> None:
 # ---- state tables -----------------------------------------------------------
 
 def _state(spark: SparkSession, sink: str, name: str, batch: int | None, schema: str) -> DataFrame:
-    """What batch ``batch`` left; empty before the first one."""
+    """What batch ``batch`` left; empty before the first one. Only the last two batches' states are kept."""
     if batch is None or batch < 0:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{sink}/{name}/batch={batch}")
+    return spark.read.schema(schema).parquet(f"{sink}/state/{name}/turn={batch % 2}")
+
+
+def _keep(df: DataFrame, sink: str, name: str, batch: int) -> None:
+    """State after a batch, over that of the batch before the last."""
+    df.write.mode("overwrite").parquet(f"{sink}/state/{name}/turn={batch % 2}")
 
 
 def _put(df: DataFrame, sink: str, name: str, batch: int | str) -> None:
+    """Output of a batch."""
     df.write.mode("overwrite").parquet(f"{sink}/{name}/batch={batch}")
 
 
@@ -86,24 +94,6 @@ def run_with_state(rows: DataFrame, sink: str, checkpoint: str, step: Callable[[
     return last[0] if last else None
 
 
-# ---- ST-1: validated job-log ingest ----------------------------------------
-
-def ingest_job_log(log: DataFrame, sink: str, checkpoint: str, watermark: str = "1 hour") -> None:
-    """ST-1: de-duplicate on ``id`` within the watermark, then split each
-    micro-batch: valid log types → ``sink/append``, others → ``sink/reject``.
-    Each batch overwrites its own ``batch=N`` folder, so a retried batch
-    rewrites the same files (idempotent)."""
-    deduped = (log.withColumn("ts", F.col("ts").cast("timestamp"))
-               .withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["id"]))
-
-    def write_batch(df: DataFrame, batch_id: int) -> None:
-        ok = F.col("logtype").isin(list(VALID_LOG_TYPES))
-        df.filter(ok).write.mode("overwrite").parquet(f"{sink}/append/batch={batch_id}")
-        df.filter(~ok | F.col("logtype").isNull()).write.mode("overwrite").parquet(f"{sink}/reject/batch={batch_id}")
-
-    run_available_now(deduped.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint))
-
-
 # ---- ST-2: rolling last-N lines per log ------------------------------------
 
 TAIL_SCHEMA = "log_id bigint, line_no int, line string"
@@ -118,24 +108,29 @@ def rolling_tail(lines: DataFrame, sink: str, checkpoint: str, n: int = 100) ->
     def step(df: DataFrame, batch: int) -> None:
         new = df.select("log_id", F.col("line_no").cast("int").alias("line_no"), "line")
         both = _state(spark, sink, "tail", batch - 1, TAIL_SCHEMA).unionByName(new)
-        _put(tail_lines(both, ["log_id"], [F.col("line_no")], n).drop("from_end"), sink, "tail", batch)
+        _keep(tail_lines(both, ["log_id"], [F.col("line_no")], n).drop("from_end"), sink, "tail", batch)
 
     return _state(spark, sink, "tail", run_with_state(lines, sink, checkpoint, step), TAIL_SCHEMA)
 
 
 # ---- rows held until the watermark -----------------------------------------
 
-def _held(spark: SparkSession, df: DataFrame, sink: str, batch: int, schema: str, delay: str) -> tuple[DataFrame, Column, Column]:
-    """(held rows and the batch's rows in time, old watermark, new watermark) of an ordered operator.
+def _marks(spark: SparkSession, df: DataFrame, sink: str, batch: int, delay: str) -> tuple[Column, Column]:
+    """(watermark of earlier batches, watermark with this one): the greatest time seen less ``delay``.
 
-    Two bounds, single values, are read: the greatest time of earlier batches (kept in the state)
-    and of this one. Rows behind the old watermark are written to ``late``."""
+    Two single values are read: the greatest time of earlier batches (kept in the state) and of this one."""
     before = _state(spark, sink, "seen", batch - 1, "ts timestamp_ntz").agg(F.max("ts")).first()[0]
     now = df.agg(F.max("ts")).first()[0]
     top = max([x for x in (before, now) if x is not None], default=None)
-    _put(spark.createDataFrame([(top,)] if top is not None else [], "ts timestamp_ntz"), sink, "seen", batch)
+    _keep(spark.createDataFrame([(top,)] if top is not None else [], "ts timestamp_ntz"), sink, "seen", batch)
     mark = lambda t: F.lit(t).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
-    old, new = mark(before), mark(top)
+    return mark(before), mark(top)
+
+
+def _held(spark: SparkSession, df: DataFrame, sink: str, batch: int, schema: str, delay: str) -> tuple[DataFrame, Column, Column]:
+    """(held rows and the batch's rows in time, old watermark, new watermark) of an ordered operator.
+    Rows behind the old watermark are written to ``late``."""
+    old, new = _marks(spark, df, sink, batch, delay)
     late = F.coalesce(F.col("ts") <= old, F.lit(False))
     columns = [x.split()[0] for x in schema.split(", ")]
     rows = df.select(columns)
@@ -143,6 +138,39 @@ def _held(spark: SparkSession, df: DataFrame, sink: str, batch: int, schema: str
     return _state(spark, sink, "held", batch - 1, schema).unionByName(rows.filter(~late)), old, new
 
 
+# ---- ST-1: validated job-log ingest ----------------------------------------
+
+LOG_SCHEMA = "id bigint, job_id bigint, ts timestamp_ntz, message string, logtype string"
+SEEN_SCHEMA = "id bigint, ts timestamp_ntz"
+
+
+def ingest_job_log(log: DataFrame, sink: str, checkpoint: str, delay: str = "1 hour") -> None:
+    """ST-1: every row of the feed goes to one of three outputs: valid log types to
+    ``append``, others to ``reject``, rows behind the watermark to ``late`` (S-2
+    appends or refuses a row, it never loses one). A row whose id came before -
+    a repeated delivery - is left out: of the rows of one id in a batch the
+    earliest counts, and ids are remembered until the watermark is ``delay`` past
+    their time. Rows without a time are never late."""
+    spark = log.sparkSession
+    valid = F.coalesce(F.col("logtype").isin(list(VALID_LOG_TYPES)), F.lit(False))
+    columns = [c.split()[0] for c in LOG_SCHEMA.split(", ")]
+    rows = log.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*columns)
+
+    def step(df: DataFrame, batch: int) -> None:
+        old, mark = _marks(spark, df, sink, batch, delay)
+        late = F.coalesce(F.col("ts") <= old, F.lit(False))
+        _put(df.filter(late), sink, "late", batch)
+        first = F.min(F.struct("ts", *[c for c in columns if c not in ("id", "ts")])).alias("r")
+        seen = _state(spark, sink, "ids", batch - 1, SEEN_SCHEMA)
+        fresh = df.filter(~late).groupBy("id").agg(first).join(seen, "id", "left_anti").select("id", "r.*").select(*columns)
+        _put(fresh.filter(valid), sink, "append", batch)
+        _put(fresh.filter(~valid), sink, "reject", batch)
+        known = seen.unionByName(df.filter(~late).groupBy("id").agg(F.min("ts").alias("ts"))).groupBy("id").agg(F.min("ts").alias("ts"))
+        _keep(known.filter(F.coalesce(F.col("ts") + F.expr(f"INTERVAL {delay}") > mark, F.lit(True))), sink, "ids", batch)
+
+    run_with_state(rows, sink, checkpoint, step)
+
+
 # ---- ST-3: step-span pairing with time-out ---------------------------------
 
 STEP_SCHEMA = "id bigint, job_id bigint, ts timestamp_ntz, title string, logtype string"
@@ -190,7 +218,7 @@ def step_pairs(log: DataFrame, sink: str, checkpoint: str, timeout: str = "1 hou
         rows, _, mark = _held(spark, df, sink, batch, STEP_SCHEMA, delay)
         pairs, still = settle_steps(rows, mark, timeout)
         _put(pairs, sink, "pairs", batch)
-        _put(still, sink, "held", batch)
+        _keep(still, sink, "held", batch)
 
     last = run_with_state(steps, sink, checkpoint, step)
     if finish and last is not None:
@@ -223,12 +251,12 @@ def port_registry_stream(control: DataFrame, sink: str, checkpoint: str, delay:
         both = began.unionByName(known)
         out = port_outcomes(both).select("id", "ts", "port", "cmd", "bundle_name", "outcome")
         _put(out.join(began.select("port", "id", "cmd"), ["port", "id", "cmd"], "left_anti").select("id", "ts", "port", "cmd", "bundle_name", "outcome"), sink, "out", name)
-        _put(port_registry(both).select("port", "bundle_name", "since_id", "since_ts"), sink, "served", name)
+        _keep(port_registry(both).select("port", "bundle_name", "since_id", "since_ts"), sink, "served", batch)
 
     def step(df: DataFrame, batch: int) -> None:
         held, _, mark = _held(spark, df, sink, batch, PORT_SCHEMA, delay)
         apply(held.filter(F.col("ts") <= mark), batch, batch)
-        _put(held.filter(~F.coalesce(F.col("ts") <= mark, F.lit(False))), sink, "held", batch)
+        _keep(held.filter(~F.coalesce(F.col("ts") <= mark, F.lit(False))), sink, "held", batch)
 
     last = run_with_state(rows, sink, checkpoint, step)
     if last is None:

@@ -74,3 +74,33 @@ def test_late_rows_are_kept_aside(spark):
     src, sink, ckpt = table_of_files(spark, rows, "id long, ts timestamp_ntz, port int, cmd string, bundle_name string", 2)
     out = S.port_registry_stream(src, sink, ckpt)
     assert [r["id"] for r in out.collect()] == [1] and [r["id"] for r in spark.read.parquet(f"{sink}/late").collect()] == [2]
+
+def test_ingest_keeps_every_row_in_one_output(spark):
+    """Rows behind the watermark come out as late, repeated deliveries once, all others by type."""
+    rng, t0 = random.Random(9), dt.datetime(2024, 1, 1, 8)
+    rows = [(i, i % 7, t0 + dt.timedelta(minutes=6 * i + rng.randrange(-150, 30)), f"m{i}", rng.choice(["i", "w", "zz", None, "sb"])) for i in range(200)]
+    repeated = [r for r in rows[:190] if r[0] % 9 == 0]
+    feed = sorted(rows + repeated, key=lambda r: (r[0], rng.random()))
+    schema = "id long, job_id long, ts timestamp_ntz, message string, logtype string"
+    src, sink, ckpt = table_of_files(spark, feed, schema, 10)
+    S.ingest_job_log(src, sink, ckpt)
+    out = {k: spark.read.schema(schema).parquet(f"{sink}/{k}").collect() for k in ("append", "reject", "late")}
+    assert {r["id"] for v in out.values() for r in v} == set(range(200))
+    assert {r["id"] for r in out["append"]} <= {r[0] for r in rows if r[4] in ("i", "w", "sb")} and len(out["late"]) > 0
+    ids = [r["id"] for k in ("append", "reject") for r in out[k]]
+    assert len(ids) == len(set(ids))
+    # batch by batch: late is what lies an hour and more behind the greatest time of earlier files
+    size, top, late = -(-len(feed) // 10), None, []
+    for b in range(10):
+        part = feed[b * size : (b + 1) * size]
+        late += [r[0] for r in part if top and r[2] <= top - dt.timedelta(hours=1)]
+        top = max([r[2] for r in part] + ([top] if top else []))
+    assert sorted(r["id"] for r in out["late"]) == sorted(late)
+
+
+def test_state_on_disk_is_bounded(spark):
+    lines = [(i % 3, i, f"l{i}") for i in range(50)]
+    src, sink, ckpt = table_of_files(spark, lines, "log_id long, line_no int, line string", 50)
+    tail = S.rolling_tail(src, sink, ckpt, 4)
+    assert sorted((r["log_id"], r["line_no"]) for r in tail.collect()) == sorted((i % 3, i) for i in range(38, 50))
+    assert sorted(os.listdir(os.path.join(sink, "state", "tail"))) == ["turn=0", "turn=1"] and os.listdir(sink) == ["state"]
