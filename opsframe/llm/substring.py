@@ -22,7 +22,6 @@ one document's texts and don't remove each other's words. An empty table gives n
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsframe.llm.common import grams, mix, saved, small_batches, text_bytes, word_blocks
+from opsframe.session import cut_lineage
 
 WINDOW = 50
 PREFIX = 25
@@ -180,12 +180,12 @@ def repeated_suffixes(docs: DataFrame, window: int, prefix: int, group: int) ->
 
     met = saved(docs.join(followed, ["id", "textkey"]).select("id", "textkey", "text", "prefixes")
                 .mapInArrow(followed_up, "id long, textkey long, at long, prefix long, c0 long, c1 long, context binary"), "suffixes")
-    least = met.groupBy("prefix", "c0", "c1").agg(F.min("id").alias("low"))
-    suffixes = saved(met.where("context is not null").dropDuplicates(["c0", "c1"]).select("c0", "c1", "context")
-                     .join(least, ["c0", "c1"]), "tree")
-    sizes = suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("size"))
-    total = suffixes.count()
-    large = sizes.where(F.col("size") > group)
+    # the suffixes without their words are written; the words go from the scan to the groups' tasks
+    least = saved(met.groupBy("prefix", "c0", "c1").agg(F.min("id").alias("low")), "least")
+    contexts = met.where("context is not null").dropDuplicates(["c0", "c1"]).select("c0", "c1", "context")
+    sizes = least.groupBy("prefix").agg(F.count(F.lit(1)).alias("size"))
+    total = least.count()
+    large = cut_lineage(sizes.where(F.col("size") > group))
     groups = max(1, -(-total // group))
 
     def grown(key: tuple, t: pa.Table) -> pa.Table:
@@ -194,7 +194,7 @@ def repeated_suffixes(docs: DataFrame, window: int, prefix: int, group: int) ->
         return pa.table({"c0": t.column("c0"), "c1": t.column("c1"), "low": t.column("low"), "mask": pa.array(mask)})
 
     answer = "c0 long, c1 long, low long, mask long"
-    found = (suffixes.join(large, "prefix", "left_anti").withColumn("grp", F.pmod(F.xxhash64("prefix"), F.lit(groups)))
+    found = (contexts.join(least.join(large, "prefix", "left_anti"), ["c0", "c1"]).withColumn("grp", F.pmod(F.xxhash64("prefix"), F.lit(groups)))
              .select("grp", "c0", "c1", "low", "context").groupBy("grp").applyInArrow(grown, answer))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,12 +206,13 @@ def repeated_suffixes(docs: DataFrame, window: int, prefix: int, group: int) ->
                     [b.column("c0"), b.column("c1"), b.column("low"), pa.array(np.full(b.num_rows, a)), pa.array(_key(part, 7).view(np.int64)), pa.array(_key(part, 11).view(np.int64))],
                     ["c0", "c1", "low", "a", "w0", "w1"])
 
-    split = suffixes.join(large.select("prefix"), "prefix").select("c0", "c1", "low", "context").mapInArrow(
-        windows, "c0 long, c1 long, low long, a long, w0 long, w1 long")
-    lowest = split.groupBy("w0", "w1").agg(F.min("low").alias("lowest"))
-    deep = (split.join(lowest, ["w0", "w1"]).groupBy("c0", "c1", "low")
-            .agg(F.sum(F.when(F.col("lowest") < F.col("low"), F.expr("shiftleft(1L, cast(a as int))")).otherwise(F.lit(0))).alias("mask")))
-    answers = found.unionByName(deep)
+    answers = found
+    if not large.isEmpty():
+        split = contexts.join(least.join(large.select("prefix"), "prefix"), ["c0", "c1"]).select("c0", "c1", "low", "context").mapInArrow(
+            windows, "c0 long, c1 long, low long, a long, w0 long, w1 long")
+        lowest = split.groupBy("w0", "w1").agg(F.min("low").alias("lowest"))
+        answers = found.unionByName(split.join(lowest, ["w0", "w1"]).groupBy("c0", "c1", "low").agg(
+            F.sum(F.when(F.col("lowest") < F.col("low"), F.expr("shiftleft(1L, cast(a as int))")).otherwise(F.lit(0))).alias("mask")))
     every = (1 << (left + 1)) - 1
     spans = (met.select("id", "textkey", "at", "c0", "c1").join(answers, ["c0", "c1"])
              .withColumn("mask", F.when(F.col("id") > F.col("low"), F.lit(every)).otherwise(F.col("mask"))).where("mask <> 0")
