@@ -1,12 +1,12 @@
 """Sharding by a two-pass external shuffle.
 
-Pass one scatters the records uniformly over memory-sized buckets by a seeded hash of their id, in one
-Spark shuffle. Pass two orders each bucket by (id, text) - so that a retried task starts from the same
+Pass one scatters the records uniformly over memory-sized buckets by a seeded hash of their id and
+text, in one Spark shuffle. Pass two orders each bucket by (id, text) - so that a retried task starts from the same
 rows - and applies a Fisher-Yates shuffle seeded by the bucket. Buckets laid end to end are the new
 order; shard i takes the positions from floor(i*n/shards), so row counts differ by one at most (law
 ``rows``), and a bucket can be written by the task that shuffled it.
 
-Null ids hash like a value of their own; rows that share an id share a bucket. Null texts have no bytes.
+Rows that share an id, or have none, are scattered by their texts; only rows equal in both share a bucket. Null texts have no bytes.
 An empty table gives no rows. Other columns travel along; those named like a result column are replaced.
 """
 
@@ -41,7 +41,7 @@ def two_pass_shuffle(df: DataFrame, shards: int, seed: int = SEED, bucket_mb: in
     bucket_col, place_col = fresh(df, "_bucket"), fresh(df, "_position")
     n_rows, n_bytes = df.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)).first()
     buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(n_bytes or 0) // (bucket_mb << 20)))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), F.lit(buckets)).cast("int")
     # one row per bucket: how many rows lie before it
     before = (df.groupBy(bucket.alias(bucket_col)).agg(F.count(F.lit(1)).alias("_n"))
               .select(bucket_col, (F.sum("_n").over(Window.orderBy(bucket_col)) - F.col("_n")).alias("_before")))
