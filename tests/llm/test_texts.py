@@ -233,3 +233,24 @@ def test_language_blocks_agree():
     for i, t in enumerate(texts):
         one = model.predict([t])
         assert one[0][0] == whole[0][i] and abs(one[1][0] - whole[1][i]) < 1e-6
+
+
+def test_added_spans_are_personal_data(spark):
+    """Spelled-out addresses are added in any case and length; dates, versions, hardware addresses and prose are not."""
+    import random
+
+    rng, rows = random.Random(4), []
+    for i in range(400):
+        n = lambda k: "".join(rng.choice("0123456789") for _ in range(k))  # noqa: E731, B023
+        rows.append((i, f"mail a{i}@site{i % 7}.example.org, phone +49 30 {n(7)}, host 10.{i % 256}.3.{rng.randrange(256)} or 10.300.{i % 9}.1, "
+                        f"card {n(4)} {n(4)} {n(4)} {n(4)}, on 20{n(2)}-0{1 + i % 9}-1{n(1)}, look at page{i}.now, hw 00:1B:44:11:{n(2)}:{n(2)}, version 1.{i % 9}.{n(1)}"))
+    model = pii.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    long = "plain words without any data " * 40
+    added = lambda x: [(k, x[s:e]) for k, s, e in pii.all_spans(x, model)[1]]
+    for text in ("JOHN.DOE (AT) EXAMPLE (DOT) COM", "john.doe[at]example.com", "john.doe at example dot com", "john.doe\tAT\nexample DOT com"):
+        for x in (text, long + text + " " + long):
+            assert added(x) == [("email", text)], x
+    for text in ("look at me.now", "meet at noon", "2024-01-15 10-30", "15.01.2024", "00:1B:44:11:3A:B7", "version 10.2.3", "ISBN 978-3-16-148410-1", "page at www.example.org"):
+        for x in (text, long + text + " " + long):
+            assert added(x) == [], x
+    assert pii.clear_of([("ip", 0, 5), ("ip", 5, 9), ("ip", 20, 30)], [(9, 21), (3, 4)]) == [("ip", 5, 9)]
