@@ -1,10 +1,12 @@
 """Secret scans with a random forest for false-positive removal, in DataFrame, SQL and ML functions only.
 
-1. A high-recall pattern finds candidates: runs of at least MIN_LENGTH key characters that hold a digit or
-   stand after an assignment or a word that speaks of secrets.
+1. A high-recall pattern finds candidates: what is assigned to a secret's name, from NAMED characters on and of any
+   characters but white space, quotes and separators; and runs of at least MIN_LENGTH key characters that hold a
+   digit or stand after an assignment or a word that speaks of secrets.
 2. Each has features: length, shares of character classes, changes between classes, distinct characters and
-   entropy, the part covered by dictionary words, path form, and words beside it. The dictionary is every
-   run of three letters or more that occurs DICTIONARY times in the corpus.
+   entropy, the part covered by dictionary words, path form, and words beside it. The dictionary is
+   every run of three letters or more that stands in at least DICTIONARY and one in SPREAD of all different texts,
+   so copies of a text don't make its own secret a word.
 3. Findings are labelled by rules that are sure: known key formats, and assignments to a secret's name, are
    secrets; plain numbers, paths, UUIDs and what stands after the name of a checksum or id are not.
    The others have no label. A random forest is trained on a sample of at most about SAMPLE labelled findings
@@ -26,14 +28,17 @@ from pyspark.sql import functions as F
 from opsframe.llm.common import saved
 
 MIN_LENGTH = 16
-DICTIONARY = 20
+NAMED = 6
+DICTIONARY, SPREAD = 3, 2000
 SAMPLE = 10_000
 THRESHOLD = 0.5
 TREES, DEPTH, SEED = 24, 6, 13
 
 # Patterns of candidates, key formats and neighbouring words
 KEY = "[A-Za-z0-9_+/=~.-]"
-CANDIDATE = f"(?<!{KEY}){KEY}{{{MIN_LENGTH},}}"
+NAME = "(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api.?key|access.?key|private.?key|auth|credentials?|client.?key)"
+ASSIGNED = f"(?<=[=:]\\s{{0,3}}[\"']?)(?<={NAME}[A-Za-z0-9_]{{0,8}}[\"']?\\s{{0,3}}[=:]\\s{{0,3}}[\"']?)(?<![^\\s=:\"'])[^\\s\"',;<>=:][^\\s\"',;<>]{{{NAMED - 1},}}"
+CANDIDATE = f"(?:{ASSIGNED}|(?<!{KEY}){KEY}{{{MIN_LENGTH},}})"
 FORMATS = "^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+)$"
 SECRET_WORDS = "(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|bearer|credential|client.?key)"
 PLAIN_WORDS = "(?i)(sha.?[0-9]+|md5|checksum|digest|commit|revision|uuid|guid|etag|isbn|version|order|invoice)"
@@ -62,10 +67,14 @@ def candidates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return each.where(f"found rlike '[0-9]' or before rlike '{_sql('[=:]')}\\\\s*[\"\\']?$' or before rlike '{_sql(SECRET_WORDS)}'")
 
 
-def dictionary(documents: DataFrame, text_col: str = "text", least: int = DICTIONARY) -> DataFrame:
-    """word: lower-cased runs of three letters or more that occur often enough in the corpus."""
-    words = documents.select(F.explode(F.expr(f"regexp_extract_all(lower({text_col}), '(?<![a-z0-9])[a-z]{{3,}}(?![a-z0-9])', 0)")).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("word")
+def dictionary(documents: DataFrame, found: DataFrame, text_col: str = "text", least: int = DICTIONARY, spread: int = SPREAD) -> DataFrame:
+    """word: of the lower-cased runs of three letters or more in candidates, those that stand in enough different texts."""
+    texts = documents.where(F.col(text_col).isNotNull()).withColumn("_text", F.xxhash64(text_col))
+    enough = F.greatest(F.lit(least), F.ceil(F.lit(texts.agg(F.count_distinct("_text")).first()[0]) / spread))
+    asked = found.select(F.explode(F.expr("regexp_extract_all(lower(found), '[a-z]{3,}', 0)")).alias("word")).distinct()
+    words = texts.select("_text", F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower({text_col}), '(?<![a-z0-9])[a-z]{{3,}}(?![a-z0-9])', 0)"))).alias("word"))
+    held = words.join(asked, "word", "left_semi").groupBy("word").agg(F.approx_count_distinct("_text", 0.03).alias("n"))
+    return held.where(F.col("n") >= enough).select("word")
 
 
 def described(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -116,7 +125,7 @@ def scan(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Every finding with its features and score, over the whole table."""
     docs = documents.select("doc_id", "text")
     found = saved(candidates(docs), "candidates")
-    return scored(saved(described(found, dictionary(docs)), "findings"), sample)
+    return scored(saved(described(found, dictionary(docs, found)), "findings"), sample)
 
 
 def scan_table(documents: DataFrame) -> DataFrame:
