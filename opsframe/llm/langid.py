@@ -5,7 +5,10 @@ counts as one space; they are hashed to DIM slots. A slot's weight in a text is
 n-grams times its inverse document frequency, counted over all training texts. The regression is trained
 by follow-the-regularised-leader (proximal, per coordinate) with elastic-net penalties on a sample of at
 most about SAMPLE texts - each label's share is bounded, the draw goes by a hash of the id - and one in
-five of these is set aside to fit a temperature. Scores are calibrated probabilities of the label returned.
+five of these is set aside to fit a temperature, whole and as short cuts of CUTS characters, since whole texts alone
+are told apart without error and would make every score 1. Scores are calibrated probabilities of the label
+returned. The model's floor is the least score of the set-aside whole texts but one in FLOOR (at most 0.5): a
+text below it is in none of the languages.
 
 Scores are sums over n-grams, so whole texts of any length are read in blocks. Null texts and texts without
 a letter are ``und`` with score 0. Rows with a null or empty label train nothing; null ids count as training
@@ -31,6 +34,8 @@ EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 SCALE = 30.0
 CHUNK = 1 << 19
+CUTS = (6, 15, 40)
+FLOOR = 500
 
 _letters: list[np.ndarray] = []
 
@@ -80,6 +85,7 @@ class Model:
     weights: np.ndarray  # DIM x labels
     bias: np.ndarray
     temperature: float
+    floor: float = 0.0
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [], np.zeros(len(texts))
@@ -173,22 +179,40 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
             out = []
             for i, j, ids, at in slots(b.column(1).to_pylist()):
                 for k in range(j - i):
-                    u, c = np.unique(ids[at[k] : at[k + 1]], return_counts=True)
-                    out.append((u.astype("<u4").tobytes(), (c / max(1, c.sum())).astype("<f4").tobytes()))
+                    own = ids[at[k] : at[k + 1]]
+                    u, c = np.unique(own, return_counts=True)
+                    # two n-grams a character; the cuts begin somewhere in the text, by its own n-grams
+                    begin = 2 * (int(own.sum(dtype=np.int64)) % max(1, len(own) // 2 - CUTS[-1])) if len(own) else 0
+                    cuts = b"".join(np.resize(own[begin : begin + 2 * n], 2 * n).astype("<u4").tobytes() for n in CUTS) if len(own) else b""
+                    out.append((u.astype("<u4").tobytes(), (c / max(1, c.sum())).astype("<f4").tobytes(), cuts))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary()), b.column(2)], ["id", "slots", "shares", "label"])
+                [b.column(0), *(pa.array([x[n] for x in out], pa.binary()) for n in range(3)), b.column(2)], ["id", "slots", "shares", "cuts", "label"])
 
     rows, aside = [], []
-    got = drawn.select("id", "text", "label").mapInArrow(counted, f"id {dict(df.dtypes)['id']}, slots binary, shares binary, label string").toArrow().to_pylist()
+    got = drawn.select("id", "text", "label").mapInArrow(counted, f"id {dict(df.dtypes)['id']}, slots binary, shares binary, cuts binary, label string").toArrow().to_pylist()
     for n, r in enumerate(sorted(got, key=lambda r: (r["id"] is None, r["id"], r["label"], r["slots"]))):
         ids = np.frombuffer(r["slots"], "<u4").astype(np.int64)
         if len(ids):
             x = np.frombuffer(r["shares"], "<f4") * idf[ids] * SCALE
-            (aside if n % 5 == 4 else rows).append((np.append(ids, DIM), np.append(x, 1.0), labels.index(r["label"])))
+            label = labels.index(r["label"])
+            if n % 5 != 4:
+                rows.append((np.append(ids, DIM), np.append(x, 1.0), label))
+                continue
+            aside.append((ids, x, label))
+            cuts, begin = np.frombuffer(r["cuts"], "<u4").astype(np.int64), 0
+            for size in CUTS:
+                part = cuts[begin : begin + 2 * size]
+                aside.append((part, idf[part] * SCALE / len(part), label))
+                begin += 2 * size
     weights, bias = ftrl(rows, len(labels))
-    both = np.vstack([weights, bias])
-    scores = np.array([x @ both[i] for i, x, _ in aside]).reshape(-1, len(labels))
-    return Model(labels, idf, weights, bias, temperature(scores, np.array([y for _, _, y in aside], int)))
+    scores = np.array([x @ weights[i] + bias for i, x, _ in aside]).reshape(-1, len(labels))
+    truth = np.array([y for _, _, y in aside], int)
+    model = Model(labels, idf, weights, bias, temperature(scores, truth))
+    if len(aside):
+        whole = softmax(scores[:: 1 + len(CUTS)] / model.temperature)
+        best = np.sort(whole.max(1)[whole.argmax(1) == truth[:: 1 + len(CUTS)]])
+        model.floor = float(min(0.5, best[len(best) // FLOOR])) if len(best) else 0.0
+    return model
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
