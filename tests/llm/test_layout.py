@@ -131,6 +131,22 @@ def test_pipeline(spark):
     assert {r.doc_id for r in last.collect()} == set(texts)
 
 
+def test_stages_judge_rows(spark, tmp_path):
+    """Without labels texts stay; leaks go by row, also without an id or beside a clean text of the same id."""
+    docs = cases.documents(spark)
+    plain = docs.withColumn("lang", cases.F.lit(None).cast("string"))
+    letters = sum(any(c.isalpha() for c in r.text or "") for r in docs.collect())
+    assert corpus_pipeline.language(spark, plain, SF).count() == letters > 0
+    assert corpus_pipeline.language(spark, cases.empty(spark), SF).count() == 0
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, item, "en", "s", 0), (7, item, "en", "s", 0), (7, "clean words " * 30, "en", "s", 0), (None, "other clean words " * 20, "en", "s", 0), (8, None, "en", "s", 0)]
+    both = docs.unionByName(spark.createDataFrame(rows, cases.SCHEMA))
+    left = corpus_pipeline.benchmark(spark, both, SF)
+    assert left.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in left.collect()]
+    assert all((r[0], r[1]) not in kept for r in rows[:2]) and all((r[0], r[1]) in kept for r in rows[2:])
+
+
 def test_queries_run(spark):
     assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, len(queries.QUERIES) + 1))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())

@@ -184,3 +184,16 @@ def test_near_duplicates_over_many_blocks(spark, monkeypatch):
         docs += [(1000 * g + i, t) for i, t in enumerate(near_copies(n, words, edits, g))]
     got = {r[0]: tuple(r)[1:] for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == components_by_brute_force(docs, 5, 80)
+
+def test_short_items_are_found_word_for_word(spark):
+    """Recall by length: items of four words and more that stand verbatim among other words."""
+    rng = random.Random(21)
+    word = lambda: f"w{rng.randrange(4000)}"
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([4, 5, 6, 8, 10, 12, 15] * 6)]
+    docs = [(i, " ".join([word() for _ in range(60)] + [t.upper() if i % 2 else t] + [word() for _ in range(60)])) for i, t in items]
+    docs += [(1000 + i, " ".join(word() for _ in range(120))) for i in range(100)]
+    docs += [(2000, items[0][1].rsplit(" ", 2)[0]), (2001, items[0][1].split()[-1]), (None, "x, " + items[6][1] + "!")]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    pairs = {(r.doc_id, r.item_id) for r in found}
+    assert {(i, i) for i, _ in items} <= pairs and (None, 6) in pairs
+    assert [(r.doc_id, r.item_id, r.same, r.answer) for r in found if (r.doc_id or 0) >= 1000] == []

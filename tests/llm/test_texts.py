@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from opsframe.llm import extract, fingerprint, langid, pii, secrets
+from tests.conftest import SF
 from tests.llm import cases
 
 
@@ -254,3 +255,90 @@ def test_added_spans_are_personal_data(spark):
         for x in (text, long + text + " " + long):
             assert added(x) == [], x
     assert pii.clear_of([("ip", 0, 5), ("ip", 5, 9), ("ip", 20, 30)], [(9, 21), (3, 4)]) == [("ip", 5, 9)]
+
+def candidates_by_hand(text):
+    """Left to right: what is assigned to a secret's name, else a long run of key characters."""
+    names = "token|secret|password|passwd|passphrase|pwd|api.?key|access.?key|private.?key|auth|credentials?|client.?key"
+    lead = re.compile(rf"(?:{names})[A-Za-z0-9_]{{0,8}}[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?\Z", re.I | re.A)
+    key, out, i, last = re.compile(r"[A-Za-z0-9_+/=~.-]"), [], 0, 0
+    while i < len(text):
+        end = i
+        if text[i] not in "=:" and (i == 0 or text[i - 1] in " \t\n=:\"'") and lead.search(text[max(0, i - 60) : i]):
+            while end < len(text) and text[end] not in " \t\n\r\"',;<>":
+                end += 1
+        if end - i < 6:
+            end = i
+            if not (i and key.match(text[i - 1])):
+                while end < len(text) and key.match(text[end]):
+                    end += 1
+            if end - i < 16:
+                i += 1
+                continue
+        found, before = text[i:end], text[max(last, i - 48) : i]  # what stands before ends at the match before
+        if re.search("[0-9]", found) or re.search(r"[=:]\s*[\"']?\Z", before) or re.search("(?i)" + secrets.SECRET_WORDS[4:], before):
+            out.append((i, found))
+        i = last = end
+    return out
+
+
+def test_candidates_equal_a_scan_by_hand(spark):
+    import random
+
+    rng = random.Random(12)
+    parts = ["password", "pwd", "api_key", "SECRET_KEY", "token", "id", " ", " ", "=", ": ", "= \"", "'", "\n", "hunter2secret", "S3cr3t!x9Q#k2$Lm%P0", "Zx81kQ0p", "abc",
+             "0123456789abcdef0123", "path/to/some/where/else", ",", "<", "x" * 20, "plain words"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))) for _ in range(500)] + ["", "password = hunter2secret", "pwd: S3cr3t!x9Q#k2$Lm%P0"]
+    got = {}
+    for r in secrets.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.found))
+    for i, t in enumerate(texts):
+        assert sorted(got.get(i, [])) == candidates_by_hand(t), t
+
+
+def test_dictionary_counts_different_texts(spark):
+    rows = [(i, "the deploy password=tangerinefox81x of ours") for i in range(50)] + [(100 + i, f"deploy number {i}") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    words = {r.word for r in secrets.dictionary(df, spark.createDataFrame([("deploy_tangerinefox_x",)], "found string")).collect()}
+    assert words == {"deploy"}  # fifty copies of one text make no word
+
+
+def test_scores_tell_short_cuts_and_nonsense_from_text(spark):
+    docs = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")
+    model = langid.train(docs.where(~langid.held_out()))
+    assert 0.3 < model.temperature < 10 and 0 < model.floor <= 0.5
+    held = docs.where(langid.held_out()).where("text is not null").select("text", "lang").collect()
+    names, scores = model.predict([r.text for r in held])
+    assert np.mean([a == r.lang for a, r in zip(names, held)]) > 0.99 and np.median(scores) > 0.99
+    assert model.predict(["xqz kk vv", "zzz"])[1].max() < 0.97
+    # calibration over texts and cuts of them: within each tenth of the scores, as many are right as they say
+    cuts = [(r.text[i : i + n], r.lang) for r in held for n in (8, 20, 60) for i in (0, len(r.text) // 2) if any(c.isalpha() for c in r.text[i : i + n])]
+    names, scores = model.predict([c for c, _ in cuts])
+    right = np.array([a == b for a, (_, b) in zip(names, cuts)])
+    bins = np.minimum((scores * 10).astype(int), 9)
+    ece = sum(abs(right[bins == b].mean() - scores[bins == b].mean()) * (bins == b).mean() for b in set(bins.tolist()))
+    assert ece < 0.08
+
+
+def test_training_steps_equal_a_plain_twin():
+    """FTRL over dense vectors, one coordinate at a time."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for k in range(30):
+        ids = np.sort(rng.choice(12, 4, replace=False))
+        rows.append((np.append(ids, langid.DIM), np.append(rng.random(4), 1.0), int(rng.integers(3))))
+    weights, bias = langid.ftrl(rows, 3)
+    z, n = {}, {}
+    w = lambda i, c: 0.0 if abs(z.get((i, c), 0.0)) <= langid.L1 else -(z[i, c] - np.sign(z[i, c]) * langid.L1) / ((langid.BETA + n.get((i, c), 0.0) ** 0.5) / langid.ALPHA + langid.L2)
+    order = np.random.default_rng(7)
+    for _ in range(langid.EPOCHS):
+        for k in order.permutation(len(rows)):
+            ids, x, y = rows[k]
+            s = [sum(w(i, c) * v for i, v in zip(ids, x)) for c in range(3)]
+            e = np.exp(np.array(s) - max(s))
+            p = e / e.sum()
+            steps = [(i, c, v * (p[c] - (c == y)), w(i, c)) for i, v in zip(ids, x) for c in range(3)]
+            for i, c, g, old in steps:
+                before = n.get((i, c), 0.0)
+                z[i, c] = z.get((i, c), 0.0) + g - ((before + g * g) ** 0.5 - before**0.5) / langid.ALPHA * old
+                n[i, c] = before + g * g
+    assert np.allclose([[w(i, c) for c in range(3)] for i in range(12)], weights[:12]) and np.allclose([w(langid.DIM, c) for c in range(3)], bias)
