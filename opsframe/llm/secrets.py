@@ -67,14 +67,12 @@ def candidates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return each.where(f"found rlike '[0-9]' or before rlike '{_sql('[=:]')}\\\\s*[\"\\']?$' or before rlike '{_sql(SECRET_WORDS)}'")
 
 
-def dictionary(documents: DataFrame, found: DataFrame, text_col: str = "text", least: int = DICTIONARY, spread: int = SPREAD) -> DataFrame:
-    """word: of the lower-cased runs of three letters or more in candidates, those that stand in enough different texts."""
-    texts = documents.where(F.col(text_col).isNotNull()).withColumn("_text", F.xxhash64(text_col))
-    enough = F.greatest(F.lit(least), F.ceil(F.lit(texts.agg(F.count_distinct("_text")).first()[0]) / spread))
-    asked = found.select(F.explode(F.expr("regexp_extract_all(lower(found), '[a-z]{3,}', 0)")).alias("word")).distinct()
-    words = texts.select("_text", F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower({text_col}), '(?<![a-z0-9])[a-z]{{3,}}(?![a-z0-9])', 0)"))).alias("word"))
-    held = words.join(asked, "word", "left_semi").groupBy("word").agg(F.approx_count_distinct("_text", 0.03).alias("n"))
-    return held.where(F.col("n") >= enough).select("word")
+def dictionary(documents: DataFrame, text_col: str = "text", least: int = DICTIONARY, spread: int = SPREAD) -> DataFrame:
+    """word: lower-cased runs of three letters or more that stand in enough different texts; copies count once."""
+    texts = documents.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
+    enough = F.greatest(F.lit(least), F.ceil(F.lit(texts.agg(F.count_distinct("key")).first()[0]) / spread))
+    words = texts.dropDuplicates(["key"]).select(F.explode(F.array_distinct(F.expr("regexp_extract_all(lower(text), '(?<![a-z0-9])[a-z]{3,}(?![a-z0-9])', 0)"))).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough).select("word")
 
 
 def described(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -125,7 +123,7 @@ def scan(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Every finding with its features and score, over the whole table."""
     docs = documents.select("doc_id", "text")
     found = saved(candidates(docs), "candidates")
-    return scored(saved(described(found, dictionary(docs, found)), "findings"), sample)
+    return scored(saved(described(found, dictionary(docs)), "findings"), sample)
 
 
 def scan_table(documents: DataFrame) -> DataFrame:

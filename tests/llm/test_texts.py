@@ -298,8 +298,7 @@ def test_candidates_equal_a_scan_by_hand(spark):
 def test_dictionary_counts_different_texts(spark):
     rows = [(i, "the deploy password=tangerinefox81x of ours") for i in range(50)] + [(100 + i, f"deploy number {i}") for i in range(5)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    words = {r.word for r in secrets.dictionary(df, spark.createDataFrame([("deploy_tangerinefox_x",)], "found string")).collect()}
-    assert words == {"deploy"}  # fifty copies of one text make no word
+    assert {r.word for r in secrets.dictionary(df).collect()} == {"deploy", "number"}  # fifty copies of one text make no word
 
 
 def test_scores_tell_short_cuts_and_nonsense_from_text(spark):
