@@ -7,8 +7,8 @@ by follow-the-regularised-leader (proximal, per coordinate) with elastic-net pen
 most about SAMPLE texts - each label's share is bounded, the draw goes by a hash of the id - and one in
 five of these is set aside to fit a temperature, whole and as short cuts of CUTS characters, since whole texts alone
 are told apart without error and would make every score 1. Scores are calibrated probabilities of the label
-returned. The model's floor is the least score of the set-aside whole texts but one in FLOOR (at most 0.5): a
-text below it is in none of the languages.
+returned. The model's floor is the least score of the set-aside whole texts but one in FLOOR, and at most ABOVE
+times what chance gives: a text below it is in none of the languages, one in two of them is not rejected.
 
 Scores are sums over n-grams, so whole texts of any length are read in blocks. Null texts and texts without
 a letter are ``und`` with score 0. Rows with a null or empty label train nothing; null ids count as training
@@ -35,7 +35,7 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 SCALE = 30.0
 CHUNK = 1 << 19
 CUTS = (6, 15, 40)
-FLOOR = 500
+FLOOR, ABOVE = 500, 1.25
 
 _letters: list[np.ndarray] = []
 
@@ -211,7 +211,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
     if len(aside):
         whole = softmax(scores[:: 1 + len(CUTS)] / model.temperature)
         best = np.sort(whole.max(1)[whole.argmax(1) == truth[:: 1 + len(CUTS)]])
-        model.floor = float(min(0.5, best[len(best) // FLOOR])) if len(best) else 0.0
+        model.floor = float(min(ABOVE / len(labels), best[len(best) // FLOOR])) if len(best) else 0.0
     return model
 
 
