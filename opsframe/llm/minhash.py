@@ -3,7 +3,8 @@
 1. One pass over the texts gives each document the set of its distinct k-word shingles (as 64-bit hashes;
    fewer words than k: the whole sequence), its size, a 128-bit key of the set, BANDS * ROWS universal hash
    minima and one hash per band.
-2. Documents with equal sets are one class, named by its least id; only classes go on.
+2. Rows with equal sets are one class, numbered once and named by its least row, which has the least id; only
+   classes go on, so rows without an id and rows that share one are compared like all others.
 3. Classes that share a band are candidates. In every bucket all members are held against one leader, the
    member that shares most buckets with others; the signatures must agree in enough places (verification),
    then the shingle sets themselves decide, exactly. Connected components follow by alternating large-star
@@ -17,9 +18,11 @@
 Signatures decide with a margin of MARGIN below the threshold (over four standard deviations), and a pair at
 the threshold shares no band with a chance of (1 - threshold**ROWS)**BANDS.
 
-Null texts and texts without words have an empty set, are linked with nothing and kept. Rows that share an
-id are one node, judged by the least of their texts when links are confirmed. Rows without an id are kept
-if no document with an id has their set; they have no component of their own. An empty table gives no rows.
+Null texts and texts without words have an empty set, are linked with nothing and kept. The rows of one id are
+one document: their sets are linked, so its component holds the near duplicates of each of its texts. Rows
+without an id bear the least id of their component and are not kept; in a component without any id,
+component_id is null and the rows of one set, its least, are kept. ``one_of_each`` judges row by row: there a
+shared id links nothing. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ from opsframe.session import cut_lineage
 BANDS, ROWS = 24, 4
 MARGIN = 0.16
 BLOCK_SHINGLES = 300_000
+KEYS = ["key0", "key1", "n_shingles"]
 _U = np.uint64
 
 
@@ -79,24 +83,24 @@ class Sketch:
 
 
 def sketches(documents: DataFrame, k: int, id_col: str, text_col: str, sketch: Sketch) -> DataFrame:
-    """doc_id, n_shingles, set key (two longs) and minima (binary) of every row."""
+    """doc_id, textkey, n_shingles, set key (two longs) and minima (binary) of every row."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
             sizes, first, second, minima = [], [], [], []
-            for s in shingle_sets(text_bytes(b.column(1)), k):
+            for s in shingle_sets(text_bytes(b.column("text")), k):
                 sizes.append(len(s))
                 first.append(int(mix(s.copy()).sum(dtype=_U).view(np.int64)))
                 second.append(int(mix(s ^ _U(0xD1B54A32D192ED03)).sum(dtype=_U).view(np.int64)))
                 m = sketch.minima(s) if len(s) else None
                 minima.append(None if m is None else m.astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
+                [b.column("doc_id"), b.column("textkey"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
                  pa.array(minima, pa.binary())],
-                ["doc_id", "n_shingles", "key0", "key1", "minima"])
+                ["doc_id", "textkey", "n_shingles", "key0", "key1", "minima"])
 
-    return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        sketched, "doc_id long, n_shingles long, key0 long, key1 long, minima binary")
+    return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("textkey"), F.col(text_col).alias("text")).mapInArrow(
+        sketched, "doc_id long, textkey long, n_shingles long, key0 long, key1 long, minima binary")
 
 
 def agreeing(pairs: DataFrame, signatures: DataFrame, least: float) -> DataFrame:
@@ -113,10 +117,18 @@ def agreeing(pairs: DataFrame, signatures: DataFrame, least: float) -> DataFrame
     return both.select("a", "b", "ma", "mb").mapInArrow(agree, "a long, b long")
 
 
-def texts_of(ids: DataFrame, documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text of the given ids; the least text of an id that has several."""
-    rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+def row_key(id_column: Column | str, textkey: Column | str) -> list[Column]:
+    """Key of a row by id and hash of the text, for joins and groups: never null."""
+    i = F.col(id_column).cast("long") if isinstance(id_column, str) else id_column
+    return [F.coalesce(i, F.lit(0)), i.isNull(), F.col(textkey) if isinstance(textkey, str) else textkey]
+
+
+def texts_of(wanted: DataFrame, documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text of wanted: rep, doc_id, textkey; a class's text is that of its least row."""
+    names = ["x", "y", "z"]
+    rows = documents.select(*(c.alias(n) for n, c in zip(names, row_key(id_col, F.xxhash64(text_col)))), F.col(text_col).alias("text"))
+    asked = wanted.select(*(c.alias(n) for n, c in zip(names, row_key("doc_id", "textkey"))), "rep")
+    return rows.join(asked, names).groupBy(*names, "rep").agg(F.min("text").alias("text")).select(F.col("rep").alias("id"), "text")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -220,43 +232,68 @@ def unfinished(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int, p
     return dealt(named).join(texts.withColumnRenamed("id", "rep"), "rep").groupBy("band", "hash", "i", "j").applyInArrow(searched, "a long, b long").distinct()
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row; links hold from a Jaccard similarity of percent."""
+def same_ids(some: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of one id."""
+    spot = F.xxhash64(*KEYS)
+    several = some.where("doc_id is not null").groupBy("doc_id").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).where("low < high").select("doc_id")
+    held = saved(some.join(several, "doc_id").join(nodes.select(*KEYS, "rep"), KEYS).select("doc_id", "rep").distinct(), "held")
+    return held.join(held.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").where("a <> rep").select("a", F.col("rep").alias("b"))
+
+
+def classes(documents: DataFrame, k: int, percent: int, id_col: str, text_col: str, bands: int, rows: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """(all rows: doc_id, textkey and set key; classes: set key, doc_id and textkey of the least row, component_id,
+    whether the class holds its component's least row). by_id: the rows of one id are linked."""
     sketch = Sketch(bands, rows)
     least = percent / 100 - MARGIN
     all_rows = saved(sketches(documents, k, id_col, text_col, sketch), "sketches")
-    keys = ["key0", "key1", "n_shingles"]
     some = all_rows.where("n_shingles > 0")
-    classes = some.groupBy(keys).agg(F.min("doc_id").alias("rep"))
-    nodes = saved(some.join(classes.where("rep is not null"), keys).where("doc_id = rep").dropDuplicates(["rep"]).select("rep", "n_shingles", "minima"), "classes")
+    nodes = saved(some.groupBy(*KEYS).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "textkey")).alias("least"), F.max("minima").alias("minima"))
+                  .select(F.monotonically_increasing_id().alias("rep"), *KEYS, "least.doc_id", "least.textkey", "minima"), "classes")
     spread = nodes.select("rep", "n_shingles", F.posexplode(sketch.band_hashes()).alias("band", "hash"))
     buckets = spread.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = saved(spread.join(buckets, ["band", "hash"]), "members")
-    texts = saved(texts_of(members.select(F.col("rep").alias("id")).distinct(), documents, id_col, text_col), "texts")
+    wanted = nodes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "textkey")
+    texts = saved(texts_of(wanted, documents, id_col, text_col), "texts")
     fame = members.groupBy("rep").agg(F.sum("n").alias("fame"))
     leads = (members.join(fame, "rep").groupBy("band", "hash").agg(F.max(F.struct("fame", (-F.col("rep")).alias("r"))).alias("top"))
              .select("band", "hash", (-F.col("top.r")).alias("a")))
     stars = members.join(leads, ["band", "hash"]).where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    links = saved(confirmed(agreeing(stars, nodes, least), texts, k, percent), "links")
+    links = confirmed(agreeing(stars, nodes, least), texts, k, percent)
+    links = saved(links.union(same_ids(some, nodes)) if by_id else links, "links")
     comps = cut_lineage(components(links))
     more = saved(unfinished(members, comps, texts, k, percent), "links")
     if not more.isEmpty():
-        comps = components(links.union(more))
-    whole = (classes.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
-             .select(*keys, F.coalesce("component", "rep").alias("component_id")))
-    out = all_rows.select("doc_id", *keys).join(whole, keys, "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+        comps = cut_lineage(components(links.union(more)))
+    linked = comps.union(comps.select("component", "component").distinct()).withColumnRenamed("id", "rep")
+    named = nodes.select(*KEYS, "rep", "doc_id", "textkey").join(linked, "rep", "left")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *KEYS)
+    tops = named.where("component is not null").groupBy("component").agg(F.min(row).alias("top"))
+    chosen = F.col("top").isNull() | (F.struct(*(F.col(f"top.{c}") for c in KEYS)) == F.struct(*KEYS))
+    return all_rows.select("doc_id", "textkey", *KEYS), named.join(tops, "component", "left").select(
+        *KEYS, "doc_id", "textkey", F.when(F.col("top").isNull(), F.col("doc_id")).otherwise(F.col("top.doc_id")).alias("component_id"), chosen.alias("chosen"))
+
+
+def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row; links hold from a Jaccard similarity of percent."""
+    all_rows, found = classes(documents, k, percent, id_col, text_col, bands, rows, by_id=True)
+    out = all_rows.join(found.select(*KEYS, "component_id", "chosen"), KEYS, "left")
+    empty = F.col("n_shingles") == 0
+    component = F.when(empty, F.col("doc_id")).otherwise(F.col("component_id"))
+    kept = F.when(empty, True).when(component.isNull(), F.col("chosen")).otherwise(F.coalesce(F.col("doc_id") == component, F.lit(False)))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """documents without near duplicates: of each component the document with the least id stays, and of rows
-    with equal id and text one. Rows without an id stay, one of each text."""
-    found = near_duplicates(documents, k, percent, id_col, text_col)
-    other, number = fresh(documents, "_gone"), fresh(documents, "_same")
-    gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias(other)).distinct()
-    same = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(0))
-    return (documents.join(gone, F.col(id_col).cast("long") == F.col(other), "left_anti")
-            .withColumn(number, F.row_number().over(same)).where(F.col(number) == 1).drop(number))
+    """documents without near duplicates: of each component one row stays, the one with the least id (without any:
+    of the least set), of several such the one with the least hash of its text. Of rows without words those that
+    are equal in id and text are one. Rows are judged by id and text, so a shared id takes no other text with it."""
+    all_rows, found = classes(documents, k, percent, id_col, text_col, BANDS, ROWS, by_id=False)
+    names = [fresh(documents, n) for n in ("_id", "_none", "_text")]
+    key = [c.alias(n) for n, c in zip(names, row_key("doc_id", "textkey"))]
+    stays = found.where("chosen").select(*key).union(all_rows.where("n_shingles = 0").select(*key))
+    gone = all_rows.select(*key).distinct().join(stays, names, "left_anti")
+    number = fresh(documents, "_same")
+    rows = documents.select("*", *(c.alias(n) for n, c in zip(names, row_key(id_col, F.xxhash64(text_col)))))
+    same = Window.partitionBy(*names).orderBy(F.lit(0))
+    return rows.join(gone, names, "left_anti").withColumn(number, F.row_number().over(same)).where(F.col(number) == 1).drop(number, *names)

@@ -78,6 +78,33 @@ def test_near_duplicates_edges(spark):
     assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [-5, 1001, 1002, 1003, 1004, 1005, 1007, 1008, 1010, 1011]
 
 
+def test_near_duplicates_by_row(spark):
+    """Rows that share an id are one document with several texts; rows without one are compared like all others."""
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"v{rng.randrange(9000)}" for _ in range(80)) for _ in range(4))
+    docs = [(5, a), (5, b), (7, a + " more"), (8, b + " more"), (9, c), (None, c + " more"), (None, d), (None, d + " more"), (None, d), (5, None), (None, ""), (None, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = collections.defaultdict(list)
+    for r in minhash.near_duplicates(df).collect():
+        got[r.doc_id].append((r.component_id, r.kept))
+    assert got[5] == [(5, True)] * 3 and got[7] == got[8] == [(5, False)] and got[9] == [(9, True)]
+    alone = collections.Counter(got[None])
+    assert alone[9, False] == 1 and alone[None, True] + alone[None, False] == 5 and alone[None, True] in (3, 4)
+    left = collections.Counter((r.doc_id, r.text) for r in minhash.one_of_each(df).collect())
+    chosen = [x for x in left if x[0] is None and x[1]]
+    assert len(chosen) == 1 and chosen[0][1] in (d, d + " more")
+    assert left == collections.Counter([(5, a), (5, b), (9, c), (5, None), (None, ""), chosen[0]])
+
+
+def test_shared_id_takes_no_other_text(spark):
+    rng = random.Random(9)
+    a, b = (" ".join(f"v{rng.randrange(9000)}" for _ in range(60)) for _ in range(2))
+    df = spark.createDataFrame([(3, a), (5, a + " x"), (5, b), (5, b.upper())], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(df).collect()} == {(3, 3), (5, 3)}
+    left = [(r.doc_id, r.text) for r in minhash.one_of_each(df).collect()]
+    assert len(left) == 2 and (3, a) in left and {x[1].lower() for x in left} == {a, b}
+
+
 def removed_by_brute_force(docs, window):
     words = [(d, cases.WORD.findall(t or "")) for d, t in docs]
     low = {}
