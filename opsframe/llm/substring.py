@@ -13,8 +13,11 @@ starts in a document with a smaller id, judged on the input.
    prefix lengths of neighbours, and from these the internal nodes at each depth, split by the words before
    the suffix. A node whose left and right extension reach WINDOW words is a repeat; its least id
    settles every window through it.
-4. A prefix with more than GROUP suffixes is split by longer prefixes, up to whole windows: each of its
-   windows becomes a row of its own and windows are grouped by Spark, so no group grows with the input.
+4. A prefix with more than GROUP suffixes is replaced by longer ones, step by step until they fit. The windows
+   through an anchor start 0 to WINDOW - PREFIX words before it; halving that range gives two suffixes, each
+   with a longer prefix that all windows of its half share (25 words, then 38, 44, 47, 49), and each fitting
+   prefix gets its own subtree. At 50 words the prefix is the window, its subtree is one node, and Spark's
+   aggregation takes its least id. So no group grows with the input.
 
 Null texts have no words. Rows without an id take no part and lose nothing. Rows with the same id count as
 one document's texts and don't remove each other's words. An empty table gives no rows.
@@ -120,6 +123,51 @@ def _spread(mask: np.ndarray, at: np.ndarray, n_words: int, window: int, left: i
     return np.cumsum(edge)[:n_words] > 0
 
 
+def longer_prefixes(contexts: DataFrame, rest: DataFrame, left: int, window: int, group: int) -> Iterator[DataFrame]:
+    """contexts: c0, c1, words; rest: c0, c1, low and a range a0..a1 of offsets whose prefix has too many suffixes.
+    Halves the ranges, which makes prefixes longer, and yields the answers (c0, c1, low, mask) of the prefixes that
+    fit, until the prefixes are whole windows."""
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, 2048):
+            words = np.frombuffer(b"".join(b.column("context").to_pylist()), _U).reshape(b.num_rows, left + window)
+            a0, a1 = (b.column(c).to_numpy() for c in ("a0", "a1"))
+            p0, p1 = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+            for lo, hi in sorted(set(zip(a0.tolist(), a1.tolist()))):
+                at = (a0 == lo) & (a1 == hi)
+                shared = words[at, left - lo : left + window - hi]  # what all windows at offsets lo..hi hold
+                p0[at], p1[at] = _key(shared, 7).view(np.int64), _key(shared, 11).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("c0", "c1", "low", "a0", "a1")] + [pa.array(p0), pa.array(p1)],
+                                             ["c0", "c1", "low", "a0", "a1", "p0", "p1"])
+
+    def grown(key: tuple, t: pa.Table) -> pa.Table:
+        before, first = t.column("a1")[0].as_py() - t.column("a0")[0].as_py(), t.column("a0")[0].as_py()
+        words = np.frombuffer(b"".join(t.column("words").to_pylist()), _U).reshape(t.num_rows, -1)
+        mask = subtree_repeats(words, t.column("low").to_numpy(), before, window) << first
+        return pa.table({"c0": t.column("c0"), "c1": t.column("c1"), "low": t.column("low"), "mask": pa.array(mask)})
+
+    key, width = ["a0", "p0", "p1"], left + 1
+    while width > 1:
+        width = -(-width // 2)
+        middle = F.least(F.col("a0") + width - 1, F.col("a1"))
+        halves = F.array(F.struct("a0", middle.alias("a1")), F.struct((middle + 1).alias("a0"), "a1"))
+        halved = rest.select("c0", "c1", "low", F.explode(halves).alias("h")).select("c0", "c1", "low", "h.a0", "h.a1").where("a0 <= a1")
+        rows = saved(contexts.join(halved, ["c0", "c1"]).mapInArrow(prefixes, "c0 long, c1 long, low long, a0 int, a1 int, p0 long, p1 long"), "prefixes")
+        if width == 1:
+            lowest = rows.groupBy(*key).agg(F.min("low").alias("lowest"))
+            yield rows.join(lowest, key).where("lowest < low").select("c0", "c1", "low", F.expr("shiftleft(1L, a0)").alias("mask"))
+            return
+        large = cut_lineage(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > group).select(*key))
+        fits = rows.join(large, key, "left_anti")
+        groups = max(1, -(-rows.count() // group))
+        words = F.expr(f"substring(context, ({left} - a1) * 8 + 1, ({window} + a1 - a0) * 8)")
+        yield (contexts.join(fits, ["c0", "c1"]).select(F.pmod(F.xxhash64(*key), F.lit(groups)).alias("grp"), "c0", "c1", "low", "a0", "a1", words.alias("words"))
+               .groupBy("grp", "a0").applyInArrow(grown, "c0 long, c1 long, low long, mask long"))
+        if large.isEmpty():
+            return
+        rest = rows.join(large, key, "left_semi")
+
+
 def repeated_suffixes(docs: DataFrame, window: int, prefix: int, group: int) -> tuple[DataFrame, DataFrame]:
     """docs: id, textkey, text. Returns (texts that are copies: id, textkey) and (id, textkey, list of
     (position, mask)): windows that also start in a document with a smaller id."""
@@ -197,22 +245,12 @@ def repeated_suffixes(docs: DataFrame, window: int, prefix: int, group: int) ->
     found = (contexts.join(least.join(large, "prefix", "left_anti"), ["c0", "c1"]).withColumn("grp", F.pmod(F.xxhash64("prefix"), F.lit(groups)))
              .select("grp", "c0", "c1", "low", "context").groupBy("grp").applyInArrow(grown, answer))
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, 2048):
-            context = np.frombuffer(b"".join(b.column("context").to_pylist()), _U).reshape(b.num_rows, left + window)
-            for a in range(left + 1):
-                part = context[:, left - a : left - a + window]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("c0"), b.column("c1"), b.column("low"), pa.array(np.full(b.num_rows, a)), pa.array(_key(part, 7).view(np.int64)), pa.array(_key(part, 11).view(np.int64))],
-                    ["c0", "c1", "low", "a", "w0", "w1"])
-
     answers = found
     if not large.isEmpty():
-        split = contexts.join(least.join(large.select("prefix"), "prefix"), ["c0", "c1"]).select("c0", "c1", "low", "context").mapInArrow(
-            windows, "c0 long, c1 long, low long, a long, w0 long, w1 long")
-        lowest = split.groupBy("w0", "w1").agg(F.min("low").alias("lowest"))
-        answers = found.unionByName(split.join(lowest, ["w0", "w1"]).groupBy("c0", "c1", "low").agg(
-            F.sum(F.when(F.col("lowest") < F.col("low"), F.expr("shiftleft(1L, cast(a as int))")).otherwise(F.lit(0))).alias("mask")))
+        rest = least.join(large.select("prefix"), "prefix").select("c0", "c1", "low", F.lit(0).alias("a0"), F.lit(left).alias("a1"))
+        for part in longer_prefixes(contexts, rest, left, window, group):
+            answers = answers.unionByName(part)
+        answers = answers.groupBy("c0", "c1", "low").agg(F.bit_or("mask").alias("mask"))
     every = (1 << (left + 1)) - 1
     spans = (met.select("id", "textkey", "at", "c0", "c1").join(answers, ["c0", "c1"])
              .withColumn("mask", F.when(F.col("id") > F.col("low"), F.lit(every)).otherwise(F.col("mask"))).where("mask <> 0")

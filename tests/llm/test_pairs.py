@@ -126,7 +126,7 @@ def removed_by_brute_force(docs, window):
 
 @pytest.mark.parametrize("group", [20_000, 5])
 def test_remove_repeats(spark, group):
-    """group=5: nearly every prefix is split into whole windows."""
+    """group=5: hot prefixes are replaced by longer ones, some up to whole windows."""
     rng = random.Random(3)
     some = [(r[0], r[1]) for r in cases.documents(spark).where("doc_id < 120").select("doc_id", "text").collect()]
     passage = " ".join(f"p{i}" for i in range(70))
@@ -139,6 +139,21 @@ def test_remove_repeats(spark, group):
     assert got == removed_by_brute_force(docs, 50)
 
 
+def test_longer_prefixes(spark):
+    """Every step of the prefixes: passages of one start whose copies go on together for 26 to 60 words."""
+    rng = random.Random(12)
+    start = [f"s{i}" for i in range(26)]
+    docs = []
+    for i in range(120):
+        same = start + [f"t{j}" for j in range((i * 7) % 35)]
+        docs.append((i, " ".join([f"x{rng.randrange(10**6)}" for _ in range(i % 30)] + same + [f"y{rng.randrange(10**6)}" for _ in range(60)])))
+    docs += [(200 + i, docs[i][1] + " tail") for i in range(0, 120, 9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = substring.remove_repeats(df, group=12)
+    got = collections.Counter((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in out.collect())
+    assert got == removed_by_brute_force(docs, 50)
+
+
 def test_remove_repeats_empty(spark):
     assert substring.repeats_digest(cases.empty(spark)).count() == 0
     assert substring.repeats_digest(cases.edges(spark)).count() == len(cases.EDGES)
