@@ -14,10 +14,10 @@ starts in a document with a smaller id, judged on the input.
    the suffix. A node whose left and right extension reach WINDOW words is a repeat; its least id
    settles every window through it.
 4. A prefix with more than GROUP suffixes is replaced by longer ones, step by step until they fit. The windows
-   through an anchor start 0 to WINDOW - PREFIX words before it; halving that range gives two suffixes, each
-   with a longer prefix that all windows of its half share (25 words, then 38, 44, 47, 49), and each fitting
-   prefix gets its own subtree. At 50 words the prefix is the window, its subtree is one node, and Spark's
-   aggregation takes its least id. So no group grows with the input.
+   through an anchor start 0 to WINDOW - PREFIX words before it; dividing that range (STEPS) gives suffixes
+   with longer prefixes that all windows of a part share (25 words, then 38, 47, 50), and each fitting prefix
+   gets its own subtree. At 50 words the prefix is the window, its subtree is one node, and Spark's aggregation
+   takes its least id. So no group grows with the input. Keys of prefixes that don't fit are broadcast up to FEW.
 
 Null texts have no words. Rows without an id take no part and lose nothing. Rows with the same id count as
 one document's texts and don't remove each other's words. An empty table gives no rows.
@@ -38,6 +38,8 @@ from opsframe.session import cut_lineage
 WINDOW = 50
 PREFIX = 25
 GROUP = 20_000
+STEPS = (13, 4, 1)
+FEW = 1_000_000
 _U = np.uint64
 
 
@@ -123,49 +125,58 @@ def _spread(mask: np.ndarray, at: np.ndarray, n_words: int, window: int, left: i
     return np.cumsum(edge)[:n_words] > 0
 
 
-def longer_prefixes(contexts: DataFrame, rest: DataFrame, left: int, window: int, group: int) -> Iterator[DataFrame]:
-    """contexts: c0, c1, words; rest: c0, c1, low and a range a0..a1 of offsets whose prefix has too many suffixes.
-    Halves the ranges, which makes prefixes longer, and yields the answers (c0, c1, low, mask) of the prefixes that
-    fit, until the prefixes are whole windows."""
+def few(keys: DataFrame) -> DataFrame:
+    """The keys, broadcast if they are at most FEW."""
+    return F.broadcast(keys) if keys.count() <= FEW else keys
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, 2048):
-            words = np.frombuffer(b"".join(b.column("context").to_pylist()), _U).reshape(b.num_rows, left + window)
-            a0, a1 = (b.column(c).to_numpy() for c in ("a0", "a1"))
-            p0, p1 = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
-            for lo, hi in sorted(set(zip(a0.tolist(), a1.tolist()))):
-                at = (a0 == lo) & (a1 == hi)
-                shared = words[at, left - lo : left + window - hi]  # what all windows at offsets lo..hi hold
-                p0[at], p1[at] = _key(shared, 7).view(np.int64), _key(shared, 11).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("c0", "c1", "low", "a0", "a1")] + [pa.array(p0), pa.array(p1)],
-                                             ["c0", "c1", "low", "a0", "a1", "p0", "p1"])
+
+def longer_prefixes(hot: DataFrame, left: int, window: int, group: int) -> Iterator[DataFrame]:
+    """hot: c0, c1, low, context of the suffixes whose prefix has too many. Divides the range of offsets, which
+    makes prefixes longer, and yields the answers (c0, c1, low, mask) of the prefixes that fit, until the prefixes
+    are whole windows. The words are read from hot at each step, and only what fits is shuffled with words."""
+
+    def prefixes(ranges: list[tuple[int, int, int, int]], with_words: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in small_batches(batches, 2048):
+                context = np.frombuffer(b"".join(b.column("context").to_pylist()), _U).reshape(b.num_rows, left + window)
+                for lo, hi, up_lo, up_hi in ranges:
+                    out = [b.column("c0"), b.column("c1"), b.column("low"), pa.array(np.full(b.num_rows, lo, np.int32)), pa.array(np.full(b.num_rows, up_lo, np.int32))]
+                    for x, y in ((lo, hi), (up_lo, up_hi)):  # the words that all windows of a range share
+                        out += [pa.array(_key(context[:, left - x : left + window - y], salt).view(np.int64)) for salt in (7, 11)]
+                    names = ["c0", "c1", "low", "a0", "b0", "p0", "p1", "q0", "q1"]
+                    if with_words:
+                        out.append(pa.array([w.tobytes() for w in context[:, left - hi : left + window - lo]], pa.binary()))
+                        names.append("words")
+                    yield pa.RecordBatch.from_arrays(out, names)
+
+        return hot.mapInArrow(run, "c0 long, c1 long, low long, a0 int, b0 int, p0 long, p1 long, q0 long, q1 long" + (", words binary" if with_words else ""))
 
     def grown(key: tuple, t: pa.Table) -> pa.Table:
-        before, first = t.column("a1")[0].as_py() - t.column("a0")[0].as_py(), t.column("a0")[0].as_py()
         words = np.frombuffer(b"".join(t.column("words").to_pylist()), _U).reshape(t.num_rows, -1)
-        mask = subtree_repeats(words, t.column("low").to_numpy(), before, window) << first
+        mask = subtree_repeats(words, t.column("low").to_numpy(), words.shape[1] - window, window) << key[1].as_py()
         return pa.table({"c0": t.column("c0"), "c1": t.column("c1"), "low": t.column("low"), "mask": pa.array(mask)})
 
-    key, width = ["a0", "p0", "p1"], left + 1
-    while width > 1:
-        width = -(-width // 2)
-        middle = F.least(F.col("a0") + width - 1, F.col("a1"))
-        halves = F.array(F.struct("a0", middle.alias("a1")), F.struct((middle + 1).alias("a0"), "a1"))
-        halved = rest.select("c0", "c1", "low", F.explode(halves).alias("h")).select("c0", "c1", "low", "h.a0", "h.a1").where("a0 <= a1")
-        rows = saved(contexts.join(halved, ["c0", "c1"]).mapInArrow(prefixes, "c0 long, c1 long, low long, a0 int, a1 int, p0 long, p1 long"), "prefixes")
+    key, parents, large = ["a0", "p0", "p1"], [(0, left)], None
+    for width in STEPS:
+        ranges = [(x, min(x + width - 1, hi), lo, hi) for lo, hi in parents for x in range(lo, hi + 1, width)]
+        parents = [r[:2] for r in ranges]
+        asked = [prefixes(ranges, False), prefixes(ranges, True)]
+        if large is not None:  # only parts of prefixes that didn't fit
+            up = few(large.toDF("b0", "q0", "q1"))
+            asked = [x.join(up, ["b0", "q0", "q1"], "left_semi") for x in asked]
+        rows, worded = asked
         if width == 1:
             lowest = rows.groupBy(*key).agg(F.min("low").alias("lowest"))
-            yield rows.join(lowest, key).where("lowest < low").select("c0", "c1", "low", F.expr("shiftleft(1L, a0)").alias("mask"))
+            yield rows.select("c0", "c1", "low", *key).join(lowest, key).where("lowest < low").select("c0", "c1", "low", F.expr("shiftleft(1L, a0)").alias("mask"))
             return
-        large = cut_lineage(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > group).select(*key))
-        fits = rows.join(large, key, "left_anti")
-        groups = max(1, -(-rows.count() // group))
-        words = F.expr(f"substring(context, ({left} - a1) * 8 + 1, ({window} + a1 - a0) * 8)")
-        yield (contexts.join(fits, ["c0", "c1"]).select(F.pmod(F.xxhash64(*key), F.lit(groups)).alias("grp"), "c0", "c1", "low", "a0", "a1", words.alias("words"))
+        sizes = saved(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size")), "sizes")
+        large = sizes.where(F.col("size") > group).select(*key)
+        fitting = sizes.where(F.col("size") <= group).agg(F.sum("size")).first()[0] or 0
+        groups = max(1, -(-fitting // (group * len(ranges))))
+        yield (worded.join(few(large), key, "left_anti").select(F.pmod(F.xxhash64(*key), F.lit(groups)).alias("grp"), "a0", "c0", "c1", "low", "words")
                .groupBy("grp", "a0").applyInArrow(grown, "c0 long, c1 long, low long, mask long"))
         if large.isEmpty():
             return
-        rest = rows.join(large, key, "left_semi")
 
 
 def repeated_suffixes(docs: DataFrame, window: int, prefix: int, group: int) -> tuple[DataFrame, DataFrame]:
@@ -230,10 +241,10 @@ def repeated_suffixes(docs: DataFrame, window: int, prefix: int, group: int) ->
                 .mapInArrow(followed_up, "id long, textkey long, at long, prefix long, c0 long, c1 long, context binary"), "suffixes")
     # the suffixes without their words are written; the words go from the scan to the groups' tasks
     least = saved(met.groupBy("prefix", "c0", "c1").agg(F.min("id").alias("low")), "least")
-    contexts = met.where("context is not null").dropDuplicates(["c0", "c1"]).select("c0", "c1", "context")
+    contexts = met.where("context is not null").select("prefix", "c0", "c1", "context")
     sizes = least.groupBy("prefix").agg(F.count(F.lit(1)).alias("size"))
     total = least.count()
-    large = cut_lineage(sizes.where(F.col("size") > group))
+    large = cut_lineage(sizes.where(F.col("size") > group).select("prefix"))
     groups = max(1, -(-total // group))
 
     def grown(key: tuple, t: pa.Table) -> pa.Table:
@@ -242,13 +253,15 @@ def repeated_suffixes(docs: DataFrame, window: int, prefix: int, group: int) ->
         return pa.table({"c0": t.column("c0"), "c1": t.column("c1"), "low": t.column("low"), "mask": pa.array(mask)})
 
     answer = "c0 long, c1 long, low long, mask long"
-    found = (contexts.join(least.join(large, "prefix", "left_anti"), ["c0", "c1"]).withColumn("grp", F.pmod(F.xxhash64("prefix"), F.lit(groups)))
+    many = few(large)
+    found = (contexts.join(many, "prefix", "left_anti").dropDuplicates(["c0", "c1"]).drop("prefix").join(least.join(many, "prefix", "left_anti"), ["c0", "c1"]).withColumn("grp", F.pmod(F.xxhash64("prefix"), F.lit(groups)))
              .select("grp", "c0", "c1", "low", "context").groupBy("grp").applyInArrow(grown, answer))
 
     answers = found
     if not large.isEmpty():
-        rest = least.join(large.select("prefix"), "prefix").select("c0", "c1", "low", F.lit(0).alias("a0"), F.lit(left).alias("a1"))
-        for part in longer_prefixes(contexts, rest, left, window, group):
+        hot = saved(contexts.join(many, "prefix", "left_semi").dropDuplicates(["c0", "c1"]).drop("prefix")
+                    .join(least.join(many, "prefix", "left_semi"), ["c0", "c1"]).select("c0", "c1", "low", "context"), "hot")
+        for part in longer_prefixes(hot, left, window, group):
             answers = answers.unionByName(part)
         answers = answers.groupBy("c0", "c1", "low").agg(F.bit_or("mask").alias("mask"))
     every = (1 << (left + 1)) - 1
