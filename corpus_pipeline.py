@@ -26,8 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the least id: five-word shingles,
-    similarity from 0.8 on. Texts without words stay; of rows equal in id and text one stays; rows without an id
-    go if a document with an id has the same shingles, and are not compared with each other otherwise."""
+    similarity from 0.8 on. Texts without words stay; of rows equal in id and text one stays. Rows are judged by id
+    and text: a shared id takes no other text with it, and of near duplicates without any id one stays."""
     return minhash.one_of_each(docs, k=5, percent=80)
 
 
