@@ -9,7 +9,7 @@ from opsframe.operators import filters as Fl
 from opsframe.operators import joins as J
 from opsframe.operators.windows import dense_index
 from opsframe.registry import query
-from opsframe.session import cut_lineage, new_folder
+from opsframe.session import cut_lineage, new_folder, spread
 from opsframe.sources import append as A
 from opsframe.sources.roles import Roles, with_roles
 
@@ -144,7 +144,8 @@ LEFT JOIN (SELECT project_id, id, count(*) AS n FROM bundle GROUP BY project_id,
 def q_lookup_two_key(spark, sf):
     """F-5: the bundle must exist *and* belong to the deployment's project."""
     r = Roles(spark, sf)
-    req = r.deployment.select("project_id", "bundle_id").distinct()
+    pair = ["project_id", "bundle_id"]
+    req = spread(r.deployment.select(*pair), r.lineitem.count(), *pair).distinct()  # a deployment is a line or several
     out = Fl.lookup_status(r.bundle.select("project_id", F.col("id").alias("bundle_id")), req, ["project_id", "bundle_id"])
     return out.select("project_id", "bundle_id", "n_found", "status")
 

@@ -13,6 +13,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opsframe.session import spread
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
@@ -113,6 +115,9 @@ SELECT c_custkey * 2 + k AS id, c_custkey AS project_id,
 FROM {customer} LATERAL VIEW explode(array(0, 1)) v AS k WHERE c_custkey % 4 <> 0""",
 }
 
+# Roles that group a large join: its inputs, and the keys they are spread by
+SPREAD: dict[str, dict[str, str]] = {"deployment": {"lineitem": "l_orderkey", "orders": "o_orderkey"}}
+
 LOGLINE_SPARK = """
 SELECT doc_id AS log_id, source AS hostname, lang AS app_id, l.line_no, l.line
 FROM {documents} LATERAL VIEW posexplode(split(text, '\\n')) l AS line_no, line"""
@@ -131,8 +136,11 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One role view as a lazy DataFrame over the parquet tables of ``sf_dir``."""
     text = LOGLINE_SPARK if name == "logline" else SPARK_FORMS.get(name, ROLE_SQL[name])
-    needed = set(_PLACEHOLDER.findall(text))
-    return spark.sql(text, **{t: base_table(spark, sf_dir, t) for t in needed})
+    tables = {t: base_table(spark, sf_dir, t) for t in set(_PLACEHOLDER.findall(text))}
+    if name in SPREAD:
+        rows = max(tables[t].count() for t in SPREAD[name])  # from the files' footers
+        tables |= {t: spread(tables[t], rows, key) for t, key in SPREAD[name].items()}
+    return spark.sql(text, **tables)
 
 
 def duckdb_role(name: str) -> str:
