@@ -8,7 +8,7 @@ from opsframe.functions.naming import ROOT_DOMAIN as ROOT
 from opsframe.plans import routing
 from opsframe.plans.projectcfg import site_media_entries
 from opsframe.registry import query
-from opsframe.session import cut_lineage, new_folder
+from opsframe.session import cut_lineage, new_folder, spread
 from opsframe.sources.roles import Roles, with_roles
 
 # The site media map every project is given in these queries (this library's own entries).
@@ -135,7 +135,8 @@ def q_site_config_text(spark, sf):
     r = Roles(spark, sf)
     dep, project, vhost = r.deployment, r.project, r.vhost
     served = cut_lineage(routing.served_bundles(dep))  # read by the table and the upstreams
-    rt = cut_lineage(routing.routing_table(dep, r.bundle, project, vhost, served))
+    table = routing.routing_table(dep, r.bundle, project, vhost, served)
+    rt = cut_lineage(spread(table, project.count() * routing.FILE_ROWS, "project_id"))  # a row becomes a file
     routed = rt.filter(F.col("status") == "routed").select("project_id")
     # every routed project carries the same media map text; X-11 parses it per project
     media = site_media_entries(routed.withColumn("site_media", F.lit(MEDIA_MAP_TEXT)), "site_media")

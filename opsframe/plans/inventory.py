@@ -87,17 +87,19 @@ def site_files(site_lines: DataFrame) -> DataFrame:
     """
     ln = (site_lines.filter(~F.col("site").startswith("."))
           .select("site", "ord", F.posexplode(T.split_lines(F.col("text"))).alias("sub", "line")))
-    toks = F.split(T.strip_ws(F.regexp_replace(T.strip_ws("line"), ";+$", "")), r"\s+")
-    t = ln.withColumn("t", toks).filter(F.size("t") >= 2).withColumn("pos", F.struct("ord", "sub"))
+    ln = ln.withColumn("line", T.strip_ws(F.regexp_replace(T.strip_ws("line"), ";+$", ""))).filter(F.col("line").rlike(r"\s"))
+    t = ln.select("site", F.struct("ord", "sub").alias("pos"), F.split("line", r"\s+").alias("t"))
     first, second = F.col("t")[0], F.col("t")[1]
     is_server = (first == "server") & (second != "{")
     is_alias, is_name = first == "alias", first == "server_name"
-    alias_part = F.try_element_at(F.split(second, "/"), F.lit(4))
-    return t.groupBy("site").agg(
-        F.max_by(F.when(is_server, second), F.when(is_server, F.col("pos"))).alias("server"),
-        F.max_by(F.when(is_name, F.expr("slice(t, 2, size(t))")), F.when(is_name, F.col("pos"))).alias("server_name"),
-        F.max_by(F.when(is_alias, alias_part), F.when(is_alias, F.col("pos"))).alias("bundle_name"),
-        F.count(F.when(is_alias & alias_part.isNull(), 1)).alias("n_bad_alias"))
+    # only what a line says goes into the sort of the aggregation, not the line's words
+    said = t.select("site", "pos", F.when(is_server, second).alias("server"), F.when(is_name, F.expr("slice(t, 2, size(t))")).alias("server_name"),
+                    is_alias.alias("is_alias"), F.when(is_alias, F.try_element_at(F.split(second, "/"), F.lit(4))).alias("bundle_name"))
+    return said.groupBy("site").agg(
+        F.max_by("server", F.when(F.col("server").isNotNull(), F.col("pos"))).alias("server"),
+        F.max_by("server_name", F.when(F.col("server_name").isNotNull(), F.col("pos"))).alias("server_name"),
+        F.max_by("bundle_name", F.when(F.col("is_alias"), F.col("pos"))).alias("bundle_name"),
+        F.count(F.when(F.col("is_alias") & F.col("bundle_name").isNull(), 1)).alias("n_bad_alias"))
 
 
 def node_meta(meta: DataFrame, hosts: DataFrame, fields=("instance_id", "name", "role")) -> DataFrame:

@@ -26,6 +26,8 @@ from opsframe.sources.files import FILE_ORDER, read_ordered_text, write_ordered_
 
 ADMIN_MEDIA_URL_PATH = "/_admin_media/"      # default url path of the admin's media (a parameter)
 
+FILE_ROWS = 50                               # about how many lines the site file of an app has
+
 # ---- fixed values of the proxy site file ----------------------------------
 ADMIN_MEDIA_BUNDLE_PATH = "lib/python2.6/site-packages/django/contrib/admin/media"
 SITE_PACKAGES_SUBDIR = "lib/python2.6/site-packages"
