@@ -238,6 +238,12 @@ def included_path(parent, target):
 FILE = ["project_id", "file"]
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """The side of a join that must not be broadcast: how many files and lines a project has is not in
+    the estimate of its size, which is that of the projects' compressed columns."""
+    return df.hint("merge")
+
+
 def include_levels(top: DataFrame, edges: DataFrame) -> DataFrame:
     """(project_id, file, level): the files reachable from the top files, each at
     its least number of includes. Semi-naive: a round joins only the files that
@@ -246,8 +252,8 @@ def include_levels(top: DataFrame, edges: DataFrame) -> DataFrame:
     level = 0
     while True:
         level += 1
-        frontier = cut_lineage(frontier.join(edges, FILE).select("project_id", F.col("target").alias("file")).distinct()
-                               .join(found, FILE, "left_anti").withColumn("level", F.lit(level)))
+        frontier = cut_lineage(frontier.join(shuffled(edges), FILE).select("project_id", F.col("target").alias("file")).distinct()
+                               .join(shuffled(found), FILE, "left_anti").withColumn("level", F.lit(level)))
         if frontier.isEmpty():
             return found
         found = found.unionByName(frontier)
@@ -271,8 +277,8 @@ def cyclic_files(edges: DataFrame) -> DataFrame:
             df = new
 
     def peeled(e):
-        return settled(e, lambda x: x.join(x.select("project_id", F.col("file").alias("target")).distinct(), ["project_id", "target"], "left_semi")
-                       .join(x.select("project_id", F.col("target").alias("file")).distinct(), FILE, "left_semi").select(*FILE, "target"))
+        return settled(e, lambda x: x.join(shuffled(x.select("project_id", F.col("file").alias("target")).distinct()), ["project_id", "target"], "left_semi")
+                       .join(shuffled(x.select("project_id", F.col("target").alias("file")).distinct()), FILE, "left_semi").select(*FILE, "target"))
 
     rest = peeled(cut_lineage(edges.select(*FILE, "target").distinct()))
     done = None
@@ -280,20 +286,20 @@ def cyclic_files(edges: DataFrame) -> DataFrame:
         color = rest.select(*FILE).distinct().withColumn("cycle", F.col("file"))
         before = None
         while True:
-            into = rest.join(color, FILE).select("project_id", F.col("target").alias("file"), "cycle")
+            into = rest.join(shuffled(color), FILE).select("project_id", F.col("target").alias("file"), "cycle")
             color = cut_lineage(color.unionByName(into).groupBy(*FILE).agg(F.max("cycle").alias("cycle")))
             now = color.agg(F.sum(F.xxhash64(*FILE, "cycle").cast("decimal(38,0)"))).first()[0]
             if now == before:
                 break
             before = now
-        same = (rest.join(color, FILE).join(color.select("project_id", F.col("file").alias("target"), F.col("cycle").alias("other")), ["project_id", "target"])
+        same = (rest.join(shuffled(color), FILE).join(shuffled(color.select("project_id", F.col("file").alias("target"), F.col("cycle").alias("other"))), ["project_id", "target"])
                 .filter("cycle = other").select(*FILE, "target", "cycle"))
         found = color.filter("file = cycle")
         found = settled(cut_lineage(found), lambda x: x.unionByName(
-            same.join(x.select("project_id", F.col("file").alias("target"), "cycle"), ["project_id", "target", "cycle"]).select(*FILE, "cycle")).distinct())
+            same.join(shuffled(x.select("project_id", F.col("file").alias("target"), "cycle")), ["project_id", "target", "cycle"]).select(*FILE, "cycle")).distinct())
         done = found if done is None else cut_lineage(done.unionByName(found))
         out = found.select("project_id", F.col("file").alias("target"))
-        rest = peeled(cut_lineage(rest.join(found, FILE, "left_anti").join(out, ["project_id", "target"], "left_anti")))
+        rest = peeled(cut_lineage(rest.join(shuffled(found), FILE, "left_anti").join(shuffled(out), ["project_id", "target"], "left_anti")))
     return done if done is not None else edges.limit(0).select(*FILE, F.col("file").alias("cycle"))
 
 
@@ -319,33 +325,35 @@ def requirement_lines(files: DataFrame, top: DataFrame) -> DataFrame:
     address = F.col("include").rlike(REQ_ADDRESS_RE)
     includes = (f.filter("include <> ''")
                 .withColumn("target", F.when(address, F.col("include")).otherwise(included_path(F.col("file"), F.col("include"))))
-                .join(known.select("project_id", F.col("file").alias("target"), F.lit(True).alias("known")), ["project_id", "target"], "left")
+                .join(shuffled(known.select("project_id", F.col("file").alias("target"), F.lit(True).alias("known"))), ["project_id", "target"], "left")
                 .select(*FILE, "line_no", "target", F.when(address, "remote_include").when(F.col("known").isNull(), "unreadable").alias("problem")))
     includes = cut_lineage(includes)
     edges = includes.filter("problem is null").select(*FILE, "line_no", "target")
-    top = top.join(known, FILE, "left_semi")
+    top = top.join(shuffled(known), FILE, "left_semi")
     levels = include_levels(top, edges)
-    at = edges.join(levels, FILE).join(levels.select("project_id", F.col("file").alias("target"), F.col("level").alias("deep")), ["project_id", "target"])
+    at = (edges.join(shuffled(levels), FILE)
+          .join(shuffled(levels.select("project_id", F.col("file").alias("target"), F.col("level").alias("deep"))), ["project_id", "target"]))
     # a cycle needs an include that leads no deeper; mostly there is none
     back = cut_lineage(at.filter("deep <= level").select(*FILE, "line_no", "target"))
     if back.isEmpty():
         closing = back
     else:
-        cycle = cyclic_files(at.join(back.select("project_id").distinct(), "project_id", "left_semi"))
-        closing = cut_lineage(back.join(cycle, FILE).join(cycle.select("project_id", F.col("file").alias("target"), F.col("cycle").alias("other")), ["project_id", "target"])
+        cycle = cyclic_files(at.join(shuffled(back.select("project_id").distinct()), "project_id", "left_semi"))
+        ends = cycle.select("project_id", F.col("file").alias("target"), F.col("cycle").alias("other"))
+        closing = cut_lineage(back.join(shuffled(cycle), FILE).join(shuffled(ends), ["project_id", "target"])
                               .filter("cycle = other").select(*FILE, "line_no", "target"))
-    edges = cut_lineage(edges.join(closing.select(*FILE, "line_no"), [*FILE, "line_no"], "left_anti"))
+    edges = cut_lineage(edges.join(shuffled(closing.select(*FILE, "line_no")), [*FILE, "line_no"], "left_anti"))
     chains = step = cut_lineage(top.select(*FILE, F.array(F.col("file_order").cast("bigint")).alias("ord")))
     while True:
-        step = cut_lineage(step.join(edges, FILE).select("project_id", F.col("target").alias("file"), F.concat("ord", F.array("line_no")).alias("ord")))
+        step = cut_lineage(step.join(shuffled(edges), FILE).select("project_id", F.col("target").alias("file"), F.concat("ord", F.array("line_no")).alias("ord")))
         if step.isEmpty():
             break
         chains = chains.unionByName(step)
     place = F.concat("ord", F.array("line_no")).alias("ord")
-    plain = f.filter("include = ''").join(chains, FILE).select("project_id", place, "line", F.lit("ok").alias("status"))
-    problems = includes.filter("problem is not null").join(chains, FILE).select("project_id", place, F.col("target").alias("line"), F.col("problem").alias("status"))
-    firsts = chains.join(closing.select(*FILE).distinct(), FILE, "left_semi").groupBy(*FILE).agg(F.min("ord").alias("ord"))
-    cycles = closing.join(firsts, FILE).select("project_id", place, F.col("target").alias("line"), F.lit("include_cycle").alias("status"))
+    plain = f.filter("include = ''").join(shuffled(chains), FILE).select("project_id", place, "line", F.lit("ok").alias("status"))
+    problems = includes.filter("problem is not null").join(shuffled(chains), FILE).select("project_id", place, F.col("target").alias("line"), F.col("problem").alias("status"))
+    firsts = chains.join(shuffled(closing.select(*FILE).distinct()), FILE, "left_semi").groupBy(*FILE).agg(F.min("ord").alias("ord"))
+    cycles = closing.join(shuffled(firsts), FILE).select("project_id", place, F.col("target").alias("line"), F.lit("include_cycle").alias("status"))
     return plain.unionByName(problems).unionByName(cycles)
 
 
