@@ -10,8 +10,8 @@ of open windows, and pieces are never cut again there.
 Null and empty texts are one end token. Rows that share an id are packed as separate documents. An empty
 table gives no rows. Only the id and text columns are read.
 
-The tokenizer drops white space, so a run without spaces, tabs or line ends is tokenised by itself, and
-its ids are remembered per worker (at most about 2 * CACHE_WORDS runs).
+The tokenizer drops white space, so a run without spaces, tabs or line ends is tokenised by itself, once for
+a batch of texts, and its ids are remembered per worker (at most about 2 * CACHE_WORDS runs).
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,10 @@ OPEN_WINDOWS = 32
 MIN_CUT = 16
 MERGE = 16
 CACHE_WORDS = 400_000
+LONG_RUN = 64
+BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
+TOGETHER = 64
+WORD_END = "</w>"
 MARKS = frozenset(".,;:!?")
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -48,41 +53,70 @@ class Tokens:
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(public_tokenizers.path(name)).encode_batch_fast
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.encode = tokenizer.encode_batch_fast
+        vocab = tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocab.values()) + 1, bool)
+        self.is_end[[i for x, i in vocab.items() if x.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        known, runs = self.known, []
-        for x in texts:
-            x = x or ""
-            for c in "\n\t\r":
-                if c in x:
-                    x = x.replace(c, " ")
-            runs.append(x.split(" "))
-        if len(known) > CACHE_WORDS:  # a new generation; words met again move over from the old one
-            self.older, self.known = known, {}
-            known = self.known
-        older, now = self.older, known
-        new = {w for r in runs for w in r if w not in known}
-        if new:
-            met = {w: older[w] for w in new if w in older}
-            known.update(met)
-            new -= met.keys()
-            # letters and one mark after them are tokenised apart by the tokenizer too
-            # (if what its normalisation makes of them are letters)
-            stems = {w: w[:-1].lower() if w.isascii() else w[:-1] for w in new
-                     if w[-1:] in MARKS and w[:-1].isalpha() and (w.isascii() or unicodedata.normalize("NFC", w[:-1]).lower().isalpha())}
-            marks = {w[-1] for w in stems}
-            ask = list({w for w in new if w not in stems} | {x for x in (*stems.values(), *marks) if x not in known})
-            ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(ask, self.encode(ask, add_special_tokens=False))}
-            known.update((w, i) for w, i in ids.items() if len(w) <= 64)
-            now = known if all(len(w) <= 64 for w in ask) else known | ids
-            known.update((w, now[x] + now[w[-1]]) for w, x in stems.items())
-            if now is not known:
-                now = now | {w: known[w] for w in stems}
-        for r in runs:
-            yield b"".join([now[w] for w in r])
+    def __call__(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        for c in "\n\t\r":
+            column = pc.replace_substring(column, c, " ")
+        runs = pc.split_pattern(column, " ")
+        coded = runs.flatten().dictionary_encode()  # a run is looked up once for all texts
+        ids, places, at = self.looked_up(coded.dictionary.to_pylist()), coded.indices.to_numpy(), 0
+        for n in pc.list_value_length(runs).to_pylist():
+            yield b"".join(map(ids.__getitem__, places[at : at + n].tolist()))
+            at += n
+
+    def looked_up(self, runs: list[str]) -> list[bytes]:
+        """The ids of each of these different runs."""
+        if len(self.known) > CACHE_WORDS:  # a new generation; runs met again move over from the old one
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        ids = list(map(known.get, runs))
+        new = [w for w, i in zip(runs, ids) if i is None]
+        now = {w: older[w] for w in new if w in older} if older else {}
+        # letters and one mark after them are tokenised apart by the tokenizer too
+        # (if what its normalisation makes of them are letters)
+        stems = {w: w[:-1].lower() if w.isascii() else w[:-1] for w in new
+                 if w not in now and w[-1:] in MARKS and w[:-1].isalpha() and (w.isascii() or unicodedata.normalize("NFC", w[:-1]).lower().isalpha())}
+        ask = {w for w in new if w not in stems}.union(stems.values(), (w[-1] for w in stems))
+        now.update([(w, known[w]) for w in ask if w in known])
+        now |= self.encoded([w for w in ask if w not in now])
+        now.update([(w, now[x] + now[w[-1]]) for w, x in stems.items()])
+        known.update([(w, i) for w, i in now.items() if len(w) <= LONG_RUN + 1])
+        return [now[w] if i is None else i for w, i in zip(runs, ids)]
+
+    def encoded(self, runs: list[str]) -> dict[str, bytes]:
+        """Runs of letters are encoded many at a time: to the tokenizer each is one word, of whose tokens only the last
+        ends a word. Where the ends don't tell them apart, and with other characters, each is encoded by itself."""
+        out: dict[str, bytes] = {}
+        letters = [w for w in runs if w.isalpha()]
+        parts = [letters[i : i + TOGETHER] for i in range(0, len(letters), TOGETHER)]
+        for part, e in zip(parts, self.encode([" ".join(x) for x in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()
+            data = ids.tobytes()
+            if len(ends) == len(part) and ends[-1] == len(data):
+                out.update((w, data[a:b]) for w, a, b in zip(part, [0, *ends], ends))
+        rest = [w for w in runs if w not in out]
+        out.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, self.encode(rest, add_special_tokens=False)))
+        return out
+
+
+def even_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of at most BATCH_ROWS rows and about BATCH_BYTES bytes of text in the second column, a text at least."""
+    for b in small_batches(batches, BATCH_ROWS):
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_BYTES, "right")))
+            yield b.slice(at, end - at)
+            at = end
 
 
 _tokens: dict[str, Tokens] = {}
@@ -215,9 +249,8 @@ def pack(documents: DataFrame, window: int = WINDOW, open_windows: int = OPEN_WI
         encode = tokens(tokenizer)
 
         def docs():
-            for b in small_batches(batches, 256):
-                ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-                for i, data in zip(ids, encode(texts)):
+            for b in even_batches(batches):
+                for i, data in zip(b.column(0).to_pylist(), encode(b.column(1))):
                     yield i, data + tail
 
         held: list = []

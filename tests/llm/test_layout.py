@@ -7,6 +7,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -78,6 +79,29 @@ def test_runs_tokenise_like_whole_texts():
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
+def test_letters_are_tokenised_many_together():
+    import random
+
+    rng = random.Random(2)
+    words = sorted({"".join(rng.choice("abcdeéßñσя") for _ in range(rng.randrange(1, 9))) for _ in range(6000)})
+    t = packing.Tokens("word_bpe_49k.json")
+    encode, asked = t.encode, []
+    t.encode = lambda runs, **k: asked.extend(runs) or encode(runs, **k)
+    got = list(t([" ".join(words), None, " ".join(reversed(words)), "x" * 100]))
+    assert len(asked) < len(words) / 16
+    one = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, encode(words, add_special_tokens=False))}
+    assert got[:3] == [b"".join(one[w] for w in words), b"", b"".join(one[w] for w in reversed(words))]
+    assert len(got[3]) > 0 and "x" * 100 not in t.known  # long runs are not remembered
+
+
+def test_texts_come_in_batches_of_bounded_size():
+    texts = ["a" * n for n in (3 * packing.BATCH_BYTES // 4, packing.BATCH_BYTES // 2, 2 * packing.BATCH_BYTES, 1, 0)] + [None] * packing.BATCH_ROWS
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["id", "text"])
+    parts = list(packing.even_batches(iter([batch.slice(0, 0), batch])))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(texts)))
+    assert [p.num_rows for p in parts][:3] == [1, 1, 1] and max(p.num_rows for p in parts) <= packing.BATCH_ROWS
+
+
 def test_sharding(spark):
     for df in (cases.documents(spark), cases.edges(spark)):
         out = shard.shard_digest(df).collect()
