@@ -17,8 +17,9 @@ rows. Without any labelled text every text is ``und``. Ties between labels go to
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -105,12 +106,58 @@ class Model:
         return names, scores
 
 
+@dataclass
+class Examples:
+    """Drawn texts as Arrow columns; a text's numbers are copied only while they are used."""
+
+    table: pa.Table
+    idf: np.ndarray
+    labels: list[str]
+    rows: list[int] = field(default_factory=list)
+
+    def numbers(self, column: str, k: int, kind: str) -> np.ndarray:
+        return np.frombuffer(self.table.column(column)[k].as_buffer(), kind)
+
+    def size(self, k: int) -> int:
+        return len(self.numbers("slots", k, "<u4"))
+
+    def in_order(self) -> list[int]:
+        """By id (null last), label and slots."""
+        ids, names = (self.table.column(c).to_pylist() for c in ("id", "label"))
+        known = lambda k: (ids[k] is None, ids[k], names[k])
+        return [k for _, same in groupby(sorted(range(len(ids)), key=known), known) for k in sorted(same, key=lambda k: self.table.column("slots")[k].as_py())]
+
+    def one(self, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        ids = self.numbers("slots", k, "<u4").astype(np.int64)
+        return ids, self.numbers("shares", k, "<f4") * self.idf[ids] * SCALE, self.labels.index(self.table.column("label")[k].as_py())
+
+    def whole_and_cuts(self, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        ids, x, label = self.one(k)
+        yield ids, x, label
+        cuts, begin = self.numbers("cuts", k, "<u4").astype(np.int64), 0
+        for size in CUTS:
+            part = cuts[begin : begin + 2 * size]
+            yield part, self.idf[part] * SCALE / len(part), label
+            begin += 2 * size
+
+    def of(self, rows: list[int]) -> Examples:
+        return Examples(self.table, self.idf, self.labels, rows)
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, n: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The n-th row to learn from, with the bias as its last slot."""
+        ids, x, label = self.one(self.rows[n])
+        return np.append(ids, DIM), np.append(x, 1.0), label
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
 
 
-def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_labels: int) -> tuple[np.ndarray, np.ndarray]:
+def ftrl(rows: Sequence[tuple[np.ndarray, np.ndarray, int]] | Examples, n_labels: int) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal for softmax regression; rows: (slots, values, label). The last slot is the bias."""
     z, n = np.zeros((DIM + 1, n_labels)), np.zeros((DIM + 1, n_labels))
 
@@ -188,27 +235,17 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array([x[n] for x in out], pa.binary()) for n in range(3)), b.column(2)], ["id", "slots", "shares", "cuts", "label"])
 
-    rows, aside = [], []
-    got = drawn.select("id", "text", "label").mapInArrow(counted, f"id {dict(df.dtypes)['id']}, slots binary, shares binary, cuts binary, label string").toArrow().to_pylist()
-    for n, r in enumerate(sorted(got, key=lambda r: (r["id"] is None, r["id"], r["label"], r["slots"]))):
-        ids = np.frombuffer(r["slots"], "<u4").astype(np.int64)
-        if len(ids):
-            x = np.frombuffer(r["shares"], "<f4") * idf[ids] * SCALE
-            label = labels.index(r["label"])
-            if n % 5 != 4:
-                rows.append((np.append(ids, DIM), np.append(x, 1.0), label))
-                continue
-            aside.append((ids, x, label))
-            cuts, begin = np.frombuffer(r["cuts"], "<u4").astype(np.int64), 0
-            for size in CUTS:
-                part = cuts[begin : begin + 2 * size]
-                aside.append((part, idf[part] * SCALE / len(part), label))
-                begin += 2 * size
+    got = drawn.select("id", "text", "label").mapInArrow(counted, f"id {dict(df.dtypes)['id']}, slots binary, shares binary, cuts binary, label string").toArrow()
+    examples = Examples(got, idf, labels)
+    order = examples.in_order()
+    some = [(n, k) for n, k in enumerate(order) if examples.size(k)]
+    rows, aside = examples.of([k for n, k in some if n % 5 != 4]), [k for n, k in some if n % 5 == 4]
     weights, bias = ftrl(rows, len(labels))
-    scores = np.array([x @ weights[i] + bias for i, x, _ in aside]).reshape(-1, len(labels))
-    truth = np.array([y for _, _, y in aside], int)
+    judged = [(x @ weights[i] + bias, y) for k in aside for i, x, y in examples.whole_and_cuts(k)]
+    scores = np.array([x for x, _ in judged]).reshape(-1, len(labels))
+    truth = np.array([y for _, y in judged], int)
     model = Model(labels, idf, weights, bias, temperature(scores, truth))
-    if len(aside):
+    if aside:
         whole = softmax(scores[:: 1 + len(CUTS)] / model.temperature)
         best = np.sort(whole.max(1)[whole.argmax(1) == truth[:: 1 + len(CUTS)]])
         model.floor = float(min(ABOVE / len(labels), best[len(best) // FLOOR])) if len(best) else 0.0

@@ -324,7 +324,7 @@ def train(documents: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", te
     model = Booster()
     if not got.num_rows:
         return model
-    x = np.array(got.column("x").to_pylist()).reshape(-1, width)
+    x = np.concatenate([c.flatten().to_numpy() for c in got.column("x").chunks]).reshape(-1, width)
     y, fold = got.column("y").to_numpy().astype(float), got.column("fold").to_numpy()
     order = np.lexsort([*x.T[::-1], fold])
     x, y, fold = x[order], y[order], fold[order]

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from opsframe.llm import extract, fingerprint, langid, pii, secrets
@@ -318,6 +319,23 @@ def test_scores_tell_short_cuts_and_nonsense_from_text(spark):
     assert ece < 0.08
 
 
+def test_language_examples_stay_in_their_columns():
+    """The driver copies a drawn text's numbers only while they are used."""
+    raw = lambda *v: np.array(v, "<u4").tobytes()
+    cut = np.arange(2 * sum(langid.CUTS), dtype="<u4").tobytes()
+    rows = [(None, raw(1), "b"), (7, raw(9, 2), "a"), (7, raw(3, 2), "a"), (7, raw(5), "B"), (2, b"", "b")]
+    table = pa.table({"id": pa.array([r[0] for r in rows], pa.int64()), "slots": pa.array([r[1] for r in rows], pa.binary()),
+                      "shares": pa.array([np.full(len(r[1]) // 4, 0.5, "<f4").tobytes() for r in rows], pa.binary()),
+                      "cuts": pa.array([cut] * 5, pa.binary()), "label": [r[2] for r in rows]})
+    examples = langid.Examples(table, np.arange(1.0, langid.DIM + 1), ["B", "a", "b"])
+    assert examples.in_order() == sorted(range(5), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, rows[k][2], rows[k][1]))
+    assert [examples.size(k) for k in range(5)] == [1, 2, 2, 1, 0]
+    assert examples.of([3, 1]).table is table and examples.of([3, 1]).rows == [3, 1]
+    ids, x, label = examples.of([3, 1])[1]
+    assert ids.tolist() == [9, 2, langid.DIM] and x.tolist() == [0.5 * 10 * langid.SCALE, 0.5 * 3 * langid.SCALE, 1.0] and label == 1
+    assert [len(i) for i, _, _ in examples.whole_and_cuts(1)] == [2, *(2 * n for n in langid.CUTS)]
+
+
 def test_training_steps_equal_a_plain_twin():
     """FTRL over dense vectors, one coordinate at a time."""
     rng = np.random.default_rng(1)
