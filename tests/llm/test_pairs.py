@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opsframe.llm import decontaminate, minhash, substring
 from tests.llm import cases
@@ -239,3 +240,25 @@ def test_short_items_are_found_word_for_word(spark):
     pairs = {(r.doc_id, r.item_id) for r in found}
     assert {(i, i) for i, _ in items} <= pairs and (None, 6) in pairs
     assert [(r.doc_id, r.item_id, r.same, r.answer) for r in found if (r.doc_id or 0) >= 1000] == []
+
+
+def test_latent_space_is_fitted_on_every_passage(spark):
+    """Half a million passages of 20 kinds: the space's singular values are those of all of them."""
+    rng = random.Random(8)
+    kinds = [" ".join(f"k{rng.randrange(400)}" for _ in range(decontaminate.PASSAGE)) for _ in range(20)]
+    copies = [[200 + 13 * ((7 * i + d) % 20) for i in range(20)] for d in range(8)]  # of the kinds in a document
+    docs = [(d, " ".join(" ".join([k] * n) for k, n in zip(kinds, c))) for d, c in enumerate(copies)]
+    many = spark.createDataFrame(docs, "doc_id long, text string").crossJoin(spark.range(10).select(F.col("id").alias("again")))
+    many = many.select((F.col("doc_id") * 10 + F.col("again")).alias("doc_id"), "text")
+    n = 10 * np.array(copies).sum(0)
+    assert n.sum() > 500_000
+    rows = np.vstack([decontaminate.feature_rows(h, at, decontaminate.PASSAGE)[0] for _, _, h, at in decontaminate.words(kinds)])
+    held = np.zeros((20, decontaminate.DIM))
+    np.add.at(held, (np.repeat(np.arange(20), decontaminate.PASSAGE), rows.ravel()), 1)
+    idf = np.log((n.sum() + 1) / (n @ (held > 0) + 1)) + 1e-3
+    a = np.zeros(held.shape)
+    np.add.at(a, (np.repeat(np.arange(20), decontaminate.PASSAGE), rows.ravel()), decontaminate._weights(rows, idf).ravel())
+    want = np.linalg.eigvalsh((a @ a.T) * np.sqrt(np.outer(n, n)))
+    place, _ = decontaminate.latent_space(many)
+    got = 1 / ((place[:-1] / idf[:, None]) ** 2).sum(0)
+    np.testing.assert_allclose(np.sort(got), want, rtol=1e-3)
