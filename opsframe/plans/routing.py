@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from opsframe.functions import naming
 from opsframe.operators.filters import active_filter
 from opsframe.operators.windows import keyed_index
-from opsframe.sources.files import FILE_ORDER, read_ordered_text, write_ordered_text
+from opsframe.sources.files import FILE_ORDER, read_text_folders, write_text_folders
 
 ADMIN_MEDIA_URL_PATH = "/_admin_media/"      # default url path of the admin's media (a parameter)
 
@@ -195,10 +195,10 @@ def site_config_lines(routing: DataFrame, upstreams: DataFrame, hosts: DataFrame
 def write_site_files(lines: DataFrame, path: str, partitions: int | None = None) -> None:
     """S-18: one folder of text per app; its part files by number are the site file,
     and an app with very many lines is written by several tasks."""
-    write_ordered_text(lines, path, ["app_id"], ["section", "ord"], partitions=partitions)
+    write_text_folders(lines, path, ["app_id"], ["section", "ord"], partitions=partitions)
 
 
 def read_site_files(spark: SparkSession, path: str) -> DataFrame:
     """The written site files: app_id, line_no, line."""
-    lines = read_ordered_text(spark, path, ["app_id"])
+    lines = read_text_folders(spark, path, ["app_id"])
     return keyed_index(lines, ["app_id"], FILE_ORDER, "line_no").select("app_id", "line_no", "line")

@@ -82,6 +82,81 @@ def test_ordered_text_in_many_splits(spark):
     assert "content" not in listing._jdf.queryExecution().executedPlan().toString()
 
 
+def folders(top):
+    """(folder, part number): content of the text files under a folder, also hidden ones."""
+    out = {}
+    for at, _, names in os.walk(top):
+        for name in names:
+            if name != "_SUCCESS" and name != "._SUCCESS.crc":
+                with open(os.path.join(at, name), "rb") as fh:
+                    out[os.path.relpath(at, top), name[:10]] = fh.read()
+    return out
+
+
+def test_very_many_folders_are_written_and_read_by_tasks(spark):
+    top = tempfile.mkdtemp(prefix="opsframe-folders-")
+    odd = ["a", "a=b/c:d %25+'\"#*?\\{}[]^\t", "A", "a b", None]
+    rows = [(k, f"x{i % 3}", i, [f"line {i}", "", None, f"two{i}\nlines\r", "é\x0b", " "][i % 6]) for i in range(3000) for k in odd]
+    rows += [(f"app{i}", "x", 0, "one\n") for i in range(500)] + [("hot", "x", i, f"h{i} {'y' * (i % 40)}") for i in range(20000)]
+    df = spark.createDataFrame(rows, "app string, kind string, ord long, line string").repartition(5)
+    keys = ["app", "kind"]
+    files.write_text_folders(df, f"file:{top}/new", keys, ["ord"], partitions=6)
+    files.write_ordered_text(df, f"file:{top}/spark", keys, ["ord"], partitions=6)
+    new, by_spark = folders(f"{top}/new"), folders(f"{top}/spark")
+    assert not [k for k in new if not k[1].startswith("part-")]  # no file besides the part files
+    whole = lambda parts: {at: b"".join(parts[k] for k in sorted(parts) if k[0] == at and k[1].startswith("part-")) for at in {k[0] for k in parts}}
+    assert whole(new) == whole(by_spark)
+    assert len([k for k in new if k[0] == "app=hot/kind=x"]) > 3
+    assert os.path.exists(f"{top}/new/_SUCCESS") and sorted(os.listdir(top)) == ["new", "spark"]
+    back = files.read_text_folders(spark, f"file:{top}/new", keys)
+    assert "FileScan" not in back._jdf.queryExecution().executedPlan().toString()
+    order = [*keys, *files.FILE_ORDER]
+    want = files.read_ordered_text(spark, f"file:{top}/spark", keys)
+    lines = lambda d: [(r["app"], r["kind"], r["line"]) for r in d.orderBy(*order).collect()]
+    assert lines(back) == lines(want)
+
+
+def test_folders_of_null_empty_and_accented_names(spark):
+    top = tempfile.mkdtemp(prefix="opsframe-names-")
+    names = [None, "", files.NO_VALUE, "é 中"]
+    rows = [(a, b, i, f"{a} {b} {i}") for a in names for b in names for i in range(50)]
+    df = spark.createDataFrame(rows, "app string, kind string, ord long, line string").repartition(3)
+    files.write_text_folders(df, f"file:{top}/out", ["app", "kind"], ["ord"], partitions=3)
+    got = files.read_text_folders(spark, f"file:{top}/out", ["app", "kind"]).collect()
+    value = lambda x: x if x == "é 中" else None
+    assert sorted((repr((r["app"], r["kind"])), r["line"]) for r in got) == sorted((repr((value(a), value(b))), x) for a, b, _, x in rows)
+
+
+def test_folders_of_pieces(spark, monkeypatch):
+    """A file of several pieces, one without a last line feed, an empty one, and a folder without files."""
+    monkeypatch.setattr(files, "READ_BYTES", 100)
+    monkeypatch.setattr(files, "BATCH_LINES", 7)
+    top = tempfile.mkdtemp(prefix="opsframe-pieces-")
+    texts = {"a": "\n".join(f"{i} {'x' * (i * 7 % 300)}" for i in range(200)) + "\n", "b": "no end\n\nof line", "c": "", "d": None}
+    for k, text in texts.items():
+        os.makedirs(f"{top}/k={k}")
+        if text is not None:
+            with open(f"{top}/k={k}/part-00002.txt", "w") as fh:
+                fh.write(text)
+    got = files.read_text_folders(spark, f"file:{top}", ["k"]).orderBy("k", *files.FILE_ORDER).collect()
+    for k, text in texts.items():
+        assert [r["line"] for r in got if r["k"] == k] == (text or "").splitlines()
+    assert {r["part"] for r in got} == {2}
+
+
+def test_folders_of_nothing_and_of_a_failed_write(spark):
+    top = tempfile.mkdtemp(prefix="opsframe-none-")
+    none = spark.createDataFrame([], "k string, ord long, line string")
+    files.write_text_folders(none, f"file:{top}/none", ["k"], ["ord"])
+    assert files.read_text_folders(spark, f"file:{top}/none", ["k"]).collect() == []
+    with pytest.raises(FileExistsError):
+        files.write_text_folders(none, f"file:{top}/none", ["k"], ["ord"])
+    bad = spark.range(10).select(F.col("id").cast("string").alias("k"), F.col("id").alias("ord"), F.expr("if(id < 9, 'a', raise_error('no'))").alias("line"))
+    with pytest.raises(Exception, match="no"):
+        files.write_text_folders(bad, f"file:{top}/bad", ["k"], ["ord"])
+    assert os.listdir(top) == ["none"]
+
+
 def test_site_files_parse(spark):
     from opsframe.plans import inventory
     site = ("upstream app_server_p1 {\n    server 10.0.0.1:10001 max_fails=2  fail_timeout=10s;\n"
