@@ -242,8 +242,8 @@ def test_short_items_are_found_word_for_word(spark):
     assert [(r.doc_id, r.item_id, r.same, r.answer) for r in found if (r.doc_id or 0) >= 1000] == []
 
 
-def test_latent_space_is_fitted_on_every_passage(spark):
-    """Half a million passages of 20 kinds: the space's singular values are those of all of them."""
+def many_passages(spark):
+    """Half a million passages of 20 kinds, all their singular values squared, and the features' weights."""
     rng = random.Random(8)
     kinds = [" ".join(f"k{rng.randrange(400)}" for _ in range(decontaminate.PASSAGE)) for _ in range(20)]
     copies = [[200 + 13 * ((7 * i + d) % 20) for i in range(20)] for d in range(8)]  # of the kinds in a document
@@ -258,7 +258,21 @@ def test_latent_space_is_fitted_on_every_passage(spark):
     idf = np.log((n.sum() + 1) / (n @ (held > 0) + 1)) + 1e-3
     a = np.zeros(held.shape)
     np.add.at(a, (np.repeat(np.arange(20), decontaminate.PASSAGE), rows.ravel()), decontaminate._weights(rows, idf).ravel())
-    want = np.linalg.eigvalsh((a @ a.T) * np.sqrt(np.outer(n, n)))
+    return many, np.linalg.eigvalsh((a @ a.T) * np.sqrt(np.outer(n, n))), idf
+
+
+def test_latent_space_is_fitted_on_every_passage(spark):
+    many, want, idf = many_passages(spark)
     place, _ = decontaminate.latent_space(many)
-    got = 1 / ((place[:-1] / idf[:, None]) ** 2).sum(0)
-    np.testing.assert_allclose(np.sort(got), want, rtol=1e-3)
+    np.testing.assert_allclose(np.sort(1 / ((place[:-1] / idf[:, None]) ** 2).sum(0)), want, rtol=1e-3)
+
+
+def test_pipeline_fits_the_latent_space_on_every_passage(spark, monkeypatch):
+    import corpus_pipeline
+
+    many, want, idf = many_passages(spark)
+    fitted, fit = [], decontaminate.latent_space
+    monkeypatch.setattr(decontaminate, "latent_space", lambda documents: fitted.append(fit(documents)) or fitted[0])
+    assert corpus_pipeline.benchmark(spark, many, cases.SF).count() == 80
+    place, _ = fitted[0]
+    np.testing.assert_allclose(np.sort(1 / ((place[:-1] / idf[:, None]) ** 2).sum(0)), want, rtol=1e-3)
